@@ -25,6 +25,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
+from collections.abc import Callable
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -41,14 +43,6 @@ BUCKET = "_bucket"
 SLICE = "_slice"
 DELTA = "_delta"
 
-_TIMELINE_SCHEMA = T.StructType([
-    T.StructField("rows", T.LongType()),
-    T.StructField("schema_json", T.StringType()),
-    T.StructField("info", T.StringType()),
-    T.StructField("finished_at", T.TimestampType()),
-    T.StructField(COMMIT_TIME, T.StringType()),
-    T.StructField("_action", T.StringType()),
-])
 
 
 def utc_instant() -> str:
@@ -79,10 +73,29 @@ class Action:
     commit: str
     action: str
     rows: int
-    schema_json: str
+    groups: int
+    schema_json: str | None
     info: str
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path) -> str:
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 class LakeTable:
     """A keyed table at ``path``.
 
@@ -99,7 +112,8 @@ class LakeTable:
                  precombine: Sequence[str] = (PRECOMBINE_FIELD,),
                  tie: Sequence[str] = (TIE_BREAK_FIELD,),
                  merge_mode: str = "commit_time", buckets: int = 16,
-                 broadcast_rows: int = 1_000_000, retain_commits: int | None = None):
+                 broadcast_rows: int = 1_000_000, static_groups: int = 100_000,
+                 retain_commits: int | None = None):
         if table_type not in ("cow", "mor"):
             raise ValueError("table_type is 'cow' or 'mor'")
         self.spark, self.path = spark, path.rstrip("/")
@@ -111,18 +125,27 @@ class LakeTable:
         self.merge_mode = merge_mode
         self.buckets = buckets
         self.broadcast_rows = broadcast_rows
+        self.static_groups = static_groups
         self.retain_commits = retain_commits
         self._group = ([partition] if partition else []) + [BUCKET]
 
     # ------------------------------------------------------------ timeline
     def timeline(self) -> list[Action]:
-        """Finished actions in commit order (small metadata, read on the driver)."""
+        """Finished actions in commit order.  The timeline is a folder of
+        small JSON files (``<commit>.<action>.json``), read on the driver
+        through the Hadoop FileSystem API: no Spark job per read."""
         tl = f"{self.path}/_timeline"
-        if not path_exists(self.spark, tl):
+        fs, p = _fs(self.spark, tl)
+        if not fs.exists(p):
             return []
-        rows = (self.spark.read.schema(_TIMELINE_SCHEMA).option("basePath", tl).parquet(tl)
-                .select(COMMIT_TIME, "_action", "rows", "schema_json", "info").collect())
-        acts = [Action(r[0], r[1], r[2], r[3], r[4]) for r in rows]
+        acts = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if not name.endswith(".json") or name.startswith((".", "_")):
+                continue
+            rec = json.loads(_read_text(self.spark, st.getPath()))
+            acts.append(Action(rec["commit"], rec["action"], rec.get("rows") or 0,
+                               rec.get("groups") or 0, rec.get("schema"), rec.get("info") or ""))
         return sorted(acts, key=lambda a: (a.commit, a.action))
 
     def commits(self) -> list[str]:
@@ -153,17 +176,15 @@ class LakeTable:
 
     def _index(self, acts: list[Action]) -> DataFrame:
         root = f"{self.path}/_index"
-        visible = [(a.commit, a.action) for a in acts]
+        visible = [(a.commit, a.action) for a in acts if a.groups]
         schema = T.StructType([
             *([T.StructField(self.partition, T.StringType())] if self.partition else []),
             T.StructField(BUCKET, T.IntegerType()), T.StructField("kind", T.StringType()),
             T.StructField("rows", T.LongType()), T.StructField(COMMIT_TIME, T.StringType()),
             T.StructField("_action", T.StringType())])
         idx = self.spark.read.schema(schema).option("basePath", root).parquet(root)
-        ok = F.lit(False)
-        for c, a in visible:  # bounded by the number of retained actions
-            ok = ok | ((F.col(COMMIT_TIME) == c) & (F.col("_action") == a))
-        return idx.filter(ok)
+        tag = F.concat_ws("/", COMMIT_TIME, "_action")
+        return idx.filter(tag.isin([f"{c}/{a}" for c, a in visible]))
 
     def _group_map(self, as_of: str, acts: list[Action]) -> DataFrame:
         """Per file group: its latest base slice ``<= as_of`` and whether
@@ -179,9 +200,15 @@ class LakeTable:
         return (slices.join(dirty, self._group, "full")
                 .select(*self._group, SLICE, F.coalesce("_dirty", F.lit(False)).alias("_dirty")))
 
-    def _small(self, df: DataFrame) -> DataFrame:
-        """Broadcast a metadata frame only when its row count is checked small."""
-        return F.broadcast(df) if df.count() <= self.broadcast_rows else df
+    def _small(self, df: DataFrame, bound: int) -> DataFrame:
+        """Broadcast a metadata frame only when its recorded size bound
+        (file groups written, summed over actions) is below the limit;
+        otherwise leave the join to a shuffle."""
+        return F.broadcast(df) if bound <= self.broadcast_rows else df
+
+    @staticmethod
+    def _bound(acts: list[Action]) -> int:
+        return sum(a.groups for a in acts)
 
     def _latest_commit(self, acts: list[Action]) -> str:
         data = sorted(a.commit for a in acts if a.action in DATA_ACTIONS)
@@ -197,35 +224,62 @@ class LakeTable:
             raise ValueError(f"commit {as_of} was cleaned (history kept from {kept})")
         return as_of
 
-    def _parts(self, as_of: str, acts: list[Action], since: str | None = None):
-        """(clean slice rows, dirty slice rows, relevant delta rows) as of ``as_of``."""
-        gm = self._small(self._group_map(as_of, acts))
+    def _parts(self, as_of: str, acts: list[Action], since: str | None = None, only=None):
+        """(clean slice rows, dirty slice rows, relevant delta rows) as of ``as_of``.
+
+        *clean*: groups whose latest slice has no newer delta (read as is,
+        no shuffle); *dirty*: groups with newer deltas (merged with them).
+        The group map is table metadata (one row per file group); when its
+        recorded bound is small it is collected once and applied as an exact
+        static partition filter on ``(group, slice)``, so only the one slice
+        each group needs is listed and read.  Otherwise broadcast/shuffle
+        semi joins do the same selection.
+        """
+        gm = self._group_map(as_of, acts)
         cols = self._schema(acts).fieldNames()
         has_slices = any(a.action in ("commit", "compaction") or (a.action == "deltacommit" and a.info == "base")
                          for a in acts)
-        out = []
+        has_deltas = self.table_type == "mor" and any(
+            a.action == "deltacommit" and a.info != "base" for a in acts)
+        gkey = F.concat_ws("/", *self._group)
+        skey = F.concat_ws("/", *self._group, SLICE)
+        bound = self._bound(acts)
+        if bound <= self.static_groups:
+            rows = gm.select(gkey.alias("g"), F.when(F.col(SLICE).isNotNull(), skey).alias("s"),
+                             SLICE, "_dirty").collect()
+            clean_k = [r["s"] for r in rows if r["s"] is not None and not r["_dirty"]]
+            dirty_k = [r["s"] for r in rows if r["s"] is not None and r["_dirty"]]
+            dirty_g = [(r["g"], r[SLICE]) for r in rows if r["_dirty"]]
+            pick_clean = lambda df: df.filter(skey.isin(clean_k))
+            pick_dirty = lambda df: df.filter(skey.isin(dirty_k))
+            dmap = F.broadcast(self.spark.createDataFrame(dirty_g, f"g string, {SLICE} string"))
+            pick_delta = lambda df: (df.filter(gkey.isin([g for g, _ in dirty_g]))
+                                     .join(dmap, gkey == F.col("g"), "left").drop("g"))
+        else:
+            gmb = self._small(gm, bound)
+            pick_clean = lambda df: df.join(gmb.filter(~F.col("_dirty")), [*self._group, SLICE], "left_semi")
+            pick_dirty = lambda df: df.join(gmb.filter(F.col("_dirty")), [*self._group, SLICE], "left_semi")
+            pick_delta = lambda df: df.join(gmb.filter(F.col("_dirty")).select(*self._group, SLICE),
+                                            self._group, "inner")
+        clean = dirty = deltas = None
         if has_slices:
             sl = self._scan("slices", acts).filter(F.col(SLICE) <= as_of)
+            if only is not None:
+                sl = only(sl)
             if since is not None:
-                sl = sl.filter(F.col(COMMIT_TIME) > since)
-            sl = sl.join(gm.filter(F.col(SLICE).isNotNull()), [*self._group, SLICE], "left_semi")
-            clean = sl.join(gm.filter(~F.col("_dirty")), self._group, "left_semi").select(*cols)
-            dirty = sl.join(gm.filter(F.col("_dirty")), self._group, "left_semi").select(*cols)
-            out += [clean, dirty]
-        else:
-            out += [None, None]
-        if self.table_type == "mor" and any(a.action == "deltacommit" and a.info != "base" for a in acts):
+                sl = sl.filter(F.col(SLICE) > since)
+            clean = pick_clean(sl).select(*cols)
+            dirty = pick_dirty(sl).select(*cols)
+        if has_deltas:
             dl = self._scan("deltas", acts).filter(F.col(DELTA) <= as_of)
+            if only is not None:
+                dl = only(dl)
             if since is not None:
                 dl = dl.filter(F.col(DELTA) > since)
-            visible = [a.commit for a in acts if a.action == "deltacommit"]
-            dl = dl.filter(F.col(DELTA).isin(visible))
-            dl = (dl.join(gm.filter(F.col("_dirty")), self._group, "inner")
-                  .filter(F.col(SLICE).isNull() | (F.col(DELTA) > F.col(SLICE))).select(*cols))
-            out.append(dl)
-        else:
-            out.append(None)
-        return out
+            visible = [a.commit for a in acts if a.action == "deltacommit" and a.info != "base"]
+            dl = pick_delta(dl.filter(F.col(DELTA).isin(visible)))
+            deltas = dl.filter(F.col(SLICE).isNull() | (F.col(DELTA) > F.col(SLICE))).select(*cols)
+        return clean, dirty, deltas
 
     def _empty(self, acts) -> DataFrame:
         return self.spark.createDataFrame([], self._schema(acts))
@@ -291,7 +345,7 @@ class LakeTable:
             before = idx.filter(F.col(COMMIT_TIME) < kept).groupBy(*self._group).agg(F.max(COMMIT_TIME).alias("_from"))
         else:
             before = idx.groupBy(*self._group).agg(F.min(COMMIT_TIME).alias("_from"))
-        frm = self._small(before)
+        frm = self._small(before, self._bound(acts))
         rows = (sl.join(frm, self._group, "left")
                 .filter(F.col("_from").isNull() | (F.col(SLICE) >= F.col("_from"))))
         if self.table_type == "mor":
@@ -347,17 +401,36 @@ class LakeTable:
         (rows.hint("rebalance", *self._group).write.mode("overwrite")
              .partitionBy(*self._group).parquet(target))
 
-    def _write_meta(self, commit: str, action: str, groups: DataFrame | None,
-                    kind: str, rows: int, schema: T.StructType | None, info: str = "") -> None:
-        if groups is not None:
-            (groups.withColumn("kind", F.lit(kind)).coalesce(1).write.mode("overwrite")
+    def _write_meta(self, commit: str, action: str, groups: DataFrame | None, kind: str,
+                    rows: int, n_groups: int, schema: T.StructType | None, info: str = "") -> None:
+        """Index rows (file groups written) via Spark, then the timeline
+        record last: written under a hidden name and renamed, so readers
+        never see a partial record."""
+        if groups is not None and n_groups:
+            (groups.select(*self._group, F.col("rows").cast("long")).withColumn("kind", F.lit(kind))
+                .coalesce(1).write.mode("overwrite")
                 .parquet(f"{self.path}/_index/{COMMIT_TIME}={commit}/_action={action}"))
-        rec = self.spark.createDataFrame(
-            [(rows, schema.json() if schema is not None else None, info,
-              _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
-            "rows long, schema_json string, info string, finished_at timestamp")
-        (rec.coalesce(1).write.mode("overwrite")
-            .parquet(f"{self.path}/_timeline/{COMMIT_TIME}={commit}/_action={action}"))
+        rec = {"commit": commit, "action": action, "rows": int(rows), "groups": int(n_groups),
+               "schema": schema.json() if schema is not None else None, "info": info,
+               "finished_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
+        final = f"{self.path}/_timeline/{commit}.{action}.json"
+        tmp = f"{self.path}/_timeline/.{commit}.{action}.{uuid.uuid4().hex}.tmp"
+        _write_text(self.spark, tmp, json.dumps(rec))
+        fs, src = _fs(self.spark, tmp)
+        dst = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(final)
+        if fs.exists(dst):
+            fs.delete(dst, False)
+        fs.rename(src, dst)
+
+    def _group_filter(self, groups: DataFrame, n_groups: int) -> Callable[[DataFrame], DataFrame]:
+        """Restrict a scan to the given file groups.  When the group count
+        (known from the batch) is small, the keys go into a static
+        partition filter (pruned at planning); otherwise a semi join."""
+        if n_groups <= self.static_groups:
+            keys = [r[0] for r in groups.select(F.concat_ws("/", *self._group)).collect()]
+            return lambda df: df.filter(F.concat_ws("/", *self._group).isin(keys))
+        g = self._small(groups.select(*self._group), n_groups)
+        return lambda df: df.join(g, self._group, "left_semi")
 
     def _align(self, df: DataFrame, schema: T.StructType, extra: Sequence[str] = ()) -> DataFrame:
         cols = []
@@ -366,51 +439,60 @@ class LakeTable:
                         else F.lit(None).cast(f.dataType).alias(f.name))
         return df.select(*cols, *[F.col(c) for c in extra])
 
-    def upsert(self, batch: DataFrame, commit: str | None = None) -> str:
-        """Write one batch as commit ``commit`` (default: UTC instant)."""
+    def upsert(self, batch: DataFrame, commit: str | None = None) -> str | None:
+        """Write one batch as commit ``commit`` (default: UTC instant).
+
+        Copy-on-write rewrites only the file groups the batch touches;
+        merge-on-read appends the batch as a delta.  An empty batch writes
+        nothing.  Replaying a commit id rewrites that commit.
+        """
         commit = commit or utc_instant()
         acts = [a for a in self.timeline() if a.commit < commit]
         stamped = self._stamp(batch, commit).persist()
+        groups = stamped.groupBy(*self._group).agg(F.count(F.lit(1)).alias("rows")).persist()
         try:
+            st = groups.agg(F.count(F.lit(1)), F.sum("rows")).first()
+            n_groups, n_rows = int(st[0]), int(st[1] or 0)
+            if n_groups == 0:
+                return None
             schema = self._merged_schema(stamped, acts)
             incoming = self._align(stamped, schema, [BUCKET])
-            groups = stamped.groupBy(*self._group).agg(F.count(F.lit(1)).alias("rows"))
             first = not any(a.action in DATA_ACTIONS for a in acts)
             if first or self.table_type == "cow":
                 if first:
                     new_rows = incoming
                 else:
-                    touched = self._small(stamped.select(*self._group).distinct())
-                    current = (self._current_rows(acts).join(touched, self._group, "left_semi"))
-                    current = self._align(current, schema, [BUCKET])
+                    only = self._group_filter(groups, n_groups)
+                    current = self._align(self._current_rows(acts, only), schema, [BUCKET])
                     new_rows = V.cow_merge(current, incoming, self.keys, self.merge_mode,
                                            self.precombine, self.tie)
                 self._write_rows(new_rows, "slices", commit)
                 action = "commit" if self.table_type == "cow" else "deltacommit"
-                n = groups.agg(F.sum("rows")).first()[0] or 0
-                self._write_meta(commit, action, groups, "slice", n, schema,
+                self._write_meta(commit, action, groups, "slice", n_rows, n_groups, schema,
                                  "base" if self.table_type == "mor" else "")
             else:
                 self._write_rows(incoming, "deltas", commit)
-                n = groups.agg(F.sum("rows")).first()[0] or 0
-                self._write_meta(commit, "deltacommit", groups, "delta", n, schema)
+                self._write_meta(commit, "deltacommit", groups, "delta", n_rows, n_groups, schema)
         finally:
+            groups.unpersist()
             stamped.unpersist()
         if self.retain_commits:
             self.clean(self.retain_commits)
         return commit
 
-    def _current_rows(self, acts: list[Action]) -> DataFrame:
-        """Full current rows of every group (restricted later by the caller)."""
+    def _current_rows(self, acts: list[Action], only=None) -> DataFrame:
+        """Current rows of the file groups selected by ``only``."""
         latest = self._latest_commit(acts)
-        clean, dirty, deltas = self._parts(latest, acts)
+        clean, dirty, deltas = self._parts(latest, acts, only=only)
         rows = clean.unionByName(dirty)
         if deltas is not None:
             merged = V.snapshot(dirty.unionByName(deltas), self.keys, None, self.merge_mode,
                                 self.precombine, self.tie)
             rows = clean.unionByName(merged)
-        return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in self.record_key]),
-                                              F.lit(self.buckets)).cast("int"))
+        return rows.withColumn(BUCKET, self._bucket_col())
+
+    def _bucket_col(self):
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.record_key]), F.lit(self.buckets)).cast("int")
 
     def overwrite(self, batch: DataFrame, commit: str | None = None) -> str:
         """Recreate the table from this batch alone (new timeline)."""
@@ -424,18 +506,17 @@ class LakeTable:
         at = self._check_as_of(at, acts)
         acts_at = [a for a in acts if a.commit <= at]
         gm = self._group_map(at, acts_at)
-        dirty_groups = gm.filter(F.col("_dirty")).select(*self._group)
-        if dirty_groups.isEmpty():
+        dirty_groups = gm.filter(F.col("_dirty")).select(*self._group, F.lit(None).cast("long").alias("rows"))
+        n_dirty = dirty_groups.count()
+        if n_dirty == 0:
             return None
         clean, dirty, deltas = self._parts(at, acts_at)
         pieces = [d for d in (dirty, deltas) if d is not None]
         both = pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
         merged = V.snapshot(both, self.keys, None, self.merge_mode, self.precombine, self.tie)
-        merged = merged.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in self.record_key]),
-                                                  F.lit(self.buckets)).cast("int"))
+        merged = merged.withColumn(BUCKET, self._bucket_col())
         self._write_rows(merged, "slices", at)
-        groups = dirty_groups.withColumn("rows", F.lit(None).cast("long"))
-        self._write_meta(at, "compaction", groups, "slice", 0, None)
+        self._write_meta(at, "compaction", dirty_groups, "slice", 0, n_dirty, None)
         return at
 
     def clean(self, retain: int, purge: bool = False) -> str | None:
@@ -448,7 +529,7 @@ class LakeTable:
         cutoff, before = data[-retain], data[-retain - 1]
         if self.table_type == "mor":
             self.compact(before)
-        self._write_meta(data[-1], "clean", None, "", 0, None, info=cutoff)
+        self._write_meta(data[-1], "clean", None, "", 0, 0, None, info=cutoff)
         if purge:
             self._purge(cutoff)
         return cutoff
