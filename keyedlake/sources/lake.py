@@ -76,6 +76,7 @@ class Action:
     groups: int
     schema_json: str | None
     info: str
+    group_list: list | None = None
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -113,6 +114,7 @@ class LakeTable:
                  tie: Sequence[str] = (TIE_BREAK_FIELD,),
                  merge_mode: str = "commit_time", buckets: int = 16,
                  broadcast_rows: int = 1_000_000, static_groups: int = 100_000,
+                 inline_groups: int = 10_000,
                  retain_commits: int | None = None):
         if table_type not in ("cow", "mor"):
             raise ValueError("table_type is 'cow' or 'mor'")
@@ -126,6 +128,7 @@ class LakeTable:
         self.buckets = buckets
         self.broadcast_rows = broadcast_rows
         self.static_groups = static_groups
+        self.inline_groups = inline_groups
         self.retain_commits = retain_commits
         self._group = ([partition] if partition else []) + [BUCKET]
 
@@ -145,7 +148,8 @@ class LakeTable:
                 continue
             rec = json.loads(_read_text(self.spark, st.getPath()))
             acts.append(Action(rec["commit"], rec["action"], rec.get("rows") or 0,
-                               rec.get("groups") or 0, rec.get("schema"), rec.get("info") or ""))
+                               rec.get("groups") or 0, rec.get("schema"), rec.get("info") or "",
+                               rec.get("group_list")))
         return sorted(acts, key=lambda a: (a.commit, a.action))
 
     def commits(self) -> list[str]:
@@ -200,6 +204,33 @@ class LakeTable:
         return (slices.join(dirty, self._group, "full")
                 .select(*self._group, SLICE, F.coalesce("_dirty", F.lit(False)).alias("_dirty")))
 
+    @staticmethod
+    def _gkey(values) -> str:
+        """Python twin of ``concat_ws('/', ...)`` (nulls skipped)."""
+        return "/".join(str(v) for v in values if v is not None)
+
+    def _inline_map(self, as_of: str, acts: list[Action]):
+        """Group map from the groups listed in the timeline records, or
+        None when some action kept its (large) group list only in the index."""
+        rel = [a for a in acts if a.groups and a.commit <= as_of]
+        if any(a.group_list is None for a in rel):
+            return None
+        latest: dict = {}
+        deltas: dict = {}
+        for a in rel:
+            is_delta = a.action == "deltacommit" and a.info != "base"
+            for g in map(tuple, a.group_list):
+                if is_delta:
+                    deltas.setdefault(g, []).append(a.commit)
+                elif a.commit > latest.get(g, ""):
+                    latest[g] = a.commit
+        out = []
+        for g in set(latest) | set(deltas):
+            sl = latest.get(g)
+            dirty = any(sl is None or d > sl for d in deltas.get(g, []))
+            out.append((g, sl, dirty))
+        return out
+
     def _small(self, df: DataFrame, bound: int) -> DataFrame:
         """Broadcast a metadata frame only when its recorded size bound
         (file groups written, summed over actions) is below the limit;
@@ -235,7 +266,6 @@ class LakeTable:
         each group needs is listed and read.  Otherwise broadcast/shuffle
         semi joins do the same selection.
         """
-        gm = self._group_map(as_of, acts)
         cols = self._schema(acts).fieldNames()
         has_slices = any(a.action in ("commit", "compaction") or (a.action == "deltacommit" and a.info == "base")
                          for a in acts)
@@ -244,19 +274,23 @@ class LakeTable:
         gkey = F.concat_ws("/", *self._group)
         skey = F.concat_ws("/", *self._group, SLICE)
         bound = self._bound(acts)
-        if bound <= self.static_groups:
-            rows = gm.select(gkey.alias("g"), F.when(F.col(SLICE).isNotNull(), skey).alias("s"),
-                             SLICE, "_dirty").collect()
-            clean_k = [r["s"] for r in rows if r["s"] is not None and not r["_dirty"]]
-            dirty_k = [r["s"] for r in rows if r["s"] is not None and r["_dirty"]]
-            dirty_g = [(r["g"], r[SLICE]) for r in rows if r["_dirty"]]
+        rows = self._inline_map(as_of, acts)
+        if rows is not None:
+            rows = [(self._gkey(g), sl, d) for g, sl, d in rows]
+        elif bound <= self.static_groups:
+            rows = [(r["g"], r[SLICE], r["_dirty"]) for r in self._group_map(as_of, acts)
+                    .select(gkey.alias("g"), SLICE, "_dirty").collect()]
+        if rows is not None:
+            clean_k = [f"{g}/{sl}" for g, sl, d in rows if sl is not None and not d]
+            dirty_k = [f"{g}/{sl}" for g, sl, d in rows if sl is not None and d]
+            dirty_g = [(g, sl) for g, sl, d in rows if d]
             pick_clean = lambda df: df.filter(skey.isin(clean_k))
             pick_dirty = lambda df: df.filter(skey.isin(dirty_k))
             dmap = F.broadcast(self.spark.createDataFrame(dirty_g, f"g string, {SLICE} string"))
             pick_delta = lambda df: (df.filter(gkey.isin([g for g, _ in dirty_g]))
                                      .join(dmap, gkey == F.col("g"), "left").drop("g"))
         else:
-            gmb = self._small(gm, bound)
+            gmb = self._small(self._group_map(as_of, acts), bound)
             pick_clean = lambda df: df.join(gmb.filter(~F.col("_dirty")), [*self._group, SLICE], "left_semi")
             pick_dirty = lambda df: df.join(gmb.filter(F.col("_dirty")), [*self._group, SLICE], "left_semi")
             pick_delta = lambda df: df.join(gmb.filter(F.col("_dirty")).select(*self._group, SLICE),
@@ -395,14 +429,20 @@ class LakeTable:
         fields += [f for f in new.fields if f.name not in names]
         return T.StructType(fields)
 
-    def _write_rows(self, rows: DataFrame, kind: str, commit: str) -> None:
+    def _write_rows(self, rows: DataFrame, kind: str, commit: str, grouped: bool = False) -> None:
+        """Write one action's rows under its own directory, one folder per
+        file group.  Rows not yet clustered by file group are rebalanced
+        (AQE splits a hot group into ~128 MB files); ``grouped`` rows are
+        already hash-partitioned by group and go straight to the writer."""
         col = SLICE if kind == "slices" else DELTA
         target = f"{self.path}/{kind}/{col}={commit}"
-        (rows.hint("rebalance", *self._group).write.mode("overwrite")
-             .partitionBy(*self._group).parquet(target))
+        if not grouped:
+            rows = rows.hint("rebalance", *self._group)
+        rows.write.mode("overwrite").partitionBy(*self._group).parquet(target)
 
     def _write_meta(self, commit: str, action: str, groups: DataFrame | None, kind: str,
-                    rows: int, n_groups: int, schema: T.StructType | None, info: str = "") -> None:
+                    rows: int, n_groups: int, schema: T.StructType | None, info: str = "",
+                    group_list: list | None = None) -> None:
         """Index rows (file groups written) via Spark, then the timeline
         record last: written under a hidden name and renamed, so readers
         never see a partial record."""
@@ -413,6 +453,8 @@ class LakeTable:
         rec = {"commit": commit, "action": action, "rows": int(rows), "groups": int(n_groups),
                "schema": schema.json() if schema is not None else None, "info": info,
                "finished_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
+        if group_list is not None:
+            rec["group_list"] = [list(g) for g in group_list]
         final = f"{self.path}/_timeline/{commit}.{action}.json"
         tmp = f"{self.path}/_timeline/.{commit}.{action}.{uuid.uuid4().hex}.tmp"
         _write_text(self.spark, tmp, json.dumps(rec))
@@ -422,12 +464,15 @@ class LakeTable:
             fs.delete(dst, False)
         fs.rename(src, dst)
 
-    def _group_filter(self, groups: DataFrame, n_groups: int) -> Callable[[DataFrame], DataFrame]:
+    def _group_filter(self, groups: DataFrame, n_groups: int,
+                      group_list: list | None = None) -> Callable[[DataFrame], DataFrame]:
         """Restrict a scan to the given file groups.  When the group count
         (known from the batch) is small, the keys go into a static
         partition filter (pruned at planning); otherwise a semi join."""
-        if n_groups <= self.static_groups:
-            keys = [r[0] for r in groups.select(F.concat_ws("/", *self._group)).collect()]
+        if group_list is not None or n_groups <= self.static_groups:
+            if group_list is None:
+                group_list = [tuple(r) for r in groups.select(*self._group).collect()]
+            keys = [self._gkey(g) for g in group_list]
             return lambda df: df.filter(F.concat_ws("/", *self._group).isin(keys))
         g = self._small(groups.select(*self._group), n_groups)
         return lambda df: df.join(g, self._group, "left_semi")
@@ -457,22 +502,32 @@ class LakeTable:
                 return None
             schema = self._merged_schema(stamped, acts)
             incoming = self._align(stamped, schema, [BUCKET])
+            glist = ([tuple(r) for r in groups.select(*self._group).collect()]
+                     if n_groups <= self.inline_groups else None)
             first = not any(a.action in DATA_ACTIONS for a in acts)
             if first or self.table_type == "cow":
                 if first:
-                    new_rows = incoming
+                    new_rows, grouped = incoming, False
                 else:
-                    only = self._group_filter(groups, n_groups)
+                    # Both sides hash-partitioned by file group; joining on
+                    # (keys, bucket) -- the bucket is a function of the key --
+                    # needs no further shuffle, and each task then writes
+                    # whole groups.
+                    only = self._group_filter(groups, n_groups, glist)
                     current = self._align(self._current_rows(acts, only), schema, [BUCKET])
-                    new_rows = V.cow_merge(current, incoming, self.keys, self.merge_mode,
+                    new_rows = V.cow_merge(current.repartition(*self._group),
+                                           incoming.repartition(*self._group),
+                                           [*self.keys, BUCKET], self.merge_mode,
                                            self.precombine, self.tie)
-                self._write_rows(new_rows, "slices", commit)
+                    grouped = True
+                self._write_rows(new_rows, "slices", commit, grouped=grouped)
                 action = "commit" if self.table_type == "cow" else "deltacommit"
                 self._write_meta(commit, action, groups, "slice", n_rows, n_groups, schema,
-                                 "base" if self.table_type == "mor" else "")
+                                 "base" if self.table_type == "mor" else "", glist)
             else:
                 self._write_rows(incoming, "deltas", commit)
-                self._write_meta(commit, "deltacommit", groups, "delta", n_rows, n_groups, schema)
+                self._write_meta(commit, "deltacommit", groups, "delta", n_rows, n_groups, schema,
+                                 group_list=glist)
         finally:
             groups.unpersist()
             stamped.unpersist()
@@ -505,18 +560,30 @@ class LakeTable:
         acts = self.timeline()
         at = self._check_as_of(at, acts)
         acts_at = [a for a in acts if a.commit <= at]
-        gm = self._group_map(at, acts_at)
-        dirty_groups = gm.filter(F.col("_dirty")).select(*self._group, F.lit(None).cast("long").alias("rows"))
-        n_dirty = dirty_groups.count()
+        inline = self._inline_map(at, acts_at)
+        if inline is not None:
+            dirty_list = [g for g, _, d in inline if d]
+            n_dirty = len(dirty_list)
+            gschema = T.StructType([*([T.StructField(self.partition, T.StringType())] if self.partition else []),
+                                    T.StructField(BUCKET, T.IntegerType()), T.StructField("rows", T.LongType())])
+            dirty_groups = self.spark.createDataFrame([(*g, None) for g in dirty_list], gschema)
+        else:
+            dirty_list = None
+            gm = self._group_map(at, acts_at)
+            dirty_groups = gm.filter(F.col("_dirty")).select(*self._group, F.lit(None).cast("long").alias("rows"))
+            n_dirty = dirty_groups.count()
         if n_dirty == 0:
             return None
         clean, dirty, deltas = self._parts(at, acts_at)
         pieces = [d for d in (dirty, deltas) if d is not None]
         both = pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
-        merged = V.snapshot(both, self.keys, None, self.merge_mode, self.precombine, self.tie)
-        merged = merged.withColumn(BUCKET, self._bucket_col())
-        self._write_rows(merged, "slices", at)
-        self._write_meta(at, "compaction", dirty_groups, "slice", 0, n_dirty, None)
+        # cluster by file group once: the per-key reduction (keys + bucket)
+        # and the writer both reuse that partitioning
+        both = both.withColumn(BUCKET, self._bucket_col()).repartition(*self._group)
+        merged = V.snapshot(both, [*self.keys, BUCKET], None, self.merge_mode, self.precombine, self.tie)
+        self._write_rows(merged, "slices", at, grouped=True)
+        self._write_meta(at, "compaction", dirty_groups, "slice", 0, n_dirty, None,
+                         group_list=dirty_list)
         return at
 
     def clean(self, retain: int, purge: bool = False) -> str | None:
