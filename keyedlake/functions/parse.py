@@ -33,23 +33,27 @@ def parse_transactions(envelope: DataFrame, layout: str = "table",
     ``layout="console"``: ``kafka_key, kafka_partition, kafka_offset,
     kafka_timestamp`` first, then the fields; every message kept.
     """
-    txn = parse_json(F.col("value").cast("string")).alias("txn")
-    fields = [F.col(f"txn.{c}").alias(c) for c in TRANSACTION_COLUMNS]
+    # One JSON parse per message: ``inline(array(struct))`` flattens the
+    # parsed struct in a generator, which the key filter cannot be pushed
+    # below (a plain select would let Catalyst copy from_json into the filter
+    # and parse every message twice).  A message that does not parse gives
+    # one row of nulls.
+    fields = F.inline(F.array(parse_json(F.col("value").cast("string"))))
     if layout == "console":
         out = envelope.select(
+            fields,
             F.col("key").cast("string").alias("kafka_key"),
             F.col("partition").alias("kafka_partition"),
             F.col("offset").alias("kafka_offset"),
             F.col("timestamp").alias("kafka_timestamp"),
-            txn,
-        ).select("kafka_key", "kafka_partition", "kafka_offset", "kafka_timestamp", *fields)
+        ).select("kafka_key", "kafka_partition", "kafka_offset", "kafka_timestamp", *TRANSACTION_COLUMNS)
         keep_all = True
     elif layout == "table":
         out = envelope.select(
-            txn,
+            fields,
             F.col("partition").alias("kafka_partition"),
             F.col("offset").alias("kafka_offset"),
-        ).select(*fields, "kafka_partition", "kafka_offset")
+        ).select(*TRANSACTION_COLUMNS, "kafka_partition", "kafka_offset")
         keep_all = False
     else:
         raise ValueError(f"unknown layout {layout!r}")

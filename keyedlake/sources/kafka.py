@@ -9,11 +9,24 @@ from ..functions.parse import encode_messages
 from ..schema import RECORD_KEY
 
 
+def kafka_available(spark: SparkSession) -> bool:
+    """True when the Kafka data source can be resolved by this session."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName(
+            "org.apache.spark.sql.kafka010.KafkaSourceProvider")
+        return True
+    except Exception:  # noqa: BLE001 - py4j wraps ClassNotFoundException
+        return False
+
+
 def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
                  fail_on_data_loss: bool = False, **options) -> DataFrame:
     """Subscribe one topic; the frame has the fixed envelope columns
     ``key, value, topic, partition, offset, timestamp``.  On restart the
     checkpoint's offsets win over ``startingOffsets``."""
+    if not kafka_available(spark):
+        raise RuntimeError("the spark-sql-kafka connector is not on the classpath "
+                           "(add it with --packages or spark.jars)")
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)

@@ -114,7 +114,7 @@ class LakeTable:
                  tie: Sequence[str] = (TIE_BREAK_FIELD,),
                  merge_mode: str = "commit_time", buckets: int = 16,
                  broadcast_rows: int = 1_000_000, static_groups: int = 100_000,
-                 inline_groups: int = 10_000,
+                 inline_groups: int = 10_000, max_records_per_file: int | None = None,
                  retain_commits: int | None = None):
         if table_type not in ("cow", "mor"):
             raise ValueError("table_type is 'cow' or 'mor'")
@@ -129,8 +129,11 @@ class LakeTable:
         self.broadcast_rows = broadcast_rows
         self.static_groups = static_groups
         self.inline_groups = inline_groups
+        # file-size cap for rewrites (~128 MB / average row size at scale)
+        self.max_records_per_file = max_records_per_file
         self.retain_commits = retain_commits
         self._group = ([partition] if partition else []) + [BUCKET]
+        self._records: dict = {}
 
     # ------------------------------------------------------------ timeline
     def timeline(self) -> list[Action]:
@@ -146,10 +149,15 @@ class LakeTable:
             name = st.getPath().getName()
             if not name.endswith(".json") or name.startswith((".", "_")):
                 continue
-            rec = json.loads(_read_text(self.spark, st.getPath()))
-            acts.append(Action(rec["commit"], rec["action"], rec.get("rows") or 0,
-                               rec.get("groups") or 0, rec.get("schema"), rec.get("info") or "",
-                               rec.get("group_list")))
+            stamp = (st.getModificationTime(), st.getLen())
+            hit = self._records.get(name)
+            if hit is None or hit[0] != stamp:  # records are immutable; a replay renames a new one
+                rec = json.loads(_read_text(self.spark, st.getPath()))
+                hit = (stamp, Action(rec["commit"], rec["action"], rec.get("rows") or 0,
+                                     rec.get("groups") or 0, rec.get("schema"), rec.get("info") or "",
+                                     rec.get("group_list")))
+                self._records[name] = hit
+            acts.append(hit[1])
         return sorted(acts, key=lambda a: (a.commit, a.action))
 
     def commits(self) -> list[str]:
@@ -168,7 +176,10 @@ class LakeTable:
         return max(cleans) if cleans else None
 
     # ------------------------------------------------------------ reads
-    def _scan(self, kind: str, acts: list[Action]) -> DataFrame:
+    def _scan(self, kind: str, acts: list[Action], commits: Sequence[str] | None = None) -> DataFrame:
+        """Read slices or deltas.  ``commits`` limits the listing to those
+        action directories (commit ids are plain text, safe as paths), so
+        a read does not list every retained version of the table."""
         data = self._schema(acts)
         part_col = SLICE if kind == "slices" else DELTA
         fields = [f for f in data.fields if f.name != self.partition]
@@ -176,7 +187,14 @@ class LakeTable:
         schema = T.StructType([*fields, T.StructField(part_col, T.StringType()), *parts,
                                T.StructField(BUCKET, T.IntegerType())])
         root = f"{self.path}/{kind}"
-        return self.spark.read.schema(schema).option("basePath", root).parquet(root)
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        if commits is None:
+            return reader.parquet(root)
+        paths = [f"{root}/{part_col}={c}" for c in sorted(set(commits))]
+        paths = [q for q in paths if path_exists(self.spark, q)]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return reader.parquet(*paths)
 
     def _index(self, acts: list[Action]) -> DataFrame:
         root = f"{self.path}/_index"
@@ -296,8 +314,9 @@ class LakeTable:
             pick_delta = lambda df: df.join(gmb.filter(F.col("_dirty")).select(*self._group, SLICE),
                                             self._group, "inner")
         clean = dirty = deltas = None
+        need = None if rows is None else {sl for _, sl, _ in rows if sl is not None}
         if has_slices:
-            sl = self._scan("slices", acts).filter(F.col(SLICE) <= as_of)
+            sl = self._scan("slices", acts, need).filter(F.col(SLICE) <= as_of)
             if only is not None:
                 sl = only(sl)
             if since is not None:
@@ -305,7 +324,9 @@ class LakeTable:
             clean = pick_clean(sl).select(*cols)
             dirty = pick_dirty(sl).select(*cols)
         if has_deltas:
-            dl = self._scan("deltas", acts).filter(F.col(DELTA) <= as_of)
+            vis = [a.commit for a in acts if a.action == "deltacommit" and a.info != "base"
+                   and a.commit <= as_of and (since is None or a.commit > since)]
+            dl = self._scan("deltas", acts, vis).filter(F.col(DELTA) <= as_of)
             if only is not None:
                 dl = only(dl)
             if since is not None:
@@ -438,7 +459,10 @@ class LakeTable:
         target = f"{self.path}/{kind}/{col}={commit}"
         if not grouped:
             rows = rows.hint("rebalance", *self._group)
-        rows.write.mode("overwrite").partitionBy(*self._group).parquet(target)
+        w = rows.write.mode("overwrite")
+        if self.max_records_per_file:
+            w = w.option("maxRecordsPerFile", str(self.max_records_per_file))
+        w.partitionBy(*self._group).parquet(target)
 
     def _write_meta(self, commit: str, action: str, groups: DataFrame | None, kind: str,
                     rows: int, n_groups: int, schema: T.StructType | None, info: str = "",

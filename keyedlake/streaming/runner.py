@@ -26,7 +26,7 @@ def start(writer: DataStreamWriter, checkpoint: str, trigger: str | None = None,
 
 
 def drain(writer: DataStreamWriter, checkpoint: str, output_mode: str = "append",
-          timeout_s: float | None = None) -> StreamingQuery:
+          timeout_s: float | None = 1800) -> StreamingQuery:
     """Process everything available now, then stop (run-once trigger)."""
     q = start(writer, checkpoint, available_now=True, output_mode=output_mode)
     q.awaitTermination(timeout_s)

@@ -29,7 +29,10 @@ def lake_sink(table: LakeTable, width: int = 20) -> Callable[[DataFrame, int], N
 
 
 def relational_rows(df: DataFrame, batch_id: int, limits: Mapping[str, int] | None = None):
+    """Batch rows -> (valid, rejected) relational rows, stamped with the
+    batch id (arrival order) and ``last_updated`` (processing time)."""
     rows = to_relational(df.withColumn("_batch_id", F.lit(batch_id).cast("long")))
+    rows = rows.withColumn("last_updated", F.current_timestamp())
     return split_valid_rejected(conform_to_table(rows, limits))
 
 

@@ -39,3 +39,13 @@ def test_high_value_and_encode_roundtrip(spark):
     enc = P.encode_messages(df)
     back = enc.select(F.from_json("value", "parcelId string, transactionAmount double").alias("t")).select("t.*")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_kafka_source_reports_missing_connector(spark):
+    import pytest
+
+    from keyedlake.sources import kafka as K
+    if K.kafka_available(spark):
+        pytest.skip("connector present")
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        K.kafka_source(spark, "localhost:9092", "transactions")

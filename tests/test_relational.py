@@ -33,3 +33,15 @@ def test_merge_statement_quotes_columns():
     sql = R.merge_statement("property_transactions", "stage")
     assert sql.startswith("MERGE INTO property_transactions t USING stage s ON t.\"parcel_id\" = s.\"parcel_id\"")
     assert "\"last_updated\" = CURRENT_TIMESTAMP" in sql and "WHEN NOT MATCHED THEN INSERT" in sql
+
+
+def test_fold_equals_single_reduction(spark):
+    from keyedlake.plans import catalog as C
+    t = FX.txe(spark, "/root/testdata/sf0.001")
+    current = None
+    for i in range(5):
+        b = t.filter(F.col("kafka_offset") % 5 == i).drop("_commit_time")
+        valid, _ = R.valid_and_rejected(b, batch_id=i)
+        current = R.last_arrival(valid) if current is None else R.upsert_last_arrival(current, valid)
+    folded = sorted(map(tuple, current.select(*C.REL_OUT).collect()))
+    assert folded == sorted(map(tuple, C.q_relational_upsert(spark, "/root/testdata/sf0.001").collect()))

@@ -39,3 +39,17 @@ def test_resume_runs_no_new_batch(spark, tmp_table):
     q2 = RUN.drain(stream.writeStream.format("parquet").option("path", out), ckpt)
     assert RUN.batches_run(q1) == 1 and RUN.batches_run(q2) == 0
     assert spark.read.parquet(out).count() == 1000
+
+
+def test_console_sink_with_processing_time_trigger(spark, tmp_table):
+    from keyedlake.streaming import sinks as SK
+    ev = FX.table(spark, SF, "events")
+    src = tmp_table("console-src")
+    ev.limit(5).write.parquet(src)
+    q = RUN.start(SK.console(file_stream(spark, src, ev.schema), num_rows=50), tmp_table("console-ckpt"),
+                  trigger=RUN.TRIGGER_CONSOLE)
+    try:
+        q.processAllAvailable()
+        assert RUN.batches_run(q) == 1
+    finally:
+        q.stop()

@@ -70,3 +70,13 @@ def test_retention_preserves_recent_as_of(spark):
         assert a == b
     assert kept.filter(F.col("_commit_time") < "004").groupBy("area", "parcelId").count() \
                .filter("count > 1").count() == 0
+
+
+def test_snapshot_of_raw_log_equals_precombined(spark):
+    from keyedlake.plans import fixtures as FX
+    raw = FX.txe(spark, "/root/testdata/sf0.001")
+    pre = V.precombine(raw, within=["_commit_time"])
+    for mode in ("commit_time", "event_time"):
+        a = sorted(map(tuple, V.snapshot(raw, merge_mode=mode).collect()))
+        b = sorted(map(tuple, V.snapshot(pre, merge_mode=mode).collect()))
+        assert a == b
