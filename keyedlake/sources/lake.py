@@ -204,6 +204,14 @@ class LakeTable:
             T.StructField(BUCKET, T.IntegerType()), T.StructField("kind", T.StringType()),
             T.StructField("rows", T.LongType()), T.StructField(COMMIT_TIME, T.StringType()),
             T.StructField("_action", T.StringType())])
+        rel = [a for a in acts if a.groups]
+        if all(a.group_list is not None for a in rel):
+            # every group list is inline in the timeline: build the index locally
+            rows = []
+            for a in rel:
+                kind = "delta" if (a.action == "deltacommit" and a.info != "base") else "slice"
+                rows += [(*g, kind, None, a.commit, a.action) for g in a.group_list]
+            return self.spark.createDataFrame(rows, schema)
         idx = self.spark.read.schema(schema).option("basePath", root).parquet(root)
         tag = F.concat_ws("/", COMMIT_TIME, "_action")
         return idx.filter(tag.isin([f"{c}/{a}" for c, a in visible]))
@@ -470,7 +478,7 @@ class LakeTable:
         """Index rows (file groups written) via Spark, then the timeline
         record last: written under a hidden name and renamed, so readers
         never see a partial record."""
-        if groups is not None and n_groups:
+        if groups is not None and n_groups and group_list is None:
             (groups.select(*self._group, F.col("rows").cast("long")).withColumn("kind", F.lit(kind))
                 .coalesce(1).write.mode("overwrite")
                 .parquet(f"{self.path}/_index/{COMMIT_TIME}={commit}/_action={action}"))
@@ -520,14 +528,18 @@ class LakeTable:
         stamped = self._stamp(batch, commit).persist()
         groups = stamped.groupBy(*self._group).agg(F.count(F.lit(1)).alias("rows")).persist()
         try:
-            st = groups.agg(F.count(F.lit(1)), F.sum("rows")).first()
-            n_groups, n_rows = int(st[0]), int(st[1] or 0)
+            # one job: the touched-group list (small, bounded) gives both counts
+            head = groups.limit(self.inline_groups + 1).collect()
+            if len(head) <= self.inline_groups:
+                n_groups, n_rows = len(head), sum(r["rows"] for r in head)
+                glist = [tuple(r[c] for c in self._group) for r in head]
+            else:
+                st = groups.agg(F.count(F.lit(1)), F.sum("rows")).first()
+                n_groups, n_rows, glist = int(st[0]), int(st[1] or 0), None
             if n_groups == 0:
                 return None
             schema = self._merged_schema(stamped, acts)
             incoming = self._align(stamped, schema, [BUCKET])
-            glist = ([tuple(r) for r in groups.select(*self._group).collect()]
-                     if n_groups <= self.inline_groups else None)
             first = not any(a.action in DATA_ACTIONS for a in acts)
             if first or self.table_type == "cow":
                 if first:
