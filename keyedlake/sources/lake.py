@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import versioned as V
-from ..schema import (COMMIT_SEQNO, COMMIT_TIME, PARTITION_FIELD, PARTITION_PATH,
+from ..schema import (COMMIT_SEQNO, COMMIT_TIME, FILE_NAME, PARTITION_FIELD, PARTITION_PATH,
                       PRECOMBINE_FIELD, RECORD_KEY, RECORD_KEY_COL, TIE_BREAK_FIELD)
 
 DATA_ACTIONS = ("commit", "deltacommit")
@@ -281,7 +281,8 @@ class LakeTable:
             raise ValueError(f"commit {as_of} was cleaned (history kept from {kept})")
         return as_of
 
-    def _parts(self, as_of: str, acts: list[Action], since: str | None = None, only=None):
+    def _parts(self, as_of: str, acts: list[Action], since: str | None = None, only=None,
+               file_names: bool = False):
         """(clean slice rows, dirty slice rows, relevant delta rows) as of ``as_of``.
 
         *clean*: groups whose latest slice has no newer delta (read as is,
@@ -292,7 +293,7 @@ class LakeTable:
         each group needs is listed and read.  Otherwise broadcast/shuffle
         semi joins do the same selection.
         """
-        cols = self._schema(acts).fieldNames()
+        cols = self._schema(acts).fieldNames() + ([FILE_NAME] if file_names else [])
         has_slices = any(a.action in ("commit", "compaction") or (a.action == "deltacommit" and a.info == "base")
                          for a in acts)
         has_deltas = self.table_type == "mor" and any(
@@ -325,6 +326,8 @@ class LakeTable:
         need = None if rows is None else {sl for _, sl, _ in rows if sl is not None}
         if has_slices:
             sl = self._scan("slices", acts, need).filter(F.col(SLICE) <= as_of)
+            if file_names:
+                sl = sl.withColumn(FILE_NAME, F.col("_metadata.file_name"))
             if only is not None:
                 sl = only(sl)
             if since is not None:
@@ -335,6 +338,8 @@ class LakeTable:
             vis = [a.commit for a in acts if a.action == "deltacommit" and a.info != "base"
                    and a.commit <= as_of and (since is None or a.commit > since)]
             dl = self._scan("deltas", acts, vis).filter(F.col(DELTA) <= as_of)
+            if file_names:
+                dl = dl.withColumn(FILE_NAME, F.col("_metadata.file_name"))
             if only is not None:
                 dl = only(dl)
             if since is not None:
@@ -347,11 +352,12 @@ class LakeTable:
     def _empty(self, acts) -> DataFrame:
         return self.spark.createDataFrame([], self._schema(acts))
 
-    def snapshot(self, as_of: str | None = None) -> DataFrame:
-        """Latest version of every key (optionally as of a commit, inclusive)."""
+    def snapshot(self, as_of: str | None = None, file_names: bool = False) -> DataFrame:
+        """Latest version of every key (optionally as of a commit, inclusive).
+        ``file_names`` adds ``_file_name``: the data file each row was read from."""
         acts = self.timeline()
         as_of = self._check_as_of(as_of, acts)
-        clean, dirty, deltas = self._parts(as_of, acts)
+        clean, dirty, deltas = self._parts(as_of, acts, file_names=file_names)
         merged = [d for d in (dirty, deltas) if d is not None]
         pieces = [clean] if clean is not None else []
         if merged:
@@ -422,9 +428,6 @@ class LakeTable:
             rows = rows.unionByName(dl)
         return rows.dropDuplicates([*self.keys, COMMIT_TIME])
 
-    def with_file_names(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("_file_name", F.col("_metadata.file_name"))
-
     # ------------------------------------------------------------ writes
     def _stamp(self, batch: DataFrame, commit: str) -> DataFrame:
         """Precombine the batch and add the commit / key / bucket columns."""

@@ -174,3 +174,12 @@ def test_event_time_merge_mode(spark, tmp_table):
     t.upsert(spark.createDataFrame([("P1", "A", "1", "2024-01-02T00:00:00", "newer")], s), commit="001")
     t.upsert(spark.createDataFrame([("P1", "A", "2", "2024-01-01T00:00:00", "late")], s), commit="002")
     assert [r.v for r in t.snapshot().collect()] == ["newer"]
+
+
+def test_metadata_columns_with_file_names(spark, tmp_table):
+    txe = FX.txe(spark, SF)
+    t = C._fill(LakeTable(spark, tmp_table("files"), table_type="mor", buckets=4), txe, FX.TXE_COMMITS[:3])
+    rows = t.snapshot(file_names=True).select("_commit_time", "_commit_seqno", "_file_name").collect()
+    assert len(rows) == t.snapshot().count()
+    assert all(r._file_name.endswith(".parquet") and r._commit_seqno.startswith(r._commit_time + "_")
+               for r in rows)
