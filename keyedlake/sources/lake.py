@@ -527,6 +527,7 @@ class LakeTable:
         nothing.  Replaying a commit id rewrites that commit.
         """
         commit = commit or utc_instant()
+        self._save_properties()
         acts = [a for a in self.timeline() if a.commit < commit]
         stamped = self._stamp(batch, commit).persist()
         groups = stamped.groupBy(*self._group).agg(F.count(F.lit(1)).alias("rows")).persist()
@@ -591,8 +592,29 @@ class LakeTable:
     def overwrite(self, batch: DataFrame, commit: str | None = None) -> str:
         """Recreate the table from this batch alone (new timeline)."""
         delete_path(self.spark, self.path)
+        self._records.clear()
         return self.upsert(batch, commit)
 
+    # ------------------------------------------------------------ properties
+    PROPS = "_table.json"
+
+    def properties(self) -> dict:
+        return {"table_type": self.table_type, "keys": self.keys, "partition": self.partition,
+                "record_key": self.record_key, "precombine": self.precombine, "tie": self.tie,
+                "merge_mode": self.merge_mode, "buckets": self.buckets}
+
+    def _save_properties(self) -> None:
+        target = f"{self.path}/{self.PROPS}"
+        if not path_exists(self.spark, target):
+            _write_text(self.spark, target, json.dumps(self.properties()))
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, **overrides) -> "LakeTable":
+        """Open an existing table with the properties it was created with."""
+        props = json.loads(_read_text(spark, _fs(spark, f"{path.rstrip('/')}/{cls.PROPS}")[1]))
+        props.update(overrides)
+        return cls(spark, path, **props)
+
     def compact(self, at: str | None = None) -> str | None:
         """Fold deltas into new base slices as of ``at`` (default latest).
         Snapshot reads are unchanged; read-optimised reads become fresh."""

@@ -183,3 +183,20 @@ def test_metadata_columns_with_file_names(spark, tmp_table):
     assert len(rows) == t.snapshot().count()
     assert all(r._file_name.endswith(".parquet") and r._commit_seqno.startswith(r._commit_time + "_")
                for r in rows)
+
+
+def test_option_style_read_write(spark, tmp_table):
+    from keyedlake.sources import options as O
+    path = tmp_table("opts")
+    opts = {"prefix.datasource.write.table.type": "MERGE_ON_READ", "recordkey.field": "parcelId",
+            "partitionpath.field": "area", "precombine.field": "transactionDate"}
+    for i, c in enumerate(["001", "002", "003"]):
+        O.write(FX.lab_batch(spark, i), path, mode="overwrite" if i == 0 else "append", commit=c, **opts)
+    assert O.read(spark, path).count() == 7
+    assert O.read(spark, path, **{"as.of.instant": "001"}).count() == 5
+    inc = O.read(spark, path, **{"query.type": "incremental", "begin.instanttime": "002",
+                                 "end.instanttime": "003"})
+    assert sorted(r.parcelId for r in inc.collect()) == ["PCL-BGC-001", "PCL-PS-001"]
+    ro = O.read(spark, path, **{"query.type": "read_optimized"})
+    assert ro.count() == 5  # base is the first write; later commits are deltas
+    assert LakeTable.open(spark, path).table_type == "mor"
