@@ -572,9 +572,20 @@ class LakeTable:
             groups.unpersist()
             stamped.unpersist()
         if self.retain_commits:
-            self.clean(self.retain_commits)
+            self._maybe_clean(self.retain_commits)
         return commit
 
+    def _maybe_clean(self, retain: int) -> None:
+        """Automatic retention, amortised: clean once ``retain`` new data
+        commits have accumulated since the last clean, so at least the
+        latest ``retain`` commits stay queryable and each fold covers many
+        commits (a merge-on-read table is not compacted on every write)."""
+        acts = self.timeline()
+        last = max((a.commit for a in acts if a.action == "clean"), default="")
+        since = [a for a in acts if a.action in DATA_ACTIONS and a.commit > last]
+        if len(since) >= 2 * retain or (not last and len(since) > retain):
+            self.clean(retain)
+
     def _current_rows(self, acts: list[Action], only=None) -> DataFrame:
         """Current rows of the file groups selected by ``only``."""
         latest = self._latest_commit(acts)
