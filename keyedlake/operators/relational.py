@@ -24,6 +24,8 @@ from ..schema import RELATIONAL_COLUMNS, RELATIONAL_KEY
 from .versioned import latest_per_group
 
 ARRIVAL_ORDER = ("_batch_id", "kafka_partition", "kafka_offset")
+# Inside a stored table the batch is the commit, so rows order by position only.
+TABLE_ORDER = ("kafka_partition", "kafka_offset")
 
 
 def last_arrival(rows: DataFrame, key: str = RELATIONAL_KEY,

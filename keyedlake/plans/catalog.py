@@ -307,8 +307,9 @@ def q_stream_resume(spark, sf):
 
 
 def q_stream_relational_upsert(spark, sf):
-    t = _lake(spark, "stream-rel", table_type="cow", keys=("parcel_id",), partition=None,
-              record_key=("parcel_id",), precombine=R.ARRIVAL_ORDER, tie=())
+    # merge-on-read: each micro-batch is a cheap delta; reads merge dirty groups
+    t = _lake(spark, "stream-rel", table_type="mor", keys=("parcel_id",), partition=None,
+              record_key=("parcel_id",), precombine=R.TABLE_ORDER, tie=())
     _env_files_stream(spark, sf, lambda: SK.relational_sink(t, width=3), "stream-rel")
     return t.snapshot().select(*REL_OUT)
 
