@@ -20,7 +20,7 @@ def _status(df, col="validationStatus"):
 @pytest.fixture(scope="module")
 def lab12(spark):
     from keyedlake.session import scratch_path
-    t = LakeTable(spark, scratch_path(spark, "test-lab12"), table_type="cow", buckets=2)
+    t = LakeTable(spark, scratch_path(spark, "test-golden12"), table_type="cow", buckets=2)
     sizes = []
     for i, c in enumerate(["001", "002", "003"]):
         t.upsert(FX.lab_batch(spark, i), commit=c)
@@ -28,7 +28,7 @@ def lab12(spark):
     return t, sizes
 
 
-def test_lab01_cow_writes(lab12):
+def test_golden_cow_writes(lab12):
     t, sizes = lab12
     assert sizes == [5, 6, 7]  # "6, not 8" after batch 2
     s2 = t.snapshot("002")
@@ -38,7 +38,7 @@ def test_lab01_cow_writes(lab12):
     assert commits["PCL-MM-001"] > commits["PCL-MM-002"]  # untouched key keeps its commit
 
 
-def test_lab02_query_types(lab12):
+def test_golden_query_types(lab12):
     t, _ = lab12
     assert [r._commit_time for r in REP.commit_history(t.snapshot()).collect()] == ["001", "002", "003"]
     snap = t.snapshot()
@@ -56,9 +56,9 @@ def test_lab02_query_types(lab12):
     assert all(r._record_key == r.parcelId and r._partition_path == f"area={r.area}" for r in meta)
 
 
-LAB3 = "parcelId string, transactionId string, transactionType string, area string, " \
+GOLDEN3 = "parcelId string, transactionId string, transactionType string, area string, " \
        "transactionAmount double, validationStatus string, transactionDate string"
-LAB3_INITIAL = [
+GOLDEN3_INITIAL = [
     ("PCL-MM-001", "TXN-001", "PURCHASE", "Makati", 4500000.0, "PENDING", "2024-01-15T09:00:00"),
     ("PCL-MM-002", "TXN-002", "MORTGAGE", "Makati", 3200000.0, "PENDING", "2024-01-15T09:01:00"),
     ("PCL-QC-001", "TXN-003", "TRANSFER", "Quezon City", 2800000.0, "PENDING", "2024-01-15T09:02:00"),
@@ -67,15 +67,15 @@ LAB3_INITIAL = [
 ]
 
 
-def test_lab03_cow_vs_mor(spark, tmp_table):
-    tables = {k: LakeTable(spark, tmp_table(f"lab3-{k}"), table_type=k, buckets=2) for k in ("cow", "mor")}
+def test_golden_cow_vs_mor(spark, tmp_table):
+    tables = {k: LakeTable(spark, tmp_table(f"golden3-{k}"), table_type=k, buckets=2) for k in ("cow", "mor")}
     for t in tables.values():
-        t.overwrite(spark.createDataFrame(LAB3_INITIAL, LAB3), commit="000")
+        t.overwrite(spark.createDataFrame(GOLDEN3_INITIAL, GOLDEN3), commit="000")
     for n in (1, 2, 3):
         upd = spark.createDataFrame([
             ("PCL-MM-001", "TXN-001", "PURCHASE", "Makati", 4500000.0, "VALID", f"2024-01-15T1{n}:00:00"),
             ("PCL-QC-001", "TXN-003", "TRANSFER", "Quezon City", 2800000.0, "INVALID", f"2024-01-15T1{n}:01:00"),
-        ], LAB3)
+        ], GOLDEN3)
         for t in tables.values():
             t.upsert(upd, commit=f"00{n}")
     cow, mor = tables["cow"], tables["mor"]
