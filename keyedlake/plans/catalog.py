@@ -360,10 +360,8 @@ def q_stream_stream_join(spark, sf):
     ev = WIN.event_time(_events_stream(spark, sf), "ts")
     s = ev.filter(F.col("event_type") == "signup").select("user_id", F.col("event_id").alias("signup_id"),
                                                           F.col("ts").alias("signup_ts"))
-    p = ev.filter(F.col("event_type") == "purchase").select(F.col("user_id").alias("p_user"),
-                                                            F.col("event_id").alias("purchase_id"),
+    p = ev.filter(F.col("event_type") == "purchase").select("user_id", F.col("event_id").alias("purchase_id"),
                                                             F.col("ts").alias("purchase_ts"))
-    p = p.withColumnRenamed("p_user", "user_id")
     j = WIN.interval_join(s, p, "user_id", "signup_ts", "purchase_ts")
     res = j.select(F.col("l.user_id").alias("user_id"), "signup_id", "purchase_id",
                    F.col("signup_ts").cast("timestamp_ntz").alias("signup_ts"),
