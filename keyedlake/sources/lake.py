@@ -77,6 +77,7 @@ class Action:
     schema_json: str | None
     info: str
     group_list: list | None = None
+    stamp: tuple = ()  # (modification time, length) of the timeline record
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -134,6 +135,7 @@ class LakeTable:
         self.retain_commits = retain_commits
         self._group = ([partition] if partition else []) + [BUCKET]
         self._records: dict = {}
+        self._map_memo = None
 
     # ------------------------------------------------------------ timeline
     def timeline(self) -> list[Action]:
@@ -155,7 +157,7 @@ class LakeTable:
                 rec = json.loads(_read_text(self.spark, st.getPath()))
                 hit = (stamp, Action(rec["commit"], rec["action"], rec.get("rows") or 0,
                                      rec.get("groups") or 0, rec.get("schema"), rec.get("info") or "",
-                                     rec.get("group_list")))
+                                     rec.get("group_list"), (name, *stamp)))
                 self._records[name] = hit
             acts.append(hit[1])
         return sorted(acts, key=lambda a: (a.commit, a.action))
@@ -241,15 +243,28 @@ class LakeTable:
         rel = [a for a in acts if a.groups and a.commit <= as_of]
         if any(a.group_list is None for a in rel):
             return None
-        latest: dict = {}
-        deltas: dict = {}
-        for a in rel:
+        # Streaming writers read "as of latest" every batch: keep the folded
+        # map and fold in only records not seen yet (a full rebuild happens
+        # for historical as-of reads or when an already-folded commit changes).
+        seen, latest, deltas = self._map_memo if self._map_memo else (set(), {}, {})
+        keys = {(a.commit, a.stamp) for a in rel}
+        newest_seen = max((k[0] for k in seen), default="")
+        fresh = [a for a in rel if (a.commit, a.stamp) not in seen]
+        incremental = (seen <= keys and all(a.commit > newest_seen for a in fresh)
+                       and all(a.commit <= as_of for a in rel) and as_of >= newest_seen
+                       and len(rel) == len([a for a in acts if a.groups]))
+        if not incremental:
+            seen, latest, deltas, fresh = set(), {}, {}, rel
+        latest, deltas = dict(latest), {g: list(v) for g, v in deltas.items()}
+        for a in fresh:
             is_delta = a.action == "deltacommit" and a.info != "base"
             for g in map(tuple, a.group_list):
                 if is_delta:
                     deltas.setdefault(g, []).append(a.commit)
                 elif a.commit > latest.get(g, ""):
                     latest[g] = a.commit
+        if len(rel) == len([a for a in acts if a.groups]):  # map of the whole timeline: remember it
+            self._map_memo = (seen | {(a.commit, a.stamp) for a in fresh}, latest, deltas)
         out = []
         for g in set(latest) | set(deltas):
             sl = latest.get(g)
@@ -604,6 +619,7 @@ class LakeTable:
         """Recreate the table from this batch alone (new timeline)."""
         delete_path(self.spark, self.path)
         self._records.clear()
+        self._map_memo = None
         return self.upsert(batch, commit)
 
     # ------------------------------------------------------------ properties

@@ -250,3 +250,19 @@ def test_large_table_code_paths(spark, tmp_table, kind):
         assert t.compact() == "004"
         want = sorted(map(tuple, V.snapshot(txe).select(*C.TXN_OUT).collect()))
         assert sorted(map(tuple, t.read_optimized().select(*C.TXN_OUT).collect())) == want
+
+
+def test_group_map_memo_matches_full_rebuild(spark, tmp_table):
+    txe = FX.txe(spark, SF)
+    t = LakeTable(spark, tmp_table("memo"), table_type="mor", buckets=4)
+    for c, b in C._batches(txe):
+        t.upsert(b, commit=c)
+        acts = t.timeline()
+        fresh = LakeTable(spark, t.path, table_type="mor", buckets=4)  # no memo
+        assert sorted(t._inline_map(c, acts)) == sorted(fresh._inline_map(c, fresh.timeline()))
+    # a replay of an old commit with fewer groups forces a rebuild
+    t.upsert(txe.filter((F.col("_commit_time") == "002") & (F.col("area") == "click")).drop("_commit_time"),
+             commit="002")
+    fresh = LakeTable(spark, t.path, table_type="mor", buckets=4)
+    assert sorted(t._inline_map("004", t.timeline())) == sorted(fresh._inline_map("004", fresh.timeline()))
+    assert sorted(t._inline_map("001", t.timeline())) == sorted(fresh._inline_map("001", fresh.timeline()))
