@@ -116,6 +116,7 @@ class LakeTable:
                  merge_mode: str = "commit_time", buckets: int = 16,
                  broadcast_rows: int = 1_000_000, static_groups: int = 100_000,
                  inline_groups: int = 10_000, max_records_per_file: int | None = None,
+                 compact_every: int | None = None,
                  retain_commits: int | None = None):
         if table_type not in ("cow", "mor"):
             raise ValueError("table_type is 'cow' or 'mor'")
@@ -132,6 +133,8 @@ class LakeTable:
         self.inline_groups = inline_groups
         # file-size cap for rewrites (~128 MB / average row size at scale)
         self.max_records_per_file = max_records_per_file
+        # merge-on-read: compact after this many delta commits (None = manual only)
+        self.compact_every = compact_every
         self.retain_commits = retain_commits
         self._group = ([partition] if partition else []) + [BUCKET]
         self._records: dict = {}
@@ -586,10 +589,22 @@ class LakeTable:
         finally:
             groups.unpersist()
             stamped.unpersist()
+        if self.table_type == "mor" and self.compact_every:
+            self._maybe_compact(self.compact_every)
         if self.retain_commits:
             self._maybe_clean(self.retain_commits)
         return commit
 
+    def _maybe_compact(self, every: int) -> None:
+        """Inline compaction schedule: fold deltas once ``every`` delta
+        commits have accumulated since the last base was written."""
+        acts = self.timeline()
+        last_base = max((a.commit for a in acts if a.action in ("compaction", "commit")
+                         or (a.action == "deltacommit" and a.info == "base")), default="")
+        pending = [a for a in acts if a.action == "deltacommit" and a.info != "base" and a.commit > last_base]
+        if len(pending) >= every:
+            self.compact()
+
     def _maybe_clean(self, retain: int) -> None:
         """Automatic retention, amortised: clean once ``retain`` new data
         commits have accumulated since the last clean, so at least the

@@ -266,3 +266,12 @@ def test_group_map_memo_matches_full_rebuild(spark, tmp_table):
     fresh = LakeTable(spark, t.path, table_type="mor", buckets=4)
     assert sorted(t._inline_map("004", t.timeline())) == sorted(fresh._inline_map("004", fresh.timeline()))
     assert sorted(t._inline_map("001", t.timeline())) == sorted(fresh._inline_map("001", fresh.timeline()))
+
+
+def test_inline_compaction_schedule(spark, tmp_table):
+    txe = FX.txe(spark, SF)
+    t = C._fill(LakeTable(spark, tmp_table("auto-compact"), table_type="mor", buckets=2, compact_every=2), txe)
+    compactions = [a.commit for a in t.timeline() if a.action == "compaction"]
+    assert compactions == ["002", "004"]  # base at 000, deltas 001-002 folded, then 003-004
+    ref = sorted(map(tuple, C.q_snapshot_read(spark, SF).collect()))
+    assert sorted(map(tuple, t.read_optimized().select(*C.TXN_OUT).collect())) == ref
