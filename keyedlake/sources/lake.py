@@ -6,7 +6,8 @@ Layout under ``<path>`` (plain parquet, Spark's own partition directories)::
                                                          group as of commit c
     deltas/_delta=<c>/<part>=<v>/_bucket=<b>/*.parquet   merge-on-read deltas of commit c
     _index/_commit_time=<c>/_action=<a>/                 groups written by (c, a)
-    _timeline/_commit_time=<c>/_action=<a>/              one row per finished action
+    _timeline/<c>.<action>.json                          one record per finished action
+    _timeline/<c>.checkpoint.jsonl                       records folded up to commit c
 
 A *file group* is ``(partition value, _bucket)`` with
 ``_bucket = pmod(xxhash64(record key), buckets)``: copy-on-write rewrites
@@ -117,7 +118,7 @@ class LakeTable:
                  broadcast_rows: int = 1_000_000, static_groups: int = 100_000,
                  inline_groups: int = 10_000, max_records_per_file: int | None = None,
                  compact_every: int | None = None,
-                 retain_commits: int | None = None):
+                 retain_commits: int | None = None, checkpoint_every: int | None = 100):
         if table_type not in ("cow", "mor"):
             raise ValueError("table_type is 'cow' or 'mor'")
         self.spark, self.path = spark, path.rstrip("/")
@@ -136,34 +137,112 @@ class LakeTable:
         # merge-on-read: compact after this many delta commits (None = manual only)
         self.compact_every = compact_every
         self.retain_commits = retain_commits
+        # fold the timeline into a checkpoint once this many loose records exist
+        self.checkpoint_every = checkpoint_every
+        self._loose = 0
         self._group = ([partition] if partition else []) + [BUCKET]
         self._records: dict = {}
         self._map_memo = None
 
     # ------------------------------------------------------------ timeline
+    CHECKPOINT = ".checkpoint.jsonl"
+
     def timeline(self) -> list[Action]:
         """Finished actions in commit order.  The timeline is a folder of
-        small JSON files (``<commit>.<action>.json``), read on the driver
-        through the Hadoop FileSystem API: no Spark job per read."""
+        small JSON files (``<commit>.<action>.json``) plus, once folded, one
+        JSON-lines checkpoint (``<commit>.checkpoint.jsonl``), read on the
+        driver through the Hadoop FileSystem API: no Spark job per read."""
+        for attempt in range(3):
+            try:
+                return self._list_timeline()
+            except Exception as e:  # a record archived by a checkpoint between list and read
+                if attempt == 2 or "FileNotFound" not in str(e):
+                    raise
+        return []
+
+    @staticmethod
+    def _action(rec: dict, stamp: tuple) -> Action:
+        return Action(rec["commit"], rec["action"], rec.get("rows") or 0, rec.get("groups") or 0,
+                      rec.get("schema"), rec.get("info") or "", rec.get("group_list"), stamp)
+
+    def _list_timeline(self) -> list[Action]:
         tl = f"{self.path}/_timeline"
         fs, p = _fs(self.spark, tl)
         if not fs.exists(p):
             return []
-        acts = []
+        loose, checkpoints, seen = {}, [], set()
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if not name.endswith(".json") or name.startswith((".", "_")):
+            if name.startswith((".", "_")) or st.isDirectory():
                 continue
             stamp = (st.getModificationTime(), st.getLen())
+            if name.endswith(self.CHECKPOINT):
+                checkpoints.append((name, stamp, st.getPath()))
+                continue
+            if not name.endswith(".json"):
+                continue
+            seen.add(name)
             hit = self._records.get(name)
             if hit is None or hit[0] != stamp:  # records are immutable; a replay renames a new one
-                rec = json.loads(_read_text(self.spark, st.getPath()))
-                hit = (stamp, Action(rec["commit"], rec["action"], rec.get("rows") or 0,
-                                     rec.get("groups") or 0, rec.get("schema"), rec.get("info") or "",
-                                     rec.get("group_list"), (name, *stamp)))
+                hit = (stamp, self._action(json.loads(_read_text(self.spark, st.getPath())),
+                                           (name, *stamp)))
                 self._records[name] = hit
-            acts.append(hit[1])
-        return sorted(acts, key=lambda a: (a.commit, a.action))
+            loose[(hit[1].commit, hit[1].action)] = hit[1]
+        acts = {}
+        if checkpoints:
+            name, stamp, path = max(checkpoints)  # named after its newest (zero-padded) commit
+            seen.add(name)
+            hit = self._records.get(name)
+            if hit is None or hit[0] != stamp:
+                lines = _read_text(self.spark, path).splitlines()
+                hit = (stamp, [self._action(r, tuple(r["stamp"])) for r in map(json.loads, lines) if r])
+                self._records[name] = hit
+            acts = {(a.commit, a.action): a for a in hit[1]}
+        # a loose record is a replay of (or identical to) its checkpointed copy
+        acts.update(loose)
+        self._records = {k: v for k, v in self._records.items() if k in seen}
+        self._loose = len(loose)
+        return sorted(acts.values(), key=lambda a: (a.commit, a.action))
+
+    def checkpoint_timeline(self) -> str | None:
+        """Fold every timeline record into one JSON-lines checkpoint named
+        after the newest commit, then move the folded files (and older
+        checkpoints) to ``_timeline/archive/<commit>/``.  Each line keeps
+        its record's original stamp, so cached group maps stay valid.
+        Listing and parsing then cost one file plus the records written
+        since, instead of one file per action ever committed."""
+        acts = self.timeline()
+        if not acts:
+            return None
+        upto = max(a.commit for a in acts)
+        name = f"{upto}{self.CHECKPOINT}"
+        lines = []
+        for a in acts:
+            rec = {"commit": a.commit, "action": a.action, "rows": a.rows, "groups": a.groups,
+                   "schema": a.schema_json, "info": a.info, "stamp": list(a.stamp)}
+            if a.group_list is not None:
+                rec["group_list"] = [list(g) for g in a.group_list]
+            lines.append(json.dumps(rec))
+        tl = f"{self.path}/_timeline"
+        tmp = f"{tl}/.{name}.{uuid.uuid4().hex}.tmp"
+        _write_text(self.spark, tmp, "\n".join(lines) + "\n")
+        fs, src = _fs(self.spark, tmp)
+        jpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        if fs.exists(jpath(f"{tl}/{name}")):
+            fs.delete(jpath(f"{tl}/{name}"), False)
+        fs.rename(src, jpath(f"{tl}/{name}"))
+        folded = {a.stamp for a in acts}
+        archive = jpath(f"{tl}/archive/{upto}")
+        fs.mkdirs(archive)
+        for st in fs.listStatus(jpath(tl)):
+            nm = st.getPath().getName()
+            if st.isDirectory() or nm.startswith((".", "_")) or nm == name:
+                continue
+            older = nm.endswith(self.CHECKPOINT) and nm < name
+            if older or (nm, st.getModificationTime(), st.getLen()) in folded:
+                fs.rename(st.getPath(), jpath(f"{tl}/archive/{upto}/{nm}"))
+        self.timeline()
+        return upto
 
     def commits(self) -> list[str]:
         """Data commits (upserts), in order; compaction and clean excluded."""
@@ -593,6 +672,10 @@ class LakeTable:
             self._maybe_compact(self.compact_every)
         if self.retain_commits:
             self._maybe_clean(self.retain_commits)
+        if self.checkpoint_every:
+            self.timeline()
+            if self._loose >= self.checkpoint_every:
+                self.checkpoint_timeline()
         return commit
 
     def _maybe_compact(self, every: int) -> None:

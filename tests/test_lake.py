@@ -275,3 +275,37 @@ def test_inline_compaction_schedule(spark, tmp_table):
     assert compactions == ["002", "004"]  # base at 000, deltas 001-002 folded, then 003-004
     ref = sorted(map(tuple, C.q_snapshot_read(spark, SF).collect()))
     assert sorted(map(tuple, t.read_optimized().select(*C.TXN_OUT).collect())) == ref
+
+
+def _tl(t):
+    return [(a.commit, a.action, a.rows, a.groups, a.info, a.group_list, a.stamp) for a in t.timeline()]
+
+
+def test_timeline_checkpoint_keeps_reads(spark, tmp_table):
+    txe = FX.txe(spark, SF)
+    t = LakeTable(spark, tmp_table("tl-ckpt"), table_type="mor", buckets=2, checkpoint_every=None)
+    C._fill(t, txe, FX.TXE_COMMITS[:3])
+    before, snap = _tl(t), sorted(map(tuple, t.snapshot("001").collect()))
+    assert t.checkpoint_timeline() == "002"
+    names = [s.getPath().getName() for s in t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{t.path}/_timeline").getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+        .listStatus(t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{t.path}/_timeline"))]
+    assert sorted(names) == ["002.checkpoint.jsonl", "archive"]
+    fresh = LakeTable.open(spark, t.path)
+    assert _tl(fresh) == before and _tl(t) == before
+    assert sorted(map(tuple, fresh.snapshot("001").collect())) == snap
+    # later commits land as loose records next to the checkpoint; a second checkpoint folds both
+    C._fill(t, txe, FX.TXE_COMMITS[3:])
+    assert [a.commit for a in t.timeline()][-1] == "004" and t._loose == 2
+    t.checkpoint_timeline()
+    assert t._loose == 0 and [r[:6] for r in _tl(LakeTable.open(spark, t.path))] == [r[:6] for r in _tl(t)]
+    ref = sorted(map(tuple, C.q_snapshot_read(spark, SF).collect()))
+    assert sorted(map(tuple, LakeTable.open(spark, t.path).snapshot().select(*C.TXN_OUT).collect())) == ref
+
+
+def test_timeline_checkpoint_schedule(spark, tmp_table):
+    txe = FX.txe(spark, SF)
+    t = C._fill(LakeTable(spark, tmp_table("tl-auto"), table_type="cow", buckets=2, checkpoint_every=2), txe)
+    assert t._loose < 2 and len(t.commits()) == 5
+    ref = sorted(map(tuple, C.q_snapshot_read(spark, SF).collect()))
+    assert sorted(map(tuple, t.snapshot().select(*C.TXN_OUT).collect())) == ref
