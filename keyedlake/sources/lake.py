@@ -282,23 +282,26 @@ class LakeTable:
 
     def _index(self, acts: list[Action]) -> DataFrame:
         root = f"{self.path}/_index"
-        visible = [(a.commit, a.action) for a in acts if a.groups]
         schema = T.StructType([
             *([T.StructField(self.partition, T.StringType())] if self.partition else []),
             T.StructField(BUCKET, T.IntegerType()), T.StructField("kind", T.StringType()),
             T.StructField("rows", T.LongType()), T.StructField(COMMIT_TIME, T.StringType()),
             T.StructField("_action", T.StringType())])
         rel = [a for a in acts if a.groups]
-        if all(a.group_list is not None for a in rel):
-            # every group list is inline in the timeline: build the index locally
-            rows = []
-            for a in rel:
+        # narrow actions list their groups inline in the timeline record;
+        # wide ones (more than inline_groups) only in their index directory
+        rows = []
+        for a in rel:
+            if a.group_list is not None:
                 kind = "delta" if (a.action == "deltacommit" and a.info != "base") else "slice"
                 rows += [(*g, kind, None, a.commit, a.action) for g in a.group_list]
-            return self.spark.createDataFrame(rows, schema)
-        idx = self.spark.read.schema(schema).option("basePath", root).parquet(root)
-        tag = F.concat_ws("/", COMMIT_TIME, "_action")
-        return idx.filter(tag.isin([f"{c}/{a}" for c, a in visible]))
+        local = self.spark.createDataFrame(rows, schema)
+        wide = [f"{root}/{COMMIT_TIME}={a.commit}/_action={a.action}" for a in rel if a.group_list is None]
+        if not wide:
+            return local
+        # the visible wide actions' directories only: no listing of the whole index
+        idx = self.spark.read.schema(schema).option("basePath", root).parquet(*wide)
+        return idx.unionByName(local) if rows else idx
 
     def _group_map(self, as_of: str, acts: list[Action]) -> DataFrame:
         """Per file group: its latest base slice ``<= as_of`` and whether
