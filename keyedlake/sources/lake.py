@@ -280,7 +280,11 @@ class LakeTable:
             return self.spark.createDataFrame([], schema)
         return reader.parquet(*paths)
 
-    def _index(self, acts: list[Action]) -> DataFrame:
+    def _index(self, acts: list[Action], newest_only: bool = False) -> DataFrame:
+        """(group, kind, commit) rows of every action that wrote file groups.
+        ``newest_only`` keeps one inline row per (group, kind), the newest:
+        all a group map needs, and bounded by the number of file groups
+        rather than by groups x commits."""
         root = f"{self.path}/_index"
         schema = T.StructType([
             *([T.StructField(self.partition, T.StringType())] if self.partition else []),
@@ -290,11 +294,14 @@ class LakeTable:
         rel = [a for a in acts if a.groups]
         # narrow actions list their groups inline in the timeline record;
         # wide ones (more than inline_groups) only in their index directory
-        rows = []
-        for a in rel:
+        newest = {}
+        for a in rel:  # commit order
             if a.group_list is not None:
                 kind = "delta" if (a.action == "deltacommit" and a.info != "base") else "slice"
-                rows += [(*g, kind, None, a.commit, a.action) for g in a.group_list]
+                for g in a.group_list:
+                    newest.setdefault((*g, kind), []).append((a.commit, a.action))
+        rows = [(*gk, None, c, act) for gk, hist in newest.items()
+                for c, act in (hist[-1:] if newest_only else hist)]
         local = self.spark.createDataFrame(rows, schema)
         wide = [f"{root}/{COMMIT_TIME}={a.commit}/_action={a.action}" for a in rel if a.group_list is None]
         if not wide:
@@ -306,7 +313,7 @@ class LakeTable:
     def _group_map(self, as_of: str, acts: list[Action]) -> DataFrame:
         """Per file group: its latest base slice ``<= as_of`` and whether
         newer deltas exist (``_dirty``).  Size = number of file groups."""
-        idx = self._index(acts).filter(F.col(COMMIT_TIME) <= as_of)
+        idx = self._index([a for a in acts if a.commit <= as_of], newest_only=True)
         slices = (idx.filter(F.col("kind") == "slice").groupBy(*self._group)
                   .agg(F.max(COMMIT_TIME).alias(SLICE)))
         deltas = (idx.filter(F.col("kind") == "delta")
