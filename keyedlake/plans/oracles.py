@@ -187,6 +187,14 @@ ORACLES: dict[str, str] = {
     "document_uri": f"""WITH {DOC_ROWS}
         SELECT doc_id, parcel_id, file_name,
                concat_ws('/', '{DOCUMENT_ROOT}', 'pdfs', 'titles', parcel_id, file_name) AS uri FROM d""",
+    # one staged text file per document: its bytes are the text plus the writer's newline
+    "document_inventory": """SELECT source AS parcel_id, 'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name,
+               CAST(strlen(text) + 1 AS BIGINT) AS length FROM documents""",
+    "document_ingest": f"""SELECT source AS parcel_id, 'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name,
+               CAST(strlen(text) + 1 AS BIGINT) AS length, sha256(text || chr(10)) AS sha2,
+               concat_ws('/', '{DOCUMENT_ROOT}', 'pdfs', 'titles', source,
+                         'doc-' || CAST(doc_id AS VARCHAR) || '.txt') AS uri
+        FROM documents WHERE lang = 'en'""",
     "document_new_only": f"""WITH {DOC_ROWS}
         SELECT d.doc_id, d.parcel_id, d.file_name FROM d
         WHERE NOT EXISTS (SELECT 1 FROM documents s WHERE s.lang = 'en'
