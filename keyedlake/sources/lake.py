@@ -79,6 +79,7 @@ class Action:
     info: str
     group_list: list | None = None
     stamp: tuple = ()  # (modification time, length) of the timeline record
+    index_at: str | None = None  # group rows folded into _index_checkpoint/<index_at>
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -163,7 +164,8 @@ class LakeTable:
     @staticmethod
     def _action(rec: dict, stamp: tuple) -> Action:
         return Action(rec["commit"], rec["action"], rec.get("rows") or 0, rec.get("groups") or 0,
-                      rec.get("schema"), rec.get("info") or "", rec.get("group_list"), stamp)
+                      rec.get("schema"), rec.get("info") or "", rec.get("group_list"), stamp,
+                      rec.get("index_at"))
 
     def _list_timeline(self) -> list[Action]:
         tl = f"{self.path}/_timeline"
@@ -212,16 +214,26 @@ class LakeTable:
         Listing and parsing then cost one file plus the records written
         since, instead of one file per action ever committed."""
         acts = self.timeline()
-        if not acts:
+        if not acts or not self._loose:
             return None
         upto = max(a.commit for a in acts)
+        folded_at = f"{upto}-{uuid.uuid4().hex[:8]}"  # never the dataset an older fold is read from
         name = f"{upto}{self.CHECKPOINT}"
+        wide = [a for a in acts if a.groups and a.group_list is None]
+        if wide:
+            # fold the wide actions' index rows into one dataset, written
+            # before the checkpoint that points at it; sorted by commit so
+            # row-group statistics skip commits a read does not ask for
+            (self._index(wide).sortWithinPartitions(COMMIT_TIME, "_action")
+                 .write.mode("overwrite").parquet(f"{self.path}/_index_checkpoint/{folded_at}"))
         lines = []
         for a in acts:
             rec = {"commit": a.commit, "action": a.action, "rows": a.rows, "groups": a.groups,
                    "schema": a.schema_json, "info": a.info, "stamp": list(a.stamp)}
             if a.group_list is not None:
                 rec["group_list"] = [list(g) for g in a.group_list]
+            elif a.groups:
+                rec["index_at"] = folded_at
             lines.append(json.dumps(rec))
         tl = f"{self.path}/_timeline"
         tmp = f"{tl}/.{name}.{uuid.uuid4().hex}.tmp"
@@ -303,12 +315,24 @@ class LakeTable:
         rows = [(*gk, None, c, act) for gk, hist in newest.items()
                 for c, act in (hist[-1:] if newest_only else hist)]
         local = self.spark.createDataFrame(rows, schema)
-        wide = [f"{root}/{COMMIT_TIME}={a.commit}/_action={a.action}" for a in rel if a.group_list is None]
+        wide = [a for a in rel if a.group_list is None]
         if not wide:
             return local
+        parts = [local] if rows else []
         # the visible wide actions' directories only: no listing of the whole index
-        idx = self.spark.read.schema(schema).option("basePath", root).parquet(*wide)
-        return idx.unionByName(local) if rows else idx
+        loose = [f"{root}/{COMMIT_TIME}={a.commit}/_action={a.action}" for a in wide if not a.index_at]
+        if loose:
+            parts.append(self.spark.read.schema(schema).option("basePath", root).parquet(*loose))
+        for at in sorted({a.index_at for a in wide if a.index_at}):
+            mine = [a for a in wide if a.index_at == at]
+            folded = self.spark.read.schema(schema).parquet(f"{self.path}/_index_checkpoint/{at}")
+            parts.append(folded.filter(F.col(COMMIT_TIME).isin(sorted({a.commit for a in mine}))
+                                       & F.concat_ws("/", COMMIT_TIME, "_action")
+                                       .isin([f"{a.commit}/{a.action}" for a in mine])))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
 
     def _group_map(self, as_of: str, acts: list[Action]) -> DataFrame:
         """Per file group: its latest base slice ``<= as_of`` and whether

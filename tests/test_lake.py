@@ -332,3 +332,25 @@ def test_mixed_inline_and_index_group_lists(spark, tmp_table, table_type):
     if table_type == "mor":
         wide.compact(); inline.compact()
         assert rows(wide.read_optimized()) == rows(inline.read_optimized())
+
+
+def test_timeline_checkpoint_folds_wide_index(spark, tmp_table):
+    """Group lists kept only in the parquet index are folded into one
+    dataset at checkpoint time; reads before and after agree."""
+    txe = FX.txe(spark, SF)
+    t = LakeTable(spark, tmp_table("tl-wide"), table_type="mor", buckets=2, inline_groups=0,
+                  checkpoint_every=None)
+    C._fill(t, txe, FX.TXE_COMMITS[:3])
+    before = sorted(map(tuple, t.snapshot("001").select(*C.TXN_OUT).collect()))
+    t.checkpoint_timeline()
+    acts = t.timeline()
+    assert all(a.group_list is None and a.index_at for a in acts if a.groups)
+    assert sorted(map(tuple, LakeTable.open(spark, t.path).snapshot("001").select(*C.TXN_OUT).collect())) == before
+    assert t.checkpoint_timeline() is None  # nothing new to fold
+    C._fill(t, txe, FX.TXE_COMMITS[3:])
+    t.checkpoint_timeline()
+    t.compact()
+    ref = sorted(map(tuple, C.q_snapshot_read(spark, SF).collect()))
+    fresh = LakeTable.open(spark, t.path)
+    assert sorted(map(tuple, fresh.snapshot().select(*C.TXN_OUT).collect())) == ref
+    assert sorted(map(tuple, fresh.read_optimized().select(*C.TXN_OUT).collect())) == ref
