@@ -438,6 +438,10 @@ class LakeTable:
         elif bound <= self.static_groups:
             rows = [(r["g"], r[SLICE], r["_dirty"]) for r in self._group_map(as_of, acts)
                     .select(gkey.alias("g"), SLICE, "_dirty").collect()]
+        keep = getattr(only, "group_keys", None)
+        if rows is not None and keep is not None:
+            # a write touching few groups lists only the slices those groups need
+            rows = [r for r in rows if r[0] in keep]
         if rows is not None:
             clean_k = [f"{g}/{sl}" for g, sl, d in rows if sl is not None and not d]
             dirty_k = [f"{g}/{sl}" for g, sl, d in rows if sl is not None and d]
@@ -639,7 +643,9 @@ class LakeTable:
             if group_list is None:
                 group_list = [tuple(r) for r in groups.select(*self._group).collect()]
             keys = [self._gkey(g) for g in group_list]
-            return lambda df: df.filter(F.concat_ws("/", *self._group).isin(keys))
+            pick = lambda df: df.filter(F.concat_ws("/", *self._group).isin(keys))
+            pick.group_keys = frozenset(keys)  # lets a read list only these groups' slices
+            return pick
         g = self._small(groups.select(*self._group), n_groups)
         return lambda df: df.join(g, self._group, "left_semi")
 

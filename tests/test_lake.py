@@ -354,3 +354,28 @@ def test_timeline_checkpoint_folds_wide_index(spark, tmp_table):
     fresh = LakeTable.open(spark, t.path)
     assert sorted(map(tuple, fresh.snapshot().select(*C.TXN_OUT).collect())) == ref
     assert sorted(map(tuple, fresh.read_optimized().select(*C.TXN_OUT).collect())) == ref
+
+
+def test_narrow_upsert_lists_only_touched_groups_slices(spark, tmp_table):
+    """Each area's latest slice is a different commit; a batch touching one
+    area lists only that area's slice directory, and writes what the
+    merge-on-read path (which reads nothing at write time) gives."""
+    txe = FX.txe(spark, SF)
+    batches = list(C._batches(txe))
+    areas = sorted(r[0] for r in batches[0][1].select("area").distinct().collect())[:3]
+    plan = [batches[0]] + [(c, b.filter(F.col("area") == a)) for (c, b), a in zip(batches[1:4], areas)]
+    narrow = batches[4][1].filter(F.col("area") == areas[0])
+    tables = {}
+    for kind in ("cow", "mor"):
+        t = LakeTable(spark, tmp_table(f"narrow-{kind}"), table_type=kind, buckets=4)
+        for c, b in plan:
+            t.upsert(b, commit=c)
+        tables[kind] = t
+    t = tables["cow"]
+    scanned, scan = [], t._scan
+    t._scan = lambda kind, acts, commits=None: scanned.append((kind, commits)) or scan(kind, acts, commits)
+    t.upsert(narrow, commit="004")
+    assert [set(c) for kind, c in scanned if kind == "slices"][0] == {"001"}
+    tables["mor"].upsert(narrow, commit="004")
+    assert (sorted(map(tuple, t.snapshot().select(*C.TXN_OUT).collect()))
+            == sorted(map(tuple, tables["mor"].snapshot().select(*C.TXN_OUT).collect())))
