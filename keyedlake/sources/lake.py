@@ -469,9 +469,14 @@ class LakeTable:
                 sl = sl.filter(F.col(SLICE) > since)
             clean = pick_clean(sl).select(*cols)
             dirty = pick_dirty(sl).select(*cols)
-        if has_deltas:
-            vis = [a.commit for a in acts if a.action == "deltacommit" and a.info != "base"
-                   and a.commit <= as_of and (since is None or a.commit > since)]
+        vis = [a.commit for a in acts if a.action == "deltacommit" and a.info != "base"
+               and a.commit <= as_of and (since is None or a.commit > since)] if has_deltas else []
+        if rows is not None:
+            # only deltas newer than some dirty group's slice can matter: deltas
+            # folded by earlier compactions are not even listed
+            lows = [sl or "" for _, sl, d in rows if d]
+            vis = [c for c in vis if lows and c > min(lows)]
+        if vis:
             dl = self._scan("deltas", acts, vis).filter(F.col(DELTA) <= as_of)
             if file_names:
                 dl = dl.withColumn(FILE_NAME, F.col("_metadata.file_name"))
