@@ -19,6 +19,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Writers persist the precombined batch; let AQE coalesce the shuffle
+    # inside that cached plan instead of keeping shuffle.partitions tasks.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     # Compaction / copy-on-write rewrites aim at ~128 MB files.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
