@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontamination import find_hits
 from .exact_dedup import exact_groups
+from .quality import classify
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,9 +23,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op8_decontamination": op8_decontamination,
+    "op10_quality": op10_quality,
 }
 
 #: Only where SQL can express the operator over whole tables.
