@@ -4,10 +4,10 @@ Two generative models of hashed byte n-grams are estimated: *raw* from every
 document, *target* from the labelled documents of good quality that are not
 toxic.  A document's log importance weight is the mean over its n-grams of
 
-    min(0, log((target + a) / (raw scaled to target's size + a)) + log 2)
+    min(0, log((target + a) / (raw scaled to target's size + a)) + TOLERANCE)
 
-so n-grams that the target holds at least half as often as the raw text are
-neutral, and a long harmless passage cannot outweigh what the target lacks.
+so n-grams that the target holds nearly as often as the raw text are neutral, and
+a long harmless passage cannot outweigh what the target lacks.
 Documents are then sampled without replacement in proportion to
 ``exp(SHARPNESS * weight)``: Gumbel noise, a hash of ``doc_id``, is added to each
 scaled log weight and the top k stay.  k is the number of documents whose weight
@@ -16,7 +16,7 @@ is not below the cut that parts the labelled documents best.
 Bounds: at most ``LABEL_ROWS`` labelled documents (those of least id hash) fit the
 target model and the cut; the raw model, weights and selection cover all rows.
 Both models have a fixed number of buckets, so what the driver collects and
-broadcasts (1 MB) does not grow with the input.
+broadcasts (16 MB of counts, 4 MB of weights) does not grow with the input.
 
 Defined results
 ---------------
@@ -40,17 +40,23 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, slices, staged
 
-#: Lengths of the byte n-grams, and hash buckets for each length (as a power of 2).
-ORDERS, BUCKET_BITS = (4, 6), 17
+#: Lengths of the byte n-grams, and hash buckets of each length (as a power of 2).
+ORDERS = ((6, 20),)
 #: Most labelled documents that fit the target model and the cut.
 LABEL_ROWS = 20_000
 #: Count added to either model's expectation of a bucket.
-SMOOTHING = 5.0
+SMOOTHING = 10.0
+#: An n-gram is neutral down to this log ratio of target to raw text.
+TOLERANCE = 0.5
 #: N-grams' worth of evidence that one unit of Gumbel noise is weighed against.
-SHARPNESS = 2_000.0
-
-_SLICE = 1 << 20
-_CHUNK = 1 << 13
+SHARPNESS = 10_000.0
+
+_SLICE = 4 << 20
+_CHUNK = 1 << 14
+#: Places of the orders' buckets in the models.
+_PARTS = [slice(sum(1 << b for _, b in ORDERS[:k]), sum(1 << b for _, b in ORDERS[:k + 1]))
+          for k in range(len(ORDERS))]
+_SIZE = _PARTS[-1].stop
 #: Bytes that count as a space.
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[[9, 10, 11, 12, 13]] = 32
@@ -64,7 +70,7 @@ def _ngrams(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.
     first = int(ends[0])
     data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[first:int(ends[-1])]
     folded, ends = _FOLD[data], ends - first
-    for k, n in enumerate(ORDERS):
+    for part, (n, bits) in zip(_PARTS, ORDERS):
         size = max(0, len(folded) - n + 1)
         h = np.zeros(size, np.uint32)
         for i in range(n):
@@ -72,7 +78,7 @@ def _ngrams(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.
             h += folded[i:i + size]
             h ^= h >> np.uint32(15)
         h *= np.uint32(0x85EBCA6B)
-        buckets = (h >> np.uint32(32 - BUCKET_BITS)).astype(np.int64) + (k << BUCKET_BITS)
+        buckets = (h >> np.uint32(32 - bits)).astype(np.int64) + part.start
         yield buckets, ends[:-1], np.maximum(ends[1:] - n + 1, ends[:-1])
 
 
@@ -84,8 +90,7 @@ def _row_sums(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
 
 def _count(batches):
     """Counts of one task: rows (chunk of buckets, raw counts, target counts)."""
-    size = len(ORDERS) << BUCKET_BITS
-    raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    raw, target = np.zeros(_SIZE, np.int64), np.zeros(_SIZE, np.int64)
     for batch in slices(batches, limit=_SLICE):
         good = np.array(batch.column("good").to_pylist(), dtype=bool)
         for buckets, begin, end in _ngrams(batch):
@@ -94,8 +99,8 @@ def _count(batches):
                 edge = np.zeros(len(buckets) + 1, np.int32)
                 np.add.at(edge, np.minimum(begin[rows], len(buckets)), 1)
                 np.add.at(edge, np.minimum(end[rows], len(buckets)), -1)
-                counts += np.bincount(buckets[np.cumsum(edge[:-1]) > 0], minlength=size)
-    chunks = range(0, size, _CHUNK)
+                counts += np.bincount(buckets[np.cumsum(edge[:-1]) > 0], minlength=_SIZE)
+    chunks = range(0, _SIZE, _CHUNK)
     yield pa.record_batch([pa.array([c // _CHUNK for c in chunks], pa.int32()),
                            pa.array([raw[c:c + _CHUNK].tobytes() for c in chunks], pa.binary()),
                            pa.array([target[c:c + _CHUNK].tobytes() for c in chunks], pa.binary())],
@@ -209,21 +214,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     """The fitted model, and (doc_id, log_weight, sample_key) of every row."""
     spark = docs.sparkSession
     sample = staged(_labelled(labels), "label-sample")
-    size = len(ORDERS) << BUCKET_BITS
     marked = (_texts(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"), "left")
               .select("text", F.coalesce("good", F.lit(False)).alias("good")))
-    chunks = size // _CHUNK
-    rows = arrow_map(arrow_map(marked, _count, _COUNTS).repartition(chunks, "chunk"), _add_up, _COUNTS).collect()
-    raw, target = np.zeros(size), np.zeros(size)
+    rows = arrow_map(arrow_map(marked, _count, _COUNTS).repartition(_SIZE // _CHUNK, "chunk"), _add_up, _COUNTS).collect()
+    raw, target = np.zeros(_SIZE), np.zeros(_SIZE)
     for r in rows:
         at = slice(r.chunk * _CHUNK, (r.chunk + 1) * _CHUNK)
         raw[at], target[at] = np.frombuffer(r.raw, np.int64), np.frombuffer(r.target, np.int64)
-    ratio = np.zeros(size, np.float32)
-    for k in range(len(ORDERS)):
-        at = slice(k << BUCKET_BITS, (k + 1) << BUCKET_BITS)
+    ratio = np.zeros(_SIZE, np.float32)
+    for at in _PARTS:
         if target[at].sum():
             expected = raw[at] * (target[at].sum() / raw[at].sum())
-            ratio[at] = np.minimum(np.log((target[at] + SMOOTHING) / (expected + SMOOTHING)) + np.log(2), 0)
+            lacking = np.log((target[at] + SMOOTHING) / (expected + SMOOTHING))
+            ratio[at] = np.minimum(lacking + TOLERANCE, 0)
     model = Model(ratio)
     scores = staged(arrow_map(_texts(docs), _score(spark.sparkContext.broadcast(model)),
                               "doc_id long, log_weight double, sample_key double"), "quality-scores")
