@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontamination import find_hits
 from .exact_dedup import exact_groups
+from .langid import identify
 from .quality import classify
 
 
@@ -23,6 +24,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    taught = docs.filter(fold != 1).select("doc_id", "text", "lang")
+    found = identify(docs, taught)
+    return found.select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,6 +39,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
 }
 
