@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe
 from .common import table
 from .decontamination import find_hits
 from .exact_dedup import exact_groups
@@ -14,6 +16,15 @@ from .langid import identify
 from .quality import classify
 
 
+#: The tokenizer's rank file and the pattern that cuts texts into words.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), RANKS, PATTERN)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -37,6 +48,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
