@@ -154,7 +154,7 @@ class Codec:
             while left != before:
                 self.db.execute(_ROUND)
                 self.db.execute("DROP TABLE contracting; ALTER TABLE contracted RENAME TO contracting")
-                left, before = self.db.execute("SELECT count(*) FROM contracting").fetchone()[0], left
+                left, before = self.db.sql("SELECT count(*) FROM contracting").fetchall()[0][0], left
             found = self.db.sql(_COLLECT)
         ids = found.to_arrow_table().column("ids").combine_chunks()
         flat, ends = np.asarray(ids.values).astype("<u4"), np.asarray(ids.offsets)
