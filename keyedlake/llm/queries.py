@@ -14,6 +14,7 @@ from .decontamination import find_hits
 from .exact_dedup import exact_groups
 from .langid import identify
 from .quality import classify
+from .token_counts import derived_edits, recount
 
 
 #: The tokenizer's rank file and the pattern that cuts texts into words.
@@ -29,6 +30,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    edits = derived_edits(F.col("doc_id"), F.col("text"), F.col("source"))
+    return recount(docs.select("doc_id", "text", edits.alias("edits")), RANKS, PATTERN)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256",
@@ -50,6 +57,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
