@@ -60,7 +60,7 @@ class Counter:
 
     def count(self, words: list[str]) -> int:
         known = self.known
-        for w in set(words) - known.keys():
+        for w in [w for w in set(words) if w not in known]:
             known[w] = len(self.bpe.encode_ordinary(w))
         total = sum(map(known.__getitem__, words))
         if len(known) > REMEMBERED:
