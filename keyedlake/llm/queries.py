@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, pii
 from .common import table
 from .decontamination import find_hits
 from .exact_dedup import exact_groups
@@ -26,6 +26,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    terms = F.transform("terms", lambda s: F.struct(F.lit("term").alias("kind"), s["begin"].alias("begin"),
+                                                    s["end"].alias("end")))
+    counts = [F.expr(f"size(filter(base, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+                        pii.joined(F.concat("base", terms)).alias("spans"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -56,6 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_pii": op3_pii,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_decontamination": op8_decontamination,
