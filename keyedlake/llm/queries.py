@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii
+from . import bpe, chat, pii
 from .common import table
 from .decontamination import find_hits
 from .exact_dedup import exact_groups
@@ -39,6 +39,25 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(said).alias("text"))
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    read = chat.read_back(chat.format_windows(given.unionByName(added)))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    in_order = lambda c: F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("window", c))), lambda x: x[c]), "")
+    return (read.select("conv_id", "window", F.size("turns").alias("n"), lines.alias("lines"),
+                        F.array_join("targets", "").alias("loss"), "formatted_chars")
+            .groupBy("conv_id")
+            .agg(F.sum("n").alias("n_turns"), F.sha2(in_order("lines"), 256).alias("turns_sha256"),
+                 F.length(in_order("loss")).cast("long").alias("loss_chars"),
+                 F.sha2(in_order("loss"), 256).alias("loss_sha256"),
+                 F.sum("formatted_chars").cast("long").alias("formatted_chars")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     edits = derived_edits(F.col("doc_id"), F.col("text"), F.col("source"))
@@ -67,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_pii": op3_pii,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_chat_format": op6_chat_format,
     "op7_token_counts": op7_token_counts,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
