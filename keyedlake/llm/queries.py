@@ -13,6 +13,7 @@ from .common import table
 from .decontamination import find_hits
 from .exact_dedup import exact_groups
 from .langid import identify
+from .near_dedup import near_duplicates
 from .quality import classify
 from .token_counts import derived_edits, recount
 
@@ -39,6 +40,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4, threshold=80)
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_pii": op3_pii,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_near_dedup": op5_near_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_token_counts": op7_token_counts,
     "op8_decontamination": op8_decontamination,
