@@ -15,6 +15,7 @@ from .exact_dedup import exact_groups
 from .langid import identify
 from .near_dedup import near_duplicates
 from .quality import classify
+from .suffix_dedup import remove_repeats
 from .token_counts import derived_edits, recount
 
 
@@ -27,6 +28,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     terms = F.transform("terms", lambda s: F.struct(F.lit("term").alias("kind"), s["begin"].alias("begin"),
@@ -89,6 +94,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_pii": op3_pii,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
