@@ -232,6 +232,15 @@ def _digest_rows(batch: pa.RecordBatch, encoded: list[bytes], codec: Codec) -> p
                            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
+def _checked_rows(batch: pa.RecordBatch, encoded: list[bytes], codec: Codec) -> pa.RecordBatch:
+    """Ids, and whether they decode to the text's bytes."""
+    texts = [(t or "").encode("utf-8", "replace") for t in batch.column("text").to_pylist()]
+    same = [a == b for a, b in zip(codec.decode(encoded), texts)]
+    rows = _id_rows(batch, encoded, codec)
+    return (rows.append_column("n_tokens", pa.array([len(e) // 4 for e in encoded], pa.int64()))
+            .append_column("round_trip", pa.array(same, pa.bool_())))
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
@@ -242,6 +251,13 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return arrow_map(_texts(docs), _encoded(ranks, pattern, _id_rows), "doc_id long, ids array<int>")
 
 
+def tokenise(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Per row of ``docs``: doc_id, ids, n_tokens and whether the ids decode to the text."""
+    ranks = docs.sparkSession.sparkContext.broadcast(_ranks(path))
+    return arrow_map(_texts(docs), _encoded(ranks, pattern, _checked_rows),
+                     "doc_id long, ids array<int>, n_tokens long, round_trip boolean")
+
+
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encode and decode every row: doc_id, n_tokens, SHA-256 of the ids as little-endian
     unsigned 32-bit integers and of the decoded bytes."""

@@ -178,8 +178,17 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         block = later
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the rows whose text holds a benchmark window; all columns stay."""
-    bad = (find_hits(docs, benchmark, window).filter("n_hit > 0")
-           .select(F.col("doc_id").alias("__bad_id")).distinct())
-    return docs.join(bad, docs["doc_id"] == bad["__bad_id"], "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark window; all columns stay, no shuffle."""
+    def clean(matcher):
+        def run(batches):
+            for batch in batches:
+                texts = batch.column("text").cast(pa.binary())
+                found = [bool(matcher.value.search(words_of(t.as_py()))[0]) for t in texts]
+                yield batch.filter(pa.array([not f for f in found], pa.bool_()))
+        return run
+
+    for block in _blocks(benchmark, block_bytes):
+        docs = arrow_map(docs, clean(docs.sparkSession.sparkContext.broadcast(WuManber(block, window))), docs.schema)
+    return docs
