@@ -87,11 +87,15 @@ def split_valid_rejected(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, rejected
 
 
-def document_uri(root: str, parcel: Column | str, file_name: Column | str) -> Column:
-    """``<root>/pdfs/titles/<parcel>/<file>`` as a column expression."""
+#: Folders of the document kinds under the store's root.
+DOCUMENT_FOLDERS = {"title": "pdfs/titles", "image": "images"}
+
+
+def document_uri(root: str, parcel: Column | str, file_name: Column | str, kind: str = "title") -> Column:
+    """``<root>/<folder of the kind>/<parcel>/<file>`` as a column expression."""
     p = F.col(parcel) if isinstance(parcel, str) else parcel
     f = F.col(file_name) if isinstance(file_name, str) else file_name
-    return F.concat_ws("/", F.lit(root.rstrip("/")), F.lit("pdfs"), F.lit("titles"), p, f)
+    return F.concat_ws("/", F.lit(root.rstrip("/")), F.lit(DOCUMENT_FOLDERS[kind]), p, f)
 
 
 def file_class(name: Column | str) -> Column:

@@ -88,29 +88,18 @@ def merge_statement(target: str, staging: str, key: str = RELATIONAL_KEY) -> str
     )
 
 
-def jdbc_merge(batch: DataFrame, batch_id: int, url: str, target: str,
-               properties: Mapping[str, str] | None = None,
-               limits: Mapping[str, int] | None = None,
-               fail_on_reject: bool = False) -> DataFrame:
-    """``foreachBatch`` body for the relational sink.
-
-    Reduce to the last arrival per key on executors, append to a staging
-    table with Spark's parallel JDBC writer, then one ``MERGE`` on the
-    driver connection.  Returns the per-batch report.  Empty batches skip
-    the database entirely.
+def jdbc_merge(valid: DataFrame, batch_id: int, url: str, target: str,
+               properties: Mapping[str, str] | None = None) -> None:
+    """Merge valid relational rows into the database table.
+
+    Reduce to the last arrival per key on executors, write a staging table with
+    Spark's parallel JDBC writer, then one ``MERGE`` on the driver connection.
     """
     props = dict(properties or {})
-    prepared = prepare_batch(batch, batch_id, limits)
-    report = batch_report(prepared)
-    valid, rejected = split_valid_rejected(prepared)
-    if fail_on_reject and not rejected.isEmpty():
-        raise ValueError(f"batch {batch_id}: rows do not fit the table")
-    if valid.isEmpty():
-        return report
     staging = f"{target}_staging_{batch_id}"
     (last_arrival(valid).select(*table_columns())
         .write.mode("overwrite").jdbc(url, staging, properties=props))
-    jvm = batch.sparkSession.sparkContext._jvm
+    jvm = valid.sparkSession.sparkContext._jvm
     conn = jvm.java.sql.DriverManager.getConnection(url, props.get("user"), props.get("password"))
     try:
         conn.setAutoCommit(False)
@@ -120,4 +109,3 @@ def jdbc_merge(batch: DataFrame, batch_id: int, url: str, target: str,
         conn.commit()
     finally:
         conn.close()
-    return report

@@ -51,10 +51,6 @@ def precombine(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
     return latest_per_group(df, [*keys, *within], _desc([*order, *tie]))
 
 
-def with_commit(df: DataFrame, commit: str) -> DataFrame:
-    return df.withColumn(COMMIT_TIME, F.lit(commit))
-
-
 def _reduce(log: DataFrame, keys, merge_mode, order, tie) -> DataFrame:
     if merge_mode == "commit_time":
         ordering = _desc([COMMIT_TIME, *order, *tie])
@@ -97,28 +93,6 @@ def incremental(log: DataFrame, begin: str, end: str | None = None,
     return snap.filter(c > F.lit(begin))
 
 
-def cow_merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
-              merge_mode: str = "commit_time", order: Sequence[str] = (PRECOMBINE_FIELD,),
-              tie: Sequence[str] = (TIE_BREAK_FIELD,)) -> DataFrame:
-    """Copy-on-write merge of an already precombined, commit-stamped batch
-    into the current rows: untouched keys keep their old version (and old
-    commit time); touched keys take the incoming row.
-
-    ``commit_time`` (default): incoming always wins -> anti join + union,
-    no reduction over the (large) current side.  ``event_time``: the
-    greater precombine value wins across commits.
-    """
-    cols = current.columns
-    incoming = incoming.select(*[F.col(c) for c in cols if c in incoming.columns],
-                               *[F.lit(None).cast(current.schema[c].dataType).alias(c)
-                                 for c in cols if c not in incoming.columns])
-    if merge_mode == "commit_time":
-        kept = current.join(incoming.select(*keys), list(keys), "left_anti")
-        return kept.unionByName(incoming)
-    both = current.unionByName(incoming)
-    return _reduce(both, keys, merge_mode, order, tie)
-
-
 def history_after_retention(log: DataFrame, cutoff: str, keys: Sequence[str] = DEFAULT_KEYS,
                             merge_mode: str = "commit_time",
                             order: Sequence[str] = (PRECOMBINE_FIELD,),
@@ -131,12 +105,3 @@ def history_after_retention(log: DataFrame, cutoff: str, keys: Sequence[str] = D
     folded = snapshot(log.filter(c < F.lit(cutoff)), keys, None, merge_mode, order, tie)
     return recent.unionByName(folded)
 
-
-def reconcile(table: DataFrame, batch: DataFrame) -> DataFrame:
-    """Schema reconcile: align a batch that lacks or adds columns."""
-    return table.unionByName(batch, allowMissingColumns=True)
-
-
-def commit_list(log: DataFrame) -> DataFrame:
-    """Distinct commit times in order (the timeline as the rows show it)."""
-    return log.select(COMMIT_TIME).distinct().orderBy(COMMIT_TIME)

@@ -32,6 +32,7 @@ TXN_OUT = FX.TXN_OUT
 REL_OUT = R.table_columns()
 REJECT_LIMITS = {"area": 5}
 HIGH_VALUE = 100.0
+DOCUMENT_ROOT = "hdfs://store/files"
 BUCKETS = 8
 
 
@@ -161,6 +162,69 @@ def q_mor_upsert(spark, sf):
     return t.snapshot().select(*TXN_OUT)
 
 
+def _null_area_table(spark, sf, name, **kw) -> DataFrame:
+    t = _fill(_lake(spark, name, **kw), FX.txe_null_areas(spark, sf))
+    return t.snapshot().select(*TXN_OUT)
+
+
+def q_cow_upsert_null_area(spark, sf):
+    return _null_area_table(spark, sf, "cow-null", table_type="cow")
+
+
+def q_mor_upsert_null_area(spark, sf):
+    return _null_area_table(spark, sf, "mor-null", table_type="mor")
+
+
+def q_wide_table_upsert(spark, sf):
+    """The same rows through the paths that very wide tables take (no limit holds)."""
+    return _null_area_table(spark, sf, "wide", table_type="cow", inline_groups=0, static_groups=0, broadcast_rows=0)
+
+
+def q_backfill_then_stream(spark, sf):
+    """Commits 000 to 002 by batch writes, the rest of the same table by a stream."""
+    t = _fill(_lake(spark, "backfill", table_type="cow"), FX.txe(spark, sf), FX.TXE_COMMITS[:3])
+    src, ckpt = scratch_path(spark, "backfill-src"), scratch_path(spark, "backfill-ckpt")
+    env = FX.env(spark, sf)  # messages without a key are all of batch 0
+    for b in (3, 4):
+        env.filter(F.col("offset") % 5 == b).write.mode("append").parquet(src)
+        stream = P.parse_transactions(file_stream(spark, src, ENVELOPE_SCHEMA), layout="table")
+        RUN.drain(stream.writeStream.foreachBatch(SK.lake_sink(t, stream=ckpt)), ckpt)
+    return t.snapshot().select(*TXN_OUT)
+
+
+# ---------------------------------------------------------------- table-backed reads
+def _both_kinds(spark, sf, name, read) -> DataFrame:
+    """``read`` of a copy-on-write table, and of a merge-on-read table that was compacted
+    on the way and cleaned down to four commits."""
+    cow = _fill(_lake(spark, f"{name}-cow", table_type="cow"), FX.txe(spark, sf))
+    mor = _mor_compacted_at_001(spark, sf)
+    mor.clean(4)
+    pick = lambda t, kind: read(t).select(F.lit(kind).alias("table_type"), *TXN_OUT)
+    return pick(cow, "cow").unionByName(pick(mor, "mor"))
+
+
+def q_table_snapshot(spark, sf):
+    return _both_kinds(spark, sf, "read-snapshot", lambda t: t.snapshot())
+
+
+def q_table_time_travel(spark, sf):
+    return _both_kinds(spark, sf, "read-travel", lambda t: t.snapshot("002"))
+
+
+def q_table_incremental(spark, sf):
+    return _both_kinds(spark, sf, "read-incremental", lambda t: t.incremental("001", "003"))
+
+
+def q_table_incremental_open(spark, sf):
+    return _both_kinds(spark, sf, "read-open", lambda t: t.incremental("001"))
+
+
+def q_history_after_compaction(spark, sf):
+    t = _fill(_lake(spark, "history", table_type="mor"), FX.txe(spark, sf))
+    t.compact()
+    return t.history().select(*TXN_OUT)
+
+
 def _mor_compacted_at_001(spark, sf) -> LakeTable:
     t = _lake(spark, "mor-ro", table_type="mor")
     src = FX.txe(spark, sf)
@@ -232,7 +296,7 @@ def q_snapshot_count(spark, sf):
 
 
 def q_area_breakdown(spark, sf):
-    return REP.area_breakdown(_txo_snapshot(spark, sf))
+    return REP.area_breakdown(V.snapshot(FX.txo_null_amounts(spark, sf)))
 
 
 def q_type_breakdown(spark, sf):
@@ -265,15 +329,26 @@ def q_ingest_snapshot_report(spark, sf):
 
 # ---------------------------------------------------------------- relational
 def q_relational_upsert(spark, sf):
-    """Current state after the five batches: the last arrival per parcel
-    over all of them (one reduction; the same result as applying
-    ``upsert_last_arrival`` batch by batch, which the streaming sink does)."""
+    """Five batches applied one after the other, the last arrival of a parcel winning."""
     t = FX.txe(spark, sf).withColumn("_batch_id", (F.col("kafka_offset") % 5).cast("long"))
     valid, _ = R.valid_and_rejected(t.drop(COMMIT_TIME))
-    return R.last_arrival(valid).select(*REL_OUT)
+    state = valid.filter("1 = 0")
+    for batch in range(5):
+        state = R.upsert_last_arrival(state, valid.filter(F.col("_batch_id") == batch))
+    return state.select(*REL_OUT)
 
 
 # ---------------------------------------------------------------- streaming
+def q_stream_batch_report(spark, sf):
+    """What the running relational sink keeps of each micro-batch: rows in, written, rejected."""
+    t = _lake(spark, "report-rel", table_type="mor", keys=("parcel_id",), partition=None,
+              record_key=("parcel_id",), precombine=R.TABLE_ORDER, tie=())
+    rejected, reports = scratch_path(spark, "report-rejected"), scratch_path(spark, "reports")
+    sink = lambda: SK.relational_sink(t, limits=REJECT_LIMITS, rejected_path=rejected, report_path=reports)
+    _env_files_stream(spark, sf, sink, "report-rel")
+    return spark.read.parquet(reports).select("batch_id", "rows_in", "rows_written", "rows_rejected", "keys_upserted")
+
+
 def _env_files_stream(spark, sf, sink_factory, name):
     """ENV split by commit into 5 file drops; each drop is one availableNow
     run of the same query (batch ids 0..4), then one restart with nothing new."""
@@ -377,35 +452,43 @@ def q_kafka_encode(spark, sf):
 
 # ---------------------------------------------------------------- documents
 def q_document_uri(spark, sf):
-    return D.document_rows(FX.table(spark, sf, "documents"))
+    return D.document_rows(FX.table(spark, sf, "documents"), DOCUMENT_ROOT)
 
 
-def _english_store(spark, sf):
-    docs = FX.table(spark, sf, "documents")
-    staged = scratch_path(spark, "docs-staged")
-    D.stage_documents(docs.filter(F.col("lang") == "en"), staged)
-    return D.document_ingest(spark, staged, scratch_path(spark, "docs-store"))
+def _staged_documents(spark, sf, name, docs=None) -> str:
+    root = scratch_path(spark, name)
+    D.stage_documents(FX.table(spark, sf, "documents") if docs is None else docs, root)
+    return root
+
+
+def _stored(spark, sf, name, docs=None) -> DataFrame:
+    return D.document_ingest(spark, _staged_documents(spark, sf, f"{name}-staged", docs),
+                             scratch_path(spark, f"{name}-store"), DOCUMENT_ROOT)
 
 
 def q_document_new_only(spark, sf):
-    stored = _english_store(spark, sf)
-    incoming = D.document_rows(FX.table(spark, sf, "documents"))
-    return D.new_only(incoming, stored).select("doc_id", "parcel_id", "file_name")
+    docs = FX.table(spark, sf, "documents")
+    incoming = D.document_rows(docs, DOCUMENT_ROOT)
+    return D.new_only(incoming, _stored(spark, sf, "docs", docs.filter(F.col("lang") == "en"))).select(
+        "doc_id", "parcel_id", "file_name")
 
 
 def q_document_inventory(spark, sf):
-    staged = scratch_path(spark, "docs-inv")
-    D.stage_documents(FX.table(spark, sf, "documents"), staged)
-    return D.document_inventory(spark, staged).select("parcel_id", "file_name", "length")
+    return D.document_inventory(spark, _staged_documents(spark, sf, "docs-inv")).select(
+        "parcel_id", "file_name", "length")
 
 
 def q_document_ingest(spark, sf):
-    return _english_store(spark, sf).select("parcel_id", "file_name", "length", "sha2", "uri")
+    """All documents, ingested twice: the second time adds nothing."""
+    staged, store = _staged_documents(spark, sf, "docs-twice"), scratch_path(spark, "docs-twice-store")
+    D.document_ingest(spark, staged, store, DOCUMENT_ROOT)
+    return D.document_ingest(spark, staged, store, DOCUMENT_ROOT).select(
+        "parcel_id", "file_name", "length", "sha2", "uri")
 
 
 def q_storage_inventory(spark, sf):
-    t = _fill(_lake(spark, "storage", table_type="mor"), FX.txe(spark, sf))
-    return t.storage().select("file_name", "file_class", "size_kb")
+    return D.storage_inventory(spark, _staged_documents(spark, sf, "storage")).select(
+        "file_name", "file_class", "size_kb")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

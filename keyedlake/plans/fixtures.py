@@ -58,6 +58,19 @@ def txe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_as_transactions(table(spark, sf_dir, "events"))
 
 
+def txe_null_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXE whose area is null for every 7th event and empty for every 11th."""
+    n = F.col("kafka_offset")
+    return txe(spark, sf_dir).withColumn(
+        "area", F.when(n % 7 == 0, _null()).when(n % 11 == 0, F.lit("")).otherwise(F.col("area")))
+
+
+def txo_null_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXO whose amount is null for every 7th order."""
+    return txo(spark, sf_dir).withColumn(
+        "transactionAmount", F.when(F.col("kafka_offset") % 7 != 0, F.col("transactionAmount")))
+
+
 def txo(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")

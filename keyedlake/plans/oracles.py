@@ -3,8 +3,9 @@ as plain SQL over the driver's pre-registered views)."""
 
 from __future__ import annotations
 
-from ..functions.normalize import EVENT_TIME_PATTERN
-from ..sources.documents import DOCUMENT_ROOT
+#: The timestamp texts that are read (all others are null), and the store's root.
+EVENT_TIME_PATTERN = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,9})?\s*$"
+DOCUMENT_ROOT = "hdfs://store/files"
 
 TXN = ("transactionId, parcelId, transactionType, propertyType, area, city, buyerName, sellerName, "
        "transactionAmount, currency, titleDeedUri, status, validationStatus, transactionDate")
@@ -74,14 +75,22 @@ RAW_TIME = """CASE event_id % 8
    WHEN 6 THEN '   '
    ELSE 'pending#' || CAST(event_id AS VARCHAR) END"""
 
+TXN_NULL_AREA = f"""txe AS (
+  SELECT * REPLACE (CASE WHEN kafka_offset % 7 = 0 THEN NULL WHEN kafka_offset % 11 = 0 THEN '' ELSE area END AS area)
+  FROM {TXE.replace("txe AS ", "", 1)} t)"""
+TXO_NULL_AMOUNT = f"""txo AS (
+  SELECT * REPLACE (CASE WHEN kafka_offset % 7 <> 0 THEN transactionAmount END AS transactionAmount)
+  FROM {TXO.replace("txo AS ", "", 1)} t)"""
 TXO_SNAP = f"WITH {TXO}, {pre('txo')}, s AS ({snap()})"
 DOC_ROWS = (f"d AS (SELECT doc_id, source AS parcel_id, 'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name "
             f"FROM documents)")
 
 
 def _amount_avg(total: str, n: str) -> str:
-    c = f"CAST({total} * 100 AS BIGINT)"
-    return (f"CAST((CASE WHEN {c} < 0 THEN -1 ELSE 1 END) * ((2 * abs({c}) + {n}) // (2 * {n})) AS DOUBLE) / 100.0")
+    """Half-up average in whole cents (HUGEINT), null where nothing is to be averaged."""
+    c = f"CAST({total} * 100 AS HUGEINT)"
+    return (f"CASE WHEN {n} > 0 THEN CAST((CASE WHEN {c} < 0 THEN -1 ELSE 1 END) * "
+            f"((2 * abs({c}) + {n}) // (2 * {n})) AS DOUBLE) / 100.0 END")
 
 
 SNAP_LE_001 = snap("_commit_time <= '001'")
@@ -146,11 +155,11 @@ ORACLES: dict[str, str] = {
         SELECT parcelId, transactionId, transactionType, area, transactionAmount, currency, status,
                transactionDate, _commit_time FROM s ORDER BY area, parcelId LIMIT 50""",
     "snapshot_count": f"{TXO_SNAP} SELECT count(*) AS record_count FROM s",
-    "area_breakdown": f"""{TXO_SNAP}, a AS (
+    "area_breakdown": f"""WITH {TXO_NULL_AMOUNT}, {pre('txo')}, s AS ({snap()}), a AS (
             SELECT area, count(*) AS record_count,
                    sum(CAST(transactionAmount AS DECIMAL(18,2))) AS total,
-                   max(transactionAmount) AS max_amount FROM s GROUP BY area)
-        SELECT area, record_count, {_amount_avg('total', 'record_count')} AS avg_amount, max_amount FROM a""",
+                   count(transactionAmount) AS amounts, max(transactionAmount) AS max_amount FROM s GROUP BY area)
+        SELECT area, record_count, {_amount_avg('total', 'amounts')} AS avg_amount, max_amount FROM a""",
     "type_breakdown": f"""{TXO_SNAP}
         SELECT transactionType, count(*) AS "count",
                CAST(sum(CAST(transactionAmount AS DECIMAL(18,2))) AS DOUBLE) AS total_value
@@ -163,8 +172,8 @@ ORACLES: dict[str, str] = {
     "ingest_snapshot_report": f"""WITH {TXE}, {TXE_KEYED}, {pre('txk')}, s AS ({snap()}), a AS (
             SELECT area, count(*) AS record_count,
                    sum(CAST(transactionAmount AS DECIMAL(18,2))) AS total,
-                   max(transactionAmount) AS max_amount FROM s GROUP BY area)
-        SELECT area, record_count, {_amount_avg('total', 'record_count')} AS avg_amount, max_amount FROM a""",
+                   count(transactionAmount) AS amounts, max(transactionAmount) AS max_amount FROM s GROUP BY area)
+        SELECT area, record_count, {_amount_avg('total', 'amounts')} AS avg_amount, max_amount FROM a""",
     "relational_upsert": f"""WITH {TXE}, l AS (SELECT * FROM txe QUALIFY row_number() OVER (
             PARTITION BY parcelId ORDER BY _commit_time DESC, kafka_offset DESC) = 1)
         SELECT {REL} FROM l""",
@@ -187,16 +196,36 @@ ORACLES: dict[str, str] = {
     "document_uri": f"""WITH {DOC_ROWS}
         SELECT doc_id, parcel_id, file_name,
                concat_ws('/', '{DOCUMENT_ROOT}', 'pdfs', 'titles', parcel_id, file_name) AS uri FROM d""",
-    # one staged text file per document: its bytes are the text plus the writer's newline
+    # one staged text file per document: its bytes are the text plus a newline
     "document_inventory": """SELECT source AS parcel_id, 'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name,
                CAST(strlen(text) + 1 AS BIGINT) AS length FROM documents""",
     "document_ingest": f"""SELECT source AS parcel_id, 'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name,
                CAST(strlen(text) + 1 AS BIGINT) AS length, sha256(text || chr(10)) AS sha2,
                concat_ws('/', '{DOCUMENT_ROOT}', 'pdfs', 'titles', source,
                          'doc-' || CAST(doc_id AS VARCHAR) || '.txt') AS uri
-        FROM documents WHERE lang = 'en'""",
+        FROM documents""",
+    "storage_inventory": """SELECT 'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name, 'OTHER' AS file_class,
+               CAST((strlen(text) + 1) // 1024 AS BIGINT) AS size_kb FROM documents""",
     "document_new_only": f"""WITH {DOC_ROWS}
         SELECT d.doc_id, d.parcel_id, d.file_name FROM d
         WHERE NOT EXISTS (SELECT 1 FROM documents s WHERE s.lang = 'en'
                           AND s.source = d.parcel_id AND 'doc-' || CAST(s.doc_id AS VARCHAR) || '.txt' = d.file_name)""",
 }
+
+_BOTH = ("(SELECT 'cow' AS table_type UNION ALL SELECT 'mor')")
+for _name in ("cow_upsert_null_area", "mor_upsert_null_area", "wide_table_upsert"):
+    ORACLES[_name] = f"WITH {TXN_NULL_AREA}, {pre()}, s AS ({snap()}) SELECT {TXN_OUT} FROM s"
+ORACLES["backfill_then_stream"] = ORACLES["cow_upsert"]
+ORACLES["history_after_compaction"] = ORACLES["precombine_dedup"]
+for _name, _rows in {
+        "table_snapshot": f"SELECT * FROM ({snap()})",
+        "table_time_travel": f"SELECT * FROM ({SNAP_LE_002})",
+        "table_incremental": f"SELECT * FROM ({SNAP_LE_003}) WHERE _commit_time > '001'",
+        "table_incremental_open": f"SELECT * FROM ({snap()}) WHERE _commit_time > '001'"}.items():
+    ORACLES[_name] = f"WITH {TXE}, {pre()} SELECT table_type, {TXN_OUT} FROM ({_rows}), {_BOTH} k"
+ORACLES["stream_batch_report"] = f"""WITH {TXE}, {TXE_KEYED}
+    SELECT kafka_offset % 5 AS batch_id, count(*) AS rows_in,
+           count(*) FILTER (WHERE length(area) <= 5) AS rows_written,
+           count(*) FILTER (WHERE length(area) > 5) AS rows_rejected,
+           count(DISTINCT parcelId) FILTER (WHERE length(area) <= 5) AS keys_upserted
+    FROM txk GROUP BY ALL"""

@@ -53,7 +53,6 @@ COMMIT_SEQNO = "_commit_seqno"
 RECORD_KEY_COL = "_record_key"
 PARTITION_PATH = "_partition_path"
 FILE_NAME = "_file_name"
-META_COLUMNS = [COMMIT_TIME, COMMIT_SEQNO, RECORD_KEY_COL, PARTITION_PATH, FILE_NAME]
 
 # --- fixed values: relational target table (column, source field, type, max length)
 # Order is the table's column order; last_updated is stamped at write time.

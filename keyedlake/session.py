@@ -58,6 +58,8 @@ def shared_root(spark: SparkSession) -> str:
         existing = spark.sparkContext.getCheckpointDir()
         if existing:
             root = os.path.dirname(existing.rstrip("/"))
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not root:
         # Only for local runs without a configured shared folder (tests).
         root = tempfile.mkdtemp(prefix="keyedlake-ckpt-")

@@ -1,5 +1,5 @@
-"""Document store: per-parcel files, their inventory, ingest and new-only
-detection, plus a storage listing of any table directory.
+"""Document store: files as ``<base>/<parcel>/<file>``, their inventory, ingest and
+new-only detection, plus a storage listing of any folder.
 
 Files are listed and read by Spark's ``binaryFile`` source, so listing and
 hashing run in tasks; nothing is copied through the driver.
@@ -11,62 +11,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.normalize import document_uri, file_class, size_kb
-
-# --- fixed values: document store root and per-parcel path shape
-DOCUMENT_ROOT = "hdfs://localhost:8020/files"
+from .lake import path_exists
 
 
 def stage_documents(docs: DataFrame, root: str, parcel: str = "source", doc_id: str = "doc_id",
                     text: str = "text") -> None:
-    """Write one file per document under ``<root>/<parcel>=<p>/<doc_id>=<id>/``."""
-    (docs.select(F.col(parcel).alias("parcel"), F.col(doc_id).alias("doc"), F.col(text))
-         .repartition("parcel", "doc")
-         .write.mode("overwrite").partitionBy("parcel", "doc").text(root))
+    """Write each document as ``<root>/<parcel>/doc-<id>.txt`` (its text and a newline),
+    from the tasks that hold it."""
+    def write(batches):
+        from pyarrow import fs as filesystems
+
+        fs, base = filesystems.FileSystem.from_uri(root)
+        made = set()
+        for batch in batches:
+            for folder, name, content in zip(*(c.to_pylist() for c in batch.columns)):
+                if folder not in made:
+                    fs.create_dir(f"{base}/{folder}", recursive=True)
+                    made.add(folder)
+                with fs.open_output_stream(f"{base}/{folder}/{name}") as out:
+                    out.write((content + "\n").encode())
+            yield batch.slice(0, 0).select(["file"])
+
+    rows = docs.select(F.col(parcel).cast("string").alias("parcel"),
+                       F.concat(F.lit("doc-"), F.col(doc_id).cast("string"), F.lit(".txt")).alias("file"),
+                       F.coalesce(text, F.lit("")).alias("content"))
+    rows.mapInArrow(write, "file string").count()
 
 
 def _listing(spark: SparkSession, root: str, with_content: bool = False) -> DataFrame:
+    """Files below ``root``; parcel and file name are the last two parts of the path."""
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
+    parts = F.split("path", "/")
     cols = ["path", "length", "modificationTime"] + (["content"] if with_content else [])
-    return df.select(*cols)
+    return df.select(*cols, F.element_at(parts, -2).alias("parcel_id"), F.element_at(parts, -1).alias("file_name"))
 
 
 def document_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Files per parcel with name and size (a parcel is a directory)."""
-    df = _listing(spark, root)
-    return df.select(
-        F.regexp_extract("path", r"/parcel=([^/]+)/", 1).alias("parcel_id"),
-        F.concat(F.lit("doc-"), F.regexp_extract("path", r"/doc=([^/]+)/", 1), F.lit(".txt")).alias("file_name"),
-        F.col("length"),
-        F.col("modificationTime").alias("modification_time"),
-    )
-
-
-def document_ingest(spark: SparkSession, staged_root: str, store: str,
-                    uri_root: str = DOCUMENT_ROOT, buckets: int = 64) -> DataFrame:
-    """Read staged files (content included), store rows
-    ``(parcel_id, file_name, length, sha2, uri, content)`` as parquet
-    partitioned by a hash bucket of the parcel; return the stored rows."""
-    df = _listing(spark, staged_root, with_content=True)
-    rows = df.select(
-        F.regexp_extract("path", r"/parcel=([^/]+)/", 1).alias("parcel_id"),
-        F.concat(F.lit("doc-"), F.regexp_extract("path", r"/doc=([^/]+)/", 1), F.lit(".txt")).alias("file_name"),
-        F.col("length"),
-        F.sha2(F.col("content"), 256).alias("sha2"),
-        F.col("content"),
-    ).withColumn("uri", document_uri(uri_root, "parcel_id", "file_name")) \
-     .withColumn("_bucket", F.pmod(F.xxhash64("parcel_id"), F.lit(buckets)))
+    return _listing(spark, root).select("parcel_id", "file_name", "length",
+                                        F.col("modificationTime").alias("modification_time"))
+
+
+def document_ingest(spark: SparkSession, staged_root: str, store: str, uri_root: str,
+                    kind: str = "title", buckets: int = 64) -> DataFrame:
+    """Store staged files that are not stored yet as rows ``(parcel_id, file_name, length,
+    sha2, uri, content)`` of parquet, partitioned by a hash bucket of the parcel; return all
+    stored rows.  ``uri`` is the document's name below ``uri_root``; its bytes are the
+    stored row's ``content``."""
+    bucket = F.pmod(F.xxhash64("parcel_id"), F.lit(buckets)).cast("int")
+    rows = _listing(spark, staged_root, with_content=True)
+    if path_exists(spark, store):
+        rows = new_only(rows, spark.read.parquet(store))
+    rows = rows.select("parcel_id", "file_name", "length", F.sha2(F.col("content"), 256).alias("sha2"), "content",
+                       document_uri(uri_root, "parcel_id", "file_name", kind).alias("uri"),
+                       bucket.alias("_bucket"))
     # rebalance: one writer per bucket, a hot parcel split by AQE into ~128 MB files
     rows.hint("rebalance", "_bucket").write.mode("append").partitionBy("_bucket").parquet(store)
     return spark.read.parquet(store)
 
 
-def document_rows(docs: DataFrame, uri_root: str = DOCUMENT_ROOT) -> DataFrame:
+def document_rows(docs: DataFrame, uri_root: str, kind: str = "title") -> DataFrame:
     """Documents table rows as store keys: parcel = source, file = doc-<id>.txt."""
     return docs.select(
         F.col("doc_id"),
         F.col("source").alias("parcel_id"),
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_name"),
-    ).withColumn("uri", document_uri(uri_root, "parcel_id", "file_name"))
+    ).withColumn("uri", document_uri(uri_root, "parcel_id", "file_name", kind))
 
 
 def new_only(incoming: DataFrame, stored: DataFrame) -> DataFrame:
@@ -78,16 +88,5 @@ def storage_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Recursive file listing: class PARQUET / LOG / OTHER and size in whole KB.
     Hidden metadata directories (``_timeline``, ``_index``) are skipped by
     the listing itself."""
-    df = _listing(spark, root)
-    name = F.element_at(F.split("path", "/"), -1)
-    return df.select(
-        F.col("path"),
-        name.alias("file_name"),
-        file_class(name).alias("file_class"),
-        size_kb("length").alias("size_kb"),
-    )
-
-
-def storage_summary(inv: DataFrame) -> DataFrame:
-    return inv.groupBy("file_class").agg(F.count(F.lit(1)).alias("files"),
-                                         F.sum("size_kb").alias("total_kb"))
+    return _listing(spark, root).select("path", "file_name", file_class("file_name").alias("file_class"),
+                                        size_kb("length").alias("size_kb"))

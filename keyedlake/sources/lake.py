@@ -2,15 +2,17 @@
 
 Layout under ``<path>`` (plain parquet, Spark's own partition directories)::
 
-    slices/_slice=<c>/<part>=<v>/_bucket=<b>/*.parquet   complete rows of one file
+    slices/_slice=<c>/_part=<p>/_bucket=<b>/*.parquet    complete rows of one file
                                                          group as of commit c
-    deltas/_delta=<c>/<part>=<v>/_bucket=<b>/*.parquet   merge-on-read deltas of commit c
+    deltas/_delta=<c>/_part=<p>/_bucket=<b>/*.parquet    merge-on-read deltas of commit c
     _index/_commit_time=<c>/_action=<a>/                 groups written by (c, a)
     _timeline/<c>.<action>.json                          one record per finished action
     _timeline/<c>.checkpoint.jsonl                       records folded up to commit c
 
-A *file group* is ``(partition value, _bucket)`` with
-``_bucket = pmod(xxhash64(record key), buckets)``: copy-on-write rewrites
+A *file group* is ``(_part, _bucket)``.  ``_part`` encodes the partition value (null
+and empty are distinct and never a null directory); the value itself is a data
+column with its own type.  ``_bucket = pmod(xxhash64(record key), buckets)``, so both
+are never null and every join of groups is an equi join.  Copy-on-write rewrites
 only the groups a batch touches (not the whole partition, which may hold a
 third of the table), and merge-on-read merges only groups with deltas.
 
@@ -43,8 +45,13 @@ DATA_ACTIONS = ("commit", "deltacommit")
 BUCKET = "_bucket"
 SLICE = "_slice"
 DELTA = "_delta"
+PART = "_part"
+INTERNAL = (PART, BUCKET, SLICE, DELTA)
+METADATA = (COMMIT_TIME, COMMIT_SEQNO, RECORD_KEY_COL, PARTITION_PATH, FILE_NAME)
 
-
+#: Types that a column may be widened from, by the table's type.
+WIDENS = {"smallint": ("tinyint",), "int": ("tinyint", "smallint"), "bigint": ("tinyint", "smallint", "int"),
+          "double": ("tinyint", "smallint", "int", "float"), "timestamp": ("date",)}
 
 def utc_instant() -> str:
     """Batch commit id: UTC ``yyyyMMddHHmmssSSS``."""
@@ -79,6 +86,7 @@ class Action:
     info: str
     group_list: list | None = None
     stamp: tuple = ()  # (modification time, length) of the timeline record
+    source: str | None = None  # what a stream calls the batch
     index_at: str | None = None  # group rows folded into _index_checkpoint/<index_at>
 
 
@@ -141,7 +149,7 @@ class LakeTable:
         # fold the timeline into a checkpoint once this many loose records exist
         self.checkpoint_every = checkpoint_every
         self._loose = 0
-        self._group = ([partition] if partition else []) + [BUCKET]
+        self._group = ([PART] if partition else []) + [BUCKET]
         self._records: dict = {}
         self._map_memo = None
 
@@ -165,7 +173,7 @@ class LakeTable:
     def _action(rec: dict, stamp: tuple) -> Action:
         return Action(rec["commit"], rec["action"], rec.get("rows") or 0, rec.get("groups") or 0,
                       rec.get("schema"), rec.get("info") or "", rec.get("group_list"), stamp,
-                      rec.get("index_at"))
+                      rec.get("source"), rec.get("index_at"))
 
     def _list_timeline(self) -> list[Action]:
         tl = f"{self.path}/_timeline"
@@ -278,19 +286,28 @@ class LakeTable:
         a read does not list every retained version of the table."""
         data = self._schema(acts)
         part_col = SLICE if kind == "slices" else DELTA
-        fields = [f for f in data.fields if f.name != self.partition]
-        parts = ([T.StructField(self.partition, T.StringType())] if self.partition else [])
-        schema = T.StructType([*fields, T.StructField(part_col, T.StringType()), *parts,
+        parts = ([T.StructField(PART, T.StringType())] if self.partition else [])
+        schema = T.StructType([*data.fields, T.StructField(part_col, T.StringType()), *parts,
                                T.StructField(BUCKET, T.IntegerType())])
         root = f"{self.path}/{kind}"
         reader = self.spark.read.schema(schema).option("basePath", root)
         if commits is None:
-            return reader.parquet(root)
+            return self._valued(reader.parquet(root))
         paths = [f"{root}/{part_col}={c}" for c in sorted(set(commits))]
         paths = [q for q in paths if path_exists(self.spark, q)]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return reader.parquet(*paths)
+        return self._valued(reader.parquet(*paths))
+
+    def _valued(self, rows: DataFrame) -> DataFrame:
+        """The partition column told by its directory, so filters on it prune directories;
+        types that text can't give back exactly are read from the files."""
+        if not self.partition or not isinstance(rows.schema[self.partition].dataType,
+                                                (T.StringType, T.IntegralType, T.BooleanType, T.DateType)):
+            return rows
+        value = F.url_decode(F.replace(F.substr(PART, F.lit(3)), F.lit("~"), F.lit("%")))
+        return rows.withColumn(self.partition, F.when(F.col(PART) != "n", value)
+                               .cast(rows.schema[self.partition].dataType))
 
     def _index(self, acts: list[Action], newest_only: bool = False) -> DataFrame:
         """(group, kind, commit) rows of every action that wrote file groups.
@@ -299,7 +316,7 @@ class LakeTable:
         rather than by groups x commits."""
         root = f"{self.path}/_index"
         schema = T.StructType([
-            *([T.StructField(self.partition, T.StringType())] if self.partition else []),
+            *([T.StructField(PART, T.StringType())] if self.partition else []),
             T.StructField(BUCKET, T.IntegerType()), T.StructField("kind", T.StringType()),
             T.StructField("rows", T.LongType()), T.StructField(COMMIT_TIME, T.StringType()),
             T.StructField("_action", T.StringType())])
@@ -503,7 +520,7 @@ class LakeTable:
         if merged:
             both = merged[0] if len(merged) == 1 else merged[0].unionByName(merged[1])
             if deltas is not None:
-                both = V.snapshot(both, self.keys, None, self.merge_mode, self.precombine, self.tie)
+                both = self._latest(both)
             pieces.append(both)
         if not pieces:
             return self._empty(acts)
@@ -537,7 +554,7 @@ class LakeTable:
             out = p if out is None else out.unionByName(p)
         if deltas is not None:
             merged = deltas if dirty is None else dirty.filter(F.col(COMMIT_TIME) > begin).unionByName(deltas)
-            merged = V.snapshot(merged, self.keys, None, self.merge_mode, self.precombine, self.tie)
+            merged = self._latest(merged)
             base = clean.filter(F.col(COMMIT_TIME) > begin) if clean is not None else None
             out = merged if base is None else base.unionByName(merged)
         return out if out is not None else self._empty(acts)
@@ -553,7 +570,9 @@ class LakeTable:
             # oldest reachable base per group: its latest slice at or before the boundary
             before = idx.filter(F.col(COMMIT_TIME) < kept).groupBy(*self._group).agg(F.max(COMMIT_TIME).alias("_from"))
         else:
-            before = idx.groupBy(*self._group).agg(F.min(COMMIT_TIME).alias("_from"))
+            # a group that began with deltas has no base of its own: a compaction only folds them
+            before = (idx.filter(F.col("_action") != "compaction").groupBy(*self._group)
+                      .agg(F.min(COMMIT_TIME).alias("_from")))
         frm = self._small(before, self._bound(acts))
         rows = (sl.join(frm, self._group, "left")
                 .filter(F.col("_from").isNull() | (F.col(SLICE) >= F.col("_from"))))
@@ -569,36 +588,55 @@ class LakeTable:
         return rows.dropDuplicates([*self.keys, COMMIT_TIME])
 
     # ------------------------------------------------------------ writes
+    def _part_col(self):
+        """The partition value as a directory name: never null or empty, null and '' distinct."""
+        value = F.url_encode(F.col(self.partition).cast("string"))
+        value = F.replace(F.replace(value, F.lit("%"), F.lit("~")), F.lit("*"), F.lit("~2A"))
+        return F.coalesce(F.concat(F.lit("v."), value), F.lit("n"))
+
+    def _with_group(self, rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn(PART, self._part_col()) if self.partition else rows
+        return rows.withColumn(BUCKET, self._bucket_col())
+
     def _stamp(self, batch: DataFrame, commit: str) -> DataFrame:
-        """Precombine the batch and add the commit / key / bucket columns."""
-        rows = V.precombine(batch, self.keys, self.precombine, self.tie)
-        if self.partition:
-            rows = rows.withColumn(self.partition, F.col(self.partition).cast("string"))
+        """Precombine the batch and add the commit / key / group columns.  The table's own
+        metadata columns are made anew; other columns are kept whatever their names."""
+        clash = sorted(set(batch.columns) & set(INTERNAL))
+        if clash:
+            raise ValueError(f"columns {clash} are names that the table uses itself")
+        rows = V.precombine(batch, self.keys, [c for c in self.precombine if c in batch.columns],
+                            self._tie(batch))
         rk = self.record_key
         rec = F.col(rk[0]).cast("string") if len(rk) == 1 else F.concat_ws(
             ",", *[F.concat(F.lit(f"{k}:"), F.col(k).cast("string")) for k in rk])
-        ppath = (F.concat(F.lit(f"{self.partition}="), F.coalesce(F.col(self.partition), F.lit("")))
+        ppath = (F.concat(F.lit(f"{self.partition}="), F.coalesce(F.col(self.partition).cast("string"), F.lit("")))
                  if self.partition else F.lit(""))
-        data_cols = [c for c in rows.columns if not c.startswith("_")]
-        return rows.select(
+        return self._with_group(rows.select(
             F.lit(commit).alias(COMMIT_TIME),
             F.concat_ws("_", F.lit(commit), F.spark_partition_id().cast("string"),
                         F.monotonically_increasing_id().cast("string")).alias(COMMIT_SEQNO),
             rec.alias(RECORD_KEY_COL),
             ppath.alias(PARTITION_PATH),
-            *[F.col(c) for c in data_cols],
-            F.pmod(F.xxhash64(*[F.col(k) for k in rk]), F.lit(self.buckets)).cast("int").alias(BUCKET),
-        )
+            *[F.col(c) for c in rows.columns if c not in METADATA]))
+
+    def _tie(self, rows: DataFrame) -> list[str]:
+        return [c for c in self.tie if c in rows.columns]
 
     def _merged_schema(self, stamped: DataFrame, acts: list[Action]) -> T.StructType:
         """Schema reconcile: table schema plus any new batch columns."""
-        new = T.StructType([f for f in stamped.schema.fields if f.name != BUCKET])
+        new = T.StructType([f for f in stamped.schema.fields if f.name not in INTERNAL])
         if not any(a.schema_json for a in acts):
             return new
         old = self._schema(acts)
         fields = list(old.fields)
         names = set(old.fieldNames())
-        fields += [f for f in new.fields if f.name not in names]
+        for f in new.fields:
+            if f.name not in names:
+                fields.append(f)
+                continue
+            was, now = old[f.name].dataType.simpleString(), f.dataType.simpleString()
+            if was != now and now not in (*WIDENS.get(was, ()), "void"):
+                raise TypeError(f"column {f.name} is {was}; a batch of {now} would lose values")
         return T.StructType(fields)
 
     def _write_rows(self, rows: DataFrame, kind: str, commit: str, grouped: bool = False) -> None:
@@ -610,14 +648,15 @@ class LakeTable:
         target = f"{self.path}/{kind}/{col}={commit}"
         if not grouped:
             rows = rows.hint("rebalance", *self._group)
-        w = rows.write.mode("overwrite")
+        # a replay replaces the whole action, whatever overwrite mode the session has
+        w = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.max_records_per_file:
             w = w.option("maxRecordsPerFile", str(self.max_records_per_file))
         w.partitionBy(*self._group).parquet(target)
 
     def _write_meta(self, commit: str, action: str, groups: DataFrame | None, kind: str,
                     rows: int, n_groups: int, schema: T.StructType | None, info: str = "",
-                    group_list: list | None = None) -> None:
+                    group_list: list | None = None, source: str | None = None) -> None:
         """Index rows (file groups written) via Spark, then the timeline
         record last: written under a hidden name and renamed, so readers
         never see a partial record."""
@@ -627,7 +666,7 @@ class LakeTable:
                 .parquet(f"{self.path}/_index/{COMMIT_TIME}={commit}/_action={action}"))
         rec = {"commit": commit, "action": action, "rows": int(rows), "groups": int(n_groups),
                "schema": schema.json() if schema is not None else None, "info": info,
-               "finished_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
+               "source": source, "finished_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
         if group_list is not None:
             rec["group_list"] = [list(g) for g in group_list]
         final = f"{self.path}/_timeline/{commit}.{action}.json"
@@ -661,16 +700,41 @@ class LakeTable:
                         else F.lit(None).cast(f.dataType).alias(f.name))
         return df.select(*cols, *[F.col(c) for c in extra])
 
-    def upsert(self, batch: DataFrame, commit: str | None = None) -> str | None:
+    def _next(self, acts: list[Action]) -> str:
+        """A commit id above all others: the UTC instant, or for a table that counts its
+        commits in ids of another width, the next number."""
+        latest = max((a.commit for a in acts if a.action in DATA_ACTIONS), default="")
+        after = str(int(latest) + 1).zfill(len(latest)) if latest.isdigit() else ""
+        return after if after and len(latest) != len(utc_instant()) else max(utc_instant(), after)
+
+    def next_commit(self) -> str:
+        return self._next(self.timeline())
+
+    def _check_order(self, commit: str, acts: list[Action]) -> None:
+        latest = max((a.commit for a in acts if a.action in DATA_ACTIONS), default="")
+        if commit < latest:
+            raise ValueError(f"commit {commit} is older than the latest, {latest}: its rows could not be seen")
+        if commit == latest and any(a.action in ("compaction", "clean") and a.commit >= commit for a in acts):
+            raise ValueError(f"commit {commit} has been compacted or cleaned and can't be replayed")
+
+    def source_commit(self, source: str) -> str | None:
+        """The commit that a batch named ``source`` was written as."""
+        return next((a.commit for a in self.timeline() if a.source == source), None)
+
+    def upsert(self, batch: DataFrame, commit: str | None = None, source: str | None = None) -> str | None:
         """Write one batch as commit ``commit`` (default: UTC instant).
 
         Copy-on-write rewrites only the file groups the batch touches;
         merge-on-read appends the batch as a delta.  An empty batch writes
-        nothing.  Replaying a commit id rewrites that commit.
+        nothing.  Replaying the latest commit id rewrites that commit; an older
+        id, or one that a compaction or a clean has folded, is refused.
+        ``source`` names what the batch is, so that a stream can tell a replay.
         """
-        commit = commit or utc_instant()
+        known = self.timeline()
+        commit = commit or self._next(known)
+        self._check_order(commit, known)
         self._save_properties()
-        acts = [a for a in self.timeline() if a.commit < commit]
+        acts = [a for a in known if a.commit < commit]
         stamped = self._stamp(batch, commit).persist()
         groups = stamped.groupBy(*self._group).agg(F.count(F.lit(1)).alias("rows")).persist()
         try:
@@ -685,31 +749,26 @@ class LakeTable:
             if n_groups == 0:
                 return None
             schema = self._merged_schema(stamped, acts)
-            incoming = self._align(stamped, schema, [BUCKET])
+            incoming = self._align(stamped, schema, self._group)
             first = not any(a.action in DATA_ACTIONS for a in acts)
             if first or self.table_type == "cow":
                 if first:
                     new_rows, grouped = incoming, False
                 else:
-                    # Both sides hash-partitioned by file group; joining on
-                    # (keys, bucket) -- the bucket is a function of the key --
-                    # needs no further shuffle, and each task then writes
-                    # whole groups.
+                    # one exchange: current and incoming rows meet in their file group, the
+                    # per-key reduction and the writer both reuse that partitioning
                     only = self._group_filter(groups, n_groups, glist)
-                    current = self._align(self._current_rows(acts, only), schema, [BUCKET])
-                    new_rows = V.cow_merge(current.repartition(*self._group),
-                                           incoming.repartition(*self._group),
-                                           [*self.keys, BUCKET], self.merge_mode,
-                                           self.precombine, self.tie)
+                    current = self._align(self._current_rows(acts, only), schema, self._group)
+                    new_rows = self._reduced(current.unionByName(incoming))
                     grouped = True
                 self._write_rows(new_rows, "slices", commit, grouped=grouped)
                 action = "commit" if self.table_type == "cow" else "deltacommit"
                 self._write_meta(commit, action, groups, "slice", n_rows, n_groups, schema,
-                                 "base" if self.table_type == "mor" else "", glist)
+                                 "base" if self.table_type == "mor" else "", glist, source)
             else:
                 self._write_rows(incoming, "deltas", commit)
                 self._write_meta(commit, "deltacommit", groups, "delta", n_rows, n_groups, schema,
-                                 group_list=glist)
+                                 group_list=glist, source=source)
         finally:
             groups.unpersist()
             stamped.unpersist()
@@ -723,6 +782,16 @@ class LakeTable:
                 self.checkpoint_timeline()
         return commit
 
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        return V.snapshot(rows, self.keys, None, self.merge_mode,
+                          [c for c in self.precombine if c in rows.columns], self._tie(rows))
+
+    def _reduced(self, rows: DataFrame) -> DataFrame:
+        """Rows (with their group columns) shuffled once by file group, then the latest of
+        each key; the window treats null keys as equal."""
+        return V.snapshot(rows.repartition(*self._group), [*self._group, *self.keys], None, self.merge_mode,
+                          [c for c in self.precombine if c in rows.columns], self._tie(rows))
+
     def _maybe_compact(self, every: int) -> None:
         """Inline compaction schedule: fold deltas once ``every`` delta
         commits have accumulated since the last base was written."""
@@ -750,20 +819,34 @@ class LakeTable:
         clean, dirty, deltas = self._parts(latest, acts, only=only)
         rows = clean.unionByName(dirty)
         if deltas is not None:
-            merged = V.snapshot(dirty.unionByName(deltas), self.keys, None, self.merge_mode,
-                                self.precombine, self.tie)
+            merged = self._latest(dirty.unionByName(deltas))
             rows = clean.unionByName(merged)
-        return rows.withColumn(BUCKET, self._bucket_col())
+        return self._with_group(rows)
 
     def _bucket_col(self):
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.record_key]), F.lit(self.buckets)).cast("int")
 
     def overwrite(self, batch: DataFrame, commit: str | None = None) -> str:
-        """Recreate the table from this batch alone (new timeline)."""
+        """Recreate the table from this batch alone (new timeline).
+
+        The new table is written beside the old one, which the batch may read from, and
+        takes its place once it is complete.
+        """
+        beside = LakeTable(self.spark, f"{self.path}.new-{uuid.uuid4().hex[:8]}", **self._settings())
+        commit = beside.upsert(batch, commit)
+        if commit is None:
+            raise ValueError("overwrite with an empty batch: the table is left as it is")
         delete_path(self.spark, self.path)
+        fs, new = _fs(self.spark, beside.path)
+        fs.rename(new, _fs(self.spark, self.path)[1])
         self._records.clear()
         self._map_memo = None
-        return self.upsert(batch, commit)
+        return commit
+
+    def _settings(self) -> dict:
+        return {**self.properties(), "broadcast_rows": self.broadcast_rows, "static_groups": self.static_groups,
+                "inline_groups": self.inline_groups, "max_records_per_file": self.max_records_per_file,
+                "checkpoint_every": self.checkpoint_every}
 
     # ------------------------------------------------------------ properties
     PROPS = "_table.json"
@@ -795,7 +878,7 @@ class LakeTable:
         if inline is not None:
             dirty_list = [g for g, _, d in inline if d]
             n_dirty = len(dirty_list)
-            gschema = T.StructType([*([T.StructField(self.partition, T.StringType())] if self.partition else []),
+            gschema = T.StructType([*([T.StructField(PART, T.StringType())] if self.partition else []),
                                     T.StructField(BUCKET, T.IntegerType()), T.StructField("rows", T.LongType())])
             dirty_groups = self.spark.createDataFrame([(*g, None) for g in dirty_list], gschema)
         else:
@@ -810,9 +893,7 @@ class LakeTable:
         both = pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
         # cluster by file group once: the per-key reduction (keys + bucket)
         # and the writer both reuse that partitioning
-        both = both.withColumn(BUCKET, self._bucket_col()).repartition(*self._group)
-        merged = V.snapshot(both, [*self.keys, BUCKET], None, self.merge_mode, self.precombine, self.tie)
-        self._write_rows(merged, "slices", at, grouped=True)
+        self._write_rows(self._reduced(self._with_group(both)), "slices", at, grouped=True)
         self._write_meta(at, "compaction", dirty_groups, "slice", 0, n_dirty, None,
                          group_list=dirty_list)
         return at
@@ -846,7 +927,7 @@ class LakeTable:
             kind, col = ("slices", SLICE) if r["kind"] == "slice" else ("deltas", DELTA)
             parts = [f"{col}={r[COMMIT_TIME]}"]
             if self.partition:
-                parts.append(f"{self.partition}={r[self.partition]}")
+                parts.append(f"{PART}={r[PART]}")
             parts.append(f"{BUCKET}={r[BUCKET]}")
             delete_path(self.spark, f"{self.path}/{kind}/" + "/".join(parts))
 

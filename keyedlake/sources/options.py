@@ -19,11 +19,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .lake import LakeTable, delete_path, path_exists
+from .lake import LakeTable, path_exists
 
 _TABLE_TYPES = {"COPY_ON_WRITE": "cow", "MERGE_ON_READ": "mor", "cow": "cow", "mor": "mor"}
 
 
+#: The options that are known; any other is refused.
+_WRITE_OPTIONS = ("operation", "table.type", "recordkey.field", "partitionpath.field", "precombine.field",
+                  "tie.field", "merge.mode", "buckets", "commits.retained", "table.name", "max.records.per.file")
+_READ_OPTIONS = ("query.type", "as.of.instant", "begin.instanttime", "end.instanttime")
+
+
+def _known(options: dict, names) -> None:
+    unknown = [k for k in options if not any(k == n or k.endswith("." + n) for n in names)]
+    if unknown:
+        raise ValueError(f"unknown options {unknown}; known: {', '.join(names)}")
+
+
 def _opt(options: dict, suffix: str, default=None):
     for k, v in options.items():
         if k == suffix or k.endswith("." + suffix):
@@ -39,13 +51,12 @@ def write(df: DataFrame, path: str, mode: str = "append", commit: str | None = N
           **options) -> str | None:
     """Upsert ``df`` into the table at ``path`` (``mode="overwrite"`` recreates it)."""
     spark = df.sparkSession
+    _known(options, _WRITE_OPTIONS)
     op = _opt(options, "operation", "upsert")
-    if op not in ("upsert", "insert"):
-        raise ValueError(f"operation {op!r} is not supported (upsert, insert)")
+    if op != "upsert":
+        raise ValueError(f"operation {op!r} is not supported (upsert)")
     exists = path_exists(spark, f"{path.rstrip('/')}/{LakeTable.PROPS}")
     if mode == "overwrite" or not exists:
-        if mode == "overwrite":
-            delete_path(spark, path)
         record_key = _fields(_opt(options, "recordkey.field", "parcelId"))
         partition = _opt(options, "partitionpath.field", "area") or None
         kw = dict(
@@ -53,6 +64,7 @@ def write(df: DataFrame, path: str, mode: str = "append", commit: str | None = N
             keys=([partition] if partition else []) + record_key,
             partition=partition, record_key=record_key,
             precombine=_fields(_opt(options, "precombine.field", "transactionDate")),
+            tie=_fields(_opt(options, "tie.field", "transactionId")),
             merge_mode=_opt(options, "merge.mode", "commit_time"),
             buckets=int(_opt(options, "buckets", 16)),
         )
@@ -64,11 +76,15 @@ def write(df: DataFrame, path: str, mode: str = "append", commit: str | None = N
     retain = _opt(options, "commits.retained")
     if retain is not None:
         table.retain_commits = int(retain)
-    return table.upsert(df, commit)
+    most = _opt(options, "max.records.per.file")
+    if most is not None:
+        table.max_records_per_file = int(most)
+    return table.overwrite(df, commit) if mode == "overwrite" else table.upsert(df, commit)
 
 
 def read(spark: SparkSession, path: str, **options) -> DataFrame:
     """Snapshot (default), time travel, incremental or read-optimised read."""
+    _known(options, _READ_OPTIONS)
     table = LakeTable.open(spark, path)
     qtype = _opt(options, "query.type", "snapshot")
     if qtype == "snapshot":

@@ -23,7 +23,7 @@ def table_ingest(envelope: DataFrame, table: LakeTable, checkpoint: str,
                  trigger: str = RUN.TRIGGER_TABLE, available_now: bool = False) -> StreamingQuery:
     """Parse, drop key-less messages, upsert each micro-batch into the lake table."""
     parsed = parse_transactions(envelope, layout="table")
-    return RUN.start(parsed.writeStream.foreachBatch(SK.lake_sink(table)), checkpoint,
+    return RUN.start(parsed.writeStream.foreachBatch(SK.lake_sink(table, stream=checkpoint)), checkpoint,
                      trigger=trigger, available_now=available_now)
 
 
@@ -31,15 +31,16 @@ def relational_ingest(envelope: DataFrame, checkpoint: str, table: LakeTable | N
                       jdbc_url: str | None = None, jdbc_table: str = "property_transactions",
                       jdbc_properties: Mapping[str, str] | None = None,
                       trigger: str = RUN.TRIGGER_RELATIONAL, available_now: bool = False,
-                      rejected_path: str | None = None) -> StreamingQuery:
+                      rejected_path: str | None = None, report_path: str | None = None) -> StreamingQuery:
     """Parse, then keep the current state per parcel: a keyed parquet table
     (``table``) or a database table through staging + ``MERGE`` (``jdbc_url``).
     ``update`` mode, as the reference runs it (no aggregation: same as append)."""
     parsed = parse_transactions(envelope, layout="table")
     if (table is None) == (jdbc_url is None):
         raise ValueError("give exactly one of table= or jdbc_url=")
-    body = (SK.relational_sink(table, rejected_path=rejected_path) if table is not None
-            else SK.jdbc_sink(jdbc_url, jdbc_table, jdbc_properties))
+    kept = {"rejected_path": rejected_path, "report_path": report_path}
+    body = (SK.relational_sink(table, **kept, stream=checkpoint) if table is not None
+            else SK.jdbc_sink(jdbc_url, jdbc_table, jdbc_properties, **kept))
     return RUN.start(parsed.writeStream.foreachBatch(body), checkpoint, trigger=trigger,
                      available_now=available_now, output_mode="update")
 

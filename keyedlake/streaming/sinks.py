@@ -9,22 +9,42 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.normalize import conform_to_table, split_valid_rejected, to_relational
-from ..operators.relational import jdbc_merge
+from ..operators.relational import batch_report, jdbc_merge, prepare_batch
 from ..sources.lake import LakeTable
 
 
 def commit_id(batch_id: int, width: int = 20) -> str:
-    """Streaming commit id: zero-padded batch id, so a replayed batch
-    rewrites the same commit (idempotent) and ids sort as numbers."""
+    """A commit id that is the zero-padded batch id, for tables that one stream alone writes."""
     return f"{batch_id:0{width}d}"
 
 
-def lake_sink(table: LakeTable, width: int = 20) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: upsert the micro-batch as commit ``batch_id``."""
+def _commit(table: LakeTable, batch_id: int, width: int | None, stream: str) -> tuple[str, str]:
+    """The batch's commit and name.  A replayed batch keeps the commit it had; a new one gets
+    the table's next commit, above whatever batch jobs wrote to the same table."""
+    source = f"{stream}:{batch_id}"
+    if width:
+        return commit_id(batch_id, width), source
+    return table.source_commit(source) or table.next_commit(), source
+
+
+def _upsert(table: LakeTable, df: DataFrame, batch_id: int, width: int | None, stream: str) -> None:
+    commit, source = _commit(table, batch_id, width, stream)
+    if table.source_commit(source) and commit < table.commits()[-1]:
+        return  # already written, and commits came after it
+    table.upsert(df, commit=commit, source=source)
+
+
+def lake_sink(table: LakeTable, width: int | None = None,
+              stream: str = "stream") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: upsert the micro-batch as the table's next commit.
+
+    ``stream`` names the stream (its checkpoint): a replayed batch of one name rewrites
+    its own commit.  ``width`` makes the batch id itself the commit id instead.
+    """
     def write(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():
             return
-        table.upsert(df, commit=commit_id(batch_id, width))
+        _upsert(table, df, batch_id, width, stream)
     return write
 
 
@@ -36,28 +56,59 @@ def relational_rows(df: DataFrame, batch_id: int, limits: Mapping[str, int] | No
     return split_valid_rejected(conform_to_table(rows, limits))
 
 
-def relational_sink(table: LakeTable, width: int = 20,
+def _settled(prepared: DataFrame, batch_id: int, rejected_path: str | None, report_path: str | None) -> DataFrame:
+    """Keep the rejected rows, or fail the batch if there is nowhere to keep them; keep the
+    batch's report.  A replay overwrites both.  Returns the valid rows."""
+    report = batch_report(prepared)
+    valid, rejected = split_valid_rejected(prepared)
+    if rejected_path:
+        (rejected.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{rejected_path}/batch={batch_id}"))
+    elif not rejected.isEmpty():
+        raise ValueError(f"batch {batch_id}: rows do not fit the table and no rejected_path is given")
+    if report_path:
+        (report.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{report_path}/batch={batch_id}"))
+    return valid
+
+
+def relational_sink(table: LakeTable, width: int | None = None,
                     limits: Mapping[str, int] | None = None,
-                    rejected_path: str | None = None) -> Callable[[DataFrame, int], None]:
+                    rejected_path: str | None = None, report_path: str | None = None,
+                    stream: str = "stream") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body for the current-state table kept as a keyed
-    parquet table (key ``parcel_id``, last arrival wins).  Rows that do not
-    fit the table go to ``rejected_path`` with their reason."""
+    parquet table (key ``parcel_id``, last arrival wins).
+
+    Rows that do not fit the table go to ``rejected_path`` with their reason; without it
+    they fail the batch.  ``report_path`` keeps rows in / written / rejected per batch.
+    The batch is computed once.
+    """
     def write(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        valid, rejected = relational_rows(df, batch_id, limits)
-        if rejected_path:
-            rejected.write.mode("append").parquet(f"{rejected_path}/batch={batch_id}")
-        table.upsert(valid, commit=commit_id(batch_id, width))
+        prepared = conform_to_table(to_relational(df.withColumn("_batch_id", F.lit(batch_id).cast("long")))
+                                    .withColumn("last_updated", F.current_timestamp()), limits).persist()
+        try:
+            if prepared.isEmpty():
+                return
+            valid = _settled(prepared, batch_id, rejected_path, report_path)
+            _upsert(table, valid.drop("_batch_id", "_reject_reason"), batch_id, width, stream)
+        finally:
+            prepared.unpersist()
     return write
 
 
 def jdbc_sink(url: str, target: str, properties: Mapping[str, str] | None = None,
-              limits: Mapping[str, int] | None = None) -> Callable[[DataFrame, int], None]:
+              limits: Mapping[str, int] | None = None, rejected_path: str | None = None,
+              report_path: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body for a database table; rejected rows and reports as in
+    :func:`relational_sink`."""
     def write(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        jdbc_merge(df, batch_id, url, target, properties, limits)
+        prepared = prepare_batch(df, batch_id, limits).persist()
+        try:
+            if prepared.isEmpty():
+                return
+            jdbc_merge(_settled(prepared, batch_id, rejected_path, report_path), batch_id, url, target, properties)
+        finally:
+            prepared.unpersist()
     return write
 
 
