@@ -7,7 +7,7 @@ Times (warm, median of ``BENCH_REPS``, default 3) at ``$BENCH_SF_DIR``
 * cow_upsert / mor_upsert: one more commit into a 4-commit table
 * snapshot_cow / snapshot_mor / read_optimized / compaction / read_after_compaction
 * relational_upsert (state after 5 batches, last arrival wins)
-* windowed_count (5-minute windows by area, streaming, complete mode)
+* windowed_count (5-minute windows by area, streaming, watermarked, append mode)
 * area_report (ENV -> parse -> precombine -> snapshot -> area summary)
 
 Results are forced with the ``noop`` sink (full computation, no collect).
@@ -84,7 +84,7 @@ def main() -> None:
     out["read_after_compaction"] = timed(lambda: force(tables["mor"].snapshot()))
 
     out["relational_upsert"] = timed(lambda: force(C.q_relational_upsert(spark, sf)))
-    out["windowed_count"] = timed(lambda: force(C.q_windowed_area_count(spark, sf)))
+    out["windowed_count"] = timed(lambda: force(C.q_stream_window_append(spark, sf)))
     out["area_report"] = timed(lambda: force(C.q_ingest_snapshot_report(spark, sf)))
 
     claims = {

@@ -1,9 +1,7 @@
-"""File stream source and literal rows."""
+"""File stream source."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -23,8 +21,3 @@ def file_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: s
     for k, v in options.items():
         r = r.option(k, str(v))
     return r.load(path)
-
-
-def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType | str) -> DataFrame:
-    """A bounded frame from in-code rows with an explicit schema."""
-    return spark.createDataFrame(list(rows), schema)

@@ -5,6 +5,8 @@ compaction and retention keep as-of reads)."""
 import pytest
 from pyspark.sql import functions as F
 
+from lab_rows import lab_batch
+
 from keyedlake.plans import catalog as C
 from keyedlake.plans import fixtures as FX
 from keyedlake.plans import reports as REP
@@ -23,7 +25,7 @@ def lab12(spark):
     t = LakeTable(spark, scratch_path(spark, "test-golden12"), table_type="cow", buckets=2)
     sizes = []
     for i, c in enumerate(["001", "002", "003"]):
-        t.upsert(FX.lab_batch(spark, i), commit=c)
+        t.upsert(lab_batch(spark, i), commit=c)
         sizes.append(t.snapshot().count())
     return t, sizes
 
@@ -191,7 +193,7 @@ def test_option_style_read_write(spark, tmp_table):
     opts = {"prefix.datasource.write.table.type": "MERGE_ON_READ", "recordkey.field": "parcelId",
             "partitionpath.field": "area", "precombine.field": "transactionDate"}
     for i, c in enumerate(["001", "002", "003"]):
-        O.write(FX.lab_batch(spark, i), path, mode="overwrite" if i == 0 else "append", commit=c, **opts)
+        O.write(lab_batch(spark, i), path, mode="overwrite" if i == 0 else "append", commit=c, **opts)
     assert O.read(spark, path).count() == 7
     assert O.read(spark, path, **{"as.of.instant": "001"}).count() == 5
     inc = O.read(spark, path, **{"query.type": "incremental", "begin.instanttime": "002",
