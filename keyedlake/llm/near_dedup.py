@@ -12,13 +12,12 @@
    more below the threshold leave.  The others are confirmed on the full sets.
 5. *The rest.*  Components of the confirmed links are formed.  A bucket within one
    component has nothing left to find.  In the others the pairs across components are
-   estimated in blocks (never written as pairs), and those that pass are confirmed:
-   first the ``FIRST_PARTNERS`` best partners of a class in each other component, then,
-   with the components formed again, every pair that is left.  No link of two classes
-   that share a bucket is lost, whatever the bucket's size.
+   estimated and compared on shingle hashes in blocks (never written as pairs); pairs
+   that link components are confirmed on the full sets and the components formed again.
+   No link of two components that share a bucket is lost, whatever the bucket's size.
 
 At the threshold of 0.8 a pair shares no bucket with probability (1 - 0.8**4)**32, or
-5e-8, and is estimated below the margin with about 3e-7.
+5e-8, and is estimated below the margin with about 1e-5.
 
 Defined results
 ---------------
@@ -47,11 +46,11 @@ REGISTERS = BANDS * ROWS
 #: Base and rate of the registers, and their largest value but one.
 BASE, RATE, Q = 1.001, 20.0, 2**16 - 2
 #: How far below the threshold an estimate may be for the pair to be confirmed.
-MARGIN = 0.18
-#: Best partners that the first pass over split buckets confirms.
-FIRST_PARTNERS = 4
+MARGIN = 0.15
 #: Most members of a bucket that one task compares with as many others.
-BLOCK_MEMBERS = 4096
+BLOCK_MEMBERS = 2048
+#: Members of small buckets that one task takes together, about.
+GROUP_MEMBERS = 4096
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _RANDOM = np.random.default_rng(20240501)
@@ -195,65 +194,107 @@ def _confirmed(pairs: DataFrame, candidates: DataFrame, width: int, threshold: i
     return staged(arrow_map(rows, _verify(width, threshold), "a long, b long, linked boolean"), "verified")
 
 
-def _rest_of_block(threshold: int, partners: int | None):
-    """Pairs across components of one bucket (or of two blocks of a large one) that pass
-    the estimate; a pair is left to the first bucket that holds both."""
+def _pairs_of(rows: np.ndarray, other: np.ndarray | None, most: int = 1 << 16):
+    """All pairs of ``rows`` (or of ``rows`` with ``other``), ``most`` or fewer at a time."""
+    if other is None:
+        if len(rows) <= 256:
+            p, q = np.triu_indices(len(rows), 1)
+            yield rows[p], rows[q]
+            return
+        for k in range(len(rows) - 1):
+            yield np.full(len(rows) - k - 1, rows[k]), rows[k + 1:]
+        return
+    step = max(1, most // max(1, len(other)))
+    for k in range(0, len(rows), step):
+        x = rows[k:k + step]
+        yield np.repeat(x, len(other)), np.tile(other, len(x))
+
+
+def _rest_of_blocks(width: int, threshold: int):
+    """Links across components within each bucket (or two blocks of a large one).
+
+    Pairs that pass the estimate are compared on their shingle hashes; a pair whose
+    components this task has linked already is left out, so a dense group gives as many
+    rows as it has components, not as it has pairs.
+    """
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        band_key, i, j = key
-        rows = rows.sort_values(["part", "node"], kind="stable")
-        regs, part = _regs(rows["registers"]), rows["part"].to_numpy()
-        node, comp, size = (rows[c].to_numpy() for c in ("node", "comp", "n_shingles"))
-        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        band = int(rows["band"].iloc[0])
-        step = max(1, (1 << 24) // max(1, len(right) * REGISTERS))
-        found = []
-        for k in range(0, len(left), step):
-            x = left[k:k + step]
-            across = comp[x][:, None] != comp[right][None, :]
-            if i == j:
-                across &= node[x][:, None] < node[right][None, :]
-            p, q = np.nonzero(across)
-            for at in range(0, len(p), 1 << 16):
-                a, b = x[p[at:at + (1 << 16)]], right[q[at:at + (1 << 16)]]
-                ok = 100 * np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b])
-                a, b = a[ok], b[ok]
-                if not len(a):
+        rows = rows.sort_values(["band_key", "i", "j", "part", "node"], kind="stable").reset_index(drop=True)
+        regs, text = _regs(rows["registers"]), rows["text"]
+        node, comp, size, band, part, i, j = (rows[c].to_numpy() for c in (
+            "node", "comp", "n_shingles", "band", "part", "i", "j"))
+        sets: dict[int, np.ndarray] = {}
+        parent: dict[int, int] = {}
+        links, waiting, n_waiting = [], [], 0
+
+        def root(c: int) -> int:
+            while (up := parent.get(c, c)) != c:
+                parent[c] = c = parent.get(up, up)
+            return c
+
+        def hashes(row: int) -> np.ndarray:
+            n = node[row]
+            if n not in sets:
+                sets[n] = shingle_hashes(text[row], width)
+            return sets[n]
+
+        def compare():
+            a, b = (np.concatenate(x) for x in zip(*waiting))
+            for at in range(0, len(a), 1 << 16):
+                u, v = a[at:at + (1 << 16)], b[at:at + (1 << 16)]
+                ok = (comp[u] != comp[v]) & (100 * np.minimum(size[u], size[v]) >=
+                                             threshold * np.maximum(size[u], size[v]))
+                u, v = u[ok], v[ok]
+                if not len(u):
                     continue
-                larger, smaller = (regs[a] > regs[b]).sum(axis=1), (regs[a] < regs[b]).sum(axis=1)
-                same = (regs[a] == regs[b]).reshape(-1, BANDS, ROWS).all(axis=2)
-                ok = (same.argmax(axis=1) == band) & _passes(larger, smaller, size[a], size[b], threshold)
-                found.append(np.stack([a[ok], b[ok], REGISTERS - larger[ok] - smaller[ok]], axis=1))
-        found = np.concatenate(found) if found else np.empty((0, 3), np.int64)
-        if partners and len(found):
-            keep = np.zeros(len(found), bool)
-            for u, v in ((0, 1), (1, 0)):  # the best partners of either end in each other component
-                order = np.lexsort((-found[:, 2], comp[found[:, v]], found[:, u]))
-                group = np.stack([found[order, u], comp[found[order, v]]], axis=1)
-                new = np.concatenate([[True], (np.diff(group, axis=0) != 0).any(axis=1)])
-                start = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-                keep[order[np.arange(len(order)) - start < partners]] = True
-            found = found[keep]
-        a, b = node[found[:, 0]], node[found[:, 1]]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+                larger, smaller = (regs[u] > regs[v]).sum(axis=1), (regs[u] < regs[v]).sum(axis=1)
+                # a pair is left to the first bucket that holds both
+                same = (regs[u] == regs[v]).reshape(-1, BANDS, ROWS).all(axis=2)
+                ok = (same.argmax(axis=1) == band[u]) & _passes(larger, smaller, size[u], size[v], threshold)
+                for x, y in zip(u[ok].tolist(), v[ok].tolist()):
+                    p, q = root(comp[x]), root(comp[y])
+                    if p == q:
+                        continue
+                    both = len(np.intersect1d(hashes(x), hashes(y), assume_unique=True))
+                    if 100 * both >= threshold * (size[x] + size[y] - both):
+                        parent[max(p, q)] = min(p, q)
+                        links.append((min(node[x], node[y]), max(node[x], node[y])))
+
+        blocks = np.flatnonzero((np.diff(rows["band_key"]) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+        for block in np.split(np.arange(len(rows)), blocks):
+            first = block[0]
+            left = block[part[block] == i[first]]
+            for pair in _pairs_of(left, None if i[first] == j[first] else block[part[block] == j[first]]):
+                waiting.append(pair)
+                n_waiting += len(pair[0])
+                if n_waiting >= 1 << 16:
+                    compare()
+                    waiting, n_waiting = [], 0
+        if waiting:
+            compare()
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
     return run
 
 
-def _rest(members: DataFrame, candidates: DataFrame, labels: DataFrame, verified: DataFrame,
-          threshold: int, partners: int | None) -> DataFrame:
-    """Candidate pairs of buckets that hold several components, without those verified."""
-    placed = (members.join(labels.withColumnRenamed("label", "comp"), "node", "left")
+def _rest(members: DataFrame, candidates: DataFrame, labels: DataFrame, width: int, threshold: int) -> DataFrame:
+    """Pairs that link components within buckets that hold several.
+
+    Pairs with a bucket's least member have all been verified, so it is left out.
+    """
+    placed = (members.filter("node <> leader").join(labels.withColumnRenamed("label", "comp"), "node", "left")
               .withColumn("comp", F.coalesce("comp", "node")))
     split = (placed.groupBy("band_key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
                                             F.count(F.lit(1)).alias("n"))
-             .filter("low <> high").select("band_key", F.ceil(F.col("n") / BLOCK_MEMBERS).alias("parts")))
+             .filter("low <> high").select("band_key", "n", F.ceil(F.col("n") / BLOCK_MEMBERS).alias("parts")))
+    split = staged(split, "split-buckets")
+    groups = -(-(split.agg(F.sum("n")).first()[0] or 1) // GROUP_MEMBERS)
     rows = (placed.join(split, "band_key")
             .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
             .withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
-            .join(candidates.select("node", "n_shingles", "registers"), "node")
-            .select("band_key", "band", "i", "j", "part", "node", "comp", "n_shingles", "registers"))
-    pairs = rows.groupBy("band_key", "i", "j").applyInPandas(_rest_of_block(threshold, partners), "a long, b long")
-    return pairs.distinct().join(verified.select("a", "b"), ["a", "b"], "left_anti")
+            .join(candidates.select("node", "n_shingles", "registers", "text"), "node")
+            .withColumn("group", F.pmod(F.xxhash64("band_key", "i", "j"), F.lit(groups)))
+            .select("group", "band_key", "band", "i", "j", "part", "node", "comp", "n_shingles", "registers", "text"))
+    return rows.groupBy("group").applyInPandas(_rest_of_blocks(width, threshold), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
@@ -281,10 +322,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
     pairs = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     verified = _confirmed(pairs, candidates, width, threshold)
     labels = connected_components(verified.filter("linked").select("a", "b"))
-    for partners in (FIRST_PARTNERS, None):
-        rest = staged(_rest(members, candidates, labels, verified, threshold, partners), "rest")
-        if rest.isEmpty():
-            break
+    rest = staged(_rest(members, candidates, labels, width, threshold), "rest")
+    if not rest.isEmpty():
         verified = verified.unionByName(_confirmed(rest, candidates, width, threshold))
         labels = connected_components(verified.filter("linked").select("a", "b"))
     named = classes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("class_label"))
