@@ -16,6 +16,8 @@ SLICE_BYTES = 4 << 20
 #: Bytes that Spark puts into one Arrow batch for a Python worker.
 ARROW_BATCH_BYTES = 16 << 20
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -55,7 +57,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     This cuts lineage: a lost executor costs the rerun of single tasks only.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")  # what was shuffled for the table isn't needed once it is written
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -50,7 +50,7 @@ from .common import arrow_map, sha256_hex, slices, staged, text_bytes
 LENGTH = 50
 Q = 26
 #: Bytes of text whose keys share a bucket, when announced and when sent with their bytes.
-BUCKET_BYTES, REFINED_BYTES = 16 << 20, 4 << 20
+BUCKET_BYTES, REFINED_BYTES = 32 << 20, 8 << 20
 #: A longer text is worked on in segments of so many bytes.
 SEGMENT = 2 << 20
 
@@ -130,13 +130,26 @@ class Runs:
         return self.data[a:a + self.windows[i] + LENGTH - 1]
 
 
+def _compressed(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.compress(data, 1) if data else b""
+
+
+def _plain(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.decompress(data) if data else b""
+
+
 def _packed(values: np.ndarray) -> bytes:
-    """32-bit integers by byte planes (the upper ones are mostly zero and compress well)."""
-    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """32-bit integers by byte planes (the upper ones are mostly zero), compressed."""
+    return _compressed(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    planes = np.frombuffer(_plain(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
 def _split(groups: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -148,19 +161,22 @@ def _split(groups: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndar
 
 
 #: Rows between steps: a bucket (of keys if not negative, else of documents that need no
-#: comparison), and per document its id, its text's key and packed numbers.
+#: comparison), and per document its id, its text's key, its number of runs (``owner``)
+#: and per run packed numbers.
 _ANNOUNCED = "bucket int, docs binary, owner binary, mark binary, start binary, windows binary, content binary"
 _NAMES = ["bucket", "docs", "owner", "mark", "start", "windows", "content"]
 _TYPES = [pa.int32()] + [pa.binary()] * 6
-_TOLD = "doc_id long, text_key long, begin binary, end binary"
+#: What is found out, for all documents of one destination in one row, and then per document.
+_TOLD = "dest int, docs binary, owner binary, begin binary, end binary"
+_DOCUMENT = "doc_id long, text_key long, begin binary, end binary"
 
 
 def _message(bucket: int, docs: np.ndarray, rows: np.ndarray, mark=None, start=None, windows=None, content=b""):
-    """One row of _ANNOUNCED about runs of documents ``rows``; docs: (id, text key) by row."""
-    used, owner = np.unique(rows, return_inverse=True)
+    """One row of _ANNOUNCED about runs of documents ``rows`` (in order); docs: (id, text key) by row."""
+    used, owner = np.unique(rows, return_counts=True)
     none = np.zeros(0, np.int64)
-    return (bucket, docs[used].tobytes(), _packed(owner), (none if mark is None else mark).astype("<u4").tobytes(),
-            _packed(none if start is None else start), _packed(none if windows is None else windows), content)
+    return (bucket, _compressed(docs[used].T.tobytes()), _packed(owner), (none if mark is None else mark).astype("<u4").tobytes(),
+            _packed(none if start is None else start), _packed(none if windows is None else windows), _compressed(content))
 
 
 def _as_batch(messages: list[tuple]) -> pa.RecordBatch:
@@ -204,9 +220,9 @@ def _announce(buckets: int):
                 for b, part in _split(bucket, order):
                     out.append(_message(b, docs, runs.row[part], mark[part], runs.start[part]))
                 known = np.flatnonzero(~asks)
-                for row, part in _split(runs.row, known[np.argsort(runs.row[known], kind="stable")]):
-                    spread = -1 - int(docs[row, 0] % buckets)
-                    out.append(_message(spread, docs, runs.row[part], None, runs.start[part]))
+                spread = docs[runs.row, 0] % buckets
+                for k, part in _split(spread, known[np.argsort(spread[known], kind="stable")]):
+                    out.append(_message(-1 - k, docs, runs.row[part], None, runs.start[part]))
             if out:
                 yield _as_batch(out)
     return run
@@ -214,35 +230,53 @@ def _announce(buckets: int):
 
 def _gathered(rows: pd.DataFrame):
     """All messages of a bucket as one: docs, and per run its document and numbers."""
-    docs = [np.frombuffer(d, np.int64).reshape(-1, 2) for d in rows["docs"]]
+    docs = [np.frombuffer(_plain(d), np.int64).reshape(2, -1).T for d in rows["docs"]]
     base = np.cumsum([0] + [len(d) for d in docs])
-    owner = [_unpacked(o) + b for o, b in zip(rows["owner"], base)]
+    owner = [np.repeat(np.arange(b, b + len(d)), _unpacked(o)) for o, b, d in zip(rows["owner"], base, docs)]
     join = lambda parts: np.concatenate(parts) if len(parts) else np.zeros(0, np.int64)
     return (np.concatenate(docs), join(owner),
             join([np.frombuffer(m, "<u4") for m in rows["mark"]]), join([_unpacked(s) for s in rows["start"]]),
             join([_unpacked(w) for w in rows["windows"]]))
 
 
-def _told(docs: np.ndarray, owner: np.ndarray, begin: np.ndarray, end: np.ndarray | None = None) -> pd.DataFrame:
-    """Rows of _TOLD, one a document."""
-    rows = [(int(docs[o, 0]), int(docs[o, 1]), _packed(begin[part]), b"" if end is None else _packed(end[part]))
-            for o, part in _split(owner, np.argsort(owner, kind="stable"))]
-    return pd.DataFrame(rows, columns=["doc_id", "text_key", "begin", "end"])
+def _told(dests: int, docs: np.ndarray, owner: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pd.DataFrame:
+    """Rows of _TOLD, one a destination: documents are dealt by id."""
+    dest = docs[owner, 0] % dests
+    rows = []
+    for d, part in _split(dest, np.lexsort((owner, dest))):
+        used, count = np.unique(owner[part], return_counts=True)
+        rows.append((d, _compressed(docs[used].T.tobytes()), _packed(count), _packed(begin[part]), _packed(end[part])))
+    return pd.DataFrame(rows, columns=["dest", "docs", "owner", "begin", "end"])
 
 
-def _shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _per_document(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """All that was told of each document of a destination, as 32-bit integers."""
+    docs = [np.frombuffer(_plain(d), np.int64).reshape(2, -1).T for d in rows["docs"]]
+    owner = np.concatenate([np.repeat(d, _unpacked(o), axis=0) for d, o in zip(docs, rows["owner"])])
+    begin = np.concatenate([_unpacked(x) for x in rows["begin"]]).astype("<u4")
+    end = np.concatenate([_unpacked(x) for x in rows["end"]]).astype("<u4")
+    ids, group = np.unique(owner, axis=0, return_inverse=True)
+    group = group.ravel()
+    out = [(int(ids[g, 0]), int(ids[g, 1]), begin[part].tobytes(), end[part].tobytes())
+           for g, part in _split(group, np.argsort(group, kind="stable"))]
+    return pd.DataFrame(out, columns=["doc_id", "text_key", "begin", "end"])
+
+
+def _shared(dests: int):
     """Runs whose key occurs in several documents of the bucket."""
-    docs, owner, mark, start, _ = _gathered(rows)
-    if key[0] < 0 or not len(owner):
-        return _told(docs, owner, start)
-    _, group = np.unique(mark, return_inverse=True)
-    ids = docs[owner, 0]
-    least = np.full(group.max() + 1, np.iinfo(np.int64).max)
-    most = np.full(group.max() + 1, np.iinfo(np.int64).min)
-    np.minimum.at(least, group, ids)
-    np.maximum.at(most, group, ids)
-    chosen = np.flatnonzero((least < most)[group])
-    return _told(docs, owner[chosen], start[chosen])
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        docs, owner, mark, start, _ = _gathered(rows)
+        if key[0] < 0 or not len(owner):
+            return _told(dests, docs, owner, start, start)
+        _, group = np.unique(mark, return_inverse=True)
+        ids = docs[owner, 0]
+        least = np.full(group.max() + 1, np.iinfo(np.int64).max)
+        most = np.full(group.max() + 1, np.iinfo(np.int64).min)
+        np.minimum.at(least, group, ids)
+        np.maximum.at(most, group, ids)
+        chosen = np.flatnonzero((least < most)[group])
+        return _told(dests, docs, owner[chosen], start[chosen], start[chosen])
+    return run
 
 
 def _send(buckets: int):
@@ -250,7 +284,7 @@ def _send(buckets: int):
     def run(batches):
         for batch in slices(batches, limit=SEGMENT):
             docs, out = _docs_of(batch), []
-            wanted = [np.concatenate([_unpacked(b) for b in told]) for told in batch.column("told").to_pylist()]
+            wanted = [np.frombuffer(told, "<u4").astype(np.int64) for told in batch.column("begin").to_pylist()]
             for pieces in _pieces(_texts_of(batch)):
                 runs = Runs(pieces)
                 # (row, start) as one number, starts being below 2**32
@@ -269,9 +303,9 @@ def _send(buckets: int):
                     out.append(_message(b, docs, runs.row[at], None, runs.start[at], runs.windows[at],
                                         b"".join(content[i] for i in part)))
                 known = left[~sent]
-                for row, part in _split(runs.row, known[np.argsort(runs.row[known], kind="stable")]):
-                    spread = -1 - int(docs[row, 0] % buckets)
-                    out.append(_message(spread, docs, runs.row[part], None, runs.start[part], runs.windows[part]))
+                spread = docs[runs.row, 0] % buckets
+                for k, part in _split(spread, known[np.argsort(spread[known], kind="stable")]):
+                    out.append(_message(-1 - k, docs, runs.row[part], None, runs.start[part], runs.windows[part]))
             if out:
                 yield _as_batch(out)
     return run
@@ -313,48 +347,49 @@ def refine(data: bytes, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _removed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _removed(dests: int):
     """Byte spans of a bucket's runs that also start in a smaller document."""
-    docs, owner, _, start, windows = _gathered(rows)
-    if key[0] < 0 or not len(owner):
-        return _told(docs, owner, start, start + windows + LENGTH - 1)
-    data = b"".join(rows["content"])
-    sizes = windows + LENGTH - 1
-    ends = np.cumsum(sizes)
-    classes: dict[bytes, int] = {}
-    kind = np.array([classes.setdefault(data[a:b], len(classes)) for a, b in zip(ends - sizes, ends)], np.int64)
-    ids = docs[owner, 0]
-    least = np.full(len(classes), np.iinfo(np.int64).max)
-    np.minimum.at(least, kind, ids)
-    # windows of the distinct runs, then of all runs
-    count = np.array([len(c) - LENGTH + 1 for c in classes], np.int64)
-    first = np.cumsum(count) - count
-    place = np.arange(count.sum()) + np.repeat(np.arange(len(count)) * (LENGTH - 1), count)
-    bucket = refine(b"".join(classes), place)
-    window_least = np.repeat(least, count)
-    shared = bucket >= 0
-    if shared.any():
-        best = np.full(bucket.max() + 1, np.iinfo(np.int64).max)
-        np.minimum.at(best, bucket[shared], window_least[shared])
-        window_least[shared] = best[bucket[shared]]
-    run = np.repeat(np.arange(len(owner)), windows)
-    nth = np.arange(len(run)) - np.repeat(np.cumsum(windows) - windows, windows)
-    gone = window_least[first[kind[run]] + nth] < ids[run]
-    # spans of consecutive windows that go, within each run
-    edge = np.concatenate([[True], run[1:] != run[:-1]])
-    begins = np.flatnonzero(gone & (edge | ~np.concatenate([[False], gone[:-1]])))
-    last = np.flatnonzero(gone & np.concatenate([edge[1:] | ~gone[1:], [True]]))
-    return _told(docs, owner[run[begins]], start[run[begins]] + nth[begins],
-                 start[run[begins]] + nth[last] + LENGTH)
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        docs, owner, _, start, windows = _gathered(rows)
+        if key[0] < 0 or not len(owner):
+            return _told(dests, docs, owner, start, start + windows + LENGTH - 1)
+        data = b"".join(map(_plain, rows["content"]))
+        sizes = windows + LENGTH - 1
+        ends = np.cumsum(sizes)
+        classes: dict[bytes, int] = {}
+        kind = np.array([classes.setdefault(data[a:b], len(classes)) for a, b in zip(ends - sizes, ends)], np.int64)
+        ids = docs[owner, 0]
+        least = np.full(len(classes), np.iinfo(np.int64).max)
+        np.minimum.at(least, kind, ids)
+        # windows of the distinct runs, then of all runs
+        count = np.array([len(c) - LENGTH + 1 for c in classes], np.int64)
+        first = np.cumsum(count) - count
+        place = np.arange(count.sum()) + np.repeat(np.arange(len(count)) * (LENGTH - 1), count)
+        bucket = refine(b"".join(classes), place)
+        window_least = np.repeat(least, count)
+        shared = bucket >= 0
+        if shared.any():
+            best = np.full(bucket.max() + 1, np.iinfo(np.int64).max)
+            np.minimum.at(best, bucket[shared], window_least[shared])
+            window_least[shared] = best[bucket[shared]]
+        of = np.repeat(np.arange(len(owner)), windows)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+        gone = window_least[first[kind[of]] + nth] < ids[of]
+        # spans of consecutive windows that go, within each run
+        edge = np.concatenate([[True], of[1:] != of[:-1]])
+        begins = np.flatnonzero(gone & (edge | ~np.concatenate([[False], gone[:-1]])))
+        last = np.flatnonzero(gone & np.concatenate([edge[1:] | ~gone[1:], [True]]))
+        return _told(dests, docs, owner[of[begins]], start[of[begins]] + nth[begins],
+                     start[of[begins]] + nth[last] + LENGTH)
+    return run
 
 
 def _cut(batches):
     """Digests of each row and, in ``kept``, what is left of its text."""
     for batch in slices(batches, limit=SEGMENT):
         out = []
-        for text, told in zip(_texts_of(batch), batch.column("told").to_pylist()):
-            spans = sorted((int(a), int(b)) for t in told or [] for a, b in
-                           zip(_unpacked(t["begin"]), _unpacked(t["end"])))
+        for text, begin, end in zip(_texts_of(batch), *(batch.column(c).to_pylist() for c in ("begin", "end"))):
+            spans = sorted(zip(*(np.frombuffer(x or b"", "<u4").tolist() for x in (begin, end))))
             merged: list[list[int]] = []
             for a, b in spans:
                 if merged and a <= merged[-1][1]:
@@ -379,10 +414,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     buckets, refined = max(8, -(-total // BUCKET_BYTES)), max(8, -(-total // REFINED_BYTES))
     known = texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
     document = ["doc_id", "text_key"]
-    shared = (arrow_map(known, _announce(buckets), _ANNOUNCED).groupBy("bucket").applyInPandas(_shared, _TOLD)
-              .groupBy(*document).agg(F.collect_list("begin").alias("told")))
-    removed = (arrow_map(known.join(shared, document), _send(refined), _ANNOUNCED)
-               .groupBy("bucket").applyInPandas(_removed, _TOLD))
-    removed = staged(removed, "repeats").groupBy(*document).agg(F.collect_list(F.struct("begin", "end")).alias("told"))
+
+    def by_document(told: DataFrame) -> DataFrame:
+        return told.groupBy("dest").applyInPandas(_per_document, _DOCUMENT)
+
+    shared = by_document(arrow_map(known, _announce(buckets), _ANNOUNCED)
+                         .groupBy("bucket").applyInPandas(_shared(buckets), _TOLD))
+    removed = staged(by_document(arrow_map(known.join(shared.drop("end"), document), _send(refined), _ANNOUNCED)
+                                 .groupBy("bucket").applyInPandas(_removed(buckets), _TOLD)), "repeats")
     return arrow_map(texts.join(removed, document, "left"), _cut,
                      "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
