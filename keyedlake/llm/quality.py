@@ -2,21 +2,31 @@
 
 Two generative models of hashed byte n-grams are estimated: *raw* from every
 document, *target* from the labelled documents of good quality that are not
-toxic.  A document's log importance weight is the mean over its n-grams of
+toxic.  The evidence of an n-gram is
 
-    min(0, log((target + a) / (raw scaled to target's size + a)) + TOLERANCE)
+    min(0, log((target + a) / (raw scaled to target's size + a)) + t)
 
-so n-grams that the target holds nearly as often as the raw text are neutral, and
-a long harmless passage cannot outweigh what the target lacks.
+so n-grams that the target holds nearly as often as the raw text are neutral.  A
+document's log weight is the least of the mean evidence over its n-grams and of
+the least sums over its windows of 32 to 8,192 n-grams, each in units of its own
+cut.  No evidence is above 0, so text put before or after a document can raise its
+mean but none of its window sums: what a window shows no clean passage outweighs.
+
+``a`` and ``t`` (a pair of ``SHAPES``) and the units are those that part the labelled
+documents best: first the windows alone, as if each document stood inside much clean
+text, relative to what good text reaches by chance (``QUIET``), then the mean.  Each
+good document is weighed by a target model without itself.
 Documents are then sampled without replacement in proportion to
 ``exp(SHARPNESS * weight)``: Gumbel noise, a hash of ``doc_id``, is added to each
 scaled log weight and the top k stay.  k is the number of documents whose weight
-is not below the cut that parts the labelled documents best.
+is not below the cut of -1.  At this SHARPNESS the selection is a threshold but for the
+documents whose weight is within a few hundredths of a unit of the cut.
 
 Bounds: at most ``LABEL_ROWS`` labelled documents (those of least id hash) fit the
 target model and the cut; the raw model, weights and selection cover all rows.
 Both models have a fixed number of buckets, so what the driver collects and
-broadcasts (16 MB of counts, 4 MB of weights) does not grow with the input.
+broadcasts (16 MB of counts, 4 MB of weights, 24 numbers a labelled document) does
+not grow with the input.
 
 Defined results
 ---------------
@@ -44,12 +54,17 @@ from .common import arrow_map, slices, staged
 ORDERS = ((6, 20),)
 #: Most labelled documents that fit the target model and the cut.
 LABEL_ROWS = 20_000
-#: Count added to either model's expectation of a bucket.
-SMOOTHING = 10.0
-#: An n-gram is neutral down to this log ratio of target to raw text.
-TOLERANCE = 0.5
-#: N-grams' worth of evidence that one unit of Gumbel noise is weighed against.
-SHARPNESS = 10_000.0
+#: To choose from: the count added to either model's expectation of a bucket, and the
+#: log ratio of target to raw text down to which an n-gram is neutral.
+SHAPES = ((3.0, 0.25), (10.0, 0.25), (10.0, 0.5), (30.0, 0.5))
+#: N-grams of a window.
+WINDOWS = (32, 128, 512, 2048, 8192)
+#: To choose from: the share of good documents that lie beyond a unit of the windows, before the cut.
+QUIET = (0.001, 0.005, 0.02)
+#: Least unit of the mean, and of a window's sum.
+LEAST_UNIT = np.array([1e-3] + [1.0] * len(WINDOWS))
+#: Units of Gumbel noise in one unit of the weight.
+SHARPNESS = 50.0
 
 _SLICE = 4 << 20
 _CHUNK = 1 << 14
@@ -82,10 +97,30 @@ def _ngrams(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         yield buckets, ends[:-1], np.maximum(ends[1:] - n + 1, ends[:-1])
 
 
-def _row_sums(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _evidence(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """By (statistic, row): the mean of a row's values, and its least sum over windows of each length."""
+    begin, end = np.minimum(begin, len(values)), np.minimum(end, len(values))
     total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
-    last = len(values)
-    return total[np.minimum(end, last)] - total[np.minimum(begin, last)]
+    n = end - begin
+    out = np.zeros((1 + len(WINDOWS), len(n)))
+    out[0] = (total[end] - total[begin]) / np.maximum(n, 1)
+    some = np.flatnonzero(n)
+    if len(some):
+        starts = np.cumsum(n) - n
+        at = np.arange(n.sum()) + np.repeat(begin - starts, n)
+        stop = np.repeat(end, n)
+        for k, width in enumerate(WINDOWS, 1):  # a window cut short at the end holds less evidence than a full one
+            out[k, some] = np.minimum.reduceat(total[np.minimum(at + width, stop)] - total[at], starts[some])
+    return out
+
+
+def _log_ratio(target: np.ndarray, expected: np.ndarray, shape: tuple[float, float]) -> np.ndarray:
+    smoothing, tolerance = shape
+    return np.minimum(np.log((target + smoothing) / (expected + smoothing)) + tolerance, 0)
+
+
+def _weights(evidence: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    return np.round((evidence / unit[:, None]).min(axis=0), 6)
 
 
 def _count(batches):
@@ -133,17 +168,15 @@ def _labelled(labels: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Log weight of each bucket; ``key`` and the boundary make the selection."""
+    """Evidence of each bucket and unit of each statistic; ``key`` and the boundary make the selection."""
 
     log_ratio: np.ndarray
+    unit: np.ndarray
     boundary: float = float("-inf")
 
     def weights(self, batch: pa.RecordBatch) -> np.ndarray:
-        total = n = 0.0
-        for buckets, begin, end in _ngrams(batch):
-            total = total + _row_sums(self.log_ratio[buckets], begin, end)
-            n = n + (end - begin)
-        return np.round(total / np.maximum(n, 1), 9)
+        return _weights(sum(_evidence(self.log_ratio[buckets], begin, end)
+                            for buckets, begin, end in _ngrams(batch)), self.unit)
 
     def keys(self, weights: np.ndarray, doc_ids: pa.Array) -> np.ndarray:
         """Scaled log weight plus Gumbel noise, the noise a hash of the id."""
@@ -165,6 +198,51 @@ def _score(model):
     return run
 
 
+def _held_out(counts):
+    """Evidence of labelled rows under each of SHAPES, of good ones without their own counts in the target."""
+    def run(batches):
+        raw, target = counts.value
+        whole = [(raw[at].sum(), target[at].sum()) for at in _PARTS]
+        for batch in slices(batches, limit=_SLICE):
+            good = batch.column("good").to_pylist()
+            out = np.zeros((len(good), len(SHAPES), 1 + len(WINDOWS)))
+            for (all_raw, all_target), (buckets, begin, end) in zip(whole, _ngrams(batch)):
+                for i, (a, b) in enumerate(zip(begin, end)):
+                    found, place, own = np.unique(buckets[a:b], return_inverse=True, return_counts=True)
+                    rest = target[found] - own * good[i]
+                    expected = raw[found] * (max(all_target - len(place) * good[i], 0) / max(all_raw, 1))
+                    for k, shape in enumerate(SHAPES):
+                        values = _log_ratio(rest, expected, shape)[place]
+                        out[i, k] += _evidence(values, np.array([0]), np.array([len(values)]))[:, 0]
+            yield pa.record_batch([batch.column("label_id"), batch.column("good"),
+                                   pa.array(list(out.reshape(len(good), -1)), pa.list_(pa.float64()))],
+                                  names=["label_id", "good", "evidence"])
+    return run
+
+
+def _choose(evidence: np.ndarray, good: np.ndarray) -> tuple[tuple[float, float], np.ndarray, float]:
+    """Shape, units and cut with least errors on labelled rows; evidence by (shape, statistic, row).
+    The windows are fitted alone, as a row's mean tells nothing inside much clean text; then the
+    mean is fitted on the rows that the windows accept."""
+    if good.all():
+        return SHAPES[0], LEAST_UNIT, float("-inf")
+    fits = []
+    for shape, found in zip(SHAPES, evidence):
+        for quiet in QUIET:
+            unit = LEAST_UNIT.copy()
+            if good.any():
+                unit[1:] = np.maximum(unit[1:], -np.quantile(found[1:, good], quiet, axis=1))
+            cut = _best_cut(_weights(found[1:], unit[1:]), good)
+            if np.isfinite(cut) and cut < 0:
+                unit[1:] *= -cut
+            passed = _weights(found[1:], unit[1:]) >= -1
+            cut = _best_cut(found[0, passed], good[passed])
+            unit[0] = np.inf if cut == float("-inf") else max(-cut, unit[0])
+            errors = (passed != good).sum() + ((_weights(found, unit) >= -1) != good).sum()
+            fits.append((int(errors), shape, unit))
+    return *min(fits, key=lambda f: f[0])[1:], -1.0
+
+
 def _best_cut(weights: np.ndarray, good: np.ndarray) -> float:
     """The weight from which on to accept, with least errors on the labelled rows."""
     if not len(weights) or good.all():
@@ -221,22 +299,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     for r in rows:
         at = slice(r.chunk * _CHUNK, (r.chunk + 1) * _CHUNK)
         raw[at], target[at] = np.frombuffer(r.raw, np.int64), np.frombuffer(r.target, np.int64)
+    known = (_texts(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
+             .select("label_id", "good", "text"))
+    known = arrow_map(known, _held_out(spark.sparkContext.broadcast((raw, target))),
+                      "label_id long, good boolean, evidence array<double>").collect()
+    good = np.array([r.good for r in known], dtype=bool)
+    evidence = np.array([r.evidence for r in known]).reshape(len(known), len(SHAPES), 1 + len(WINDOWS))
+    shape, unit, cut = _choose(evidence.transpose(1, 2, 0), good)
     ratio = np.zeros(_SIZE, np.float32)
     for at in _PARTS:
         if target[at].sum():
-            expected = raw[at] * (target[at].sum() / raw[at].sum())
-            lacking = np.log((target[at] + SMOOTHING) / (expected + SMOOTHING))
-            ratio[at] = np.minimum(lacking + TOLERANCE, 0)
-    model = Model(ratio)
+            ratio[at] = _log_ratio(target[at], raw[at] * (target[at].sum() / raw[at].sum()), shape)
+    model = Model(ratio, unit)
     scores = staged(arrow_map(_texts(docs), _score(spark.sparkContext.broadcast(model)),
                               "doc_id long, log_weight double, sample_key double"), "quality-scores")
-    known = (scores.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
-             .groupBy("label_id").agg(F.min("log_weight"), F.min("good")).collect())
-    cut = _best_cut(np.array([r[1] for r in known]), np.array([r[2] for r in known], dtype=bool))
     if not target.any() or cut == float("-inf"):
         return model, scores
     k = scores.filter(F.col("log_weight") >= F.lit(cut)).count()
-    return Model(ratio, _kth_key(scores, k)), scores
+    return Model(ratio, unit, _kth_key(scores, k)), scores
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

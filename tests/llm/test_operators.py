@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from keyedlake.llm.decontamination import WuManber, drop_contaminated, find_hits
 from keyedlake.llm.exact_dedup import drop_copies, exact_groups
 from keyedlake.llm.langid import identify
 from keyedlake.llm.near_dedup import drop_near_copies, near_duplicates
-from keyedlake.llm.quality import classify, keep_good
+from keyedlake.llm.quality import classify, fit, keep_good
 from keyedlake.llm.suffix_dedup import LENGTH, refine, remove_repeats
 from keyedlake.llm.token_counts import Counter, apply_edit, build, recount
 
@@ -426,6 +427,20 @@ def test_quality_catches_bad_and_keeps_clean(spark):
     assert row.kept > 0.95 and row.dropped > 0.85
 
 
+def test_quality_clean_text_does_not_outweigh_toxic(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
+    model, scores = fit(docs, labels)
+    rows = scores.withColumn("accepted", F.col("sample_key") >= model.boundary).join(labels, "doc_id").join(docs, "doc_id")
+    rejected = [tuple(r) for r in rows.filter("toxic = 1 and not accepted").select("doc_id", "text").collect()]
+    clean = rows.filter("toxic = 0 and quality = 1 and accepted").orderBy("doc_id").select("text").collect()
+    pad = "\n".join(r[0] for r in clean)[:100_000]
+    longer = pa.record_batch([pa.array([r[1] + "\n" + pad for r in rejected])], names=["text"])
+    keys = model.keys(model.weights(longer), pa.array([r[0] for r in rejected]))
+    assert len(rejected) > 20
+    assert (keys < model.boundary).mean() > 0.6
+
+
 def test_quality_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(7, 1, 0), (7, 1, 0), (5, 0, 0), (None, 1, 1), (10, None, 0), (11, 1, None), (77, 1, 0)],
                                    "doc_id long, quality int, toxic int")
