@@ -13,8 +13,11 @@ each begun anew, so that a task parses thousands of blocks side by side as array
 operations; each byte of a text belongs to one block.
 
 Training takes, per language, labelled texts of least id hash up to ``TRAIN_BYTES``
-in total (a documented bound: the automata are broadcast and must stay small);
-every text is predicted whole.
+in total (a documented bound: the automata are broadcast and must stay small), and
+from one text more than an eighth of that only if the others do not fill it.  Every
+labelled language is learned; ``AT_ONCE`` of them are broadcast together, so with
+more languages the texts are parsed in several scans and each row's costs compared.
+Every text is predicted whole.
 
 Defined results
 ---------------
@@ -39,8 +42,8 @@ from .common import arrow_map, slices, staged
 
 #: Bytes of labelled text per language.
 TRAIN_BYTES = 48_000
-#: Most languages that are learned (those with most labelled texts, then by name).
-MOST_LANGUAGES = 64
+#: Languages whose automata are broadcast together.
+AT_ONCE = 16
 #: Bytes of a text that are parsed as one block.
 BLOCK = 512
 
@@ -160,24 +163,27 @@ def training_samples(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> dic
     rows = labelled.filter("lang is not null and text is not null").select(
         "lang", "text", F.xxhash64("doc_id").alias("hash"))
     sizes = (rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
-             .filter("bytes > 0").orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect())
+             .filter("bytes > 0").orderBy("lang").collect())
     if not sizes:
         return {}
-    share = F.lit(None).cast("double")
-    for r in sizes:  # at least 40 texts, as a single one may be short
-        part = min(1.0, max(2 * train_bytes / r["bytes"], 40 / r["n"]))
-        share = F.when(F.col("lang") == r["lang"], F.lit(part)).otherwise(share)
-    chosen = rows.filter(F.abs(F.col("hash") % F.lit(1 << 40)) < share * F.lit(float(1 << 40)))
+    # at least 40 texts, as a single one may be short
+    parts = [(r["lang"], min(1.0, max(2 * train_bytes / r["bytes"], 40 / r["n"]))) for r in sizes]
+    shares = labelled.sparkSession.createDataFrame(parts, "lang string, share double")
+    chosen = (rows.join(F.broadcast(shares), "lang")
+              .filter(F.abs(F.col("hash") % F.lit(1 << 40)) < F.col("share") * F.lit(float(1 << 40)))
+              .select("lang", "text", "hash"))
     chosen = staged(arrow_map(chosen, _fold_batches, "lang string, hash long, folded binary"), "langid-sample")
     out: dict[str, bytes] = {}
     for r in sizes:
-        taken = b""
+        taken = rest = b""
         for row in chosen.filter(F.col("lang") == r["lang"]).orderBy("hash", "folded").toLocalIterator():
-            taken += bytes(row["folded"])
+            text = bytes(row["folded"])
+            taken += text[:train_bytes // 8]
+            rest += text[train_bytes // 8:][:train_bytes - min(len(rest), train_bytes)]
             if len(taken) >= train_bytes:
                 break
         if taken.strip():
-            out[r["lang"]] = taken[:train_bytes]
+            out[r["lang"]] = (taken + rest)[:train_bytes]
     return out
 
 
@@ -203,9 +209,41 @@ def _predict(parser):
     return run
 
 
+def _costs(parser):
+    """Of the parser's languages the one of least cost, that cost and the next one's, by row."""
+    def run(batches):
+        for batch in slices(batches, limit=_SLICE):
+            model = parser.value
+            texts = [folded(t) for t in batch.column("text").to_pylist()]
+            costs = model.costs(texts)
+            best = costs.argmin(axis=1)
+            least = np.sort(np.pad(costs, ((0, 0), (0, 1)), constant_values=np.inf), axis=1)[:, :2]
+            yield pa.record_batch([batch.column("row"), batch.column("doc_id"), pa.array([bool(t) for t in texts]),
+                                   pa.array([model.languages[b] for b in best], pa.string()),
+                                   pa.array(least[:, 0]), pa.array(least[:, 1])],
+                                  names=["row", "doc_id", "known", "lang", "cost", "rival"])
+    return run
+
+
 def identify(docs: DataFrame, labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
     """Per row of ``docs``: doc_id, lang_pred, score; ``labelled`` (doc_id, text, lang) teaches."""
-    parser = Parser(training_samples(labelled, train_bytes))
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-                     _predict(docs.sparkSession.sparkContext.broadcast(parser)),
-                     "doc_id long, lang_pred string, score double")
+    samples = training_samples(labelled, train_bytes)
+    send = docs.sparkSession.sparkContext.broadcast
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if len(samples) <= AT_ONCE:
+        return arrow_map(texts, _predict(send(Parser(samples))), "doc_id long, lang_pred string, score double")
+    names = sorted(samples)
+    texts = staged(texts.withColumn("row", F.monotonically_increasing_id()), "langid-texts")
+    found = None
+    for k in range(0, len(names), AT_ONCE):
+        parser = send(Parser({name: samples[name] for name in names[k:k + AT_ONCE]}))
+        part = staged(arrow_map(texts, _costs(parser), "row long, doc_id long, known boolean, lang string, "
+                                                       "cost double, rival double"), "langid-costs")
+        parser.unpersist()
+        found = part if found is None else found.unionByName(part)
+    best = F.min(F.struct("cost", "lang"))
+    costs = F.sort_array(F.flatten(F.collect_list(F.array("cost", "rival"))))
+    rows = found.groupBy("row", "doc_id", "known").agg(best.alias("best"), costs[1].alias("rival"))
+    score = F.when(~F.col("known"), 0.0).when(F.col("rival") > 0, F.round(1 - F.col("best.cost") / F.col("rival"), 6))
+    return rows.select("doc_id", F.when(F.col("known"), F.col("best.lang")).otherwise(UNDETERMINED).alias("lang_pred"),
+                       score.otherwise(1.0).alias("score"))

@@ -1,6 +1,7 @@
 """The ten operators against brute force on the small tables and on odd rows."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -13,7 +14,7 @@ from keyedlake.llm.common import table
 from keyedlake.llm.components import connected_components
 from keyedlake.llm.decontamination import WuManber, drop_contaminated, find_hits, words_of
 from keyedlake.llm.exact_dedup import drop_copies, exact_groups
-from keyedlake.llm.langid import identify
+from keyedlake.llm.langid import identify, training_samples
 from keyedlake.llm.near_dedup import drop_near_copies, near_duplicates
 from keyedlake.llm.quality import classify, fit, keep_good
 from keyedlake.llm.suffix_dedup import LENGTH, refine, remove_repeats
@@ -417,6 +418,25 @@ def test_language_odd_rows(spark, odd, none):
     assert {r.lang_pred for r in identify(odd, taught.filter("1 = 0")).collect()} == {"und"}
 
 
+def test_language_learns_all_languages(spark):
+    rng = random.Random(7)
+    rows, words = [], {}
+    for k in range(70):
+        words[k] = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(20)]
+        rows += [(10 * k + i, " ".join(rng.choices(words[k], k=60)), f"l{k:02}") for i in range(2)]
+    taught = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    asked = [(k, " ".join(rng.choices(words[k], k=30))) for k in range(70)] + [(70, None)]
+    got = {r.doc_id: r for r in identify(spark.createDataFrame(asked, "doc_id long, text string"), taught).collect()}
+    assert [got[k].lang_pred for k in range(71)] == [f"l{k:02}" for k in range(70)] + ["und"]
+    assert all(0 < got[k].score <= 1 for k in range(70)) and got[70].score == 0
+
+
+def test_one_text_is_not_all_of_a_language(spark):
+    rows = [(i, f"long{chr(97 + i)} " * 2000, "x") for i in range(20)]
+    sample = training_samples(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 8000)
+    assert len(sample["x"]) == 8000 and len({w for w in sample["x"].split() if len(w) == 5}) == 8
+
+
 # ---------------------------------------------------------------- 10: quality
 def test_quality_catches_bad_and_keeps_clean(spark):
     sf = "/root/testdata/sf0.01"
