@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, pii
+from . import bpe, centroids, chat, pii
 from .common import table
 from .decontamination import find_hits
 from .exact_dedup import exact_groups
@@ -92,6 +92,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), "embedding", width=64, k=40, rounds=5, seed="2")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -103,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op13_centroids": op13_centroids,
 }
 
 #: Only where SQL can express the operator over whole tables.
@@ -118,4 +123,5 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept,
                sha256(d.content) AS text_sha256
         FROM d JOIN g ON d.content = g.content""",
+    "op13_centroids": centroids.ORACLE,
 }
