@@ -14,6 +14,7 @@ from .decontamination import find_hits
 from .exact_dedup import exact_groups
 from .langid import identify
 from .near_dedup import near_duplicates
+from .page_text import main_text
 from .quality import classify
 from .suffix_dedup import remove_repeats
 from .token_counts import derived_edits, recount
@@ -92,6 +93,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"), "embedding", width=64, k=40, rounds=5, seed="2")
 
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op12_page_text": op12_page_text,
     "op13_centroids": op13_centroids,
 }
 
