@@ -16,6 +16,7 @@ from .langid import identify
 from .near_dedup import near_duplicates
 from .page_text import main_text
 from .quality import classify
+from .spelling import spelling_variants
 from .suffix_dedup import remove_repeats
 from .token_counts import derived_edits, recount
 
@@ -93,6 +94,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_quality": op10_quality,
+    "op11_spelling": op11_spelling,
     "op12_page_text": op12_page_text,
     "op13_centroids": op13_centroids,
 }
