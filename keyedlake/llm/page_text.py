@@ -49,7 +49,7 @@ from .common import arrow_map
 
 #: Pages that a part is meant to hold, and the most parts (beyond it parts grow; tasks stream them).
 PART_PAGES, MOST_PARTS = 512, 4096
-#: Sampled keys for each split point.
+#: Sampled keys for each split point, about (a key is in the sample by its hash).
 SAMPLES = 20
 #: Bits of alignment rows that are kept at once; larger alignments are halved first.
 ALIGN_BITS = 1 << 26
@@ -315,8 +315,11 @@ def main_text(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), "url", "html")
     key = F.struct(F.coalesce("host", F.lit("")).alias("host"), F.coalesce("path", F.lit("")).alias("path"),
                    F.coalesce("page_id", F.lit(-1)).alias("page_id"))
-    parts = min(max(keyed.count() // PART_PAGES, 1), MOST_PARTS)
-    sample = [r["k"] for r in keyed.select(key.alias("k")).orderBy(F.xxhash64("k")).limit(SAMPLES * parts).collect()]
+    pages_n = keyed.count()
+    parts = min(max(pages_n // PART_PAGES, 1), MOST_PARTS)
+    share = int(min(1.0, SAMPLES * parts / max(pages_n, 1)) * (1 << 30))
+    sample = [r["k"] for r in keyed.select(key.alias("k")).filter(F.pmod(F.xxhash64("k"), F.lit(1 << 30)) < share)
+              .collect()]
     sample.sort()
     splits = sorted({tuple(sample[i * len(sample) // parts]) for i in range(1, parts)}) if sample else []
     # the number of split points at or below a key, first by every 64th; the points are one folded literal
