@@ -19,6 +19,7 @@ from ..operators import relational as R
 from ..operators import versioned as V
 from ..schema import COMMIT_TIME, ENVELOPE_SCHEMA, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 from ..session import scratch_path
+from ..sources import chunks as CH
 from ..sources import documents as D
 from ..sources.files import file_stream
 from ..sources.lake import LakeTable
@@ -486,6 +487,38 @@ def q_document_ingest(spark, sf):
         "parcel_id", "file_name", "length", "sha2", "uri")
 
 
+def _chunked(spark, sf, name, chunk_bytes) -> tuple[str, DataFrame]:
+    root, store = _staged_documents(spark, sf, f"{name}-staged"), scratch_path(spark, f"{name}-store")
+    for files in (D.listed_files, D.manifest_files):  # the second time nothing is new
+        stored = CH.ingest_chunks(spark, files(spark, root), store, DOCUMENT_ROOT, chunk_bytes=chunk_bytes)
+    return store, stored
+
+
+def q_document_chunk_ingest(spark, sf):
+    """All documents in chunks of 1,000 bytes, ingested from a listing and again from the manifest."""
+    return _chunked(spark, sf, "chunks", 1000)[1]
+
+
+def q_document_restore(spark, sf):
+    """Chunked documents written back as files, and those files read whole."""
+    root = scratch_path(spark, "restored")
+    CH.restore(spark, _chunked(spark, sf, "restore", 777)[0], root)
+    return D.document_digests(spark, root)
+
+
+def q_document_manifest(spark, sf):
+    """The inventory without a listing."""
+    return D.manifest_inventory(spark, _staged_documents(spark, sf, "docs-manifest"))
+
+
+def q_document_reconcile(spark, sf):
+    """Files staged without their manifest: a manifest of the English ones against the listing."""
+    docs = FX.table(spark, sf, "documents")
+    root = _staged_documents(spark, sf, "docs-reconcile")
+    listed = _staged_documents(spark, sf, "docs-english", docs.filter(F.col("lang") == "en"))
+    return D.reconcile(D.manifest_inventory(spark, listed), D.listed_files(spark, root).drop("path"))
+
+
 def q_storage_inventory(spark, sf):
     return D.storage_inventory(spark, _staged_documents(spark, sf, "storage")).select(
         "file_name", "file_class", "size_kb")

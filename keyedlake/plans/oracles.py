@@ -212,6 +212,23 @@ ORACLES: dict[str, str] = {
                           AND s.source = d.parcel_id AND 'doc-' || CAST(s.doc_id AS VARCHAR) || '.txt' = d.file_name)""",
 }
 
+DOC_BYTES = ("b AS (SELECT row_number() OVER () AS rid, source AS parcel_id, "
+             "'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name, "
+             "encode(coalesce(text, '') || chr(10)) AS content FROM documents)")
+ORACLES["document_chunk_ingest"] = f"""WITH {DOC_BYTES}, k AS (
+        SELECT *, unnest(range(0, (octet_length(content) + 999) // 1000)) AS i FROM b),
+    h AS (SELECT rid, count(*) AS n_chunks, string_agg(sha256(content[i * 1000 + 1:(i + 1) * 1000]), '' ORDER BY i) AS parts
+          FROM k GROUP BY rid)
+    SELECT parcel_id, file_name, CAST(octet_length(content) AS BIGINT) AS length, CAST(n_chunks AS INTEGER) AS n_chunks,
+           TRUE AS complete, CASE WHEN n_chunks = 1 THEN parts ELSE sha256(parts) END AS digest,
+           concat_ws('/', '{DOCUMENT_ROOT}', 'pdfs', 'titles', parcel_id, file_name) AS uri
+    FROM b JOIN h USING (rid)"""
+ORACLES["document_restore"] = f"""WITH {DOC_BYTES}
+    SELECT parcel_id, file_name, CAST(octet_length(content) AS BIGINT) AS length, sha256(content) AS sha2 FROM b"""
+ORACLES["document_manifest"] = ORACLES["document_inventory"]
+ORACLES["document_reconcile"] = f"""WITH {DOC_ROWS}
+    SELECT parcel_id, file_name, 'not in manifest' AS state FROM d JOIN documents USING (doc_id) WHERE lang IS DISTINCT FROM 'en'"""
+
 _BOTH = ("(SELECT 'cow' AS table_type UNION ALL SELECT 'mor')")
 for _name in ("cow_upsert_null_area", "mor_upsert_null_area", "wide_table_upsert"):
     ORACLES[_name] = f"WITH {TXN_NULL_AREA}, {pre()}, s AS ({snap()}) SELECT {TXN_OUT} FROM s"

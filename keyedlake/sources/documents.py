@@ -14,28 +14,64 @@ from ..functions.normalize import document_uri, file_class, size_kb
 from .lake import path_exists
 
 
+#: Folder below a root of documents that lists its files; listings of the root skip it.
+MANIFEST = "_manifest"
+
+
 def stage_documents(docs: DataFrame, root: str, parcel: str = "source", doc_id: str = "doc_id",
                     text: str = "text") -> None:
     """Write each document as ``<root>/<parcel>/doc-<id>.txt`` (its text and a newline),
-    from the tasks that hold it."""
+    from the tasks that hold it, and list the files in the root's manifest."""
     def write(batches):
+        import pyarrow as pa
         from pyarrow import fs as filesystems
 
         fs, base = filesystems.FileSystem.from_uri(root)
         made = set()
         for batch in batches:
+            sizes = []
             for folder, name, content in zip(*(c.to_pylist() for c in batch.columns)):
                 if folder not in made:
                     fs.create_dir(f"{base}/{folder}", recursive=True)
                     made.add(folder)
+                data = (content + "\n").encode()
                 with fs.open_output_stream(f"{base}/{folder}/{name}") as out:
-                    out.write((content + "\n").encode())
-            yield batch.slice(0, 0).select(["file"])
+                    out.write(data)
+                sizes.append(len(data))
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sizes, pa.int64())],
+                                  names=["parcel_id", "file_name", "length"])
 
     rows = docs.select(F.col(parcel).cast("string").alias("parcel"),
                        F.concat(F.lit("doc-"), F.col(doc_id).cast("string"), F.lit(".txt")).alias("file"),
                        F.coalesce(text, F.lit("")).alias("content"))
-    rows.mapInArrow(write, "file string").count()
+    (rows.mapInArrow(write, "parcel_id string, file_name string, length bigint")
+     .write.mode("append").parquet(f"{root}/{MANIFEST}"))
+
+
+def manifest_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """Files per parcel as the root's manifest has them: a table read, nothing is listed."""
+    return spark.read.parquet(f"{root}/{MANIFEST}").select("parcel_id", "file_name", "length").distinct()
+
+
+def listed_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, parcel_id, file_name, length) of the files below ``root``; no content is read.
+    Spark lists no empty files; a manifest has them."""
+    return _listing(spark, root).select("path", "parcel_id", "file_name", "length")
+
+
+def manifest_files(spark: SparkSession, root: str) -> DataFrame:
+    """The same from the root's manifest."""
+    return manifest_inventory(spark, root).select(
+        F.concat_ws("/", F.lit(root.rstrip("/")), "parcel_id", "file_name").alias("path"),
+        "parcel_id", "file_name", "length")
+
+
+def reconcile(manifest: DataFrame, listing: DataFrame) -> DataFrame:
+    """Files that only one of the two knows, or knows with another length: (parcel_id, file_name, state)."""
+    keys = ["parcel_id", "file_name", "length"]
+    gone = manifest.join(listing, keys, "left_anti").withColumn("state", F.lit("not in storage"))
+    unknown = listing.join(manifest, keys, "left_anti").withColumn("state", F.lit("not in manifest"))
+    return gone.select("parcel_id", "file_name", "state").unionByName(unknown.select("parcel_id", "file_name", "state"))
 
 
 def _listing(spark: SparkSession, root: str, with_content: bool = False) -> DataFrame:
@@ -52,6 +88,12 @@ def document_inventory(spark: SparkSession, root: str) -> DataFrame:
                                         F.col("modificationTime").alias("modification_time"))
 
 
+def document_digests(spark: SparkSession, root: str) -> DataFrame:
+    """(parcel_id, file_name, length, sha2) of small files, read whole."""
+    return _listing(spark, root, with_content=True).select("parcel_id", "file_name", "length",
+                                                           F.sha2("content", 256).alias("sha2"))
+
+
 def document_ingest(spark: SparkSession, staged_root: str, store: str, uri_root: str,
                     kind: str = "title", buckets: int = 64) -> DataFrame:
     """Store staged files that are not stored yet as rows ``(parcel_id, file_name, length,
