@@ -292,24 +292,23 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if a == b:
                 continue
             if cells[a] != name:
-                yield from _within(words, n)
+                yield from _within(cell or words and _Cell(words, n))
                 name, words, n, cell = cells[a], [], [], None
             if not asks[a]:
                 words += texts[a:b]
                 n += counts[a:b]
                 continue
             if words and cell is None:
-                cell = _Cell(words, n)
+                cell = _Cell(words, n)  # its words are all there: queries come after them
             if cell is not None:
                 yield from _asked(cell, texts[a:b], np.array(counts[a:b], np.int64))
-    yield from _within(words, n)
+    yield from _within(cell or words and _Cell(words, n))
 
 
-def _within(words: list[str], n: list[int]) -> Iterator[pa.RecordBatch]:
-    if len(words) > 1:
-        cell = _Cell(words, n)
+def _within(cell: _Cell | list) -> Iterator[pa.RecordBatch]:
+    if cell:
         a, b = cell.pairs(cell.codes, within=True)
-        told = _told(words, np.concatenate([a, b]), words, cell.n, np.concatenate([b, a]))
+        told = _told(cell.words, np.concatenate([a, b]), cell.words, cell.n, np.concatenate([b, a]))
         if told is not None:
             yield told
 
@@ -342,8 +341,11 @@ def _roots(forms: DataFrame) -> DataFrame:
 def spelling_variants(docs: DataFrame) -> DataFrame:
     """Per word: word, form, root, n, n_near, form_n."""
     words = staged(vocabulary(docs), "words")
-    sent = arrow_map(words, _send(_trees(words)), _SENT)
-    met = sent.repartition("cell").sortWithinPartitions("cell", "query")
+    trees = _trees(words)
+    cells = sum(sum(node[0] < 0 for node in t) for t in trees.values())
+    # the number of tasks is given: adaptive execution would join them by the size of the rows, which says little here
+    met = (arrow_map(words, _send(trees), _SENT).repartition(8 + 2 * cells, "cell")
+           .sortWithinPartitions("cell", "query"))
     near = (arrow_map(met, _searched, _NEAR).groupBy("word")
             .agg(F.sum("n_near").alias("n_near"), F.min("best").alias("best")))
     leads = -F.col("best.low") >= LEADS * F.col("n")
