@@ -22,6 +22,7 @@ from ..session import scratch_path
 from ..sources import chunks as CH
 from ..sources import documents as D
 from ..sources.files import file_stream
+from ..sources import packed as PK
 from ..sources.lake import LakeTable
 from ..streaming import runner as RUN
 from ..streaming import sinks as SK
@@ -177,8 +178,8 @@ def q_mor_upsert_null_area(spark, sf):
 
 
 def q_wide_table_upsert(spark, sf):
-    """The same rows through the paths that very wide tables take (no limit holds)."""
-    return _null_area_table(spark, sf, "wide", table_type="cow", inline_groups=0, static_groups=0, broadcast_rows=0)
+    """The same rows where the manifest is too large to broadcast: reads join it by sorting."""
+    return _null_area_table(spark, sf, "wide", table_type="cow", join_hint="merge")
 
 
 def q_backfill_then_stream(spark, sf):
@@ -193,6 +194,14 @@ def q_backfill_then_stream(spark, sf):
     return t.snapshot().select(*TXN_OUT)
 
 
+def q_packed_append(spark, sf):
+    """Five batches appended to a table of files of 256 KB; underfull ones are topped up by each batch."""
+    path = scratch_path(spark, "packed")
+    for c, b in _batches(FX.txe(spark, sf)):
+        PK.append_packed(b.withColumn(COMMIT_TIME, F.lit(c)), path, target=256 << 10, small=192 << 10)
+    return PK.read_packed(spark, path).select(*TXN_OUT)
+
+
 # ---------------------------------------------------------------- table-backed reads
 def _both_kinds(spark, sf, name, read) -> DataFrame:
     """``read`` of a copy-on-write table, and of a merge-on-read table that was compacted

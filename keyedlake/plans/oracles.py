@@ -212,6 +212,7 @@ ORACLES: dict[str, str] = {
                           AND s.source = d.parcel_id AND 'doc-' || CAST(s.doc_id AS VARCHAR) || '.txt' = d.file_name)""",
 }
 
+ORACLES["packed_append"] = ORACLES["stream_file_passthrough"]
 DOC_BYTES = ("b AS (SELECT row_number() OVER () AS rid, source AS parcel_id, "
              "'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name, "
              "encode(coalesce(text, '') || chr(10)) AS content FROM documents)")

@@ -1,27 +1,20 @@
 """Path-backed keyed, partitioned, versioned table (copy-on-write or merge-on-read).
 
-Layout under ``<path>`` (plain parquet, Spark's own partition directories)::
-
-    slices/_slice=<c>/_part=<p>/_bucket=<b>/*.parquet    complete rows of one file
-                                                         group as of commit c
-    deltas/_delta=<c>/_part=<p>/_bucket=<b>/*.parquet    merge-on-read deltas of commit c
-    _index/_commit_time=<c>/_action=<a>/                 groups written by (c, a)
-    _timeline/<c>.<action>.json                          one record per finished action
-    _timeline/<c>.checkpoint.jsonl                       records folded up to commit c
-
-A *file group* is ``(_part, _bucket)``.  ``_part`` encodes the partition value (null
-and empty are distinct and never a null directory); the value itself is a data
-column with its own type.  ``_bucket = pmod(xxhash64(record key), buckets)``, so both
-are never null and every join of groups is an equi join.  Copy-on-write rewrites
-only the groups a batch touches (not the whole partition, which may hold a
-third of the table), and merge-on-read merges only groups with deltas.
-
-Each action writes its data into its own ``_slice=c`` / ``_delta=c``
-directory with ``mode("overwrite")`` (replaying a batch id rewrites the
-same commit), then its index rows, then its timeline row last.  Readers
-only look at actions present in the timeline, so a half-written commit is
-invisible.  Commit ids are zero-padded strings; their order is the
-timeline order.
+Layout under ``<path>``, all of it plain Parquet::
+
+    data/_write=<commit>.<kind>/_slot=<commit>.<kind>.<bucket>.<part>/   rows of one file group
+    manifest/_at=<commit>.<action>/                                      what an action wrote
+
+A *file group* is ``(part, bucket)``.  ``part`` encodes the partition value (null and empty are
+distinct and never a null directory); the value itself is a data column with its own type.
+``bucket = pmod(xxhash64(record key), buckets)``.  A *slot* is one group as one action wrote it:
+kind ``b`` holds the group's complete rows as of the commit, kind ``d`` a merge-on-read delta.
+
+The manifest is a table: one row per action and one per slot.  Reads join it with the data on
+the slot, a directory name, so Spark prunes the scan to the slots that count (at planning
+by commit, at run time by slot) and picks the join by its statistics.  An action's
+manifest rows are written last, so a half-written commit is invisible.  A replayed
+commit overwrites its own directories.  Commit ids are text without dots, ordered as text.
 """
 
 from __future__ import annotations
@@ -29,11 +22,9 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
-from collections.abc import Callable
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,17 +33,19 @@ from ..schema import (COMMIT_SEQNO, COMMIT_TIME, FILE_NAME, PARTITION_FIELD, PAR
                       PRECOMBINE_FIELD, RECORD_KEY, RECORD_KEY_COL, TIE_BREAK_FIELD)
 
 DATA_ACTIONS = ("commit", "deltacommit")
-BUCKET = "_bucket"
-SLICE = "_slice"
-DELTA = "_delta"
-PART = "_part"
-INTERNAL = (PART, BUCKET, SLICE, DELTA)
+BASE, DELTA = "b", "d"
+PART, BUCKET, SLOT, WRITE = "_part", "_bucket", "_slot", "_write"
+INTERNAL = (PART, BUCKET, SLOT, WRITE)
 METADATA = (COMMIT_TIME, COMMIT_SEQNO, RECORD_KEY_COL, PARTITION_PATH, FILE_NAME)
+GROUP = [PART, BUCKET]
+_MANIFEST = (f"commit string, action string, kind string, {SLOT} string, {PART} string, {BUCKET} int, rows bigint, "
+             "schema string, props string, info string, source string")
 
 #: Types that a column may be widened from, by the table's type.
 WIDENS = {"smallint": ("tinyint",), "int": ("tinyint", "smallint"), "bigint": ("tinyint", "smallint", "int"),
           "double": ("tinyint", "smallint", "int", "float"), "timestamp": ("date",)}
 
+
 def utc_instant() -> str:
     """Batch commit id: UTC ``yyyyMMddHHmmssSSS``."""
     now = _dt.datetime.now(_dt.timezone.utc)
@@ -76,228 +69,97 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-@dataclass(frozen=True)
-class Action:
-    commit: str
-    action: str
-    rows: int
-    groups: int
-    schema_json: str | None
-    info: str
-    group_list: list | None = None
-    stamp: tuple = ()  # (modification time, length) of the timeline record
-    source: str | None = None  # what a stream calls the batch
-    index_at: str | None = None  # group rows folded into _index_checkpoint/<index_at>
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def _read_text(spark: SparkSession, path) -> str:
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.open(path)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
 class LakeTable:
     """A keyed table at ``path``.
 
-    ``keys``: the record key scope (default ``(area, parcelId)``: the key
-    is unique within its partition).  ``precombine``/``tie``: in-batch
-    ordering.  ``merge_mode``: ``commit_time`` (incoming wins) or
-    ``event_time`` (greatest precombine across commits wins).
+    ``keys``: the record key scope (default ``(area, parcelId)``: the key is unique within its
+    partition).  ``precombine``/``tie``: in-batch ordering.  ``merge_mode``: ``commit_time`` (incoming
+    wins) or ``event_time`` (greatest precombine across commits wins).  ``join_hint``: a join strategy
+    for the manifest instead of Spark's choice.
     """
 
     def __init__(self, spark: SparkSession, path: str, *, table_type: str = "cow",
-                 keys: Sequence[str] = (PARTITION_FIELD, RECORD_KEY),
-                 partition: str | None = PARTITION_FIELD,
-                 record_key: Sequence[str] = (RECORD_KEY,),
-                 precombine: Sequence[str] = (PRECOMBINE_FIELD,),
-                 tie: Sequence[str] = (TIE_BREAK_FIELD,),
-                 merge_mode: str = "commit_time", buckets: int = 16,
-                 broadcast_rows: int = 1_000_000, static_groups: int = 100_000,
-                 inline_groups: int = 10_000, max_records_per_file: int | None = None,
-                 compact_every: int | None = None,
-                 retain_commits: int | None = None, checkpoint_every: int | None = 100):
+                 keys: Sequence[str] = (PARTITION_FIELD, RECORD_KEY), partition: str | None = PARTITION_FIELD,
+                 record_key: Sequence[str] = (RECORD_KEY,), precombine: Sequence[str] = (PRECOMBINE_FIELD,),
+                 tie: Sequence[str] = (TIE_BREAK_FIELD,), merge_mode: str = "commit_time", buckets: int = 16,
+                 join_hint: str | None = None, max_records_per_file: int | None = None,
+                 compact_every: int | None = None, retain_commits: int | None = None):
         if table_type not in ("cow", "mor"):
             raise ValueError("table_type is 'cow' or 'mor'")
         self.spark, self.path = spark, path.rstrip("/")
-        self.table_type = table_type
-        self.keys = list(keys)
-        self.partition = partition
-        self.record_key = list(record_key)
-        self.precombine, self.tie = list(precombine), list(tie)
-        self.merge_mode = merge_mode
-        self.buckets = buckets
-        self.broadcast_rows = broadcast_rows
-        self.static_groups = static_groups
-        self.inline_groups = inline_groups
+        self.table_type, self.keys, self.partition = table_type, list(keys), partition
+        self.record_key, self.precombine, self.tie = list(record_key), list(precombine), list(tie)
+        self.merge_mode, self.buckets, self.join_hint = merge_mode, buckets, join_hint
         # file-size cap for rewrites (~128 MB / average row size at scale)
         self.max_records_per_file = max_records_per_file
         # merge-on-read: compact after this many delta commits (None = manual only)
         self.compact_every = compact_every
         self.retain_commits = retain_commits
-        # fold the timeline into a checkpoint once this many loose records exist
-        self.checkpoint_every = checkpoint_every
-        self._loose = 0
-        self._group = ([PART] if partition else []) + [BUCKET]
-        self._records: dict = {}
-        self._map_memo = None
-
-    # ------------------------------------------------------------ timeline
-    CHECKPOINT = ".checkpoint.jsonl"
-
-    def timeline(self) -> list[Action]:
-        """Finished actions in commit order.  The timeline is a folder of
-        small JSON files (``<commit>.<action>.json``) plus, once folded, one
-        JSON-lines checkpoint (``<commit>.checkpoint.jsonl``), read on the
-        driver through the Hadoop FileSystem API: no Spark job per read."""
-        for attempt in range(3):
-            try:
-                return self._list_timeline()
-            except Exception as e:  # a record archived by a checkpoint between list and read
-                if attempt == 2 or "FileNotFound" not in str(e):
-                    raise
-        return []
 
-    @staticmethod
-    def _action(rec: dict, stamp: tuple) -> Action:
-        return Action(rec["commit"], rec["action"], rec.get("rows") or 0, rec.get("groups") or 0,
-                      rec.get("schema"), rec.get("info") or "", rec.get("group_list"), stamp,
-                      rec.get("source"), rec.get("index_at"))
-
-    def _list_timeline(self) -> list[Action]:
-        tl = f"{self.path}/_timeline"
-        fs, p = _fs(self.spark, tl)
-        if not fs.exists(p):
-            return []
-        loose, checkpoints, seen = {}, [], set()
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith((".", "_")) or st.isDirectory():
-                continue
-            stamp = (st.getModificationTime(), st.getLen())
-            if name.endswith(self.CHECKPOINT):
-                checkpoints.append((name, stamp, st.getPath()))
-                continue
-            if not name.endswith(".json"):
-                continue
-            seen.add(name)
-            hit = self._records.get(name)
-            if hit is None or hit[0] != stamp:  # records are immutable; a replay renames a new one
-                hit = (stamp, self._action(json.loads(_read_text(self.spark, st.getPath())),
-                                           (name, *stamp)))
-                self._records[name] = hit
-            loose[(hit[1].commit, hit[1].action)] = hit[1]
-        acts = {}
-        if checkpoints:
-            name, stamp, path = max(checkpoints)  # named after its newest (zero-padded) commit
-            seen.add(name)
-            hit = self._records.get(name)
-            if hit is None or hit[0] != stamp:
-                lines = _read_text(self.spark, path).splitlines()
-                hit = (stamp, [self._action(r, tuple(r["stamp"])) for r in map(json.loads, lines) if r])
-                self._records[name] = hit
-            acts = {(a.commit, a.action): a for a in hit[1]}
-        # a loose record is a replay of (or identical to) its checkpointed copy
-        acts.update(loose)
-        self._records = {k: v for k, v in self._records.items() if k in seen}
-        self._loose = len(loose)
-        return sorted(acts.values(), key=lambda a: (a.commit, a.action))
-
-    def checkpoint_timeline(self) -> str | None:
-        """Fold every timeline record into one JSON-lines checkpoint named
-        after the newest commit, then move the folded files (and older
-        checkpoints) to ``_timeline/archive/<commit>/``.  Each line keeps
-        its record's original stamp, so cached group maps stay valid.
-        Listing and parsing then cost one file plus the records written
-        since, instead of one file per action ever committed."""
-        acts = self.timeline()
-        if not acts or not self._loose:
-            return None
-        upto = max(a.commit for a in acts)
-        folded_at = f"{upto}-{uuid.uuid4().hex[:8]}"  # never the dataset an older fold is read from
-        name = f"{upto}{self.CHECKPOINT}"
-        wide = [a for a in acts if a.groups and a.group_list is None]
-        if wide:
-            # fold the wide actions' index rows into one dataset, written
-            # before the checkpoint that points at it; sorted by commit so
-            # row-group statistics skip commits a read does not ask for
-            (self._index(wide).sortWithinPartitions(COMMIT_TIME, "_action")
-                 .write.mode("overwrite").parquet(f"{self.path}/_index_checkpoint/{folded_at}"))
-        lines = []
-        for a in acts:
-            rec = {"commit": a.commit, "action": a.action, "rows": a.rows, "groups": a.groups,
-                   "schema": a.schema_json, "info": a.info, "stamp": list(a.stamp)}
-            if a.group_list is not None:
-                rec["group_list"] = [list(g) for g in a.group_list]
-            elif a.groups:
-                rec["index_at"] = folded_at
-            lines.append(json.dumps(rec))
-        tl = f"{self.path}/_timeline"
-        tmp = f"{tl}/.{name}.{uuid.uuid4().hex}.tmp"
-        _write_text(self.spark, tmp, "\n".join(lines) + "\n")
-        fs, src = _fs(self.spark, tmp)
-        jpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        if fs.exists(jpath(f"{tl}/{name}")):
-            fs.delete(jpath(f"{tl}/{name}"), False)
-        fs.rename(src, jpath(f"{tl}/{name}"))
-        folded = {a.stamp for a in acts}
-        archive = jpath(f"{tl}/archive/{upto}")
-        fs.mkdirs(archive)
-        for st in fs.listStatus(jpath(tl)):
-            nm = st.getPath().getName()
-            if st.isDirectory() or nm.startswith((".", "_")) or nm == name:
-                continue
-            older = nm.endswith(self.CHECKPOINT) and nm < name
-            if older or (nm, st.getModificationTime(), st.getLen()) in folded:
-                fs.rename(st.getPath(), jpath(f"{tl}/archive/{upto}/{nm}"))
-        self.timeline()
-        return upto
+    # ------------------------------------------------------------ manifest
+    def manifest(self) -> DataFrame:
+        """One row per action (``kind`` null) and one per slot it wrote."""
+        root = f"{self.path}/manifest"
+        if not path_exists(self.spark, root):
+            return self.spark.createDataFrame([], _MANIFEST)
+        return self.spark.read.schema(_MANIFEST).parquet(root).drop("_at")
+
+    def actions(self) -> DataFrame:
+        return self.manifest().filter("kind is null").drop("kind", *GROUP, SLOT)
+
+    def timeline(self) -> list[Row]:
+        """Finished actions in commit order."""
+        return self.actions().orderBy("commit", "action").collect()
 
     def commits(self) -> list[str]:
         """Data commits (upserts), in order; compaction and clean excluded."""
-        return sorted({a.commit for a in self.timeline() if a.action in DATA_ACTIONS})
-
-    def _schema(self, acts: list[Action] | None = None) -> T.StructType:
-        acts = self.timeline() if acts is None else acts
-        data = [a for a in acts if a.schema_json]
-        if not data:
+        return [r["commit"] for r in self._data_commits().orderBy("commit").collect()]
+
+    def _data_commits(self) -> DataFrame:
+        return self.actions().filter(F.col("action").isin(*DATA_ACTIONS)).select("commit").distinct()
+
+    def _state(self, commit: str | None = None) -> Row:
+        """Latest commit, its schema, the commit before ``commit``, the oldest commit kept and the latest
+        commit folded or cleaned."""
+        data = F.col("action").isin(*DATA_ACTIONS)
+        return self.actions().agg(
+            F.max(F.when(data, F.col("commit"))).alias("latest"),
+            F.max(F.when(data & (F.col("commit") < (commit or "")), F.col("commit"))).alias("before"),
+            F.max_by("schema", F.when(data, F.col("commit"))).alias("schema"),
+            F.max(F.when(F.col("action") == "clean", F.col("info"))).alias("kept"),
+            F.max(F.when(~data, F.col("commit"))).alias("folded")).first()
+
+    def _at(self, as_of: str | None = None) -> tuple[str, T.StructType]:
+        """(commit to read, the table's columns)."""
+        state = self._state()
+        if state["latest"] is None:
             raise ValueError(f"table at {self.path} has no commits")
-        return T.StructType.fromJson(json.loads(data[-1].schema_json))
-
-    def _retained_from(self, acts: list[Action]) -> str | None:
-        cleans = [a.info for a in acts if a.action == "clean"]
-        return max(cleans) if cleans else None
+        as_of = state["latest"] if as_of is None else as_of
+        if state["kept"] is not None and as_of < state["kept"]:
+            raise ValueError(f"commit {as_of} was cleaned (history kept from {state['kept']})")
+        return as_of, T.StructType.fromJson(json.loads(state["schema"]))
+
+    def _slots(self, as_of: str) -> DataFrame:
+        """The slots that make up the table as of a commit; ``dirty``: the group has deltas newer than its base."""
+        slots = self.manifest().filter((F.col("kind") > "") & (F.col("commit") <= as_of))
+        base, delta = F.col("kind") == BASE, F.col("kind") == DELTA
+        groups = slots.groupBy(*GROUP).agg(F.max(F.when(base, F.col("commit"))).alias("base"),
+                                           F.max(F.when(delta, F.col("commit"))).alias("newest"))
+        groups = groups.withColumn("dirty", F.coalesce(F.col("newest") > F.coalesce("base", F.lit("")), F.lit(False)))
+        current = (base & (F.col("commit") == F.col("base"))) | (
+            delta & (F.col("commit") > F.coalesce("base", F.lit(""))))
+        return slots.join(groups, GROUP).filter(current).select(SLOT, *GROUP, "commit", "kind", "dirty")
 
     # ------------------------------------------------------------ reads
-    def _scan(self, kind: str, acts: list[Action], commits: Sequence[str] | None = None) -> DataFrame:
-        """Read slices or deltas.  ``commits`` limits the listing to those
-        action directories (commit ids are plain text, safe as paths), so
-        a read does not list every retained version of the table."""
-        data = self._schema(acts)
-        part_col = SLICE if kind == "slices" else DELTA
-        parts = ([T.StructField(PART, T.StringType())] if self.partition else [])
-        schema = T.StructType([*data.fields, T.StructField(part_col, T.StringType()), *parts,
-                               T.StructField(BUCKET, T.IntegerType())])
-        root = f"{self.path}/{kind}"
-        reader = self.spark.read.schema(schema).option("basePath", root)
-        if commits is None:
-            return self._valued(reader.parquet(root))
-        paths = [f"{root}/{part_col}={c}" for c in sorted(set(commits))]
-        paths = [q for q in paths if path_exists(self.spark, q)]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self._valued(reader.parquet(*paths))
+    def _scan(self, schema: T.StructType, upto: str | None = None, after: str | None = None) -> DataFrame:
+        """All data rows with their slot; ``upto`` / ``after`` prune commits at planning."""
+        found = T.StructType([*schema.fields, T.StructField(WRITE, T.StringType()), T.StructField(SLOT, T.StringType())])
+        rows = self.spark.read.schema(found).parquet(f"{self.path}/data")
+        if upto is not None:  # "<commit>.<kind>" sorts below "<commit>/"
+            rows = rows.filter(F.col(WRITE) < f"{upto}/")
+        if after is not None:
+            rows = rows.filter(F.col(WRITE) > f"{after}/")
+        return self._valued(rows)
 
     def _valued(self, rows: DataFrame) -> DataFrame:
         """The partition column told by its directory, so filters on it prune directories;
@@ -305,298 +167,89 @@ class LakeTable:
         if not self.partition or not isinstance(rows.schema[self.partition].dataType,
                                                 (T.StringType, T.IntegralType, T.BooleanType, T.DateType)):
             return rows
-        value = F.url_decode(F.replace(F.substr(PART, F.lit(3)), F.lit("~"), F.lit("%")))
-        return rows.withColumn(self.partition, F.when(F.col(PART) != "n", value)
-                               .cast(rows.schema[self.partition].dataType))
-
-    def _index(self, acts: list[Action], newest_only: bool = False) -> DataFrame:
-        """(group, kind, commit) rows of every action that wrote file groups.
-        ``newest_only`` keeps one inline row per (group, kind), the newest:
-        all a group map needs, and bounded by the number of file groups
-        rather than by groups x commits."""
-        root = f"{self.path}/_index"
-        schema = T.StructType([
-            *([T.StructField(PART, T.StringType())] if self.partition else []),
-            T.StructField(BUCKET, T.IntegerType()), T.StructField("kind", T.StringType()),
-            T.StructField("rows", T.LongType()), T.StructField(COMMIT_TIME, T.StringType()),
-            T.StructField("_action", T.StringType())])
-        rel = [a for a in acts if a.groups]
-        # narrow actions list their groups inline in the timeline record;
-        # wide ones (more than inline_groups) only in their index directory
-        newest = {}
-        for a in rel:  # commit order
-            if a.group_list is not None:
-                kind = "delta" if (a.action == "deltacommit" and a.info != "base") else "slice"
-                for g in a.group_list:
-                    newest.setdefault((*g, kind), []).append((a.commit, a.action))
-        rows = [(*gk, None, c, act) for gk, hist in newest.items()
-                for c, act in (hist[-1:] if newest_only else hist)]
-        local = self.spark.createDataFrame(rows, schema)
-        wide = [a for a in rel if a.group_list is None]
-        if not wide:
-            return local
-        parts = [local] if rows else []
-        # the visible wide actions' directories only: no listing of the whole index
-        loose = [f"{root}/{COMMIT_TIME}={a.commit}/_action={a.action}" for a in wide if not a.index_at]
-        if loose:
-            parts.append(self.spark.read.schema(schema).option("basePath", root).parquet(*loose))
-        for at in sorted({a.index_at for a in wide if a.index_at}):
-            mine = [a for a in wide if a.index_at == at]
-            folded = self.spark.read.schema(schema).parquet(f"{self.path}/_index_checkpoint/{at}")
-            parts.append(folded.filter(F.col(COMMIT_TIME).isin(sorted({a.commit for a in mine}))
-                                       & F.concat_ws("/", COMMIT_TIME, "_action")
-                                       .isin([f"{a.commit}/{a.action}" for a in mine])))
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
-
-    def _group_map(self, as_of: str, acts: list[Action]) -> DataFrame:
-        """Per file group: its latest base slice ``<= as_of`` and whether
-        newer deltas exist (``_dirty``).  Size = number of file groups."""
-        idx = self._index([a for a in acts if a.commit <= as_of], newest_only=True)
-        slices = (idx.filter(F.col("kind") == "slice").groupBy(*self._group)
-                  .agg(F.max(COMMIT_TIME).alias(SLICE)))
-        deltas = (idx.filter(F.col("kind") == "delta")
-                  .select(*self._group, F.col(COMMIT_TIME).alias(DELTA)))
-        dirty = (deltas.join(slices, self._group, "left")
-                 .filter(F.col(SLICE).isNull() | (F.col(DELTA) > F.col(SLICE)))
-                 .groupBy(*self._group).agg(F.lit(True).alias("_dirty")))
-        return (slices.join(dirty, self._group, "full")
-                .select(*self._group, SLICE, F.coalesce("_dirty", F.lit(False)).alias("_dirty")))
-
-    @staticmethod
-    def _gkey(values) -> str:
-        """Python twin of ``concat_ws('/', ...)`` (nulls skipped)."""
-        return "/".join(str(v) for v in values if v is not None)
-
-    def _inline_map(self, as_of: str, acts: list[Action]):
-        """Group map from the groups listed in the timeline records, or
-        None when some action kept its (large) group list only in the index."""
-        rel = [a for a in acts if a.groups and a.commit <= as_of]
-        if any(a.group_list is None for a in rel):
-            return None
-        # Streaming writers read "as of latest" every batch: keep the folded
-        # map and fold in only records not seen yet (a full rebuild happens
-        # for historical as-of reads or when an already-folded commit changes).
-        seen, latest, deltas = self._map_memo if self._map_memo else (set(), {}, {})
-        keys = {(a.commit, a.stamp) for a in rel}
-        newest_seen = max((k[0] for k in seen), default="")
-        fresh = [a for a in rel if (a.commit, a.stamp) not in seen]
-        incremental = (seen <= keys and all(a.commit > newest_seen for a in fresh)
-                       and all(a.commit <= as_of for a in rel) and as_of >= newest_seen
-                       and len(rel) == len([a for a in acts if a.groups]))
-        if not incremental:
-            seen, latest, deltas, fresh = set(), {}, {}, rel
-        latest, deltas = dict(latest), {g: list(v) for g, v in deltas.items()}
-        for a in fresh:
-            is_delta = a.action == "deltacommit" and a.info != "base"
-            for g in map(tuple, a.group_list):
-                if is_delta:
-                    deltas.setdefault(g, []).append(a.commit)
-                elif a.commit > latest.get(g, ""):
-                    latest[g] = a.commit
-        if len(rel) == len([a for a in acts if a.groups]):  # map of the whole timeline: remember it
-            self._map_memo = (seen | {(a.commit, a.stamp) for a in fresh}, latest, deltas)
-        out = []
-        for g in set(latest) | set(deltas):
-            sl = latest.get(g)
-            dirty = any(sl is None or d > sl for d in deltas.get(g, []))
-            out.append((g, sl, dirty))
-        return out
-
-    def _small(self, df: DataFrame, bound: int) -> DataFrame:
-        """Broadcast a metadata frame only when its recorded size bound
-        (file groups written, summed over actions) is below the limit;
-        otherwise leave the join to a shuffle."""
-        return F.broadcast(df) if bound <= self.broadcast_rows else df
-
-    @staticmethod
-    def _bound(acts: list[Action]) -> int:
-        return sum(a.groups for a in acts)
-
-    def _latest_commit(self, acts: list[Action]) -> str:
-        data = sorted(a.commit for a in acts if a.action in DATA_ACTIONS)
-        if not data:
-            raise ValueError(f"table at {self.path} has no commits")
-        return data[-1]
-
-    def _check_as_of(self, as_of: str | None, acts: list[Action]) -> str:
-        latest = self._latest_commit(acts)
-        as_of = latest if as_of is None else as_of
-        kept = self._retained_from(acts)
-        if kept is not None and as_of < kept:
-            raise ValueError(f"commit {as_of} was cleaned (history kept from {kept})")
-        return as_of
-
-    def _parts(self, as_of: str, acts: list[Action], since: str | None = None, only=None,
-               file_names: bool = False):
-        """(clean slice rows, dirty slice rows, relevant delta rows) as of ``as_of``.
-
-        *clean*: groups whose latest slice has no newer delta (read as is,
-        no shuffle); *dirty*: groups with newer deltas (merged with them).
-        The group map is table metadata (one row per file group); when its
-        recorded bound is small it is collected once and applied as an exact
-        static partition filter on ``(group, slice)``, so only the one slice
-        each group needs is listed and read.  Otherwise broadcast/shuffle
-        semi joins do the same selection.
-        """
-        cols = self._schema(acts).fieldNames() + ([FILE_NAME] if file_names else [])
-        has_slices = any(a.action in ("commit", "compaction") or (a.action == "deltacommit" and a.info == "base")
-                         for a in acts)
-        has_deltas = self.table_type == "mor" and any(
-            a.action == "deltacommit" and a.info != "base" for a in acts)
-        gkey = F.concat_ws("/", *self._group)
-        skey = F.concat_ws("/", *self._group, SLICE)
-        bound = self._bound(acts)
-        rows = self._inline_map(as_of, acts)
-        if rows is not None:
-            rows = [(self._gkey(g), sl, d) for g, sl, d in rows]
-        elif bound <= self.static_groups:
-            rows = [(r["g"], r[SLICE], r["_dirty"]) for r in self._group_map(as_of, acts)
-                    .select(gkey.alias("g"), SLICE, "_dirty").collect()]
-        keep = getattr(only, "group_keys", None)
-        if rows is not None and keep is not None:
-            # a write touching few groups lists only the slices those groups need
-            rows = [r for r in rows if r[0] in keep]
-        if rows is not None:
-            clean_k = [f"{g}/{sl}" for g, sl, d in rows if sl is not None and not d]
-            dirty_k = [f"{g}/{sl}" for g, sl, d in rows if sl is not None and d]
-            dirty_g = [(g, sl) for g, sl, d in rows if d]
-            pick_clean = lambda df: df.filter(skey.isin(clean_k))
-            pick_dirty = lambda df: df.filter(skey.isin(dirty_k))
-            dmap = F.broadcast(self.spark.createDataFrame(dirty_g, f"g string, {SLICE} string"))
-            pick_delta = lambda df: (df.filter(gkey.isin([g for g, _ in dirty_g]))
-                                     .join(dmap, gkey == F.col("g"), "left").drop("g"))
-        else:
-            gmb = self._small(self._group_map(as_of, acts), bound)
-            pick_clean = lambda df: df.join(gmb.filter(~F.col("_dirty")), [*self._group, SLICE], "left_semi")
-            pick_dirty = lambda df: df.join(gmb.filter(F.col("_dirty")), [*self._group, SLICE], "left_semi")
-            pick_delta = lambda df: df.join(gmb.filter(F.col("_dirty")).select(*self._group, SLICE),
-                                            self._group, "inner")
-        clean = dirty = deltas = None
-        need = None if rows is None else {sl for _, sl, _ in rows if sl is not None}
-        if has_slices:
-            sl = self._scan("slices", acts, need).filter(F.col(SLICE) <= as_of)
-            if file_names:
-                sl = sl.withColumn(FILE_NAME, F.col("_metadata.file_name"))
-            if only is not None:
-                sl = only(sl)
-            if since is not None:
-                sl = sl.filter(F.col(SLICE) > since)
-            clean = pick_clean(sl).select(*cols)
-            dirty = pick_dirty(sl).select(*cols)
-        vis = [a.commit for a in acts if a.action == "deltacommit" and a.info != "base"
-               and a.commit <= as_of and (since is None or a.commit > since)] if has_deltas else []
-        if rows is not None:
-            # only deltas newer than some dirty group's slice can matter: deltas
-            # folded by earlier compactions are not even listed
-            lows = [sl or "" for _, sl, d in rows if d]
-            vis = [c for c in vis if lows and c > min(lows)]
-        if vis:
-            dl = self._scan("deltas", acts, vis).filter(F.col(DELTA) <= as_of)
-            if file_names:
-                dl = dl.withColumn(FILE_NAME, F.col("_metadata.file_name"))
-            if only is not None:
-                dl = only(dl)
-            if since is not None:
-                dl = dl.filter(F.col(DELTA) > since)
-            visible = [a.commit for a in acts if a.action == "deltacommit" and a.info != "base"]
-            dl = pick_delta(dl.filter(F.col(DELTA).isin(visible)))
-            deltas = dl.filter(F.col(SLICE).isNull() | (F.col(DELTA) > F.col(SLICE))).select(*cols)
-        return clean, dirty, deltas
-
-    def _empty(self, acts) -> DataFrame:
-        return self.spark.createDataFrame([], self._schema(acts))
+        part = F.split(SLOT, r"\.", 4)[3]
+        value = F.url_decode(F.replace(F.substr(part, F.lit(3)), F.lit("~"), F.lit("%")))
+        return rows.withColumn(self.partition, F.when(part != "n", value).cast(rows.schema[self.partition].dataType))
+
+    def _of(self, rows: DataFrame, slots: DataFrame) -> DataFrame:
+        return rows.join(slots.hint(self.join_hint) if self.join_hint else slots, SLOT)
+
+    def _read(self, as_of: str, schema: T.StructType, after: str | None = None, file_names: bool = False,
+              touched: DataFrame | None = None) -> DataFrame:
+        """Rows as of a commit, newer than ``after``; only groups that are ``touched``, if given."""
+        slots = self._slots(as_of)
+        if touched is not None:
+            slots = slots.join(touched, GROUP, "left_semi")
+        rows = self._scan(schema, as_of, after)
+        columns = schema.fieldNames() + ([FILE_NAME] if file_names else [])
+        if file_names:
+            rows = rows.withColumn(FILE_NAME, F.col("_metadata.file_name"))
+        if after is not None:
+            slots = slots.filter(F.col("commit") > after)
+        if self.table_type == "cow":  # every group is one slot: nothing to merge, no shuffle of rows
+            out = self._of(rows, slots.select(SLOT)).select(*columns)
+            return out if after is None else out.filter(F.col(COMMIT_TIME) > after)
+        clean = self._of(rows, slots.filter(~F.col("dirty")).select(SLOT)).select(*columns)
+        dirty = self._of(rows, slots.filter("dirty").select(SLOT)).select(*columns)
+        if after is not None:
+            clean, dirty = (d.filter(F.col(COMMIT_TIME) > after) for d in (clean, dirty))
+        return clean.unionByName(self._latest(dirty))
 
     def snapshot(self, as_of: str | None = None, file_names: bool = False) -> DataFrame:
         """Latest version of every key (optionally as of a commit, inclusive).
         ``file_names`` adds ``_file_name``: the data file each row was read from."""
-        acts = self.timeline()
-        as_of = self._check_as_of(as_of, acts)
-        clean, dirty, deltas = self._parts(as_of, acts, file_names=file_names)
-        merged = [d for d in (dirty, deltas) if d is not None]
-        pieces = [clean] if clean is not None else []
-        if merged:
-            both = merged[0] if len(merged) == 1 else merged[0].unionByName(merged[1])
-            if deltas is not None:
-                both = self._latest(both)
-            pieces.append(both)
-        if not pieces:
-            return self._empty(acts)
-        out = pieces[0]
-        for p in pieces[1:]:
-            out = out.unionByName(p)
-        return out
+        return self._read(*self._at(as_of), file_names=file_names)
 
     as_of = snapshot
 
     def read_optimized(self) -> DataFrame:
-        """Base slices only: fast, and stale until the next compaction."""
-        acts = self.timeline()
-        as_of = self._check_as_of(None, acts)
-        clean, dirty, _ = self._parts(as_of, acts)
-        if clean is None:
-            return self._empty(acts)
-        return clean.unionByName(dirty)
+        """Base slots only: fast, and stale until the next compaction."""
+        at, schema = self._at()
+        return self._of(self._scan(schema, at), self._slots(at).filter(F.col("kind") == BASE).select(SLOT)).select(
+            *schema.fieldNames())
 
     def incremental(self, begin: str, end: str | None = None) -> DataFrame:
-        """Keys whose version as of ``end`` was written in ``(begin, end]``."""
-        acts = self.timeline()
-        end = self._check_as_of(end, acts)
+        """Keys whose version as of ``end`` was written in ``(begin, end]``.  Under commit-time merging a
+        slot at or before ``begin`` holds nothing newer, so such slots aren't read."""
+        end, schema = self._at(end)
         if self.merge_mode != "commit_time":
-            return self.snapshot(end).filter(F.col(COMMIT_TIME) > begin)
-        clean, dirty, deltas = self._parts(end, acts, since=begin)
-        # Slices at or before `begin` hold only rows <= begin: pruned as partitions.
-        pieces = [p.filter(F.col(COMMIT_TIME) > begin) for p in (clean, dirty) if p is not None]
-        out = None
-        for p in pieces:
-            out = p if out is None else out.unionByName(p)
-        if deltas is not None:
-            merged = deltas if dirty is None else dirty.filter(F.col(COMMIT_TIME) > begin).unionByName(deltas)
-            merged = self._latest(merged)
-            base = clean.filter(F.col(COMMIT_TIME) > begin) if clean is not None else None
-            out = merged if base is None else base.unionByName(merged)
-        return out if out is not None else self._empty(acts)
+            return self._read(end, schema).filter(F.col(COMMIT_TIME) > begin)
+        return self._read(end, schema, after=begin)
 
     def history(self) -> DataFrame:
         """All retained row versions (the changelog still reachable)."""
-        acts = self.timeline()
-        kept = self._retained_from(acts)
-        cols = self._schema(acts).fieldNames()
-        sl = self._scan("slices", acts)
-        idx = self._index(acts).filter(F.col("kind") == "slice")
-        if kept is not None:
-            # oldest reachable base per group: its latest slice at or before the boundary
-            before = idx.filter(F.col(COMMIT_TIME) < kept).groupBy(*self._group).agg(F.max(COMMIT_TIME).alias("_from"))
-        else:
-            # a group that began with deltas has no base of its own: a compaction only folds them
-            before = (idx.filter(F.col("_action") != "compaction").groupBy(*self._group)
-                      .agg(F.min(COMMIT_TIME).alias("_from")))
-        frm = self._small(before, self._bound(acts))
-        rows = (sl.join(frm, self._group, "left")
-                .filter(F.col("_from").isNull() | (F.col(SLICE) >= F.col("_from"))))
-        if self.table_type == "mor":
-            rows = rows.filter(F.col("_from").isNull() | (F.col(SLICE) == F.col("_from")))
-        rows = rows.select(*cols)
-        if any(a.action == "deltacommit" and a.info != "base" for a in acts):
-            visible = [a.commit for a in acts if a.action == "deltacommit"]
-            dl = self._scan("deltas", acts).filter(F.col(DELTA).isin(visible))
-            dl = dl.join(frm, self._group, "left").filter(
-                F.col("_from").isNull() | (F.col(DELTA) > F.col("_from"))).select(*cols)
-            rows = rows.unionByName(dl)
-        return rows.dropDuplicates([*self.keys, COMMIT_TIME])
+        _, schema = self._at()
+        kept = self._state()["kept"]
+        slots = self.manifest().filter(F.col("kind") > "")
+        base = F.col("kind") == BASE
+        # the oldest base that counts: the latest one before the retained commits, or else each group's first (a
+        # compaction only folds deltas that are there still)
+        first = (F.max(F.when(base & (F.col("commit") < kept), F.col("commit"))) if kept is not None else
+                 F.min(F.when(base & (F.col("action") != "compaction"), F.col("commit"))))
+        groups = slots.groupBy(*GROUP).agg(first.alias("first"))
+        reach = F.when(base, F.col("commit") == F.col("first") if self.table_type == "mor" else
+                       F.col("commit") >= F.col("first")).otherwise(F.col("commit") > F.col("first"))
+        reach = F.col("first").isNull() | reach
+        return (self._of(self._scan(schema), slots.join(groups, GROUP).filter(reach).select(SLOT))
+                .select(*schema.fieldNames()).dropDuplicates([*self.keys, COMMIT_TIME]))
 
     # ------------------------------------------------------------ writes
-    def _part_col(self):
+    def _part_col(self) -> Column:
         """The partition value as a directory name: never null or empty, null and '' distinct."""
+        if not self.partition:
+            return F.lit("v.")
         value = F.url_encode(F.col(self.partition).cast("string"))
         value = F.replace(F.replace(value, F.lit("%"), F.lit("~")), F.lit("*"), F.lit("~2A"))
         return F.coalesce(F.concat(F.lit("v."), value), F.lit("n"))
 
+    def _bucket_col(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.record_key]), F.lit(self.buckets)).cast("int")
+
     def _with_group(self, rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn(PART, self._part_col()) if self.partition else rows
-        return rows.withColumn(BUCKET, self._bucket_col())
+        return rows.withColumn(PART, self._part_col()).withColumn(BUCKET, self._bucket_col())
+
+    def _tie(self, rows: DataFrame) -> list[str]:
+        return [c for c in self.tie if c in rows.columns]
 
     def _stamp(self, batch: DataFrame, commit: str) -> DataFrame:
         """Precombine the batch and add the commit / key / group columns.  The table's own
@@ -604,8 +257,7 @@ class LakeTable:
         clash = sorted(set(batch.columns) & set(INTERNAL))
         if clash:
             raise ValueError(f"columns {clash} are names that the table uses itself")
-        rows = V.precombine(batch, self.keys, [c for c in self.precombine if c in batch.columns],
-                            self._tie(batch))
+        rows = V.precombine(batch, self.keys, [c for c in self.precombine if c in batch.columns], self._tie(batch))
         rk = self.record_key
         rec = F.col(rk[0]).cast("string") if len(rk) == 1 else F.concat_ws(
             ",", *[F.concat(F.lit(f"{k}:"), F.col(k).cast("string")) for k in rk])
@@ -615,23 +267,18 @@ class LakeTable:
             F.lit(commit).alias(COMMIT_TIME),
             F.concat_ws("_", F.lit(commit), F.spark_partition_id().cast("string"),
                         F.monotonically_increasing_id().cast("string")).alias(COMMIT_SEQNO),
-            rec.alias(RECORD_KEY_COL),
-            ppath.alias(PARTITION_PATH),
+            rec.alias(RECORD_KEY_COL), ppath.alias(PARTITION_PATH),
             *[F.col(c) for c in rows.columns if c not in METADATA]))
 
-    def _tie(self, rows: DataFrame) -> list[str]:
-        return [c for c in self.tie if c in rows.columns]
-
-    def _merged_schema(self, stamped: DataFrame, acts: list[Action]) -> T.StructType:
+    @staticmethod
+    def _merged_schema(stamped: DataFrame, old: T.StructType | None) -> T.StructType:
         """Schema reconcile: table schema plus any new batch columns."""
         new = T.StructType([f for f in stamped.schema.fields if f.name not in INTERNAL])
-        if not any(a.schema_json for a in acts):
+        if old is None:
             return new
-        old = self._schema(acts)
         fields = list(old.fields)
-        names = set(old.fieldNames())
         for f in new.fields:
-            if f.name not in names:
+            if f.name not in old.fieldNames():
                 fields.append(f)
                 continue
             was, now = old[f.name].dataType.simpleString(), f.dataType.simpleString()
@@ -639,147 +286,101 @@ class LakeTable:
                 raise TypeError(f"column {f.name} is {was}; a batch of {now} would lose values")
         return T.StructType(fields)
 
-    def _write_rows(self, rows: DataFrame, kind: str, commit: str, grouped: bool = False) -> None:
-        """Write one action's rows under its own directory, one folder per
-        file group.  Rows not yet clustered by file group are rebalanced
-        (AQE splits a hot group into ~128 MB files); ``grouped`` rows are
-        already hash-partitioned by group and go straight to the writer."""
-        col = SLICE if kind == "slices" else DELTA
-        target = f"{self.path}/{kind}/{col}={commit}"
-        if not grouped:
-            rows = rows.hint("rebalance", *self._group)
+    @staticmethod
+    def _align(df: DataFrame, schema: T.StructType, extra: Sequence[str] = ()) -> DataFrame:
+        cols = [F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in schema.fields]
+        return df.select(*cols, *[F.col(c) for c in extra])
+
+    def _write_rows(self, rows: DataFrame, commit: str, kind: str, grouped: bool = False) -> DataFrame:
+        """Write rows as slots of one action; returns (slot, group, rows) as read back from file footers.
+        Rows not yet clustered by file group are rebalanced (AQE splits a hot group into ~128 MB files)."""
+        target = f"{self.path}/data/{WRITE}={commit}.{kind}"
+        rows = rows if grouped else rows.hint("rebalance", *GROUP)
+        slot = F.concat_ws(".", F.lit(commit), F.lit(kind), BUCKET, PART)
         # a replay replaces the whole action, whatever overwrite mode the session has
-        w = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        w = rows.withColumn(SLOT, slot).drop(*GROUP).write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.max_records_per_file:
             w = w.option("maxRecordsPerFile", str(self.max_records_per_file))
-        w.partitionBy(*self._group).parquet(target)
-
-    def _write_meta(self, commit: str, action: str, groups: DataFrame | None, kind: str,
-                    rows: int, n_groups: int, schema: T.StructType | None, info: str = "",
-                    group_list: list | None = None, source: str | None = None) -> None:
-        """Index rows (file groups written) via Spark, then the timeline
-        record last: written under a hidden name and renamed, so readers
-        never see a partial record."""
-        if groups is not None and n_groups and group_list is None:
-            (groups.select(*self._group, F.col("rows").cast("long")).withColumn("kind", F.lit(kind))
-                .coalesce(1).write.mode("overwrite")
-                .parquet(f"{self.path}/_index/{COMMIT_TIME}={commit}/_action={action}"))
-        rec = {"commit": commit, "action": action, "rows": int(rows), "groups": int(n_groups),
-               "schema": schema.json() if schema is not None else None, "info": info,
-               "source": source, "finished_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
-        if group_list is not None:
-            rec["group_list"] = [list(g) for g in group_list]
-        final = f"{self.path}/_timeline/{commit}.{action}.json"
-        tmp = f"{self.path}/_timeline/.{commit}.{action}.{uuid.uuid4().hex}.tmp"
-        _write_text(self.spark, tmp, json.dumps(rec))
-        fs, src = _fs(self.spark, tmp)
-        dst = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(final)
-        if fs.exists(dst):
-            fs.delete(dst, False)
-        fs.rename(src, dst)
-
-    def _group_filter(self, groups: DataFrame, n_groups: int,
-                      group_list: list | None = None) -> Callable[[DataFrame], DataFrame]:
-        """Restrict a scan to the given file groups.  When the group count
-        (known from the batch) is small, the keys go into a static
-        partition filter (pruned at planning); otherwise a semi join."""
-        if group_list is not None or n_groups <= self.static_groups:
-            if group_list is None:
-                group_list = [tuple(r) for r in groups.select(*self._group).collect()]
-            keys = [self._gkey(g) for g in group_list]
-            pick = lambda df: df.filter(F.concat_ws("/", *self._group).isin(keys))
-            pick.group_keys = frozenset(keys)  # lets a read list only these groups' slices
-            return pick
-        g = self._small(groups.select(*self._group), n_groups)
-        return lambda df: df.join(g, self._group, "left_semi")
-
-    def _align(self, df: DataFrame, schema: T.StructType, extra: Sequence[str] = ()) -> DataFrame:
-        cols = []
-        for f in schema.fields:
-            cols.append(F.col(f.name).cast(f.dataType) if f.name in df.columns
-                        else F.lit(None).cast(f.dataType).alias(f.name))
-        return df.select(*cols, *[F.col(c) for c in extra])
+        w.partitionBy(SLOT).parquet(target)
+        names = F.split(SLOT, r"\.", 4)
+        return (self.spark.read.schema(f"{SLOT} string").parquet(target).groupBy(SLOT)
+                .agg(F.count(F.lit(1)).alias("rows"))
+                .select(F.lit(kind).alias("kind"), SLOT, names[3].alias(PART), names[2].cast("int").alias(BUCKET), "rows"))
+
+    def _record(self, commit: str, action: str, slots: DataFrame | None = None, rows: int = 0,
+                schema: T.StructType | None = None, info: str | None = None, source: str | None = None) -> None:
+        """The action's manifest rows, which make it visible: written as one file, renamed into place."""
+        props = json.dumps(self.properties())
+        out = self.spark.createDataFrame(
+            [(commit, action, None, None, None, None, rows, schema.json() if schema else None, props, info, source)],
+            _MANIFEST)
+        if slots is not None:
+            out = out.unionByName(slots.withColumns({"commit": F.lit(commit), "action": F.lit(action)}),
+                                  allowMissingColumns=True)
+        (out.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{self.path}/manifest/_at={commit}.{action}"))
 
-    def _next(self, acts: list[Action]) -> str:
+    @staticmethod
+    def _next(latest: str | None) -> str:
         """A commit id above all others: the UTC instant, or for a table that counts its
         commits in ids of another width, the next number."""
-        latest = max((a.commit for a in acts if a.action in DATA_ACTIONS), default="")
+        latest = latest or ""
         after = str(int(latest) + 1).zfill(len(latest)) if latest.isdigit() else ""
         return after if after and len(latest) != len(utc_instant()) else max(utc_instant(), after)
 
     def next_commit(self) -> str:
-        return self._next(self.timeline())
-
-    def _check_order(self, commit: str, acts: list[Action]) -> None:
-        latest = max((a.commit for a in acts if a.action in DATA_ACTIONS), default="")
-        if commit < latest:
-            raise ValueError(f"commit {commit} is older than the latest, {latest}: its rows could not be seen")
-        if commit == latest and any(a.action in ("compaction", "clean") and a.commit >= commit for a in acts):
-            raise ValueError(f"commit {commit} has been compacted or cleaned and can't be replayed")
+        return self._next(self._state()["latest"])
 
     def source_commit(self, source: str) -> str | None:
         """The commit that a batch named ``source`` was written as."""
-        return next((a.commit for a in self.timeline() if a.source == source), None)
+        return self.actions().filter(F.col("source") == source).agg(F.max("commit")).first()[0]
 
-    def upsert(self, batch: DataFrame, commit: str | None = None, source: str | None = None) -> str | None:
+    def upsert(self, batch: DataFrame, commit: str | None = None, source: str | None = None,
+               seen: Observation | None = None) -> str | None:
         """Write one batch as commit ``commit`` (default: UTC instant).
 
-        Copy-on-write rewrites only the file groups the batch touches;
-        merge-on-read appends the batch as a delta.  An empty batch writes
-        nothing.  Replaying the latest commit id rewrites that commit; an older
-        id, or one that a compaction or a clean has folded, is refused.
-        ``source`` names what the batch is, so that a stream can tell a replay.
+        Merge-on-read writes the batch as a delta.  Copy-on-write lands the batch and rewrites the
+        file groups it touches: current and landed rows are shuffled once by group.  An
+        empty batch writes nothing.  Replaying the latest commit id rewrites that commit; an
+        older id, or one that a compaction or a clean has folded, is refused.
+        ``source`` names what the batch is, so that a stream can tell a replay; ``seen`` observes
+        the number of rows (keys) written.
         """
-        known = self.timeline()
-        commit = commit or self._next(known)
-        self._check_order(commit, known)
-        self._save_properties()
-        acts = [a for a in known if a.commit < commit]
-        stamped = self._stamp(batch, commit).persist()
-        groups = stamped.groupBy(*self._group).agg(F.count(F.lit(1)).alias("rows")).persist()
-        try:
-            # one job: the touched-group list (small, bounded) gives both counts
-            head = groups.limit(self.inline_groups + 1).collect()
-            if len(head) <= self.inline_groups:
-                n_groups, n_rows = len(head), sum(r["rows"] for r in head)
-                glist = [tuple(r[c] for c in self._group) for r in head]
-            else:
-                st = groups.agg(F.count(F.lit(1)), F.sum("rows")).first()
-                n_groups, n_rows, glist = int(st[0]), int(st[1] or 0), None
-            if n_groups == 0:
-                return None
-            schema = self._merged_schema(stamped, acts)
-            incoming = self._align(stamped, schema, self._group)
-            first = not any(a.action in DATA_ACTIONS for a in acts)
-            if first or self.table_type == "cow":
-                if first:
-                    new_rows, grouped = incoming, False
-                else:
-                    # one exchange: current and incoming rows meet in their file group, the
-                    # per-key reduction and the writer both reuse that partitioning
-                    only = self._group_filter(groups, n_groups, glist)
-                    current = self._align(self._current_rows(acts, only), schema, self._group)
-                    new_rows = self._reduced(current.unionByName(incoming))
-                    grouped = True
-                self._write_rows(new_rows, "slices", commit, grouped=grouped)
-                action = "commit" if self.table_type == "cow" else "deltacommit"
-                self._write_meta(commit, action, groups, "slice", n_rows, n_groups, schema,
-                                 "base" if self.table_type == "mor" else "", glist, source)
-            else:
-                self._write_rows(incoming, "deltas", commit)
-                self._write_meta(commit, "deltacommit", groups, "delta", n_rows, n_groups, schema,
-                                 group_list=glist, source=source)
-        finally:
-            groups.unpersist()
-            stamped.unpersist()
+        commit = commit or self.next_commit()
+        state = self._state(commit)
+        latest, before = state["latest"], state["before"]
+        if "." in commit or "/" in commit:
+            raise ValueError(f"commit id {commit!r}: dots and slashes are the table's own")
+        if commit < (latest or ""):
+            raise ValueError(f"commit {commit} is older than the latest, {latest}: its rows could not be seen")
+        if commit == latest and (state["folded"] or "") >= commit:
+            raise ValueError(f"commit {commit} has been compacted or cleaned and can't be replayed")
+        old = T.StructType.fromJson(json.loads(state["schema"])) if before is not None else None
+        stamped = self._stamp(batch, commit)
+        schema = self._merged_schema(stamped, old)
+        seen = seen or Observation()
+        incoming = self._align(stamped, schema, GROUP).observe(seen, F.count(F.lit(1)).alias("rows"))
+        kind = BASE if before is None or self.table_type == "cow" else DELTA
+        landing = None
+        if kind == BASE and before is not None:
+            landing = f"{self.path}/landing/{commit}"
+            incoming.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(landing)
+            landed = self.spark.read.schema(incoming.schema).parquet(landing)
+            current = self._read(before, old, touched=landed.select(*GROUP).distinct())
+            incoming = self._reduced(self._align(self._with_group(current), schema, GROUP).unionByName(landed))
+        slots = self._write_rows(incoming, commit, kind, grouped=landing is not None)
+        if landing:
+            delete_path(self.spark, landing)
+        if slots.isEmpty():
+            delete_path(self.spark, f"{self.path}/data/{WRITE}={commit}.{kind}")
+            return None
+        self._record(commit, "commit" if self.table_type == "cow" else "deltacommit", slots, seen.get["rows"], schema,
+                     source=source)
         if self.table_type == "mor" and self.compact_every:
             self._maybe_compact(self.compact_every)
         if self.retain_commits:
             self._maybe_clean(self.retain_commits)
-        if self.checkpoint_every:
-            self.timeline()
-            if self._loose >= self.checkpoint_every:
-                self.checkpoint_timeline()
         return commit
 
     def _latest(self, rows: DataFrame) -> DataFrame:
@@ -789,149 +390,94 @@ class LakeTable:
     def _reduced(self, rows: DataFrame) -> DataFrame:
         """Rows (with their group columns) shuffled once by file group, then the latest of
         each key; the window treats null keys as equal."""
-        return V.snapshot(rows.repartition(*self._group), [*self._group, *self.keys], None, self.merge_mode,
+        return V.snapshot(rows.repartition(*GROUP), [*GROUP, *self.keys], None, self.merge_mode,
                           [c for c in self.precombine if c in rows.columns], self._tie(rows))
 
     def _maybe_compact(self, every: int) -> None:
-        """Inline compaction schedule: fold deltas once ``every`` delta
-        commits have accumulated since the last base was written."""
-        acts = self.timeline()
-        last_base = max((a.commit for a in acts if a.action in ("compaction", "commit")
-                         or (a.action == "deltacommit" and a.info == "base")), default="")
-        pending = [a for a in acts if a.action == "deltacommit" and a.info != "base" and a.commit > last_base]
-        if len(pending) >= every:
+        """Fold deltas once ``every`` delta commits have accumulated since the last base was written."""
+        slots = self.manifest()
+        base = slots.filter(F.col("kind") == BASE).agg(F.max("commit")).first()[0] or ""
+        if slots.filter((F.col("kind") == DELTA) & (F.col("commit") > base)).select("commit").distinct().count() >= every:
             self.compact()
 
     def _maybe_clean(self, retain: int) -> None:
-        """Automatic retention, amortised: clean once ``retain`` new data
-        commits have accumulated since the last clean, so at least the
-        latest ``retain`` commits stay queryable and each fold covers many
-        commits (a merge-on-read table is not compacted on every write)."""
-        acts = self.timeline()
-        last = max((a.commit for a in acts if a.action == "clean"), default="")
-        since = [a for a in acts if a.action in DATA_ACTIONS and a.commit > last]
-        if len(since) >= 2 * retain or (not last and len(since) > retain):
+        """Automatic retention, amortised: clean once ``retain`` new data commits have accumulated
+        since the last clean, so at least the latest ``retain`` commits stay queryable and each
+        fold covers many commits (a merge-on-read table is not compacted on every write)."""
+        last = self.actions().filter("action = 'clean'").agg(F.max("commit")).first()[0]
+        since = self._data_commits().filter(F.col("commit") > (last or "")).count()
+        if since >= 2 * retain or (last is None and since > retain):
             self.clean(retain)
 
-    def _current_rows(self, acts: list[Action], only=None) -> DataFrame:
-        """Current rows of the file groups selected by ``only``."""
-        latest = self._latest_commit(acts)
-        clean, dirty, deltas = self._parts(latest, acts, only=only)
-        rows = clean.unionByName(dirty)
-        if deltas is not None:
-            merged = self._latest(dirty.unionByName(deltas))
-            rows = clean.unionByName(merged)
-        return self._with_group(rows)
-
-    def _bucket_col(self):
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.record_key]), F.lit(self.buckets)).cast("int")
-
     def overwrite(self, batch: DataFrame, commit: str | None = None) -> str:
-        """Recreate the table from this batch alone (new timeline).
+        """Recreate the table from this batch alone.
 
         The new table is written beside the old one, which the batch may read from, and
         takes its place once it is complete.
         """
-        beside = LakeTable(self.spark, f"{self.path}.new-{uuid.uuid4().hex[:8]}", **self._settings())
+        beside = LakeTable(self.spark, f"{self.path}.new-{uuid.uuid4().hex[:8]}", **self.properties(),
+                           join_hint=self.join_hint, max_records_per_file=self.max_records_per_file)
         commit = beside.upsert(batch, commit)
         if commit is None:
             raise ValueError("overwrite with an empty batch: the table is left as it is")
         delete_path(self.spark, self.path)
         fs, new = _fs(self.spark, beside.path)
         fs.rename(new, _fs(self.spark, self.path)[1])
-        self._records.clear()
-        self._map_memo = None
         return commit
 
-    def _settings(self) -> dict:
-        return {**self.properties(), "broadcast_rows": self.broadcast_rows, "static_groups": self.static_groups,
-                "inline_groups": self.inline_groups, "max_records_per_file": self.max_records_per_file,
-                "checkpoint_every": self.checkpoint_every}
-
     # ------------------------------------------------------------ properties
-    PROPS = "_table.json"
-
     def properties(self) -> dict:
         return {"table_type": self.table_type, "keys": self.keys, "partition": self.partition,
                 "record_key": self.record_key, "precombine": self.precombine, "tie": self.tie,
                 "merge_mode": self.merge_mode, "buckets": self.buckets}
 
-    def _save_properties(self) -> None:
-        target = f"{self.path}/{self.PROPS}"
-        if not path_exists(self.spark, target):
-            _write_text(self.spark, target, json.dumps(self.properties()))
+    @classmethod
+    def exists(cls, spark: SparkSession, path: str) -> bool:
+        return path_exists(spark, f"{path.rstrip('/')}/manifest")
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, **overrides) -> "LakeTable":
         """Open an existing table with the properties it was created with."""
-        props = json.loads(_read_text(spark, _fs(spark, f"{path.rstrip('/')}/{cls.PROPS}")[1]))
-        props.update(overrides)
-        return cls(spark, path, **props)
+        props = cls(spark, path).actions().agg(F.min_by("props", "commit")).first()[0]
+        if props is None:
+            raise ValueError(f"table at {path} has no commits")
+        return cls(spark, path, **{**json.loads(props), **overrides})
 
+    # ------------------------------------------------------------ services
     def compact(self, at: str | None = None) -> str | None:
-        """Fold deltas into new base slices as of ``at`` (default latest).
+        """Fold deltas into new base slots as of ``at`` (default latest).
         Snapshot reads are unchanged; read-optimised reads become fresh."""
-        acts = self.timeline()
-        at = self._check_as_of(at, acts)
-        acts_at = [a for a in acts if a.commit <= at]
-        inline = self._inline_map(at, acts_at)
-        if inline is not None:
-            dirty_list = [g for g, _, d in inline if d]
-            n_dirty = len(dirty_list)
-            gschema = T.StructType([*([T.StructField(PART, T.StringType())] if self.partition else []),
-                                    T.StructField(BUCKET, T.IntegerType()), T.StructField("rows", T.LongType())])
-            dirty_groups = self.spark.createDataFrame([(*g, None) for g in dirty_list], gschema)
-        else:
-            dirty_list = None
-            gm = self._group_map(at, acts_at)
-            dirty_groups = gm.filter(F.col("_dirty")).select(*self._group, F.lit(None).cast("long").alias("rows"))
-            n_dirty = dirty_groups.count()
-        if n_dirty == 0:
+        at, schema = self._at(at)
+        dirty = self._slots(at).filter("dirty")
+        if dirty.isEmpty():
             return None
-        clean, dirty, deltas = self._parts(at, acts_at)
-        pieces = [d for d in (dirty, deltas) if d is not None]
-        both = pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
-        # cluster by file group once: the per-key reduction (keys + bucket)
-        # and the writer both reuse that partitioning
-        self._write_rows(self._reduced(self._with_group(both)), "slices", at, grouped=True)
-        self._write_meta(at, "compaction", dirty_groups, "slice", 0, n_dirty, None,
-                         group_list=dirty_list)
+        rows = self._with_group(self._of(self._scan(schema, at), dirty.select(SLOT)).select(*schema.fieldNames()))
+        self._record(at, "compaction", self._write_rows(self._reduced(rows), at, BASE, grouped=True))
         return at
 
     def clean(self, retain: int, purge: bool = False) -> str | None:
         """Keep the latest ``retain`` commits queryable; older history is
         folded into a base at the commit just before the window."""
-        acts = self.timeline()
-        data = sorted({a.commit for a in acts if a.action in DATA_ACTIONS})
-        if len(data) <= retain:
+        newest = [r["commit"] for r in self._data_commits().orderBy(F.desc("commit")).limit(retain + 1).collect()]
+        if len(newest) <= retain:
             return None
-        cutoff, before = data[-retain], data[-retain - 1]
+        cutoff, before = newest[retain - 1], newest[retain]
         if self.table_type == "mor":
             self.compact(before)
-        self._write_meta(data[-1], "clean", None, "", 0, 0, None, info=cutoff)
+        self._record(newest[0], "clean", info=cutoff)
         if purge:
             self._purge(cutoff)
         return cutoff
 
     def _purge(self, cutoff: str) -> None:
-        """Delete slice / delta directories no retained read can reach."""
-        acts = self.timeline()
-        idx = self._index(acts)
-        keep_from = (idx.filter((F.col("kind") == "slice") & (F.col(COMMIT_TIME) < cutoff))
-                     .groupBy(*self._group).agg(F.max(COMMIT_TIME).alias("_from")))
-        dead = (idx.join(keep_from, self._group)
-                .filter(F.col(COMMIT_TIME) < F.col("_from"))
-                .select(*self._group, "kind", COMMIT_TIME).distinct())
-        # directory names only: bounded by file groups x commits
-        for r in dead.toLocalIterator():
-            kind, col = ("slices", SLICE) if r["kind"] == "slice" else ("deltas", DELTA)
-            parts = [f"{col}={r[COMMIT_TIME]}"]
-            if self.partition:
-                parts.append(f"{PART}={r[PART]}")
-            parts.append(f"{BUCKET}={r[BUCKET]}")
-            delete_path(self.spark, f"{self.path}/{kind}/" + "/".join(parts))
-
-    # ------------------------------------------------------------ inventory
+        """Delete the slots that no retained read can reach."""
+        slots = self.manifest().filter(F.col("kind") > "")
+        first = (slots.filter((F.col("kind") == BASE) & (F.col("commit") < cutoff)).groupBy(*GROUP)
+                 .agg(F.max("commit").alias("first")))
+        dead = slots.join(first, GROUP).filter(F.col("commit") < F.col("first"))
+        for r in dead.select("commit", "kind", SLOT).toLocalIterator():  # directory names, one at a time
+            delete_path(self.spark, f"{self.path}/data/{WRITE}={r['commit']}.{r['kind']}/{SLOT}={r[SLOT]}")
+
     def storage(self) -> DataFrame:
         from .documents import storage_inventory
         return storage_inventory(self.spark, self.path)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .lake import LakeTable, path_exists
+from .lake import LakeTable
 
 _TABLE_TYPES = {"COPY_ON_WRITE": "cow", "MERGE_ON_READ": "mor", "cow": "cow", "mor": "mor"}
 
@@ -55,7 +55,7 @@ def write(df: DataFrame, path: str, mode: str = "append", commit: str | None = N
     op = _opt(options, "operation", "upsert")
     if op != "upsert":
         raise ValueError(f"operation {op!r} is not supported (upsert)")
-    exists = path_exists(spark, f"{path.rstrip('/')}/{LakeTable.PROPS}")
+    exists = LakeTable.exists(spark, path)
     if mode == "overwrite" or not exists:
         record_key = _fields(_opt(options, "recordkey.field", "parcelId"))
         partition = _opt(options, "partitionpath.field", "area") or None

@@ -89,8 +89,9 @@ def test_golden_cow_vs_mor(spark, tmp_table):
     # storage: copy-on-write has only base slices, merge-on-read base + 3 deltas
     cow_files = cow.storage().collect()
     mor_files = mor.storage().collect()
-    assert not any("/deltas/" in r.path for r in cow_files)
-    assert {r.path.split("/deltas/_delta=")[1][:3] for r in mor_files if "/deltas/" in r.path} == {"001", "002", "003"}
+    writes = lambda files: {r.path.split("/_write=")[1].split("/")[0] for r in files if "/data/" in r.path}
+    assert all(w.endswith(".b") for w in writes(cow_files))
+    assert {w for w in writes(mor_files) if w.endswith(".d")} == {"001.d", "002.d", "003.d"}
     assert all(r.file_class == "PARQUET" for r in mor_files)
     before = sorted(map(tuple, mor.snapshot().collect()))
     assert mor.compact() == "003"
@@ -135,9 +136,8 @@ def test_partial_commit_is_invisible(spark, tmp_table):
     txe = FX.txe(spark, SF)
     t = C._fill(LakeTable(spark, tmp_table("partial"), table_type="mor", buckets=4), txe, FX.TXE_COMMITS[:3])
     before = _sorted(t.snapshot())
-    # data of commit 003 lands but the writer dies before its timeline record
-    t._write_rows(t._stamp(txe.filter(F.col("_commit_time") == "003").drop("_commit_time"), "003"),
-                  "deltas", "003")
+    # data of commit 003 lands but the writer dies before its manifest rows
+    t._write_rows(t._stamp(txe.filter(F.col("_commit_time") == "003").drop("_commit_time"), "003"), "003", "d")
     assert _sorted(t.snapshot()) == before
 
 
@@ -228,27 +228,27 @@ def test_key_filters_reach_the_scan(spark, tmp_table):
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     scans = [l for l in plan.split("\n") if "FileScan" in l]
-    # the partition value is told by its directory, so the filter prunes directories
-    assert scans and all("url_decode" in l.split("PartitionFilters")[1].split("PushedFilters")[0] for l in scans)
-    assert all("EqualTo(parcelId,7)" in l for l in scans)
+    scans = [l for l in scans if "/data" in l]
+    # the partition value is told by its directory, so the filter prunes directories, as the manifest does at run time
+    assert scans
+    for line in scans:
+        pruned = line.split("PartitionFilters")[1].split("PushedFilters")[0]
+        assert "_slot" in pruned and "click" in pruned and "dynamicpruning" in pruned and "_write" in pruned
+        assert "EqualTo(parcelId,7)" in line
     want = C.q_snapshot_read(spark, SF).filter((F.col("area") == "click") & (F.col("parcelId") == "7"))
     assert sorted(map(tuple, q.select(*C.TXN_OUT).collect())) == sorted(map(tuple, want.collect()))
 
 
 @pytest.mark.parametrize("kind", ["cow", "mor"])
-def test_large_table_code_paths(spark, tmp_table, kind):
-    """Group lists kept only in the parquet index, group map applied by
-    shuffle joins (no static filter, no broadcast): the paths a very wide
-    table takes.  Results must equal the small-table paths."""
+def test_reads_by_sorted_joins(spark, tmp_table, kind):
+    """A manifest too large to broadcast: results must equal the small table's."""
     from keyedlake.operators import versioned as V
     txe = FX.txe(spark, SF)
-    t = LakeTable(spark, tmp_table(f"wide-{kind}"), table_type=kind, buckets=4,
-                  inline_groups=0, static_groups=0, broadcast_rows=0)
+    t = LakeTable(spark, tmp_table(f"wide-{kind}"), table_type=kind, buckets=4, join_hint="merge")
     C._fill(t, txe, FX.TXE_COMMITS[:3])
     if kind == "mor":
         t.compact("001")
     C._fill(t, txe, FX.TXE_COMMITS[3:])
-    assert all(a.group_list is None for a in t.timeline())
     for c in ("001", "003", "004"):
         want = sorted(map(tuple, V.snapshot(txe, as_of=c).select(*C.TXN_OUT).collect()))
         assert sorted(map(tuple, t.snapshot(c).select(*C.TXN_OUT).collect())) == want
@@ -260,20 +260,29 @@ def test_large_table_code_paths(spark, tmp_table, kind):
         assert sorted(map(tuple, t.read_optimized().select(*C.TXN_OUT).collect())) == want
 
 
-def test_group_map_memo_matches_full_rebuild(spark, tmp_table):
+def test_replay_with_fewer_groups(spark, tmp_table):
+    """The replayed commit's old slots no longer count, those of other commits still do."""
+    from keyedlake.operators import versioned as V
+    txe = FX.txe(spark, SF)
+    narrow = (F.col("_commit_time") < "004") | (F.col("area") == "click")
+    for kind in ("cow", "mor"):
+        t = C._fill(LakeTable(spark, tmp_table(f"replay-{kind}"), table_type=kind, buckets=4), txe)
+        t.upsert(txe.filter((F.col("_commit_time") == "004") & narrow).drop("_commit_time"), commit="004")
+        want = sorted(map(tuple, V.snapshot(txe.filter(narrow)).select(*C.TXN_OUT).collect()))
+        assert sorted(map(tuple, t.snapshot().select(*C.TXN_OUT).collect())) == want
+        assert t.manifest().filter("commit = '004' and kind > ''").select("_part").distinct().count() == 1
+
+
+def test_manifest_tells_what_was_written(spark, tmp_table):
     txe = FX.txe(spark, SF)
-    t = LakeTable(spark, tmp_table("memo"), table_type="mor", buckets=4)
-    for c, b in C._batches(txe):
-        t.upsert(b, commit=c)
-        acts = t.timeline()
-        fresh = LakeTable(spark, t.path, table_type="mor", buckets=4)  # no memo
-        assert sorted(t._inline_map(c, acts)) == sorted(fresh._inline_map(c, fresh.timeline()))
-    # a replay of an old commit with fewer groups forces a rebuild
-    t.upsert(txe.filter((F.col("_commit_time") == "002") & (F.col("area") == "click")).drop("_commit_time"),
-             commit="002")
-    fresh = LakeTable(spark, t.path, table_type="mor", buckets=4)
-    assert sorted(t._inline_map("004", t.timeline())) == sorted(fresh._inline_map("004", fresh.timeline()))
-    assert sorted(t._inline_map("001", t.timeline())) == sorted(fresh._inline_map("001", fresh.timeline()))
+    t = C._fill(LakeTable(spark, tmp_table("manifest"), table_type="mor", buckets=2), txe)
+    t.compact()
+    acts = [(r.commit, r.action) for r in t.timeline()]
+    assert acts == [*((c, "deltacommit") for c in FX.TXE_COMMITS[:-1]), ("004", "compaction"), ("004", "deltacommit")]
+    rows = {r.commit: r.rows for r in t.timeline() if r.action == "deltacommit"}
+    sums = {r.commit: r.n for r in t.manifest().filter("action = 'deltacommit' and kind > ''").groupBy("commit")
+            .agg(F.sum("rows").alias("n")).collect()}
+    assert rows == sums == {r._commit_time: r["count"] for r in C._pre(spark, SF).groupBy("_commit_time").count().collect()}
 
 
 def test_inline_compaction_schedule(spark, tmp_table):
@@ -285,127 +294,36 @@ def test_inline_compaction_schedule(spark, tmp_table):
     assert sorted(map(tuple, t.read_optimized().select(*C.TXN_OUT).collect())) == ref
 
 
-def _tl(t):
-    return [(a.commit, a.action, a.rows, a.groups, a.info, a.group_list, a.stamp) for a in t.timeline()]
-
-
-def test_timeline_checkpoint_keeps_reads(spark, tmp_table):
-    txe = FX.txe(spark, SF)
-    t = LakeTable(spark, tmp_table("tl-ckpt"), table_type="mor", buckets=2, checkpoint_every=None)
-    C._fill(t, txe, FX.TXE_COMMITS[:3])
-    before, snap = _tl(t), sorted(map(tuple, t.snapshot("001").collect()))
-    assert t.checkpoint_timeline() == "002"
-    names = [s.getPath().getName() for s in t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        f"{t.path}/_timeline").getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
-        .listStatus(t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{t.path}/_timeline"))]
-    assert sorted(names) == ["002.checkpoint.jsonl", "archive"]
-    fresh = LakeTable.open(spark, t.path)
-    assert _tl(fresh) == before and _tl(t) == before
-    assert sorted(map(tuple, fresh.snapshot("001").collect())) == snap
-    # later commits land as loose records next to the checkpoint; a second checkpoint folds both
-    C._fill(t, txe, FX.TXE_COMMITS[3:])
-    assert [a.commit for a in t.timeline()][-1] == "004" and t._loose == 2
-    t.checkpoint_timeline()
-    assert t._loose == 0 and [r[:6] for r in _tl(LakeTable.open(spark, t.path))] == [r[:6] for r in _tl(t)]
-    ref = sorted(map(tuple, C.q_snapshot_read(spark, SF).collect()))
-    assert sorted(map(tuple, LakeTable.open(spark, t.path).snapshot().select(*C.TXN_OUT).collect())) == ref
-
-
-def test_timeline_checkpoint_schedule(spark, tmp_table):
-    txe = FX.txe(spark, SF)
-    t = C._fill(LakeTable(spark, tmp_table("tl-auto"), table_type="cow", buckets=2, checkpoint_every=2), txe)
-    assert t._loose < 2 and len(t.commits()) == 5
-    ref = sorted(map(tuple, C.q_snapshot_read(spark, SF).collect()))
-    assert sorted(map(tuple, t.snapshot().select(*C.TXN_OUT).collect())) == ref
-
-
-@pytest.mark.parametrize("table_type", ["mor", "cow"])
-def test_mixed_inline_and_index_group_lists(spark, tmp_table, table_type):
-    """A wide first commit keeps its group list in the parquet index; later
-    narrow commits keep theirs inline.  Reads must see both."""
-    txe = FX.txe(spark, SF)
-    batches = list(C._batches(txe))
-    one_area = batches[0][1].select("area").first()[0]
-    wide = LakeTable(spark, tmp_table(f"mixed-{table_type}"), table_type=table_type, buckets=4, inline_groups=4)
-    inline = LakeTable(spark, tmp_table(f"inline-{table_type}"), table_type=table_type, buckets=4)
-    for t in (wide, inline):
-        for i, (c, b) in enumerate(batches):
-            t.upsert(b if i == 0 else b.filter(F.col("area") == one_area), commit=c)
-    acts = wide.timeline()
-    assert acts[0].group_list is None and all(a.group_list is not None for a in acts[1:])
-    def rows(df):
-        return sorted(map(tuple, df.select(*C.TXN_OUT).collect()))
-    for as_of in ("000", "002", "004"):
-        assert rows(wide.snapshot(as_of)) == rows(inline.snapshot(as_of)), as_of
-    if table_type == "mor":
-        wide.compact(); inline.compact()
-        assert rows(wide.read_optimized()) == rows(inline.read_optimized())
-
-
-def test_timeline_checkpoint_folds_wide_index(spark, tmp_table):
-    """Group lists kept only in the parquet index are folded into one
-    dataset at checkpoint time; reads before and after agree."""
+def test_upsert_reads_only_touched_groups(spark, tmp_table):
+    """The rewrite's scan is pruned to the slots that the batch touches."""
     txe = FX.txe(spark, SF)
-    t = LakeTable(spark, tmp_table("tl-wide"), table_type="mor", buckets=2, inline_groups=0,
-                  checkpoint_every=None)
-    C._fill(t, txe, FX.TXE_COMMITS[:3])
-    before = sorted(map(tuple, t.snapshot("001").select(*C.TXN_OUT).collect()))
-    t.checkpoint_timeline()
-    acts = t.timeline()
-    assert all(a.group_list is None and a.index_at for a in acts if a.groups)
-    assert sorted(map(tuple, LakeTable.open(spark, t.path).snapshot("001").select(*C.TXN_OUT).collect())) == before
-    assert t.checkpoint_timeline() is None  # nothing new to fold
-    C._fill(t, txe, FX.TXE_COMMITS[3:])
-    t.checkpoint_timeline()
-    t.compact()
-    ref = sorted(map(tuple, C.q_snapshot_read(spark, SF).collect()))
-    fresh = LakeTable.open(spark, t.path)
-    assert sorted(map(tuple, fresh.snapshot().select(*C.TXN_OUT).collect())) == ref
-    assert sorted(map(tuple, fresh.read_optimized().select(*C.TXN_OUT).collect())) == ref
+    t = C._fill(LakeTable(spark, tmp_table("narrow"), table_type="cow", buckets=4), txe, FX.TXE_COMMITS[:2])
+    at, schema = t._at()
+    touched = t._with_group(txe.filter("area = 'click'")).select("_part", "_bucket").distinct()
+    read = t._read(at, schema, touched=touched, file_names=True).select("area", "_commit_time").distinct().collect()
+    assert {r.area for r in read} == {"click"}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "3000")
+    try:
+        plan = t._read(at, schema, touched=touched)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(l for l in plan.split("\n") if "/data" in l)
+    assert "dynamicpruning" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
-def test_narrow_upsert_lists_only_touched_groups_slices(spark, tmp_table):
-    """Each area's latest slice is a different commit; a batch touching one
-    area lists only that area's slice directory, and writes what the
-    merge-on-read path (which reads nothing at write time) gives."""
-    txe = FX.txe(spark, SF)
-    batches = list(C._batches(txe))
-    areas = sorted(r[0] for r in batches[0][1].select("area").distinct().collect())[:3]
-    plan = [batches[0]] + [(c, b.filter(F.col("area") == a)) for (c, b), a in zip(batches[1:4], areas)]
-    narrow = batches[4][1].filter(F.col("area") == areas[0])
-    tables = {}
-    for kind in ("cow", "mor"):
-        t = LakeTable(spark, tmp_table(f"narrow-{kind}"), table_type=kind, buckets=4)
-        for c, b in plan:
-            t.upsert(b, commit=c)
-        tables[kind] = t
-    t = tables["cow"]
-    scanned, scan = [], t._scan
-    t._scan = lambda kind, acts, commits=None: scanned.append((kind, commits)) or scan(kind, acts, commits)
-    t.upsert(narrow, commit="004")
-    assert [set(c) for kind, c in scanned if kind == "slices"][0] == {"001"}
-    tables["mor"].upsert(narrow, commit="004")
-    assert (sorted(map(tuple, t.snapshot().select(*C.TXN_OUT).collect()))
-            == sorted(map(tuple, tables["mor"].snapshot().select(*C.TXN_OUT).collect())))
-
-
-def test_mor_read_skips_deltas_folded_by_compaction(spark, tmp_table):
+def test_merge_on_read_skips_deltas_folded_by_compaction(spark, tmp_table):
+    from keyedlake.operators import versioned as V
     txe = FX.txe(spark, SF)
-    t = LakeTable(spark, tmp_table("delta-skip"), table_type="mor", buckets=2, checkpoint_every=None)
+    t = LakeTable(spark, tmp_table("delta-skip"), table_type="mor", buckets=2)
     C._fill(t, txe, FX.TXE_COMMITS[:3])
     t.compact()
     C._fill(t, txe, FX.TXE_COMMITS[3:])
-    scanned, scan = [], t._scan
-    t._scan = lambda kind, acts, commits=None: scanned.append((kind, commits)) or scan(kind, acts, commits)
-    got = sorted(map(tuple, t.snapshot().select(*C.TXN_OUT).collect()))
-    assert [set(c) for kind, c in scanned if kind == "deltas"] == [{"003", "004"}]
-    assert got == sorted(map(tuple, C.q_snapshot_read(spark, SF).collect()))
+    deltas = lambda: {r.commit for r in t._slots("004").filter("kind = 'd'").collect()}
+    assert deltas() == {"003", "004"}
+    want = sorted(map(tuple, C.q_snapshot_read(spark, SF).collect()))
+    assert sorted(map(tuple, t.snapshot().select(*C.TXN_OUT).collect())) == want
     t.compact()
-    scanned.clear()
-    assert sorted(map(tuple, t.snapshot().select(*C.TXN_OUT).collect())) == got
-    assert not [c for kind, c in scanned if kind == "deltas"]  # nothing dirty: no delta listed
-    # as-of reads before the compactions still merge their own deltas
-    from keyedlake.operators import versioned as V
-    for as_of in ("001", "002"):
+    assert deltas() == set() and sorted(map(tuple, t.snapshot().select(*C.TXN_OUT).collect())) == want
+    for as_of in ("001", "002"):  # reads before the compactions still merge their own deltas
         assert (sorted(map(tuple, t.snapshot(as_of).select(*C.TXN_OUT).collect()))
                 == sorted(map(tuple, V.snapshot(txe, as_of=as_of).select(*C.TXN_OUT).collect())))

@@ -53,13 +53,6 @@ def test_incremental_equals_as_of_minus_older(spark):
         assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, ref.collect()))
 
 
-def test_cow_merge_keeps_untouched_commit(spark):
-    cur = _log(spark, [("A", "1", "x", "d", "old", "001"), ("A", "2", "x", "d", "keep", "001")])
-    inc = _log(spark, [("A", "1", "y", "e", "new", "002"), ("B", "9", "y", "e", "ins", "002")])
-    out = {(r.area, r.parcelId): (r.v, r._commit_time) for r in V.cow_merge(cur, inc).collect()}
-    assert out == {("A", "1"): ("new", "002"), ("A", "2"): ("keep", "001"), ("B", "9"): ("ins", "002")}
-
-
 def test_retention_preserves_recent_as_of(spark):
     log = _log(spark, [("A", str(k), "x", "d", f"{k}{c}", f"00{c}") for k in range(5) for c in range(1, 6)
                        if (k * c) % 4 != 1])
