@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import RECORD_KEY, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 
@@ -62,6 +63,32 @@ def parse_transactions(envelope: DataFrame, layout: str = "table",
     return out.filter(F.col(RECORD_KEY).isNotNull()) if require_key else out
 
 
+_CORRUPT = "_corrupt"
+
+
+def split_messages(envelope: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows for the table, messages set aside); each message is in exactly one of them.
+
+    The rows are those of ``parse_transactions(layout="table")``.  A message is set aside with its raw
+    value, key, position and a reason if it has no value, is no JSON object of the schema's types
+    (a field of another type included), or carries no parcelId.
+    """
+    schema = T.StructType([*TRANSACTION_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    parsed = F.from_json(F.col("value").cast("string"), schema,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    # one parse per message, see parse_transactions
+    rows = envelope.select(F.inline(F.array(parsed)), F.col("value"), F.col("key"), F.col("partition").alias("kafka_partition"),
+                           F.col("offset").alias("kafka_offset"), F.col("timestamp").alias("kafka_timestamp"))
+    reason = (F.when(F.col("value").isNull(), "no value").when(F.col(_CORRUPT).isNotNull(), "not parsable")
+              .when(F.col(RECORD_KEY).isNull(), f"no {RECORD_KEY}"))
+    rows = rows.withColumn("reason", reason)
+    kept = rows.filter(F.col("reason").isNull()).select(*TRANSACTION_COLUMNS, "kafka_partition", "kafka_offset")
+    aside = rows.filter(F.col("reason").isNotNull()).select(
+        F.col("key").cast("string").alias("kafka_key"), "kafka_partition", "kafka_offset", "kafka_timestamp",
+        F.col("value").cast("string").alias("raw_value"), "reason")
+    return kept, aside
+
+
 def json_field(text: Column, name: str, ddl_type: str) -> Column:
     """One typed field out of a JSON object column."""
     return F.from_json(text, f"`{name}` {ddl_type}")[name]

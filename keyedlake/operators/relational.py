@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.normalize import conform_to_table, split_valid_rejected, to_relational
@@ -89,15 +89,15 @@ def merge_statement(target: str, staging: str, key: str = RELATIONAL_KEY) -> str
 
 
 def jdbc_merge(valid: DataFrame, batch_id: int, url: str, target: str,
-               properties: Mapping[str, str] | None = None) -> None:
-    """Merge valid relational rows into the database table.
+               properties: Mapping[str, str] | None = None, seen: Observation | None = None) -> None:
+    """Merge valid relational rows into the database table; ``seen`` observes the number of keys.
 
     Reduce to the last arrival per key on executors, write a staging table with
     Spark's parallel JDBC writer, then one ``MERGE`` on the driver connection.
     """
     props = dict(properties or {})
     staging = f"{target}_staging_{batch_id}"
-    (last_arrival(valid).select(*table_columns())
+    (last_arrival(valid).select(*table_columns()).observe(seen or Observation(), F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite").jdbc(url, staging, properties=props))
     jvm = valid.sparkSession.sparkContext._jvm
     conn = jvm.java.sql.DriverManager.getConnection(url, props.get("user"), props.get("password"))

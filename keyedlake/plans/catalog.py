@@ -19,6 +19,7 @@ from ..operators import relational as R
 from ..operators import versioned as V
 from ..schema import COMMIT_TIME, ENVELOPE_SCHEMA, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 from ..session import scratch_path
+from ..sources import bucketed as BK
 from ..sources import chunks as CH
 from ..sources import documents as D
 from ..sources.files import file_stream
@@ -71,6 +72,14 @@ def q_parse_all_messages(spark, sf):
     return P.parse_transactions(FX.env(spark, sf), layout="console")
 
 
+def q_quarantine_messages(spark, sf):
+    """All messages, kept or set aside with a reason: kept + quarantined = read."""
+    kept, aside = P.split_messages(FX.env_with_bad_messages(spark, sf))
+    tell = lambda df, state, reason: df.select("kafka_offset", F.lit(state).alias("state"), reason)
+    return tell(kept, "kept", F.lit(None).cast("string").alias("reason")).unionByName(
+        tell(aside, "quarantined", F.col("reason")))
+
+
 def q_kafka_envelope(spark, sf):
     e = P.envelope_columns(FX.env(spark, sf))
     return e.select("kafka_key", "kafka_partition", "kafka_offset", "kafka_timestamp")
@@ -338,14 +347,30 @@ def q_ingest_snapshot_report(spark, sf):
 
 
 # ---------------------------------------------------------------- relational
+def _relational_state(spark, sf, batches) -> BK.BucketedState:
+    t = FX.txe(spark, sf).withColumn("_batch_id", (F.col("kafka_offset") % 5).cast("long"))
+    valid, _ = R.valid_and_rejected(t.drop(COMMIT_TIME))
+    path = scratch_path(spark, "relational")
+    kept = BK.BucketedState(spark, "relational_" + path[-12:], path, buckets=BUCKETS)
+    for batch in batches:
+        kept.append(valid.filter(F.col("_batch_id") == batch))
+    return kept
+
+
 def q_relational_upsert(spark, sf):
     """Five batches applied one after the other, the last arrival of a parcel winning."""
+    return _relational_state(spark, sf, range(5)).state().select(*REL_OUT)
+
+
+def q_relational_fold(spark, sf):
+    """The same, the log folded to the state after four batches; the last batch is replayed."""
+    kept = _relational_state(spark, sf, range(4))
+    kept.fold()
     t = FX.txe(spark, sf).withColumn("_batch_id", (F.col("kafka_offset") % 5).cast("long"))
     valid, _ = R.valid_and_rejected(t.drop(COMMIT_TIME))
-    state = valid.filter("1 = 0")
-    for batch in range(5):
-        state = R.upsert_last_arrival(state, valid.filter(F.col("_batch_id") == batch))
-    return state.select(*REL_OUT)
+    for _ in range(2):
+        kept.append(valid.filter(F.col("_batch_id") == 4))
+    return kept.state().select(*REL_OUT)
 
 
 # ---------------------------------------------------------------- streaming
@@ -417,8 +442,9 @@ def _window_stream(spark, sf, mode: str) -> DataFrame:
         agg = WIN.watermarked_window_counts(WIN.event_time(ev, "ts"), "ts", "event_type")
 
     def write(df, batch_id):
-        flat = WIN.flatten_window(df).withColumn("_batch_id", F.lit(batch_id).cast("long"))
-        flat.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        # a replayed batch overwrites its own folder; a complete result replaces all
+        target = out if mode == "complete" else f"{out}/_batch_id={batch_id}"
+        WIN.flatten_window(df).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
 
     RUN.drain(agg.writeStream.foreachBatch(write), ckpt, output_mode=mode)
     res = spark.read.parquet(out)

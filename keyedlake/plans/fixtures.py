@@ -131,3 +131,13 @@ def _txe_field_exprs() -> list[F.Column]:
 
 def env(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope_from_events(table(spark, sf_dir, "events"))
+
+
+def env_with_bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENV whose value is cut off in every 13th message, no object in every 17th and null in every 19th."""
+    n = F.col("offset")
+    text = F.col("value").cast("string")
+    bad = (F.when(n % 13 == 0, F.expr("substr(CAST(value AS STRING), 1, 20)"))
+           .when(n % 17 == 0, F.concat(F.lit("not json "), n.cast("string")))
+           .when(n % 19 == 0, F.lit(None).cast("string")).otherwise(text))
+    return env(spark, sf_dir).withColumn("value", bad.cast("binary"))

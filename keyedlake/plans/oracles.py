@@ -213,6 +213,11 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["packed_append"] = ORACLES["stream_file_passthrough"]
+ORACLES["relational_fold"] = ORACLES["relational_upsert"]
+BAD = ("CASE WHEN event_id % 19 = 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0 THEN 'no value' "
+       "WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN 'not parsable' WHEN event_id % 10 = 0 THEN 'no parcelId' END")
+ORACLES["quarantine_messages"] = f"""WITH r AS (SELECT event_id, {BAD} AS reason FROM events)
+    SELECT event_id AS kafka_offset, CASE WHEN reason IS NULL THEN 'kept' ELSE 'quarantined' END AS state, reason FROM r"""
 DOC_BYTES = ("b AS (SELECT row_number() OVER () AS rid, source AS parcel_id, "
              "'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS file_name, "
              "encode(coalesce(text, '') || chr(10)) AS content FROM documents)")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.normalize import conform_to_table, split_valid_rejected, to_relational
-from ..operators.relational import batch_report, jdbc_merge, prepare_batch
+from ..operators.relational import jdbc_merge, prepare_batch
+from ..session import scratch_path
 from ..sources.lake import LakeTable
 
 
@@ -27,11 +29,14 @@ def _commit(table: LakeTable, batch_id: int, width: int | None, stream: str) ->
     return table.source_commit(source) or table.next_commit(), source
 
 
-def _upsert(table: LakeTable, df: DataFrame, batch_id: int, width: int | None, stream: str) -> None:
+def _upsert(table: LakeTable, df: DataFrame, batch_id: int, width: int | None, stream: str,
+            seen: Observation | None = None) -> bool:
+    """False if the batch was written before and commits came after it."""
     commit, source = _commit(table, batch_id, width, stream)
     if table.source_commit(source) and commit < table.commits()[-1]:
-        return  # already written, and commits came after it
-    table.upsert(df, commit=commit, source=source)
+        return False
+    table.upsert(df, commit=commit, source=source, seen=seen)
+    return True
 
 
 def lake_sink(table: LakeTable, width: int | None = None,
@@ -56,20 +61,35 @@ def relational_rows(df: DataFrame, batch_id: int, limits: Mapping[str, int] | No
     return split_valid_rejected(conform_to_table(rows, limits))
 
 
-def _settled(prepared: DataFrame, batch_id: int, rejected_path: str | None, report_path: str | None) -> DataFrame:
-    """Keep the rejected rows, or fail the batch if there is nowhere to keep them; keep the
-    batch's report.  A replay overwrites both.  Returns the valid rows."""
-    report = batch_report(prepared)
-    valid, rejected = split_valid_rejected(prepared)
+def _landed(prepared: DataFrame, batch_id: int, rejected_path: str | None) -> tuple[DataFrame, dict[str, int]]:
+    """Compute the batch once: write it as Parquet, valid and rejected rows apart, and observe its
+    counts while it is written.  Returns the valid rows as read back, and the counts.
+
+    Rejected rows are kept at ``rejected_path`` or fail the batch; a replay overwrites them.
+    """
+    spark, path, seen = prepared.sparkSession, scratch_path(prepared.sparkSession, "landed"), Observation()
+    ok = F.col("_reject_reason").isNull()
+    (prepared.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count(F.when(ok, 1)).alias("rows_written"),
+                      F.count(F.when(~ok, 1)).alias("rows_rejected"))
+     .withColumn("_ok", ok.cast("int")).write.partitionBy("_ok").parquet(path))
+    counts = seen.get
+    landed = spark.read.schema(T.StructType([*prepared.schema.fields, T.StructField("_ok", T.IntegerType())])).parquet(path)
     if rejected_path:
-        (rejected.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (landed.filter("_ok = 0").drop("_ok").write.mode("overwrite").option("partitionOverwriteMode", "static")
          .parquet(f"{rejected_path}/batch={batch_id}"))
-    elif not rejected.isEmpty():
+    elif counts["rows_rejected"]:
         raise ValueError(f"batch {batch_id}: rows do not fit the table and no rejected_path is given")
+    return landed.filter("_ok = 1").drop("_ok"), counts
+
+
+def _report(spark: SparkSession, batch_id: int, counts: dict[str, int], keys: int, report_path: str | None) -> None:
+    """One row per batch, as ``operators.relational.batch_report`` counts it; a replay overwrites it."""
     if report_path:
-        (report.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        row = {"batch_id": batch_id, **counts, "keys_upserted": keys}
+        (spark.createDataFrame([row], "batch_id bigint, rows_in bigint, rows_written bigint, rows_rejected bigint, "
+                                      "keys_upserted bigint")
+         .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
          .parquet(f"{report_path}/batch={batch_id}"))
-    return valid
 
 
 def relational_sink(table: LakeTable, width: int | None = None,
@@ -80,19 +100,21 @@ def relational_sink(table: LakeTable, width: int | None = None,
     parquet table (key ``parcel_id``, last arrival wins).
 
     Rows that do not fit the table go to ``rejected_path`` with their reason; without it
-    they fail the batch.  ``report_path`` keeps rows in / written / rejected per batch.
-    The batch is computed once.
+    they fail the batch.  ``report_path`` keeps rows in / written / rejected and keys per
+    batch, observed while the batch is written: it is computed once and never persisted.
     """
     def write(df: DataFrame, batch_id: int) -> None:
+        if df.isEmpty():
+            return
         prepared = conform_to_table(to_relational(df.withColumn("_batch_id", F.lit(batch_id).cast("long")))
-                                    .withColumn("last_updated", F.current_timestamp()), limits).persist()
-        try:
-            if prepared.isEmpty():
-                return
-            valid = _settled(prepared, batch_id, rejected_path, report_path)
-            _upsert(table, valid.drop("_batch_id", "_reject_reason"), batch_id, width, stream)
-        finally:
-            prepared.unpersist()
+                                    .withColumn("last_updated", F.current_timestamp()), limits)
+        valid, counts = _landed(prepared, batch_id, rejected_path)
+        keys, valid = Observation(), valid.drop("_batch_id", "_reject_reason")
+        if not counts["rows_written"]:
+            _report(df.sparkSession, batch_id, counts, 0, report_path)
+        elif _upsert(table, valid, batch_id, width, stream, keys):
+            _report(df.sparkSession, batch_id, counts, keys.get["rows"], report_path)
+        # else: the batch's report is that of its first write
     return write
 
 
@@ -102,13 +124,12 @@ def jdbc_sink(url: str, target: str, properties: Mapping[str, str] | None = None
     """``foreachBatch`` body for a database table; rejected rows and reports as in
     :func:`relational_sink`."""
     def write(df: DataFrame, batch_id: int) -> None:
-        prepared = prepare_batch(df, batch_id, limits).persist()
-        try:
-            if prepared.isEmpty():
-                return
-            jdbc_merge(_settled(prepared, batch_id, rejected_path, report_path), batch_id, url, target, properties)
-        finally:
-            prepared.unpersist()
+        if df.isEmpty():
+            return
+        valid, counts = _landed(prepare_batch(df, batch_id, limits), batch_id, rejected_path)
+        keys = Observation()
+        jdbc_merge(valid, batch_id, url, target, properties, keys)
+        _report(df.sparkSession, batch_id, counts, keys.get["rows"], report_path)
     return write
 
 

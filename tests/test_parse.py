@@ -49,3 +49,19 @@ def test_kafka_source_reports_missing_connector(spark):
         pytest.skip("connector present")
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         K.kafka_source(spark, "localhost:9092", "transactions")
+
+
+def test_unparsable_messages_are_set_aside(spark):
+    ok = '{"transactionId":"1","parcelId":"p","transactionAmount":2.5}'
+    values = [ok, ok[:-9], "", None, "[]", '"text"', '{"parcelId":null}', "{}", '{"parcelId":"q","transactionAmount":"much"}',
+              '{"parcelId":"r","unknown":1}', "nul\0"]
+    rows = [(b"k%d" % i, None if v is None else v.encode(), "t", 3, i, None) for i, v in enumerate(values)]
+    env = spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
+    kept, aside = P.split_messages(env)
+    got = {r.kafka_offset: (r.reason, r.raw_value, r.kafka_key, r.kafka_partition) for r in aside.collect()}
+    assert sorted(r.kafka_offset for r in kept.collect()) == [0, 9] and len(got) == len(values) - 2
+    assert all(got[k][0] in ("not parsable", "no parcelId") for k in (2, 4))  # no object at all
+    assert {k: v[0] for k, v in got.items() if k not in (2, 4)} == {
+        1: "not parsable", 3: "no value", 5: "not parsable", 6: "no parcelId", 7: "no parcelId", 8: "not parsable",
+        10: "not parsable"}
+    assert all(v[1] == values[k] and v[2] == f"k{k}" and v[3] == 3 for k, v in got.items())

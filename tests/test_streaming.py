@@ -79,3 +79,15 @@ def test_entry_point_jobs(spark, tmp_table):
     q3 = J.console_ingest(envelope, tmp_table("jobs-ckpt3"), available_now=True)
     q3.awaitTermination(600)
     assert RUN.batches_run(q3) == 1
+
+
+def test_a_replayed_window_batch_adds_nothing(spark, monkeypatch):
+    """Each batch of the windowed append is written twice, as after a crash."""
+    from pyspark.sql.streaming import DataStreamWriter
+
+    from keyedlake.plans import catalog as C
+    want = sorted(map(tuple, C.q_stream_window_append(spark, SF).collect()))
+    once = DataStreamWriter.foreachBatch
+    monkeypatch.setattr(DataStreamWriter, "foreachBatch",
+                        lambda self, body: once(self, lambda df, i: (body(df, i), body(df, i)) and None))
+    assert sorted(map(tuple, C.q_stream_window_append(spark, SF).collect())) == want
