@@ -6,17 +6,20 @@ an entity reveals it as far as the corpus says so: with document frequencies ove
 all documents, N documents, c(t) with the term, c(e) with the entity and c(t, e)
 with both in one context window of ``REACH`` words each side of the entity,
 
-    PMI(t; e) = log(N c(t, e) / (c(t) c(e))),   IC(e) = log(N / c(e)).
+    PMI(t; e) = log(N c(t, e) / ((c(t) + PRIOR) c(e))),   IC(e) = log(N / c(e)).
 
-A term whose PMI is at least ``DISCLOSURE`` times the entity's information content
-discloses it, given ``SUPPORT`` documents with both.  Its occurrences in the
-context become spans of kind ``term``; ``sanitise`` removes them, or generalises
-those with digits to their shape, and replaces entities by their kind.
+PRIOR smooths the estimate of how surely the term means the entity, so that a term seen once
+says less than one that is always seen with it.  A term whose PMI is at least ``DISCLOSURE``
+times the entity's information content discloses it.  *Every* occurrence of such a
+term, in any document, becomes a span of kind ``term`` (but where a base span covers it);
+``sanitise`` removes them, or generalises those with digits to their shape, and
+replaces entities by their kind.  Terms are maximal runs of word characters of any length.
 
-Every count covers all documents.  The contexts move through the cluster as
-(entity, term, place) rows of bounded number per entity mention; hot terms and
-entities are summed before the shuffle, and pairs below the support leave before
-the join with the terms' counts.
+Every count covers all documents.  Texts are scanned three times: for base spans and contexts,
+for the document counts of terms that occur near entities, and for the places of
+disclosing terms.  The latter two scans pass over most words by a table of 2 ** HASH_BITS bits
+(8 MB, whatever the data) of the wanted terms' hashes; what it lets through is joined with
+the terms themselves.
 
 Defined results
 ---------------
@@ -24,8 +27,8 @@ Defined results
 * base matches are leftmost and non-overlapping per kind; a match that fails its check
   is dropped without a retry; spans of different kinds may overlap; all places are
   code points, end exclusive;
-* repeated rows: a ``doc_id`` is one document in the counts; each row's spans are its
-  own; a null ``doc_id`` counts as one document more;
+* repeated rows: a ``doc_id`` is one document in the counts; rows of equal id and text have
+  equal spans; a null ``doc_id`` counts as one document more;
 * an empty table gives an empty result; further columns are ignored.
 """
 
@@ -33,9 +36,12 @@ from __future__ import annotations
 
 import bisect
 import re
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,11 +53,11 @@ KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on each side of an entity that make its context.
 REACH = 8
 #: Share of an entity's information content that a term may reveal.
-DISCLOSURE = 0.9
-#: Least number of documents with the term in the entity's context.
-SUPPORT = 2
-#: Least code points of a term.
-TERM_CHARS = 4
+DISCLOSURE = 0.85
+#: Documents without the entity that a term is taken to have beside those that were seen.
+PRIOR = 0.5
+#: Bits of the hash table of wanted terms, as a power of two, and of one of its chunks.
+HASH_BITS, CHUNK_BITS = 26, 16
 
 _SLICE = 4 << 20
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -96,7 +102,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, begin, end) of all base matches, by kind as listed, then begin."""
     spans = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p) < 3 or len(p) == 3 and p <= "255" for p in (p.lstrip("0") for p in m.group().split("."))):
             spans.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = _digits(m.group())
@@ -140,14 +146,13 @@ def _context(text: str, begin: int, end: int) -> list[tuple[str, int, int]]:
             break
         width *= 4
     words = before[-REACH:] + after
-    return [(text[a:b].lower(), a, b) for a, b in words if b - a >= TERM_CHARS]
+    return [(text[a:b].lower(), a, b) for a, b in words]
 
 
-_FOUND = ("row long, doc_id long, text string, base array<struct<kind:string,begin:long,end:long>>, "
-          "near array<struct<entity:string,term:string,begin:long,end:long>>")
+_FOUND = ("doc_id long, text_key long, text string, base array<struct<kind:string,begin:long,end:long>>, "
+          "near array<struct<entity:string,term:string>>")
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("end", pa.int64())]))
-_NEAR = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()),
-                            ("begin", pa.int64()), ("end", pa.int64())]))
+_NEAR = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())]))
 
 
 def _find(batches, keep_text: bool = False):
@@ -156,63 +161,111 @@ def _find(batches, keep_text: bool = False):
         for text in batch.column("text").to_pylist():
             spans = base_spans(text) if text else []
             begins, ends = _union([(a, b) for _, a, b in spans])
-            rows = []
-            for kind, a, b in spans:
-                entity = _entity(kind, text[a:b])
-                rows += [{"entity": entity, "term": t, "begin": x, "end": y} for t, x, y in _context(text, a, b)
-                         if bisect.bisect_right(ends, x) == bisect.bisect_left(begins, y)]
+            rows = {(_entity(kind, text[a:b]), t) for kind, a, b in spans for t, x, y in _context(text, a, b)
+                    if bisect.bisect_right(ends, x) == bisect.bisect_left(begins, y)}
             base.append([{"kind": k, "begin": a, "end": b} for k, a, b in spans])
-            near.append(rows)
+            near.append([{"entity": e, "term": t} for e, t in sorted(rows)])
         text = batch.column("text") if keep_text else pa.nulls(batch.num_rows, pa.string())
-        yield pa.record_batch([batch.column("row"), batch.column("doc_id"), text, pa.array(base, _SPANS),
-                               pa.array(near, _NEAR)], names=["row", "doc_id", "text", "base", "near"])
-
-
-def _count_terms(batches):
-    """Documents with each term, summed up within the task as far as memory is bounded."""
-    counts: dict[str, int] = {}
-
-    def rows():
-        return pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
-                               names=["term", "n"])
-
-    for batch in slices(batches, limit=_SLICE):
-        for text in batch.column("text").to_pylist():
-            for term in set(_WORD.findall(text.lower())) if text else ():
-                if len(term) >= TERM_CHARS:
-                    counts[term] = counts.get(term, 0) + 1
-        if len(counts) > 500_000:
-            yield rows()
-            counts.clear()
-    yield rows()
+        yield pa.record_batch([batch.column("doc_id"), batch.column("text_key"), text, pa.array(base, _SPANS),
+                               pa.array(near, _NEAR)], names=["doc_id", "text_key", "text", "base", "near"])
+
+
+def _hash_table(terms: DataFrame):
+    """A broadcast table of 2 ** HASH_BITS bits: those of the terms' hashes are set."""
+    def chunk(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << CHUNK_BITS, bool)
+        bits[rows["at"]] = True
+        return pd.DataFrame({"chunk": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    at = F.shiftright(F.crc32(F.col("term").cast("binary")), 32 - HASH_BITS)
+    chunks = (terms.select(at.alias("h")).distinct()
+              .select(F.shiftright("h", CHUNK_BITS).alias("chunk"), F.pmod("h", F.lit(1 << CHUNK_BITS)).alias("at"))
+              .groupBy("chunk").applyInPandas(chunk, "chunk long, bits binary").collect())
+    size = 1 << (CHUNK_BITS - 3)
+    table = bytearray(1 << (HASH_BITS - 3))
+    for r in chunks:
+        table[r["chunk"] * size:(r["chunk"] + 1) * size] = r["bits"]
+    return terms.sparkSession.sparkContext.broadcast(bytes(table))
+
+
+def _is_in(table: bytes, term: str) -> bool:
+    h = zlib.crc32(term.encode()) >> (32 - HASH_BITS)
+    return bool(table[h >> 3] >> (h & 7) & 1)
+
+
+def _count_terms(handle):
+    """Documents with each term of the table, summed up within the task as far as memory is bounded."""
+    def run(batches):
+        table, counts = handle.value, {}
+
+        def rows():
+            return pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
+                                   names=["term", "n"])
+
+        for batch in slices(batches, limit=_SLICE):
+            for text in batch.column("text").to_pylist():
+                for term in set(_WORD.findall(text.lower())) if text else ():
+                    if _is_in(table, term):
+                        counts[term] = counts.get(term, 0) + 1
+            if len(counts) > 500_000:
+                yield rows()
+                counts.clear()
+        yield rows()
+    return run
+
+
+_PLACES = "doc_id long, text_key long, term string, spans array<struct<begin:long,end:long>>"
+
+
+def _place_terms(handle):
+    """Where the terms of the table stand: a row a text and term."""
+    def run(batches):
+        table = handle.value
+        for batch in slices(batches, limit=_SLICE):
+            out = []
+            for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
+                wanted = {t for t in set(_WORD.findall(text.lower())) if _is_in(table, t)} if text else ()
+                places: dict[str, list[dict]] = {}
+                for m in _WORD.finditer(text) if wanted else ():
+                    if (term := m.group().lower()) in wanted:
+                        places.setdefault(term, []).append({"begin": m.start(), "end": m.end()})
+                out += [(doc_id, key, t, at) for t, at in places.items()]
+            columns = list(zip(*out)) or [[]] * 4
+            types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)],
+                                  names=["doc_id", "text_key", "term", "spans"])
+    return run
+
+
+def disclosing_terms(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """(term): those that disclose some entity of ``found``, by counts over ``texts``."""
+    near = found.filter(F.size("near") > 0).select("doc_id", F.explode("near").alias("n")).select("doc_id", "n.*")
+    pairs = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c_te"))
+    entities = near.select("doc_id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("c_e"))
+    wanted = staged(pairs.join(entities, "entity"), "pii-pairs")
+    counted = (arrow_map(texts.select("text"), _count_terms(_hash_table(wanted.select("term"))), "term string, n long")
+               .groupBy("term").agg(F.sum("n").alias("c_t")))
+    n_docs = float(found.count())
+    information = F.log(F.lit(n_docs) / F.col("c_e"))
+    pmi = F.log(F.lit(n_docs) * F.col("c_te") / ((F.col("c_t") + F.lit(PRIOR)) * F.col("c_e")))
+    return (wanted.join(counted, "term").filter((information > 0) & (pmi >= DISCLOSURE * information))
+            .select("term").distinct())
 
 
 def find(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, text (if kept, else null), base (spans of base kinds)
-    and terms (spans that disclose an entity)."""
-    texts = docs.select(F.monotonically_increasing_id().alias("row"),
-                        F.col("doc_id").cast("long").alias("doc_id"), "text")
+    and terms (spans of terms that disclose an entity)."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     found = staged(arrow_map(texts, partial(_find, keep_text=keep_text), _FOUND), "pii-found")
-    near = found.filter(F.size("near") > 0).select("row", "doc_id", F.explode("near").alias("n")).select(
-        "row", "doc_id", "n.*")
-    pairs = (near.select("doc_id", "entity", "term").distinct()
-             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c_te")).filter(F.col("c_te") >= SUPPORT))
-    entities = (near.select("doc_id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("c_e"))
-                .filter(F.col("c_e") >= SUPPORT))
-    wanted = staged(pairs.join(entities, "entity"), "pii-pairs")
-    counted = (arrow_map(texts.select("text"), _count_terms, "term string, n long")
-               .join(wanted.select("term").distinct(), "term", "left_semi")
-               .groupBy("term").agg(F.sum("n").alias("c_t")))
-    n_docs = found.count()
-    information = F.log(F.lit(float(n_docs)) / F.col("c_e"))
-    pmi = F.log(F.lit(float(n_docs)) * F.col("c_te") / (F.col("c_t").cast("double") * F.col("c_e")))
-    disclosing = (wanted.join(counted, "term")
-                  .filter((information > 0) & (pmi >= DISCLOSURE * information)).select("entity", "term"))
-    marked = (near.join(disclosing, ["entity", "term"]).select("row", "begin", "end").distinct()
-              .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("terms")))
-    return (found.join(marked, "row", "left")
+    terms = staged(disclosing_terms(found, texts), "pii-terms")
+    places = arrow_map(texts, _place_terms(_hash_table(terms)), _PLACES).join(terms, "term", "left_semi")
+    marked = (places.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
+              .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("terms")))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
+    own = F.filter("terms", lambda t: ~F.exists("base", lambda s: (s["begin"] < t["end"]) & (t["begin"] < s["end"])))
+    return (found.join(marked, same, "left")
             .select("doc_id", "text", "base",
-                    F.coalesce("terms", F.expr("cast(array() as array<struct<begin:long,end:long>>)")).alias("terms")))
+                    F.coalesce(own, F.expr("cast(array() as array<struct<begin:long,end:long>>)")).alias("terms")))
 
 
 def _replacement(kind: str, value: str) -> str:
