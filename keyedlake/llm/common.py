@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             yield batch.slice(begin)
 
 
+def share(spark: SparkSession, value) -> Broadcast:
+    """Broadcast an object of this subpackage's classes: pickled by value, as functions are, so that
+    workers need no copy of the package.  Tasks read it with :func:`shared`."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(handle: Broadcast):
+    return pickle.loads(handle.value)
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, share, shared
 
 WINDOW = 10
 #: Bytes of benchmark text whose tables are broadcast at once.
@@ -126,21 +126,22 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _search_pass(matcher, last: bool):
     """Search one block of items; the last pass leaves the text behind and sums up."""
-    def rows(batch):
+    def rows(batch, search):
         texts = batch.column("text").cast(pa.binary())
         before = zip(batch.column("doc_id").to_pylist(), batch.column("spans").to_pylist(),
                      batch.column("items").to_pylist())
         for k, (doc_id, spans, items) in enumerate(before):
             words = words_of(texts[k].as_py())
             spans, ids = [(s["begin"], s["end"]) for s in spans], set(items)
-            if matcher is not None and words:
-                found, more = matcher.value.search(words)
+            if search is not None and words:
+                found, more = search(words)
                 spans, ids = spans + found, ids | more
             yield doc_id, len(words), _merged(spans), sorted(ids)
 
     def run(batches):
+        search = None if matcher is None else shared(matcher).search
         for batch in batches:
-            ids, n_words, spans, items = map(list, zip(*rows(batch)))
+            ids, n_words, spans, items = map(list, zip(*rows(batch, search)))
             hits = pa.array([[{"begin": a, "end": b} for a, b in x] for x in spans], _SPAN)
             found = pa.array(items, pa.list_(pa.int64()))
             if not last:
@@ -163,7 +164,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
               block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items (ids), hits (merged
     word spans, end exclusive), items_sha256."""
-    sc = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                         F.expr("cast(array() as array<struct<begin:long,end:long>>)").alias("spans"),
                         F.expr("cast(array() as array<long>)").alias("items"))
@@ -171,7 +172,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     block = next(blocks, None)
     while True:
         later = next(blocks, None)
-        matcher = sc.broadcast(WuManber(block, window)) if block else None
+        matcher = share(spark, WuManber(block, window)) if block else None
         found = arrow_map(found, _search_pass(matcher, later is None), _DONE if later is None else _OPEN)
         if later is None:
             return found
@@ -183,12 +184,13 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     """``docs`` without the rows whose text holds a benchmark window; all columns stay, no shuffle."""
     def clean(matcher):
         def run(batches):
+            search = shared(matcher).search
             for batch in batches:
                 texts = batch.column("text").cast(pa.binary())
-                found = [bool(matcher.value.search(words_of(t.as_py()))[0]) for t in texts]
+                found = [bool(search(words_of(t.as_py()))[0]) for t in texts]
                 yield batch.filter(pa.array([not f for f in found], pa.bool_()))
         return run
 
     for block in _blocks(benchmark, block_bytes):
-        docs = arrow_map(docs, clean(docs.sparkSession.sparkContext.broadcast(WuManber(block, window))), docs.schema)
+        docs = arrow_map(docs, clean(share(docs.sparkSession, WuManber(block, window))), docs.schema)
     return docs

@@ -32,13 +32,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, slices, staged
+from .common import arrow_map, share, shared, slices, staged
 
 #: Bytes of labelled text per language.
 TRAIN_BYTES = 48_000
@@ -189,9 +190,9 @@ def training_samples(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> dic
 
 def _predict(parser):
     def run(batches):
+        model = shared(parser)
         for batch in slices(batches, limit=_SLICE):
             texts = [folded(t) for t in batch.column("text").to_pylist()]
-            model = parser.value
             names, scores = [], []
             if model.languages:
                 costs = model.costs(texts)
@@ -212,8 +213,8 @@ def _predict(parser):
 def _costs(parser):
     """Of the parser's languages the one of least cost, that cost and the next one's, by row."""
     def run(batches):
+        model = shared(parser)
         for batch in slices(batches, limit=_SLICE):
-            model = parser.value
             texts = [folded(t) for t in batch.column("text").to_pylist()]
             costs = model.costs(texts)
             best = costs.argmin(axis=1)
@@ -228,7 +229,7 @@ def _costs(parser):
 def identify(docs: DataFrame, labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
     """Per row of ``docs``: doc_id, lang_pred, score; ``labelled`` (doc_id, text, lang) teaches."""
     samples = training_samples(labelled, train_bytes)
-    send = docs.sparkSession.sparkContext.broadcast
+    send = partial(share, docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if len(samples) <= AT_ONCE:
         return arrow_map(texts, _predict(send(Parser(samples))), "doc_id long, lang_pred string, score double")

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, slices, staged
+from .common import arrow_map, share, shared, slices, staged
 
 #: Lengths of the byte n-grams, and hash buckets of each length (as a power of 2).
 ORDERS = ((6, 20),)
@@ -190,9 +190,10 @@ class Model:
 
 def _score(model):
     def run(batches):
+        fitted = shared(model)
         for batch in slices(batches, limit=_SLICE):
-            weights = model.value.weights(batch)
-            keys = model.value.keys(weights, batch.column("doc_id"))
+            weights = fitted.weights(batch)
+            keys = fitted.keys(weights, batch.column("doc_id"))
             yield pa.record_batch([batch.column("doc_id"), pa.array(weights), pa.array(keys)],
                                   names=["doc_id", "log_weight", "sample_key"])
     return run
@@ -311,7 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
         if target[at].sum():
             ratio[at] = _log_ratio(target[at], raw[at] * (target[at].sum() / raw[at].sum()), shape)
     model = Model(ratio, unit)
-    scores = staged(arrow_map(_texts(docs), _score(spark.sparkContext.broadcast(model)),
+    scores = staged(arrow_map(_texts(docs), _score(share(spark, model)),
                               "doc_id long, log_weight double, sample_key double"), "quality-scores")
     if not target.any() or cut == float("-inf"):
         return model, scores
@@ -327,13 +328,14 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows that the classifier rejects; all columns stay, no shuffle."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels)[0])
+    model = share(docs.sparkSession, fit(docs, labels)[0])
 
     def accepted(batches):
+        fitted = shared(model)
         for batch in slices(batches, limit=_SLICE):
             text = batch.column("text").fill_null("")
             plain = pa.record_batch([text], names=["text"])
-            keys = model.value.keys(model.value.weights(plain), batch.column("doc_id"))
-            yield batch.filter(pa.array(keys >= model.value.boundary))
+            keys = fitted.keys(fitted.weights(plain), batch.column("doc_id"))
+            yield batch.filter(pa.array(keys >= fitted.boundary))
 
     return arrow_map(docs, accepted, docs.schema)
