@@ -12,19 +12,23 @@ such bucket.  Five steps, of which only the second and fourth compare documents:
 2. *Singletons leave.*  Runs whose key occurs in one document only need no further
    refinement.
 3. The runs that are left are cut out of their texts and sent to the key's bucket.
-4. *Refinement.*  Within a bucket the suffixes are ranked by their first 8 bytes, and the
-   rank at depth 2d is that of the pair (rank at depth d, rank at depth d of the suffix
-   d further on): each round sorts on the bucket identifiers of later offsets as the
-   round before left them.  Suffixes that have become single are left out.  The last
-   round joins depth 32 with depth 32 at offset LENGTH - 32, which is depth LENGTH.
+4. *Refinement.*  Within a bucket the suffixes start in buckets of Q-grams, which are refined by
+   sorting on the bucket identifiers of later offsets (at Q = 26 one round makes depth LENGTH; a
+   smaller Q takes more, each on the buckets that the round before left).  Suffixes that have
+   become single leave before each round.  Identifiers are hashes, so none is made for an
+   offset that no live suffix looks at; the last buckets are held against their bytes.
 5. The removed runs of windows are put together per document and cut out of its text.
 
 Keys only bring candidates together; what is removed is decided on the bytes.
 
 Skew: a task announces a key for two documents at most, and sends a run of given bytes
 for the least document only; what it knows of the others it tells by itself.  So a
-string that a third of all documents hold costs its bucket a few rows a task.  The
-number of buckets follows the bytes of the input.
+string that a third of all documents hold costs its bucket a few rows a task.  The runs at the
+two ends of such a string hold each document's own context, so they are all different
+under one key: a key with many different runs is *hot* (counted with the announcements), and its
+runs are sent window by window, dealt by the windows' own bytes.  Hot keys are few by their
+definition (at most about 8 * MOST_HOT of 8 bytes) and broadcast.  Documents are dealt by a hash of
+the id.  The number of buckets follows the bytes of the input.
 
 Defined results
 ---------------
@@ -37,6 +41,7 @@ Defined results
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +58,9 @@ Q = 26
 BUCKET_BYTES, REFINED_BYTES = 32 << 20, 8 << 20
 #: A longer text is worked on in segments of so many bytes.
 SEGMENT = 2 << 20
+#: Different runs that a key has at least to be hot; or, if that is more, the share of all bytes that leaves
+#: MOST_HOT keys (8 bytes each), which are broadcast.
+HOT_RUNS, MOST_HOT = 4096, 100_000
 
 _WINDOW = LENGTH - Q + 1
 _P = 0x9E3779B97F4A7C15
@@ -122,6 +130,8 @@ class Runs:
         nxt = np.append(stop, len(key))[np.searchsorted(stop, starts, side="right")]
         piece = np.searchsorted(begin, starts, side="right") - 1
         self.at, self.windows, self.key = starts, nxt - starts, key[starts]
+        #: of a run's whole bytes; equal for equal runs
+        self.print = (total[nxt + LENGTH - 1] - total[starts]) * inverse[starts] if len(starts) else key[:0]
         self.row = np.array([r for r, _, _ in pieces], np.int64)[piece]
         self.start = starts - begin[piece] + np.array([o for _, o, _ in pieces], np.int64)[piece]
 
@@ -171,6 +181,12 @@ _TOLD = "dest int, docs binary, owner binary, begin binary, end binary"
 _DOCUMENT = "doc_id long, text_key long, begin binary, end binary"
 
 
+def _spread(ids: np.ndarray, n: int) -> np.ndarray:
+    """Documents dealt to ``n`` destinations by a hash of the id."""
+    h = ids.astype(np.int64).view(np.uint64) * np.uint64(_P)
+    return ((h ^ (h >> np.uint64(32))) % np.uint64(n)).astype(np.int64)
+
+
 def _message(bucket: int, docs: np.ndarray, rows: np.ndarray, mark=None, start=None, windows=None, content=b""):
     """One row of _ANNOUNCED about runs of documents ``rows`` (in order); docs: (id, text key) by row."""
     used, owner = np.unique(rows, return_counts=True)
@@ -213,14 +229,18 @@ def _announce(buckets: int):
                 runs = Runs(pieces)
                 _, group = np.unique(runs.key, return_inverse=True)
                 asks = _first_documents(group, docs[runs.row, 0], 2)
+                # how many different runs the key has here beyond one, told with one of its runs
+                several = np.bincount(group[np.unique(runs.print, return_index=True)[1]], minlength=1)
+                extra, chosen = np.zeros(len(group), np.int64), np.flatnonzero(asks)
+                told = chosen[np.unique(group[chosen], return_index=True)[1]]
+                extra[told] = several[group[told]] - 1
                 bucket = (runs.key >> np.uint64(32)) % np.uint64(buckets)
                 mark = runs.key & np.uint64(0xFFFFFFFF)
-                chosen = np.flatnonzero(asks)
                 order = chosen[np.argsort(bucket[chosen], kind="stable")]
                 for b, part in _split(bucket, order):
-                    out.append(_message(b, docs, runs.row[part], mark[part], runs.start[part]))
+                    out.append(_message(b, docs, runs.row[part], mark[part], runs.start[part], extra[part]))
                 known = np.flatnonzero(~asks)
-                spread = docs[runs.row, 0] % buckets
+                spread = _spread(docs[runs.row, 0], buckets)
                 for k, part in _split(spread, known[np.argsort(spread[known], kind="stable")]):
                     out.append(_message(-1 - k, docs, runs.row[part], None, runs.start[part]))
             if out:
@@ -241,7 +261,7 @@ def _gathered(rows: pd.DataFrame):
 
 def _told(dests: int, docs: np.ndarray, owner: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pd.DataFrame:
     """Rows of _TOLD, one a destination: documents are dealt by id."""
-    dest = docs[owner, 0] % dests
+    dest = _spread(docs[owner, 0], dests)
     rows = []
     for d, part in _split(dest, np.lexsort((owner, dest))):
         used, count = np.unique(owner[part], return_counts=True)
@@ -262,25 +282,41 @@ def _per_document(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["doc_id", "text_key", "begin", "end"])
 
 
-def _shared(dests: int):
-    """Runs whose key occurs in several documents of the bucket."""
+def _shared(dests: int, hot_runs: int):
+    """Runs whose key occurs in several documents of the bucket; and, for destination -1, its hot keys."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        docs, owner, mark, start, _ = _gathered(rows)
+        docs, owner, mark, start, extra = _gathered(rows)
         if key[0] < 0 or not len(owner):
             return _told(dests, docs, owner, start, start)
-        _, group = np.unique(mark, return_inverse=True)
+        marks, group = np.unique(mark, return_inverse=True)
+        hot = marks[np.bincount(group, extra) >= hot_runs].astype(np.int64) | (np.int64(key[0]) << 32)
         ids = docs[owner, 0]
         least = np.full(group.max() + 1, np.iinfo(np.int64).max)
         most = np.full(group.max() + 1, np.iinfo(np.int64).min)
         np.minimum.at(least, group, ids)
         np.maximum.at(most, group, ids)
         chosen = np.flatnonzero((least < most)[group])
-        return _told(dests, docs, owner[chosen], start[chosen], start[chosen])
+        told = _told(dests, docs, owner[chosen], start[chosen], start[chosen])
+        if len(hot):
+            told.loc[len(told)] = (-1, hot.astype("<i8").tobytes(), b"", b"", b"")
+        return told
     return run
 
 
-def _send(buckets: int):
-    """Cut out the runs that are left; of equal bytes the least document's are sent."""
+def _windows(runs: Runs, of: np.ndarray, start: np.ndarray):
+    """The windows of runs ``of`` as (run, start in the text, bytes)."""
+    which = np.repeat(of, runs.windows[of])
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(runs.windows[of]) - runs.windows[of], runs.windows[of])
+    at = runs.at[which] + nth
+    return which, start[which] + nth, [runs.data[a:a + LENGTH] for a in at.tolist()]
+
+
+def _send(key_buckets: int, buckets: int, hot_keys):
+    """Cut out the runs that are left; of equal bytes the least document's are sent.
+
+    Runs of a hot key, which may be as many as documents, are sent window by window, dealt by
+    the windows' own bytes: only equal windows need to meet.
+    """
     def run(batches):
         for batch in slices(batches, limit=SEGMENT):
             docs, out = _docs_of(batch), []
@@ -291,59 +327,95 @@ def _send(buckets: int):
                 place = (runs.row << np.int64(32)) | runs.start
                 here = np.concatenate([(np.int64(r) << np.int64(32)) | wanted[r] for r in {p[0] for p in pieces}])
                 left = np.flatnonzero(np.isin(place, here))
-                content = [runs.content(i) for i in left]
+                named = ((runs.key[left] >> np.uint64(32)) % np.uint64(key_buckets) << np.uint64(32)
+                         | runs.key[left] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                is_hot = np.isin(named, hot_keys.value)
+                hot, left = left[is_hot], left[~is_hot]
+                which, begin, bytes_of = _windows(runs, hot, runs.start)
+                row = np.concatenate([runs.row[left], runs.row[which]])
+                start = np.concatenate([runs.start[left], begin])
+                windows = np.concatenate([runs.windows[left], np.ones(len(which), np.int64)])
+                content = [runs.content(i) for i in left] + bytes_of
                 classes: dict[bytes, int] = {}
                 group = np.array([classes.setdefault(c, len(classes)) for c in content], np.int64)
-                sent = _first_documents(group, docs[runs.row[left], 0], 1)
-                bucket = (runs.key >> np.uint64(8)) % np.uint64(buckets)
+                sent = _first_documents(group, docs[row, 0], 1)
+                dealt = np.concatenate([runs.key[left] >> np.uint64(8), np.array(
+                    [zlib.crc32(c) for c in bytes_of], np.uint64)]) % np.uint64(buckets)
                 chosen = np.flatnonzero(sent)
-                of_chosen = bucket[left]
-                for b, part in _split(of_chosen, chosen[np.argsort(of_chosen[chosen], kind="stable")]):
-                    at = left[part]
-                    out.append(_message(b, docs, runs.row[at], None, runs.start[at], runs.windows[at],
+                # messages tell runs in the order of their documents
+                for b, part in _split(dealt, chosen[np.lexsort((row[chosen], dealt[chosen]))]):
+                    out.append(_message(b, docs, row[part], None, start[part], windows[part],
                                         b"".join(content[i] for i in part)))
-                known = left[~sent]
-                spread = docs[runs.row, 0] % buckets
-                for k, part in _split(spread, known[np.argsort(spread[known], kind="stable")]):
-                    out.append(_message(-1 - k, docs, runs.row[part], None, runs.start[part], runs.windows[part]))
+                known = np.flatnonzero(~sent)
+                spread = _spread(docs[row, 0], buckets)
+                for k, part in _split(spread, known[np.lexsort((row[known], spread[known]))]):
+                    out.append(_message(-1 - k, docs, row[part], None, start[part], windows[part]))
             if out:
                 yield _as_batch(out)
     return run
 
 
-def _ranks(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Ranks of the pairs (high, low) of ranks."""
-    pair = high.astype(np.uint64) * np.uint64(int(low.max(initial=0)) + 1) + low.astype(np.uint64)
-    return np.unique(pair, return_inverse=True)[1]
+def _identifiers(data: bytes, offsets: np.ndarray) -> np.ndarray:
+    """Identifiers of the q-gram buckets at ``offsets``: 64-bit hashes, so no rank has to be made."""
+    buffer = np.frombuffer(data, np.uint8)
+    out = np.empty(len(offsets), np.uint64)
+    step = 1 << 16  # powers of a bounded range, whatever the data's length
+    order = np.argsort(offsets, kind="stable") if np.any(offsets[1:] < offsets[:-1]) else np.arange(len(offsets))
+    for part in np.split(order, np.searchsorted(offsets[order], np.arange(step, len(data), step))):
+        if not len(part):
+            continue
+        low = int(offsets[part[0]]) // step * step
+        piece = buffer[low:low + step + Q]
+        powers, inverse = _powers(len(piece))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(piece * powers + powers, dtype=np.uint64)])
+        at = offsets[part] - low
+        out[part] = (total[at + Q] - total[at]) * inverse[at]
+    return out
 
 
-def _several(ranks: np.ndarray) -> np.ndarray:
-    return np.bincount(ranks)[ranks] > 1
+def _sorted_into(identifiers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(members that share their identifier, their buckets): sorting puts equal ones side by side."""
+    order = np.argsort(identifiers)
+    ranked = identifiers[order]
+    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])[:len(ranked)]
+    bucket = np.cumsum(new) - 1
+    shared = np.bincount(bucket, minlength=1)[bucket] > 1 if len(bucket) else new
+    return order[shared], bucket[shared]
 
 
 def refine(data: bytes, offsets: np.ndarray) -> np.ndarray:
     """Buckets of the suffixes at ``offsets`` by their first LENGTH bytes (-1: a single one).
 
-    Buckets by 8 bytes are refined by those of later offsets, with the ranks of the round
-    before, to depth 16, 32 and LENGTH.  Ranks are made only where suffixes that are not
-    single yet will look.
+    The initial buckets are q-grams.  They are refined by sorting on (bucket, identifier of the bucket at a later
+    offset); single suffixes leave and each round works with the buckets as the rounds before left
+    them, until the depth is LENGTH.  Identifiers are hashes: at the end, each member is held against
+    its bucket's first on the bytes, and a bucket that a collision has made is parted by its bytes.
     """
     out = np.full(len(offsets), -1, np.int64)
-    padded = np.frombuffer(data + b"\0" * 8, np.uint8)
-    eight = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)[:len(data)])
-    rank = np.unique(eight.view(">u8").ravel(), return_inverse=True)[1].astype(np.int64)
-    alive, last = np.arange(len(offsets)), LENGTH - 32
-    # depth 16 is looked up at 0, 16 and, from `last` on, again at 0 and 16; depth 32 at 0 and `last`
-    for step, looks in ((8, (0, 16, last, last + 16)), (16, (0, last)), (last, (0,))):
-        alive = alive[_several(rank[offsets[alive]])] if len(alive) else alive
-        if not len(alive):
-            return out
-        at = np.unique(np.concatenate([offsets[alive] + x for x in looks]))
-        refined = np.zeros(len(rank), np.int64)
-        refined[at] = _ranks(rank[at], rank[at + step])
-        rank = refined
-    alive = alive[_several(rank[offsets[alive]])]
-    out[alive] = rank[offsets[alive]]
+    alive, bucket = _sorted_into(_identifiers(data, offsets))
+    depth = Q
+    while depth < LENGTH and len(alive):
+        step = min(depth, LENGTH - depth, Q)
+        later = _identifiers(data, offsets[alive] + depth + step - Q)
+        pair = (later ^ (later >> np.uint64(32))) * np.uint64(_P) + bucket.astype(np.uint64)
+        kept, bucket = _sorted_into(pair)
+        alive = alive[kept]
+        depth += step
+    if not len(alive):
+        return out
+    window = np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, np.uint8), LENGTH)
+    first = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+    leader = alive[np.flatnonzero(first)[np.cumsum(first) - 1]]
+    out[alive] = bucket
+    for i in range(0, len(alive), 1 << 18):
+        a, b = alive[i:i + (1 << 18)], leader[i:i + (1 << 18)]
+        for wrong in a[(window[offsets[a]] != window[offsets[b]]).any(1)].tolist():
+            out[wrong] = -2 - int(out[wrong])  # not its bucket's bytes
+    if (out < -1).any():
+        names: dict[tuple[int, bytes], int] = {}
+        top = int(out.max()) + 1
+        for i in np.flatnonzero(out < -1).tolist():
+            out[i] = top + names.setdefault((int(out[i]), data[offsets[i]:offsets[i] + LENGTH]), len(names))
     return out
 
 
@@ -418,9 +490,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def by_document(told: DataFrame) -> DataFrame:
         return told.groupBy("dest").applyInPandas(_per_document, _DOCUMENT)
 
-    shared = by_document(arrow_map(known, _announce(buckets), _ANNOUNCED)
-                         .groupBy("bucket").applyInPandas(_shared(buckets), _TOLD))
-    removed = staged(by_document(arrow_map(known.join(shared.drop("end"), document), _send(refined), _ANNOUNCED)
+    told = staged(arrow_map(known, _announce(buckets), _ANNOUNCED).groupBy("bucket")
+                  .applyInPandas(_shared(buckets, max(HOT_RUNS, total // MOST_HOT // 8)), _TOLD), "shared")
+    hot = [np.frombuffer(r["docs"], "<i8") for r in told.filter("dest < 0").select("docs").collect()]
+    hot_keys = docs.sparkSession.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, np.int64), *hot])))
+    shared = by_document(told.filter("dest >= 0"))
+    removed = staged(by_document(arrow_map(known.join(shared.drop("end"), document), _send(buckets, refined, hot_keys), _ANNOUNCED)
                                  .groupBy("bucket").applyInPandas(_removed(buckets), _TOLD)), "repeats")
     return arrow_map(texts.join(removed, document, "left"), _cut,
                      "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
