@@ -5,10 +5,9 @@ that is a vocabulary entry is that token.  The other distinct words that a task
 not met yet go to an in-memory DuckDB as token position rows, one token a byte at
 first.  A recursive query joins neighbours with the merge table and contracts, in
 every word at once, the leftmost pair of least rank, until no word has a pair left
-(``_ENCODE``).  In long words, where one pair a round would be slow, a pair that
-makes a *settled* token - one that can't be part of a pair of lesser rank - has all
-its non-overlapping occurrences contracted in one round, which gives the same result
-(``_ROUND``).
+(``_ENCODE``).  In words over LONG_WORD bytes, where one pair a round would be slow, a round
+contracts all pairs that are least within the longest entry's reach, which gives the same result in
+a number of rounds that doesn't grow with the word (``_ROUND``).
 
 Decoding.  Ids are joined with the vocabulary by position and put together with
 an ordered aggregation per text (see ``_DECODE``).
@@ -23,6 +22,7 @@ is begun anew; it only saves work.
 Defined results
 ---------------
 * null text is the empty text: no ids, empty decoded bytes;
+* a word of any length is encoded whole (100,000 letters take seconds); a long text is many words;
 * special tokens' strings in a text are ordinary text;
 * ids that the vocabulary lacks decode to nothing; null ids arrays to empty bytes;
 * repeated rows are encoded alike; further columns are dropped; an empty table gives
@@ -72,22 +72,30 @@ GROUP BY s.word ORDER BY s.word
 """
 
 #: One round for long words, each round a statement of its own as the rounds of a
-#: recursion would all stay in memory: all pairs of the least rank that don't overlap
-#: (every other one of each run of neighbours) if their token is settled, else the leftmost.
+#: recursion would all stay in memory.  Contracted are all pairs of least rank within the longest
+#: entry's bytes on both sides: a token that could take one of their halves away would lie in
+#: those bytes and begin with a pair of lesser rank there.  Of pairs of one rank, the left one comes
+#: first: if their token is settled, every other pair of a run of neighbours is contracted (where
+#: nothing of lesser rank is about the run's begin, which could move it), else a pair that
+#: has no equal in those bytes on its left.
 _ROUND = """
 CREATE OR REPLACE TEMP TABLE contracted AS
-SELECT word, (row_number() OVER (PARTITION BY word ORDER BY pos) - 1)::INT AS pos, a FROM (
-    SELECT word, pos, CASE WHEN takes THEN made ELSE a END AS a,
+SELECT word, (row_number() OVER (PARTITION BY word ORDER BY pos) - 1)::INT AS pos, off, a FROM (
+    SELECT word, pos, off, CASE WHEN takes THEN made ELSE a END AS a,
            coalesce(lag(takes) OVER (PARTITION BY word ORDER BY pos), false) AS taken
     FROM (
-        SELECT *, coalesce(made = least AND
-                  CASE WHEN settled THEN (pos - run_start) % 2 = 0 ELSE pos = first_pos END, false) AS takes
+        SELECT *, coalesce(least_here AND CASE
+                      WHEN settled THEN (pos - run_start) % 2 = 0
+                                        AND first_value(least_here) OVER (PARTITION BY word, run_start ORDER BY pos)
+                      ELSE made < coalesce(least_left, 2147483647) END, false) AS takes
         FROM (
-            SELECT *, max(CASE WHEN made IS DISTINCT FROM least THEN pos + 1 ELSE 0 END)
-                          OVER (PARTITION BY word ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run_start,
-                   min(CASE WHEN made = least THEN pos END) OVER (PARTITION BY word) AS first_pos
+            SELECT *, made <= min(made) OVER (PARTITION BY word ORDER BY off
+                                              RANGE BETWEEN {longest} PRECEDING AND {longest} * 2 FOLLOWING) AS least_here,
+                   min(made) OVER (PARTITION BY word ORDER BY off RANGE BETWEEN {longest} PRECEDING AND 1 PRECEDING) AS least_left,
+                   max(CASE WHEN made IS DISTINCT FROM made_before THEN pos ELSE 0 END)
+                          OVER (PARTITION BY word ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run_start
             FROM (
-                SELECT p.*, m.made, m.settled, min(m.made) OVER (PARTITION BY p.word) AS least
+                SELECT p.*, m.made, m.settled, lag(m.made) OVER (PARTITION BY p.word ORDER BY p.pos) AS made_before
                 FROM (SELECT *, lead(a) OVER (PARTITION BY word ORDER BY pos) AS b FROM contracting) p
                 LEFT JOIN merges m ON m.a = p.a AND m.b = p.b))))
 WHERE NOT taken
@@ -128,6 +136,7 @@ class Codec:
         self.whole = {t: int(r).to_bytes(4, "little") for t, r in ranks.items()}
         self.byte_token = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.known: dict[str, bytes] = {}
+        self.round = _ROUND.format(longest=max(map(len, ranks), default=1))
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges = pa.table(merge_table(ranks))  # noqa: F841 (read by the query)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
@@ -149,10 +158,10 @@ class Codec:
         if sizes.max() <= LONG_WORD:
             found = self.db.sql(_ENCODE)
         else:
-            self.db.execute("CREATE OR REPLACE TEMP TABLE contracting AS SELECT word, pos, a FROM bytes_of_words")
+            self.db.execute("CREATE OR REPLACE TEMP TABLE contracting AS SELECT word, pos, pos AS off, a FROM bytes_of_words")
             left, before = len(tokens), None
             while left != before:
-                self.db.execute(_ROUND)
+                self.db.execute(self.round)
                 self.db.execute("DROP TABLE contracting; ALTER TABLE contracted RENAME TO contracting")
                 left, before = self.db.sql("SELECT count(*) FROM contracting").fetchall()[0][0], left
             found = self.db.sql(_COLLECT)
