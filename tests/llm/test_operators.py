@@ -291,7 +291,7 @@ def test_chat_windows_read_back(spark, odd):
     assert len(windows) > 3
     for w in windows:
         assert w.text.startswith("### system:\nturn 0 ")  # the system turn is retained
-        assert w.n_tokens <= 2 * chat.BUDGET
+        assert w.n_tokens <= chat.BUDGET or w.n_turns == 1
     assert all(w.n_repeated > 1 for w in windows[1:])  # and limited history repeated
     assert chat.format_windows(rows.filter("1 = 0")).count() == 0
 
