@@ -203,6 +203,12 @@ def q_backfill_then_stream(spark, sf):
     return t.snapshot().select(*TXN_OUT)
 
 
+def q_key_lookup(spark, sf):
+    """Current rows of a few parcels of a merge-on-read table."""
+    t = _fill(_lake(spark, "lookup", table_type="mor"), FX.txe(spark, sf))
+    return t.lookup("7", "11", "13", "no such parcel").select(*TXN_OUT)
+
+
 def q_packed_append(spark, sf):
     """Five batches appended to a table of files of 256 KB; underfull ones are topped up by each batch."""
     path = scratch_path(spark, "packed")

@@ -212,6 +212,7 @@ ORACLES: dict[str, str] = {
                           AND s.source = d.parcel_id AND 'doc-' || CAST(s.doc_id AS VARCHAR) || '.txt' = d.file_name)""",
 }
 
+ORACLES["key_lookup"] = ORACLES["snapshot_read"] + " WHERE parcelId IN ('7', '11', '13')"
 ORACLES["packed_append"] = ORACLES["stream_file_passthrough"]
 ORACLES["relational_fold"] = ORACLES["relational_upsert"]
 BAD = ("CASE WHEN event_id % 19 = 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0 THEN 'no value' "

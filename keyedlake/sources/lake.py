@@ -10,9 +10,9 @@ distinct and never a null directory); the value itself is a data column with its
 ``bucket = pmod(xxhash64(record key), buckets)``.  A *slot* is one group as one action wrote it:
 kind ``b`` holds the group's complete rows as of the commit, kind ``d`` a merge-on-read delta.
 
-The manifest is a table: one row per action and one per slot.  Reads join it with the data on
-the slot, a directory name, so Spark prunes the scan to the slots that count (at planning
-by commit, at run time by slot) and picks the join by its statistics.  An action's
+The manifest is a table: one row per action and one per slot.  Reads list the commits that hold
+slots that count and join the manifest with the data on the slot, a directory name, so Spark prunes
+the scan to those slots at run time and picks the join by its statistics.  An action's
 manifest rows are written last, so a half-written commit is invisible.  A replayed
 commit overwrites its own directories.  Commit ids are text without dots, ordered as text.
 """
@@ -20,6 +20,7 @@ commit overwrites its own directories.  Commit ids are text without dots, ordere
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 import json
 import uuid
 from collections.abc import Sequence
@@ -151,14 +152,15 @@ class LakeTable:
         return slots.join(groups, GROUP).filter(current).select(SLOT, *GROUP, "commit", "kind", "dirty")
 
     # ------------------------------------------------------------ reads
-    def _scan(self, schema: T.StructType, upto: str | None = None, after: str | None = None) -> DataFrame:
-        """All data rows with their slot; ``upto`` / ``after`` prune commits at planning."""
+    def _scan(self, schema: T.StructType, slots: DataFrame) -> DataFrame:
+        """Rows of the commits that hold ``slots``, with their slot: only those commits' folders are
+        listed.  Names of commits pass the driver, those of groups and files don't."""
         found = T.StructType([*schema.fields, T.StructField(WRITE, T.StringType()), T.StructField(SLOT, T.StringType())])
-        rows = self.spark.read.schema(found).parquet(f"{self.path}/data")
-        if upto is not None:  # "<commit>.<kind>" sorts below "<commit>/"
-            rows = rows.filter(F.col(WRITE) < f"{upto}/")
-        if after is not None:
-            rows = rows.filter(F.col(WRITE) > f"{after}/")
+        writes = [r[0] for r in slots.select(F.concat_ws(".", "commit", "kind")).distinct().collect()]
+        if not writes:
+            return self._valued(self.spark.createDataFrame([], found))
+        rows = self.spark.read.schema(found).option("basePath", f"{self.path}/data").parquet(
+            *[f"{self.path}/data/{WRITE}={w}" for w in sorted(writes)])
         return self._valued(rows)
 
     def _valued(self, rows: DataFrame) -> DataFrame:
@@ -172,6 +174,7 @@ class LakeTable:
         return rows.withColumn(self.partition, F.when(part != "n", value).cast(rows.schema[self.partition].dataType))
 
     def _of(self, rows: DataFrame, slots: DataFrame) -> DataFrame:
+        slots = slots.select(SLOT)
         return rows.join(slots.hint(self.join_hint) if self.join_hint else slots, SLOT)
 
     def _read(self, as_of: str, schema: T.StructType, after: str | None = None, file_names: bool = False,
@@ -180,20 +183,18 @@ class LakeTable:
         slots = self._slots(as_of)
         if touched is not None:
             slots = slots.join(touched, GROUP, "left_semi")
-        rows = self._scan(schema, as_of, after)
+        if after is not None:
+            slots = slots.filter(F.col("commit") > after)
+        rows = self._scan(schema, slots)
         columns = schema.fieldNames() + ([FILE_NAME] if file_names else [])
         if file_names:
             rows = rows.withColumn(FILE_NAME, F.col("_metadata.file_name"))
         if after is not None:
-            slots = slots.filter(F.col("commit") > after)
+            rows = rows.filter(F.col(COMMIT_TIME) > after)
         if self.table_type == "cow":  # every group is one slot: nothing to merge, no shuffle of rows
-            out = self._of(rows, slots.select(SLOT)).select(*columns)
-            return out if after is None else out.filter(F.col(COMMIT_TIME) > after)
-        clean = self._of(rows, slots.filter(~F.col("dirty")).select(SLOT)).select(*columns)
-        dirty = self._of(rows, slots.filter("dirty").select(SLOT)).select(*columns)
-        if after is not None:
-            clean, dirty = (d.filter(F.col(COMMIT_TIME) > after) for d in (clean, dirty))
-        return clean.unionByName(self._latest(dirty))
+            return self._of(rows, slots).select(*columns)
+        clean = self._of(rows, slots.filter(~F.col("dirty"))).select(*columns)
+        return clean.unionByName(self._latest(self._of(rows, slots.filter("dirty")).select(*columns)))
 
     def snapshot(self, as_of: str | None = None, file_names: bool = False) -> DataFrame:
         """Latest version of every key (optionally as of a commit, inclusive).
@@ -202,11 +203,22 @@ class LakeTable:
 
     as_of = snapshot
 
+    def lookup(self, *keys: Sequence | str | int, as_of: str | None = None) -> DataFrame:
+        """Current rows of the given record keys (tuples where the key has several columns).  The keys are
+        pushed down to the scan as they are, where the files' Bloom filters tell which to open."""
+        rows, named = self.snapshot(as_of), [k if isinstance(k, (tuple, list)) else (k,) for k in keys]
+        for i, column in enumerate(self.record_key):  # each column prunes by itself
+            rows = rows.filter(F.col(column).isin(sorted({k[i] for k in named})))
+        if len(self.record_key) == 1:
+            return rows
+        match = [F.struct(*self.record_key) == F.struct(*[F.lit(v) for v in k]) for k in named]
+        return rows.filter(functools.reduce(lambda a, b: a | b, match, F.lit(False)))
+
     def read_optimized(self) -> DataFrame:
         """Base slots only: fast, and stale until the next compaction."""
         at, schema = self._at()
-        return self._of(self._scan(schema, at), self._slots(at).filter(F.col("kind") == BASE).select(SLOT)).select(
-            *schema.fieldNames())
+        slots = self._slots(at).filter(F.col("kind") == BASE)
+        return self._of(self._scan(schema, slots), slots).select(*schema.fieldNames())
 
     def incremental(self, begin: str, end: str | None = None) -> DataFrame:
         """Keys whose version as of ``end`` was written in ``(begin, end]``.  Under commit-time merging a
@@ -230,7 +242,8 @@ class LakeTable:
         reach = F.when(base, F.col("commit") == F.col("first") if self.table_type == "mor" else
                        F.col("commit") >= F.col("first")).otherwise(F.col("commit") > F.col("first"))
         reach = F.col("first").isNull() | reach
-        return (self._of(self._scan(schema), slots.join(groups, GROUP).filter(reach).select(SLOT))
+        slots = slots.join(groups, GROUP).filter(reach)
+        return (self._of(self._scan(schema, slots), slots)
                 .select(*schema.fieldNames()).dropDuplicates([*self.keys, COMMIT_TIME]))
 
     # ------------------------------------------------------------ writes
@@ -300,6 +313,9 @@ class LakeTable:
         slot = F.concat_ws(".", F.lit(commit), F.lit(kind), BUCKET, PART)
         # a replay replaces the whole action, whatever overwrite mode the session has
         w = rows.withColumn(SLOT, slot).drop(*GROUP).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        # Parquet's own Bloom filters on the key: a read of few keys skips row groups that can't hold them
+        w = w.options(**{f"parquet.bloom.filter.enabled#{k}": "true" for k in self.record_key},
+                      **{"parquet.bloom.filter.adaptive.enabled": "true"})
         if self.max_records_per_file:
             w = w.option("maxRecordsPerFile", str(self.max_records_per_file))
         w.partitionBy(SLOT).parquet(target)
@@ -372,8 +388,10 @@ class LakeTable:
         slots = self._write_rows(incoming, commit, kind, grouped=landing is not None)
         if landing:
             delete_path(self.spark, landing)
-        if slots.isEmpty():
-            delete_path(self.spark, f"{self.path}/data/{WRITE}={commit}.{kind}")
+        written = f"{self.path}/data/{WRITE}={commit}.{kind}"
+        fs, p = _fs(self.spark, written)
+        if not any(st.isDirectory() for st in fs.listStatus(p)):  # no slot: the batch is empty
+            delete_path(self.spark, written)
             return None
         self._record(commit, "commit" if self.table_type == "cow" else "deltacommit", slots, seen.get["rows"], schema,
                      source=source)
@@ -451,7 +469,7 @@ class LakeTable:
         dirty = self._slots(at).filter("dirty")
         if dirty.isEmpty():
             return None
-        rows = self._with_group(self._of(self._scan(schema, at), dirty.select(SLOT)).select(*schema.fieldNames()))
+        rows = self._with_group(self._of(self._scan(schema, dirty), dirty).select(*schema.fieldNames()))
         self._record(at, "compaction", self._write_rows(self._reduced(rows), at, BASE, grouped=True))
         return at
 
