@@ -12,7 +12,8 @@ Defined results
 * of a group the row with the most code points in its original text stays, then
   the smallest ``doc_id``; a null ``doc_id`` comes last;
 * rows that repeat a ``doc_id`` and its text count in ``group_size`` and share
-  their verdict; ``drop_copies`` leaves one of them;
+  their verdict; ``drop_copies`` leaves one of them; of an id with several texts it
+  judges each;
 * an empty table gives an empty result; further columns are ignored by
   ``exact_groups`` and kept by ``drop_copies``, whatever their names.
 """
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The characters that equality ignores.
@@ -48,8 +49,8 @@ def _id_of(priority: Column) -> Column:
     return F.when(rank > 0, (F.lit(_TOP) - rank).cast("long"))
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+def _verdicts(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, h128, digest, keep_id, group_size."""
     rows = docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n_chars"),
                        content(F.col("text")).alias("content"))
     groups = (rows.groupBy(F.unhex(F.md5("content")).alias("h128"), "content")
@@ -59,18 +60,29 @@ def exact_groups(docs: DataFrame) -> DataFrame:
                       _id_of(F.col("best")).alias("keep_id"), "group_size"))
     members = rows.select("doc_id", F.unhex(F.md5("content")).alias("h128"),
                           F.unhex(F.sha2("content", 256)).alias("digest"))
-    return (members.join(groups, ["h128", "digest"])
-            .select("doc_id", "keep_id", "group_size",
-                    F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-                    F.lower(F.hex("digest")).alias("text_sha256")))
+    return members.join(groups, ["h128", "digest"])
+
+
+def exact_groups(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _verdicts(docs).select("doc_id", "keep_id", "group_size",
+                                  F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+                                  F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without its exact copies; all columns stay.
 
-    The semi join moves each text once, by ``doc_id``; repeated rows are folded
-    in the same partitioning.
+    The verdict is the row's, not the id's: of an id with several texts, those that are copies of
+    another document go.  The semi join moves each text once, by ``doc_id`` and the content's
+    hash; rows that repeat an id and a content are folded in the same partitioning, the one with the
+    most code points stays.
     """
-    keep = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("__keep_id"))
-    rows = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    h128 = F.unhex(F.md5(content(docs["text"])))
+    keep = (_verdicts(docs).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+            .select(F.col("doc_id").alias("__keep_id"), F.col("h128").alias("__keep_h128")).distinct())
+    rows = docs.withColumn("__h128", h128)
+    rows = rows.join(keep, rows["doc_id"].eqNullSafe(keep["__keep_id"]) & (rows["__h128"] == keep["__keep_h128"]),
+                     "left_semi")
+    first = Window.partitionBy("doc_id", "__h128").orderBy(F.length(F.coalesce("text", F.lit(""))).desc(), "text")
+    return rows.withColumn("__nth", F.row_number().over(first)).filter("__nth = 1").drop("__nth", "__h128")

@@ -297,11 +297,8 @@ def _rest(members: DataFrame, candidates: DataFrame, labels: DataFrame, width: i
     return rows.groupBy("group").applyInPandas(_rest_of_blocks(width, threshold), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id (least doc_id linked), kept.
-
-    ``width`` words make a shingle; ``threshold`` is the least similarity in percent.
-    """
+def _verdicts(docs: DataFrame, width: int, threshold: int) -> DataFrame:
+    """Per row of ``docs``: doc_id, text_key, n_shingles, component_id, kept."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     rows = staged(arrow_map(texts, _sketch(width),
                             "doc_id long, text_key long, n_shingles long, set_key binary, registers binary, "
@@ -327,15 +324,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
         verified = verified.unionByName(_confirmed(rest, candidates, width, threshold))
         labels = connected_components(verified.filter("linked").select("a", "b"))
     named = classes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("class_label"))
-    out = rows.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
+    out = rows.select("doc_id", "text_key", "n_shingles", "set_key").join(named, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_label", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id (least doc_id linked), kept.
+
+    ``width`` words make a shingle; ``threshold`` is the least similarity in percent.
+    """
+    return _verdicts(docs, width, threshold).drop("text_key")
+
+
 def drop_near_copies(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near copies; all columns stay."""
-    keep = (near_duplicates(docs, width, threshold).filter("kept")
-            .select(F.col("doc_id").alias("__keep_id")).distinct())
-    rows = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep_id"]), "left_semi")
+    """``docs`` with one document of each group of near copies; all columns stay.
+
+    The verdict is the row's, not the id's.  Ids are taken to be unique: of an id that is the least of
+    several sets of shingles, only one set (the least by its key) is compared with others.
+    """
+    keep = (_verdicts(docs, width, threshold).filter("kept")
+            .select(F.col("doc_id").alias("__keep_id"), F.col("text_key").alias("__keep_key")).distinct())
+    rows = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep_id"])
+                     & (F.xxhash64(docs["text"]) == keep["__keep_key"]), "left_semi")
     return rows.dropDuplicates(["doc_id", "text"])
