@@ -14,6 +14,11 @@ on text and cuts are unchanged.  If the number of leaves stays, the sums of the
 paths above the touched leaves are updated in place; else the levels are summed
 again from the leaves' counts, without reading text.
 
+Trees are kept: ``plant`` builds those of a table of documents, to be written as Parquet with the texts, and
+``update`` joins an edit table to them and returns the table with the edited rows' texts and trees
+replaced; documents without edits aren't cut or encoded, and of the others only what their edits
+touch.  A tree's stored form is its leaves; the sums above are made from them without reading text.
+
 The pre-token cache of a task holds at most ``REMEMBERED`` words.
 
 Defined results
@@ -188,6 +193,68 @@ def recount(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                      "reencoded_chars long")
 
 
+_TREE = "doc_id long, text string, sizes array<int>, tokens array<int>, n_tokens long"
+
+
+def _tree_rows(rows: list[tuple]) -> list[pa.Array]:
+    types = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64()]
+    return [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * len(types), types)]
+
+
+def _plant(ranks, pattern: str):
+    def run(batches):
+        counter = None
+        for batch in slices(batches, limit=_SLICE):
+            counter = counter or Counter(ranks.value, pattern)
+            rows = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                tree = build(text or "", counter)
+                rows.append((doc_id, text, tree.sizes, tree.levels[0], tree.total))
+            yield pa.record_batch(_tree_rows(rows), names=["doc_id", "text", "sizes", "tokens", "n_tokens"])
+    return run
+
+
+def _update(ranks, pattern: str):
+    def run(batches):
+        counter = None
+        names = ("doc_id", "text", "sizes", "tokens", "edits")
+        for batch in slices(batches, limit=_SLICE):
+            counter = counter or Counter(ranks.value, pattern)
+            rows, encoded = [], []
+            for doc_id, text, sizes, tokens, edits in zip(*(batch.column(c).to_pylist() for c in names)):
+                text, tree, again = text or "", Tree(sizes, tokens), 0
+                for e in edits:
+                    text, n = apply_edit(text, tree, counter, e["begin"], e["end"], e["replacement"])
+                    again += n
+                rows.append((doc_id, text, tree.sizes, tree.levels[0], tree.total))
+                encoded.append(again)
+            yield pa.record_batch([*_tree_rows(rows), pa.array(encoded, pa.int64())],
+                                  names=["doc_id", "text", "sizes", "tokens", "n_tokens", "reencoded_chars"])
+    return run
+
+
+def plant(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Trees of ``docs`` (doc_id, text): doc_id, text, sizes and tokens of the leaves, n_tokens."""
+    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(path))
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _plant(ranks, pattern), _TREE)
+
+
+def update(trees: DataFrame, edits: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``trees`` after ``edits`` (doc_id, edits: an array as ``recount`` takes it), with reencoded_chars.
+
+    A row of ``edits`` applies to every tree of its id; ids without a tree and null ids are left out.
+    Several rows of one id apply one after the other, in the order of their arrays' text.
+    """
+    ranks = trees.sparkSession.sparkContext.broadcast(load_ranks(path))
+    edits = (edits.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("edits").cast(EDITS).alias("edits"))
+             .filter("doc_id is not null and size(edits) > 0").groupBy("doc_id")
+             .agg(F.flatten(F.array_sort(F.collect_list("edits"))).alias("edits")))
+    trees = trees.select("doc_id", "text", "sizes", "tokens", "n_tokens")
+    touched = arrow_map(trees.join(edits, "doc_id"), _update(ranks, pattern), _TREE + ", reencoded_chars long")
+    same = trees.join(edits.select("doc_id"), "doc_id", "left_anti").withColumn("reencoded_chars", F.lit(0).cast("long"))
+    return touched.unionByName(same)
+
+
 def derived_edits(doc_id: Column, text: Column, source: Column) -> Column:
     """Three edits of a row made from its own columns: an insertion of the source name,
     the deletion of twelve code points and the replacement of five by a date-like number,
