@@ -6,8 +6,11 @@ Times (warm, median of ``BENCH_REPS``, default 3) at ``$BENCH_SF_DIR``
 * precombine / snapshot / as_of / incremental (pure reductions of the TXE batch log)
 * cow_upsert / mor_upsert: one more commit into a 4-commit table
 * snapshot_cow / snapshot_mor / read_optimized / compaction / read_after_compaction
-* relational_upsert (state after 5 batches, last arrival wins)
-* windowed_count (5-minute windows by area, streaming, watermarked, append mode)
+* cow_upsert_next: the same batch as ever further commits of a growing table
+* relational_upsert (state after 5 batches, last arrival wins), relational_batch (one batch appended to
+  a bucketed state), relational_state (its read)
+* windowed_count (5-minute windows by area, streaming, complete mode), windowed_append (the same,
+  watermarked, append mode)
 * area_report (ENV -> parse -> precombine -> snapshot -> area summary)
 
 Results are forced with the ``noop`` sink (full computation, no collect).
@@ -83,8 +86,17 @@ def main() -> None:
     out["compaction"] = timed(lambda: tables["mor"].compact("004"), reps=1, warm=False)
     out["read_after_compaction"] = timed(lambda: force(tables["mor"].snapshot()))
 
+    # further commits: the manifest and the number of stored slots grow with each
+    after = iter(range(5, 100))
+    out["cow_upsert_next"] = timed(lambda: tables["cow"].upsert(last, commit=f"{next(after):03d}"))
+
     out["relational_upsert"] = timed(lambda: force(C.q_relational_upsert(spark, sf)))
-    out["windowed_count"] = timed(lambda: force(C.q_stream_window_append(spark, sf)))
+    kept = C._relational_state(spark, sf, range(4))
+    arrived = kept.log().limit(0).unionByName(kept.state().withColumn("_batch_id", F.lit(4).cast("long")))
+    out["relational_batch"] = timed(lambda: kept.append(arrived), reps=1, warm=False)
+    out["relational_state"] = timed(lambda: force(kept.state()))
+    out["windowed_count"] = timed(lambda: force(C.q_windowed_area_count(spark, sf)))
+    out["windowed_append"] = timed(lambda: force(C.q_stream_window_append(spark, sf)))
     out["area_report"] = timed(lambda: force(C.q_ingest_snapshot_report(spark, sf)))
 
     claims = {

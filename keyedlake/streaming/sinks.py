@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..functions.normalize import conform_to_table, split_valid_rejected, to_relational
 from ..operators.relational import jdbc_merge, prepare_batch
 from ..session import scratch_path
-from ..sources.lake import LakeTable
+from ..sources.lake import LakeTable, delete_path
 
 
 def commit_id(batch_id: int, width: int = 20) -> str:
@@ -61,13 +62,23 @@ def relational_rows(df: DataFrame, batch_id: int, limits: Mapping[str, int] | No
     return split_valid_rejected(conform_to_table(rows, limits))
 
 
-def _landed(prepared: DataFrame, batch_id: int, rejected_path: str | None) -> tuple[DataFrame, dict[str, int]]:
+@contextmanager
+def _landed(prepared: DataFrame, batch_id: int, rejected_path: str | None) -> Iterator[tuple[DataFrame, dict[str, int]]]:
     """Compute the batch once: write it as Parquet, valid and rejected rows apart, and observe its
-    counts while it is written.  Returns the valid rows as read back, and the counts.
+    counts while it is written.  Gives the valid rows as read back, and the counts; what was
+    written goes when the batch is done.
 
     Rejected rows are kept at ``rejected_path`` or fail the batch; a replay overwrites them.
     """
-    spark, path, seen = prepared.sparkSession, scratch_path(prepared.sparkSession, "landed"), Observation()
+    path = scratch_path(prepared.sparkSession, "landed")
+    try:
+        yield _split(prepared, batch_id, rejected_path, path)
+    finally:
+        delete_path(prepared.sparkSession, path)
+
+
+def _split(prepared: DataFrame, batch_id: int, rejected_path: str | None, path: str) -> tuple[DataFrame, dict[str, int]]:
+    spark, seen = prepared.sparkSession, Observation()
     ok = F.col("_reject_reason").isNull()
     (prepared.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count(F.when(ok, 1)).alias("rows_written"),
                       F.count(F.when(~ok, 1)).alias("rows_rejected"))
@@ -108,13 +119,13 @@ def relational_sink(table: LakeTable, width: int | None = None,
             return
         prepared = conform_to_table(to_relational(df.withColumn("_batch_id", F.lit(batch_id).cast("long")))
                                     .withColumn("last_updated", F.current_timestamp()), limits)
-        valid, counts = _landed(prepared, batch_id, rejected_path)
-        keys, valid = Observation(), valid.drop("_batch_id", "_reject_reason")
-        if not counts["rows_written"]:
-            _report(df.sparkSession, batch_id, counts, 0, report_path)
-        elif _upsert(table, valid, batch_id, width, stream, keys):
-            _report(df.sparkSession, batch_id, counts, keys.get["rows"], report_path)
-        # else: the batch's report is that of its first write
+        keys = Observation()
+        with _landed(prepared, batch_id, rejected_path) as (valid, counts):
+            if not counts["rows_written"]:
+                _report(df.sparkSession, batch_id, counts, 0, report_path)
+            elif _upsert(table, valid.drop("_batch_id", "_reject_reason"), batch_id, width, stream, keys):
+                _report(df.sparkSession, batch_id, counts, keys.get["rows"], report_path)
+            # else: the batch's report is that of its first write
     return write
 
 
@@ -126,10 +137,10 @@ def jdbc_sink(url: str, target: str, properties: Mapping[str, str] | None = None
     def write(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():
             return
-        valid, counts = _landed(prepare_batch(df, batch_id, limits), batch_id, rejected_path)
         keys = Observation()
-        jdbc_merge(valid, batch_id, url, target, properties, keys)
-        _report(df.sparkSession, batch_id, counts, keys.get["rows"], report_path)
+        with _landed(prepare_batch(df, batch_id, limits), batch_id, rejected_path) as (valid, counts):
+            jdbc_merge(valid, batch_id, url, target, properties, keys)
+            _report(df.sparkSession, batch_id, counts, keys.get["rows"], report_path)
     return write
 
 
