@@ -60,6 +60,8 @@ PRIOR = 0.5
 HASH_BITS, CHUNK_BITS = 26, 16
 
 _SLICE = 4 << 20
+#: Words whose answers a task remembers.
+_REMEMBERED = 300_000
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _LOCAL_RUN = re.compile(r"[A-Za-z0-9._%+-]*")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -188,15 +190,30 @@ def _hash_table(terms: DataFrame):
     return terms.sparkSession.sparkContext.broadcast(bytes(table))
 
 
-def _is_in(table: bytes, term: str) -> bool:
-    h = zlib.crc32(term.encode()) >> (32 - HASH_BITS)
-    return bool(table[h >> 3] >> (h & 7) & 1)
+class _Wanted:
+    """The words that the table lets through; answers are remembered, as most words come again."""
+
+    def __init__(self, table: bytes):
+        self.table, self.known = table, {}
+
+    def __call__(self, words: set[str]) -> list[str]:
+        table, known, out = self.table, self.known, []
+        if len(known) > _REMEMBERED:
+            known.clear()
+        for word in words:
+            hit = known.get(word)
+            if hit is None:
+                h = zlib.crc32(word.encode()) >> (32 - HASH_BITS)
+                hit = known[word] = table[h >> 3] >> (h & 7) & 1
+            if hit:
+                out.append(word)
+        return out
 
 
 def _count_terms(handle):
     """Documents with each term of the table, summed up within the task as far as memory is bounded."""
     def run(batches):
-        table, counts = handle.value, {}
+        wanted, counts = _Wanted(handle.value), {}
 
         def rows():
             return pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
@@ -204,9 +221,8 @@ def _count_terms(handle):
 
         for batch in slices(batches, limit=_SLICE):
             for text in batch.column("text").to_pylist():
-                for term in set(_WORD.findall(text.lower())) if text else ():
-                    if _is_in(table, term):
-                        counts[term] = counts.get(term, 0) + 1
+                for term in wanted(set(_WORD.findall(text.lower()))) if text else ():
+                    counts[term] = counts.get(term, 0) + 1
             if len(counts) > 500_000:
                 yield rows()
                 counts.clear()
@@ -214,22 +230,38 @@ def _count_terms(handle):
     return run
 
 
-_PLACES = "doc_id long, text_key long, term string, spans array<struct<begin:long,end:long>>"
+def _places(text: str, lowered: str, terms: list[str]) -> dict[str, list[dict]]:
+    """Spans of each term among the text's words."""
+    out: dict[str, list[dict]] = {}
+    if len(lowered) != len(text):  # places in one aren't those in the other
+        for m in _WORD.finditer(text):
+            if (term := m.group().lower()) in terms:
+                out.setdefault(term, []).append({"begin": m.start(), "end": m.end()})
+        return out
+    part_of_word = lambda c: c.isalnum() or c == "_"
+    for term in terms:
+        at = lowered.find(term)
+        while at >= 0:
+            end = at + len(term)
+            if not (at and part_of_word(lowered[at - 1]) or end < len(lowered) and part_of_word(lowered[end])):
+                out.setdefault(term, []).append({"begin": at, "end": end})
+            at = lowered.find(term, end)
+    return out
+
+
+_PLACED = "doc_id long, text_key long, term string, spans array<struct<begin:long,end:long>>"
 
 
 def _place_terms(handle):
     """Where the terms of the table stand: a row a text and term."""
     def run(batches):
-        table = handle.value
+        wanted = _Wanted(handle.value)
         for batch in slices(batches, limit=_SLICE):
             out = []
             for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
-                wanted = {t for t in set(_WORD.findall(text.lower())) if _is_in(table, t)} if text else ()
-                places: dict[str, list[dict]] = {}
-                for m in _WORD.finditer(text) if wanted else ():
-                    if (term := m.group().lower()) in wanted:
-                        places.setdefault(term, []).append({"begin": m.start(), "end": m.end()})
-                out += [(doc_id, key, t, at) for t, at in places.items()]
+                lowered = text.lower() if text else ""
+                terms = wanted(set(_WORD.findall(lowered))) if text else []
+                out += [(doc_id, key, t, at) for t, at in (_places(text, lowered, terms) if terms else {}).items()]
             columns = list(zip(*out)) or [[]] * 4
             types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)],
@@ -258,7 +290,7 @@ def find(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     found = staged(arrow_map(texts, partial(_find, keep_text=keep_text), _FOUND), "pii-found")
     terms = staged(disclosing_terms(found, texts), "pii-terms")
-    places = arrow_map(texts, _place_terms(_hash_table(terms)), _PLACES).join(terms, "term", "left_semi")
+    places = arrow_map(texts, _place_terms(_hash_table(terms)), _PLACED).join(terms, "term", "left_semi")
     marked = (places.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
               .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("terms")))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
