@@ -2,7 +2,8 @@
 
 A listed file becomes ranges of ``chunk_bytes``; the ranges (narrow rows) are dealt to tasks
 by bytes, and each task reads its ranges and writes them where they belong, so that
-bytes are never shuffled and a task holds one chunk at a time however large a file is.
+bytes are never shuffled and a task holds one batch of chunks, or one chunk, at a time however
+large a file is.
 
 ``digest`` is the SHA-256 of a file of one chunk; of a file of several, that of its
 chunks' digests (lower-case hex, in chunk order), which needs no pass over the bytes.
@@ -10,7 +11,6 @@ chunks' digests (lower-case hex, in chunk order), which needs no pass over the b
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,38 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.normalize import document_uri
-from .documents import new_only
+from .documents import TASK_BYTES, filesystem, new_only, read_ranges
 from .lake import path_exists
 
 CHUNK_BYTES = 8 << 20
-#: Bytes that one task reads and writes, about.
-TASK_BYTES = 128 << 20
-
-
-def _filesystem(path: str):
-    """(file system, path within it) of a path as Spark lists it."""
-    from pyarrow import fs
-
-    scheme, authority, rest = re.match(r"(?:([A-Za-z][A-Za-z0-9+.-]+):)?(?://([^/]*))?(.*)", path, re.S).groups()
-    if scheme in (None, "file"):
-        return fs.LocalFileSystem(), rest
-    store, base = fs.FileSystem.from_uri(f"{scheme}://{authority or ''}/")
-    return store, base.rstrip("/") + rest
-
-
-def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    opened, file = None, None
-    for batch in batches:
-        for i, (path, offset, size) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("path", "offset", "size")))):
-            if path != opened:
-                store, name = _filesystem(path)
-                opened, file = path, store.open_input_file(name)
-            file.seek(offset)
-            data = file.read(size)
-            if len(data) != size:
-                raise OSError(f"{path} ends before byte {offset + size}: it changed while it was read")
-            row = batch.slice(i, 1).drop_columns(["path", "size"])
-            yield row.append_column("content", pa.array([data], pa.binary()))
 
 
 def ranges_of(files: DataFrame, chunk_bytes: int = CHUNK_BYTES, buckets: int = 64) -> DataFrame:
@@ -88,7 +60,7 @@ def ingest_chunks(spark: SparkSession, files: DataFrame, store: str, uri_root: s
     ranges = _dealt(ranges_of(files, chunk_bytes, buckets))
     schema = "parcel_id string, file_name string, length bigint, n_chunks int, _bucket int, chunk_no int, offset bigint, content binary"
     columns = [c.strip().split()[0] for c in schema.split(",")][:-1]
-    read = ranges.select("path", "size", *columns).mapInArrow(_read_ranges, schema)
+    read = ranges.select("path", "size", *columns).mapInArrow(read_ranges, schema)
     (read.withColumn("chunk_sha2", F.sha2("content", 256))
      .withColumn("uri", document_uri(uri_root, "parcel_id", "file_name", kind))
      .write.mode("append").partitionBy("_bucket").parquet(store))
@@ -119,7 +91,7 @@ def restore(spark: SparkSession, store: str, root: str) -> DataFrame:
                     if out is not None:
                         done.append((*name, out.tell()))
                         out.close()
-                    fs, base = _filesystem(root)
+                    fs, base = filesystem(root)
                     fs.create_dir(f"{base}/{parcel}", recursive=True)
                     name, out = (parcel, file), fs.open_output_stream(f"{base}/{parcel}/{file}")
                 out.write(content)

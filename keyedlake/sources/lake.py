@@ -64,6 +64,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its store's scheme, as Spark's listings have it."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):

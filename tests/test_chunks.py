@@ -85,3 +85,38 @@ def test_manifest_against_storage(spark, tmp_table):
     write(root, {("u", "stray.txt"): b"!"})
     found = D.reconcile(D.manifest_inventory(spark, root), D.listed_files(spark, root).drop("path"))
     assert sorted(map(tuple, found.collect())) == [("t", "doc-2.txt", "not in storage"), ("u", "stray.txt", "not in manifest")]
+
+
+def test_a_listing_is_made_by_tasks_and_is_spark_s_own(spark, staged, monkeypatch):
+    write(staged, {("p1/deep/er", "x.log"): b"12", ("p1/_metadata_x", "seen.txt"): b"1", ("_hid", "no.txt"): b"1", ("p2", ".no"): b"1",
+                   ("p2", "_k=1"): b"1", ("p2", "_no"): b"1", ("p2", "x._COPYING_"): b"1", ("", "top.txt"): b"abc"})
+    names = ["path", "length", "modificationTime", "parcel_id", "file_name"]
+    rows = lambda df: sorted(map(tuple, df.select(names).collect()))
+    want = rows(D._spark_listing(spark, staged))
+    monkeypatch.setattr(D, "_spark_listing", None)  # the driver lists nothing
+    got = D._listing(spark, staged)
+    assert rows(got) == want and len(want) == 8
+    write(staged, {("p4", "later.txt"): b"1"})
+    assert rows(got) == want and len(rows(D._listing(spark, staged))) == 9
+
+
+def test_small_files_share_tasks(spark, tmp_table):
+    """They were dealt 32 a task, as a file's opening counted for 4 MB."""
+    root = tmp_table("many-small")
+    write(root, {(f"p{i % 3}", f"{i}.txt"): b"x%d" % i for i in range(900)})
+    digests = D.document_digests(spark, root)
+    assert digests.rdd.getNumPartitions() == 1 and D.listed_files(spark, root).rdd.getNumPartitions() < 20
+    assert {(r.file_name, r.length, r.sha2) for r in digests.collect()} == {
+        (f"{i}.txt", len(b"x%d" % i), hashlib.sha256(b"x%d" % i).hexdigest()) for i in range(900)}
+
+
+def test_ranges_are_read_in_batches(tmp_path, monkeypatch):
+    """Each range was a batch of its own."""
+    import pyarrow as pa
+
+    (tmp_path / "f").write_bytes(b"0123456789" * 10)
+    monkeypatch.setattr(D, "BATCH_BYTES", 30)
+    given = pa.table({"path": [str(tmp_path / "f")] * 11, "offset": [10 * i for i in range(10)] + [0], "size": [10] * 10 + [90]}).to_batches()
+    got = list(D.read_ranges(given))
+    assert [b.num_rows for b in got] == [3, 3, 3, 1, 1] and got[0].schema.names == ["offset", "content"]
+    assert b"".join(pa.Table.from_batches(got)["content"].to_pylist()) == b"0123456789" * 19
