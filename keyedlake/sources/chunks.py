@@ -84,22 +84,30 @@ def restore(spark: SparkSession, store: str, root: str) -> DataFrame:
     A file's chunks arrive in order and are appended as they come, so a task holds one batch of them.
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, out, done, base = None, None, [], None
+        def written(done):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), (pa.string(), pa.string(), pa.int64()))],
+                                              names=["parcel_id", "file_name", "length"])
+
+        fs, base = filesystem(root)
+        made, name, out = set(), None, None
         for batch in batches:
+            done = []
             for parcel, file, content in zip(*(batch.column(c).to_pylist() for c in ("parcel_id", "file_name", "content"))):
                 if (parcel, file) != name:
                     if out is not None:
                         done.append((*name, out.tell()))
                         out.close()
-                    fs, base = filesystem(root)
-                    fs.create_dir(f"{base}/{parcel}", recursive=True)
+                    if parcel not in made:
+                        fs.create_dir(f"{base}/{parcel}", recursive=True)
+                        made.add(parcel)
                     name, out = (parcel, file), fs.open_output_stream(f"{base}/{parcel}/{file}")
                 out.write(content)
+            if done:
+                yield written(done)
         if out is not None:
-            done.append((*name, out.tell()))
+            length = out.tell()
             out.close()
-        for parcel, file, length in done:
-            yield pa.RecordBatch.from_pydict({"parcel_id": [parcel], "file_name": [file], "length": [length]})
+            yield written([(*name, length)])
 
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     rows = (spark.read.parquet(store).select("parcel_id", "file_name", "chunk_no", "content")

@@ -120,3 +120,12 @@ def test_ranges_are_read_in_batches(tmp_path, monkeypatch):
     got = list(D.read_ranges(given))
     assert [b.num_rows for b in got] == [3, 3, 3, 1, 1] and got[0].schema.names == ["offset", "content"]
     assert b"".join(pa.Table.from_batches(got)["content"].to_pylist()) == b"0123456789" * 19
+
+
+def test_a_restore_lists_its_files_as_it_goes(spark, tmp_table, staged):
+    store, back = tmp_table("chunk-store"), tmp_table("chunk-back")
+    CH.ingest_chunks(spark, D.listed_files(spark, staged), store, "root", chunk_bytes=700)
+    assert {(r.parcel_id, r.file_name, r.length) for r in CH.restore(spark, store, back).collect()} == {
+        (*k, len(v)) for k, v in FILES.items() if v}
+    assert {(r.parcel_id, r.file_name, r.sha2) for r in D.document_digests(spark, back).collect()} == {
+        (*k, hashlib.sha256(v).hexdigest()) for k, v in FILES.items() if v}
