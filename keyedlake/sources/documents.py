@@ -86,6 +86,7 @@ def manifest_files(spark: SparkSession, root: str) -> DataFrame:
 def reconcile(manifest: DataFrame, listing: DataFrame) -> DataFrame:
     """Files that only one of the two knows, or knows with another length: (parcel_id, file_name, state)."""
     keys = ["parcel_id", "file_name", "length"]
+    manifest, listing = manifest.hint("merge"), listing.hint("merge")  # either side may be large: none goes through the driver
     gone = manifest.join(listing, keys, "left_anti").withColumn("state", F.lit("not in storage"))
     unknown = listing.join(manifest, keys, "left_anti").withColumn("state", F.lit("not in manifest"))
     return gone.select("parcel_id", "file_name", "state").unionByName(unknown.select("parcel_id", "file_name", "state"))

@@ -129,3 +129,10 @@ def test_a_restore_lists_its_files_as_it_goes(spark, tmp_table, staged):
         (*k, len(v)) for k, v in FILES.items() if v}
     assert {(r.parcel_id, r.file_name, r.sha2) for r in D.document_digests(spark, back).collect()} == {
         (*k, hashlib.sha256(v).hexdigest()) for k, v in FILES.items() if v}
+
+
+def test_neither_side_of_a_reconciliation_goes_through_the_driver(spark):
+    side = spark.createDataFrame([("p", "f", 1), ("p", "f", 1), (None, "f", 1)], "parcel_id string, file_name string, length bigint")
+    found = D.reconcile(side, side.filter("parcel_id IS NOT NULL"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert list(map(tuple, found.collect())) == [(None, "f", "not in storage")]
