@@ -22,6 +22,8 @@ from .documents import TASK_BYTES, filesystem, new_only, read_ranges
 from .lake import path_exists
 
 CHUNK_BYTES = 8 << 20
+#: Bytes that a range counts for besides its own.
+RANGE_BYTES = 4 << 10
 
 
 def ranges_of(files: DataFrame, chunk_bytes: int = CHUNK_BYTES, buckets: int = 64) -> DataFrame:
@@ -39,12 +41,14 @@ def _dealt(ranges: DataFrame) -> DataFrame:
 
     The number of tasks is given, as adaptive execution would join them by the narrow rows' own size.
     """
-    total = ranges.agg(F.sum("size")).first()[0] or 0
-    shares = ranges.groupBy("_bucket").agg(F.ceil(F.sum("size") / TASK_BYTES).alias("_shares"))  # a row a bucket
-    share = F.pmod(F.xxhash64("path", "chunk_no"), F.greatest("_shares", F.lit(1)))
-    return (ranges.join(F.broadcast(shares), "_bucket").withColumn("_share", share)
-            .repartition(max(1, 2 * -(-total // TASK_BYTES)), "_bucket", "_share").sortWithinPartitions("_bucket", "path", "chunk_no")
-            .drop("_share", "_shares"))
+    sizes = ranges.groupBy("_bucket").agg(F.sum(F.col("size") + RANGE_BYTES)).collect()  # a row a bucket
+    shares = ranges.sparkSession.createDataFrame([(bucket, -(-size // TASK_BYTES)) for bucket, size in sizes],
+                                                 "_bucket int, _shares bigint")
+    # neighbouring ranges stay together, so that a small file is opened once
+    stretch = F.floor(F.col("offset") / max(1, TASK_BYTES // 8))
+    return (ranges.join(F.broadcast(shares), "_bucket").withColumn("_share", F.pmod(F.xxhash64("path", stretch), "_shares"))
+            .repartition(max(1, 2 * -(-sum(size for _, size in sizes) // TASK_BYTES)), "_bucket", "_share")
+            .sortWithinPartitions("_bucket", "path", "chunk_no").drop("_share", "_shares"))
 
 
 def ingest_chunks(spark: SparkSession, files: DataFrame, store: str, uri_root: str, kind: str = "title",

@@ -122,6 +122,15 @@ def test_ranges_are_read_in_batches(tmp_path, monkeypatch):
     assert b"".join(pa.Table.from_batches(got)["content"].to_pylist()) == b"0123456789" * 19
 
 
+def test_ranges_are_dealt_by_number_too_and_a_small_file_stays_together(spark, monkeypatch):
+    monkeypatch.setattr(CH, "TASK_BYTES", 80_000)
+    files = spark.createDataFrame([(f"file:/x/p/{i}", "p", f"{i}", 30) for i in range(100)],
+                                  "path string, parcel_id string, file_name string, length bigint")
+    dealt = CH._dealt(CH.ranges_of(files, 10, 8)).withColumn("task", F.spark_partition_id())
+    assert dealt.count() == 300 and dealt.select("task").distinct().count() > 2  # by their bytes alone it was one
+    assert dealt.select("path", "task").distinct().count() == 100
+
+
 def test_a_restore_lists_its_files_as_it_goes(spark, tmp_table, staged):
     store, back = tmp_table("chunk-store"), tmp_table("chunk-back")
     CH.ingest_chunks(spark, D.listed_files(spark, staged), store, "root", chunk_bytes=700)
